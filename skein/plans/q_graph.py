@@ -1 +1,170 @@
-"""Queries (filled in below)."""
+"""Queries for weights, degrees, graph counts, PageRank and expansion."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skein.operators import graph as gr
+from skein.plans.registry import register, tables
+from skein.plans.sqlbits import EDGE_CTE, match_expr
+
+PAGERANK_ITERATIONS = 15
+
+
+def interaction_edges(spark, sf_dir):
+    """fx_interactions with both endpoints' attributes (the retweet edge file shape)."""
+    users, inter = tables(spark, sf_dir, "fx_users", "fx_interactions")
+    us = users.select(F.col("user_id").alias("source"), F.col("username").alias("source_username"),
+                      F.col("followers_count").alias("source_followers"))
+    ut = users.select(F.col("user_id").alias("target"), F.col("username").alias("target_username"),
+                      F.col("followers_count").alias("target_followers"))
+    return inter.join(us, "source", "left").join(ut, "target", "left")
+
+
+@register("a07_retweet_weights", """
+SELECT source AS src, target AS dst, count(*) AS weight FROM fx_interactions GROUP BY source, target""")
+def a07_retweet_weights(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    return gr.retweet_weights(inter)
+
+
+@register("a07_retweet_tweet_ids", """
+SELECT source AS src, target AS dst, count(*) AS weight, string_agg(tweet_id, ';' ORDER BY ord, pos, tweet_id) AS tweet_ids
+FROM fx_interactions GROUP BY source, target""")
+def a07_retweet_tweet_ids(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    return gr.retweet_tweet_ids(inter)
+
+
+@register("a08_follow_edges", """
+SELECT DISTINCT source AS src, target AS dst, CAST(1 AS BIGINT) AS weight FROM fx_interactions""")
+def a08_follow_edges(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    return gr.follow_edges(inter)
+
+
+_A14 = """
+WITH {edge},
+ends AS (SELECT source AS id, source_username AS username, source_followers AS followers, ord, pos, 0 AS side FROM ie
+  UNION ALL SELECT target, target_username, target_followers, ord, pos, 1 FROM ie)
+SELECT id, username, followers FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord {d}, pos {d}, side {d}) AS rn FROM ends) x WHERE rn = 1"""
+
+
+@register("a14_vertex_attributes_first", _A14.format(edge=EDGE_CTE, d="ASC"))
+def a14_vertex_attributes_first(spark, sf_dir):
+    return gr.vertex_attributes(interaction_edges(spark, sf_dir), "first")
+
+
+@register("a14_vertex_attributes_last", _A14.format(edge=EDGE_CTE, d="DESC"))
+def a14_vertex_attributes_last(spark, sf_dir):
+    return gr.vertex_attributes(interaction_edges(spark, sf_dir), "last")
+
+
+@register("g03_graph_counts", """
+WITH e AS (SELECT DISTINCT source AS src, target AS dst FROM fx_interactions),
+v AS (SELECT src AS id FROM e UNION SELECT dst FROM e),
+c AS (SELECT (SELECT count(*) FROM v) AS nodes, (SELECT count(*) FROM e) AS edges)
+SELECT nodes, edges, CASE WHEN nodes < 2 THEN 0.0 ELSE CAST(edges AS DOUBLE) / (nodes * (nodes - 1)) END AS density,
+  CAST(2 * edges AS DOUBLE) / nullif(nodes, 0) AS average_degree FROM c""")
+def g03_graph_counts(spark, sf_dir):
+    """G3 + G4 + G6: nodes, edges, density, average degree of the retweet graph."""
+    v, e = gr.build_graph(interaction_edges(spark, sf_dir), "retweet")
+    return gr.graph_counts(v, e)
+
+
+@register("g05_degree", """
+WITH e AS (SELECT DISTINCT source AS src, target AS dst FROM fx_interactions)
+SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) x GROUP BY id""")
+def g05_degree(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    return gr.degree(gr.retweet_weights(inter))
+
+
+@register("p25_render_attributes", """
+WITH e AS (SELECT DISTINCT source AS src, target AS dst FROM fx_interactions),
+d AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) x GROUP BY id)
+SELECT id, degree, degree * 100 AS node_size, CASE WHEN degree > 70 THEN id END AS label FROM d""")
+def p25_render_attributes(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    e = gr.retweet_weights(inter)
+    nodes, _ = gr.render_attributes(gr.degree(e), e)
+    return nodes
+
+
+def pagerank_sql(iterations: int = PAGERANK_ITERATIONS, alpha: float = 0.85) -> str:
+    """Unrolled fixed-iteration PageRank as plain SQL (the oracle)."""
+    ctes = ["""e AS (SELECT source AS src, target AS dst, CAST(count(*) AS DOUBLE) AS w FROM fx_interactions GROUP BY 1, 2)""",
+            """o AS (SELECT src, sum(w) AS ow FROM e GROUP BY src)""",
+            """p AS (SELECT e.src, e.dst, e.w / o.ow AS p FROM e JOIN o ON o.src = e.src)""",
+            """v AS (SELECT src AS id FROM e UNION SELECT dst FROM e)""",
+            """vd AS (SELECT v.id, o.src IS NULL AS dangling FROM v LEFT JOIN o ON o.src = v.id)""",
+            """nn AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM vd)""",
+            """r0 AS (SELECT id, dangling, 1.0 / (SELECT n FROM nn) AS rank FROM vd)"""]
+    for i in range(1, iterations + 1):
+        prev = f"r{i - 1}"
+        ctes.append(
+            f"""r{i} AS (SELECT r.id, r.dangling,
+  ((1.0 - {alpha}) / (SELECT n FROM nn) + {alpha} * (SELECT coalesce(sum(rank), 0) FROM {prev} WHERE dangling) / (SELECT n FROM nn))
+  + {alpha} * coalesce(c.s, 0) AS rank
+  FROM {prev} r LEFT JOIN (SELECT p.dst, sum(q.rank * p.p) AS s FROM p JOIN {prev} q ON q.id = p.src GROUP BY p.dst) c
+  ON c.dst = r.id)""")
+    return "WITH " + ",\n".join(ctes) + f"\nSELECT id, round(rank, 8) AS rank FROM r{iterations}"
+
+
+def _retweet_graph_ranks(spark, sf_dir, iterations=PAGERANK_ITERATIONS):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    e = gr.retweet_weights(inter)
+    v = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
+    return gr.pagerank(v, e, fixed_iterations=iterations)
+
+
+@register("g07_pagerank_15", pagerank_sql())
+def g07_pagerank_15(spark, sf_dir):
+    ranks = _retweet_graph_ranks(spark, sf_dir)
+    return ranks.select("id", F.round("rank", 8).alias("rank"))
+
+
+@register("g08_top_influencers", pagerank_sql().replace(
+    f"SELECT id, round(rank, 8) AS rank FROM r{PAGERANK_ITERATIONS}",
+    f""", top AS (SELECT id, rank FROM r{PAGERANK_ITERATIONS} ORDER BY rank DESC, id ASC LIMIT 3),
+u AS (SELECT user_id, username, followers_count FROM fx_users)
+SELECT t.id, round(t.rank, 8) AS rank, u.username, u.followers_count AS followers
+FROM top t LEFT JOIN u ON u.user_id = t.id"""))
+def g08_top_influencers(spark, sf_dir):
+    ranks = _retweet_graph_ranks(spark, sf_dir)
+    v = gr.vertex_attributes(interaction_edges(spark, sf_dir), "first")
+    top = gr.top_influencers(ranks, v, 3)
+    return top.select("id", F.round("rank", 8).alias("rank"), "username", "followers")
+
+
+@register("g07_pagerank_converged")
+def g07_pagerank_converged(spark, sf_dir):
+    """Convergence mode (tolerance N*1e-6, at most 100 steps); checked by unit tests."""
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    e = gr.retweet_weights(inter)
+    v = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
+    return gr.pagerank(v, e)
+
+
+@register("g17_snowball_2hops", f"""
+WITH e AS (SELECT DISTINCT source, target FROM fx_interactions),
+u AS (SELECT user_id, search_location AS target_location, followers_count, tweets_count, city FROM (
+  SELECT *, CASE WHEN {match_expr('location', 'search_location')} THEN search_location END AS city FROM fx_users) x),
+ok AS (SELECT user_id FROM u WHERE coalesce(city = target_location AND followers_count > 100 AND tweets_count > 0, false)),
+h0 AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS user_id FROM supplier),
+h1 AS (SELECT DISTINCT e.source AS user_id FROM e JOIN h0 ON e.target = h0.user_id
+  WHERE e.source NOT IN (SELECT user_id FROM h0) AND e.source IN (SELECT user_id FROM ok)),
+h2 AS (SELECT DISTINCT e.source AS user_id FROM e JOIN h1 ON e.target = h1.user_id
+  WHERE e.source NOT IN (SELECT user_id FROM h0) AND e.source NOT IN (SELECT user_id FROM h1)
+  AND e.source IN (SELECT user_id FROM ok))
+SELECT user_id, 0 AS hop FROM h0 UNION ALL SELECT user_id, 1 FROM h1 UNION ALL SELECT user_id, 2 FROM h2""")
+def g17_snowball_2hops(spark, sf_dir):
+    """Seeds = supplier accounts; expand twice through interaction edges with the root rule."""
+    from skein.operators.network import normalize_net_user
+    users, inter, supplier = tables(spark, sf_dir, "fx_users", "fx_interactions", "supplier")
+    seeds = supplier.select(F.col("s_suppkey").cast("string").alias("user_id"))
+    people = normalize_net_user(users).select("user_id", "target_location", "followers_count",
+                                              "tweets_count", "city")
+    return gr.snowball(inter.select("source", "target").distinct(), people, seeds, hops=2) \
+        .select("user_id", F.col("hop").cast("int").alias("hop"))
