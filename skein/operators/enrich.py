@@ -16,7 +16,8 @@ from skein.functions.text import date10
 
 
 def attach_tweets(users: DataFrame, tweets: DataFrame, user_key: str = "user_id",
-                  author: str = "author_id", text: str = "tweet_text", order: str = "ord") -> DataFrame:
+                  author: str = "author_id", text: str = "tweet_text", order: str = "ord",
+                  extra: tuple[str, ...] = ("tweet_id",)) -> DataFrame:
     """J1 in long form: every user with each of its posts appended after its own.
 
     One row per (user, post); a user without posts keeps one row with null text.
@@ -27,9 +28,11 @@ def attach_tweets(users: DataFrame, tweets: DataFrame, user_key: str = "user_id"
     own = None
     if "tweets" in users.columns:
         own = users.select(F.col(user_key), F.posexplode("tweets").alias("pos", text)) \
-            .select(user_key, F.lit(0).alias("src"), F.col("pos").cast("bigint").alias("seq"), text)
+            .select(user_key, F.lit(0).alias("src"), F.col("pos").cast("bigint").alias("seq"), text,
+                    *[F.lit(None).cast("string").alias(c) for c in extra if c in tweets.columns])
     authored = tweets.select(F.col(author).alias(user_key), F.lit(1).alias("src"),
-                             F.col(order).cast("bigint").alias("seq"), F.col(text))
+                             F.col(order).cast("bigint").alias("seq"), F.col(text),
+                             *[F.col(c) for c in extra if c in tweets.columns])
     posts = authored if own is None else own.unionByName(authored)
     base = users.drop("tweets") if "tweets" in users.columns else users
     return base.join(posts, user_key, "left")
