@@ -43,7 +43,7 @@ FROM documents""",
     # actor -> target interactions; ord/pos give arrival order
     "fx_interactions": """
 SELECT CAST(o.o_custkey AS STRING) AS source, CAST(l.l_suppkey AS STRING) AS target,
-  CAST(l.l_partkey AS STRING) AS tweet_id, l.l_orderkey AS ord, l.l_linenumber AS pos
+  CAST(l.l_partkey AS STRING) AS tweet_id, l.l_orderkey AS ord, l.l_linenumber AS pos, o.o_orderdate AS ts
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     # curated lists
     "fx_lists": """
