@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skein.functions.predicates import location_match, with_city_targets
 from skein.operators import network as nw
 from skein.operators import enrich as en
 from skein.plans.registry import register, tables
@@ -14,9 +15,11 @@ def net_tables(spark, sf_dir):
     """The four flat network tables derived from the fixture views."""
     users, tweets, rts, inter = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_net_retweeters",
                                        "fx_interactions")
-    roots = users.select("user_id", "username", F.col("location").alias("profile_location"),
-                         F.col("search_location").alias("target_location"), "followers_count",
-                         "following_count", "tweets_count", "ord")
+    t = with_city_targets(users, "search_location", out="__t")
+    roots = t.select("user_id", "username", F.col("location").alias("profile_location"),
+                     F.col("search_location").alias("target_location"), "followers_count",
+                     "following_count", "tweets_count", "ord",
+                     F.when(location_match("location", "__t"), F.col("search_location")).alias("city"))
     root_tweets = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "created_on",
                                 "retweet_count", "ord")
     attrs = users.select("user_id", "username", F.col("location").alias("profile_location"),

@@ -36,7 +36,8 @@ def words_expr(col: str) -> str:
 # Flat network tables over the fixture views (same shapes as skein.plans.q_network.net_tables).
 NET_CTES = """
 net_roots AS (SELECT user_id, username, location AS profile_location, search_location AS target_location,
-  followers_count, following_count, tweets_count, ord FROM fx_users),
+  followers_count, following_count, tweets_count, ord,
+  CASE WHEN {match} THEN search_location END AS city FROM fx_users),
 net_tweets AS (SELECT author_id AS root_id, tweet_id, tweet_text, created_on, retweet_count, ord FROM fx_tweets),
 net_rt AS (SELECT r.root_id, r.tweet_id, r.user_id, u.username, u.location AS profile_location,
   u.followers_count, u.following_count, r.ord, r.pos
@@ -44,7 +45,7 @@ net_rt AS (SELECT r.root_id, r.tweet_id, r.user_id, u.username, u.location AS pr
 net_fol AS (SELECT i.target AS root_id, i.source AS user_id, u.username, u.location AS profile_location,
   rt.search_location AS target_location, u.followers_count, u.following_count, i.ord, i.pos
   FROM fx_interactions i LEFT JOIN fx_users u ON u.user_id = i.source LEFT JOIN fx_users rt ON rt.user_id = i.target)
-"""
+""".replace("{match}", match_expr("location", "search_location"))
 
 # Interaction edges with both endpoints' attributes.
 EDGE_CTE = """
