@@ -95,7 +95,10 @@ def id_list(c: ColumnOrName, sep: str = ";") -> Column:
 
 
 def id_list_append(c: ColumnOrName, new_id: ColumnOrName, sep: str = ";") -> Column:
-    return F.array_join(F.array_union(id_list(c, sep), F.array(_c(new_id))), sep)
+    """Append ``new_id`` unless it is already listed (the list is kept as is otherwise)."""
+    ids = id_list(c, sep)
+    return F.when(F.array_contains(ids, _c(new_id)), F.array_join(ids, sep)).otherwise(
+        F.array_join(F.concat(ids, F.array(_c(new_id))), sep))
 
 
 def id_list_contains(c: ColumnOrName, an_id: ColumnOrName, sep: str = ";") -> Column:
