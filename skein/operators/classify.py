@@ -47,8 +47,10 @@ def keyword_scores(texts: DataFrame, key: str, text: str, labels: list[str] = di
 
     ``texts`` holds any number of text rows per key (description, posts).
     """
+    from skein.session import spread
     kw = keywords or DEFAULT_KEYWORDS
-    toks = words(F.coalesce(F.col(text), F.lit("")))
+    texts = spread(texts)
+    toks = F.col("__w")
 
     def hits(ks: list[str]) -> Column:
         if not ks:
@@ -56,7 +58,8 @@ def keyword_scores(texts: DataFrame, key: str, text: str, labels: list[str] = di
         arr = dims.lit_array(ks)
         return F.size(F.filter(toks, lambda w: F.array_contains(arr, w)))
 
-    per_row = texts.select(F.col(key), *[hits(kw.get(lab, [])).alias(f"__s{i}") for i, lab in enumerate(labels)])
+    tokenised = texts.select(F.col(key), words(F.coalesce(F.col(text), F.lit(""))).alias("__w"))
+    per_row = tokenised.select(F.col(key), *[hits(kw.get(lab, [])).alias(f"__s{i}") for i, lab in enumerate(labels)])
     agg = per_row.groupBy(key).agg(*[F.sum(f"__s{i}").cast("double").alias(f"__s{i}") for i in range(len(labels))])
     scores = [F.col(f"__s{i}") if lab != "other" else F.lit(OTHER_BASELINE) for i, lab in enumerate(labels)]
     return agg.select(key, F.array(*scores).alias("scores"))

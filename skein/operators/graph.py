@@ -98,30 +98,44 @@ def _normalised_edges(edges: DataFrame, partitions: int) -> DataFrame:
         .repartition(partitions, "src")
 
 
-def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
+def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
              tol: float = 1.0e-6, fixed_iterations: int | None = None,
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, checkpoint_every: int = 5) -> DataFrame:
     """Weighted PageRank with the usual defaults.
 
     alpha 0.85, start 1/N, dangling mass spread uniformly, stop when the L1
     change < N*tol; error if not converged after ``max_iter``. With
     ``fixed_iterations`` exactly that many steps run (oracle mode).
-    ``vertices`` holds ``id``; ``edges`` holds ``src, dst, weight``.
+    ``edges`` holds ``src, dst, weight``; ``vertices`` (``id``) may add isolated
+    vertices, and defaults to the edge endpoints.
+
+    Per step one job runs: it joins the cached, source-partitioned edge table
+    with the ranks (co-partitioned, no shuffle of the edges), sums the
+    contributions per destination (partial aggregation absorbs hot
+    destinations), and folds the L1 change and the dangling mass of the new
+    ranks into one scalar aggregate. Every ``checkpoint_every`` steps the ranks
+    are written to the reliable checkpoint folder, so a lost executor replays at
+    most that many steps.
     """
-    spark = vertices.sparkSession
+    spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     e = _normalised_edges(edges, parts).checkpoint(eager=True)
     has_out = e.select(F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
-    v = vertices.select("id").distinct().join(has_out, "id", "left") \
+    ends = e.select(F.col("src").alias("id")).unionAll(e.select(F.col("dst").alias("id")))
+    if vertices is not None:
+        ends = ends.unionAll(vertices.select("id"))
+    v = ends.distinct().join(has_out, "id", "left") \
         .select("id", F.coalesce("__has_out", F.lit(False)).alias("has_out")) \
         .repartition(parts, "id").checkpoint(eager=True)
-    n = v.count()
+    first = v.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(~F.col("has_out"), 1).otherwise(0)).alias("d")).first()
+    n = first["n"]
     if n == 0:
         return v.select("id", F.lit(None).cast("double").alias("rank"))
     ranks = v.select("id", "has_out", F.lit(1.0 / n).alias("rank"))
-    dangling = ranks.agg(F.sum(F.when(~F.col("has_out"), F.col("rank")))).first()[0] or 0.0
+    dangling = (first["d"] or 0) / n
     steps = fixed_iterations if fixed_iterations is not None else max_iter
+    previous = None
     for i in range(steps):
         contrib = e.join(ranks.select(F.col("id").alias("src"), "rank"), "src") \
             .groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
@@ -129,9 +143,15 @@ def pagerank(vertices: DataFrame, edges: DataFrame, alpha: float = 0.85, max_ite
         new = ranks.join(contrib, ranks["id"] == contrib["dst"], "left").select(
             "id", "has_out", F.col("rank").alias("__prev"),
             (F.lit(base) + F.lit(alpha) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank"))
-        new = new.repartition(parts, "id").checkpoint(eager=True)
+        if (i + 1) % checkpoint_every == 0:
+            new = new.checkpoint(eager=True)
+        else:
+            new = new.persist()
         stats = new.agg(F.sum(F.abs(F.col("rank") - F.col("__prev"))).alias("err"),
                         F.sum(F.when(~F.col("has_out"), F.col("rank"))).alias("dangling")).first()
+        if previous is not None:
+            previous.unpersist()
+        previous = new
         ranks = new.drop("__prev")
         dangling = stats["dangling"] or 0.0
         if fixed_iterations is None and stats["err"] < n * tol:

@@ -114,9 +114,7 @@ def pagerank_sql(iterations: int = PAGERANK_ITERATIONS, alpha: float = 0.85) ->
 
 def _retweet_graph_ranks(spark, sf_dir, iterations=PAGERANK_ITERATIONS):
     (inter,) = tables(spark, sf_dir, "fx_interactions")
-    e = gr.retweet_weights(inter)
-    v = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
-    return gr.pagerank(v, e, fixed_iterations=iterations)
+    return gr.pagerank(None, gr.retweet_weights(inter), fixed_iterations=iterations)
 
 
 @register("g07_pagerank_15", pagerank_sql())
@@ -142,9 +140,7 @@ def g08_top_influencers(spark, sf_dir):
 def g07_pagerank_converged(spark, sf_dir):
     """Convergence mode (tolerance N*1e-6, at most 100 steps); checked by unit tests."""
     (inter,) = tables(spark, sf_dir, "fx_interactions")
-    e = gr.retweet_weights(inter)
-    v = e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id"))).distinct()
-    return gr.pagerank(v, e)
+    return gr.pagerank(None, gr.retweet_weights(inter))
 
 
 @register("g17_snowball_2hops", f"""

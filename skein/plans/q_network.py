@@ -11,8 +11,13 @@ from skein.plans.registry import register, tables
 from skein.plans.sqlbits import NET_CTES, match_expr
 
 
-def net_tables(spark, sf_dir):
-    """The four flat network tables derived from the fixture views."""
+def net_tables(spark, sf_dir, materialize: bool = True):
+    """The four flat network tables derived from the fixture views.
+
+    Like the pipeline's explode step, the tables are materialised once (reliable
+    checkpoint in the session's checkpoint folder) so that every consumer in the
+    plan reads them instead of re-deriving them from the base tables.
+    """
     users, tweets, rts, inter = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_net_retweeters",
                                        "fx_interactions")
     t = with_city_targets(users, "search_location", out="__t")
@@ -32,6 +37,10 @@ def net_tables(spark, sf_dir):
         .join(attrs, "user_id", "left").join(root_city, "root_id", "left") \
         .select("root_id", "user_id", "username", "profile_location", "target_location", "followers_count",
                 "following_count", "ord", "pos")
+    if materialize:
+        from skein.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(spark)
+        return tuple(t.checkpoint(eager=True) for t in (roots, root_tweets, retweeters, followers))
     return roots, root_tweets, retweeters, followers
 
 

@@ -72,3 +72,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables next to the reliable checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{name}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster only when it arrives in too few partitions.
+
+    A large input already has one partition per file split, so nothing is added
+    there; a single-split input (one small file) would otherwise run CPU-heavy
+    per-row work (tokenising whole texts) in a single task.
+    """
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
