@@ -1 +1,134 @@
-"""Queries (filled in below)."""
+"""Queries for the queue steps in batch form and list expansion."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from skein.functions.predicates import list_relevant
+from skein.operators.network import normalize_net_user
+from skein.plans.q_network import net_tables
+from skein.plans.registry import register, tables
+from skein.plans.sqlbits import NET_CTES, in_list, match_expr, words_expr
+from skein.sources.readers import list_members, list_memberships
+from skein.streaming import queues as qu
+
+NOW = "2025-02-01T00:00:00+00:00"
+
+
+def _vertex_store(spark, sf_dir):
+    """Accounts already in the graph: those with balances above 9000."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    return users.filter(F.col("followers_count") > 9000).select("user_id")
+
+
+_ROOTS_SQL = f"""
+u AS (SELECT user_id, search_location AS target_location, followers_count, tweets_count,
+  CASE WHEN {match_expr('location', 'search_location')} THEN search_location END AS city FROM fx_users),
+roots AS (SELECT * FROM u WHERE user_id NOT IN (SELECT user_id FROM fx_users WHERE followers_count > 9000)
+  AND coalesce(city = target_location AND followers_count > 100 AND tweets_count > 0, false))"""
+
+
+@register("q01_dispatch_roots", f"""
+WITH {_ROOTS_SQL}
+SELECT user_id, target_location AS location, 'UserTweets' AS topic FROM roots
+UNION ALL SELECT user_id, target_location, 'UserFollowers' FROM roots""")
+def q01_dispatch_roots(spark, sf_dir):
+    """New qualifying accounts (not yet vertices) -> one message per queue."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    out = qu.dispatch_roots(normalize_net_user(users), _vertex_store(spark, sf_dir))
+    return out["messages"]
+
+
+@register("q02_dispatch_tweets", f"""
+WITH {_ROOTS_SQL}
+SELECT t.tweet_id, t.author_id AS target_user_id, r.target_location AS location
+FROM fx_tweets t JOIN roots r ON r.user_id = t.author_id
+WHERE coalesce(t.tweet_text NOT LIKE 'RT @%', true) AND t.retweet_count > 0""")
+def q02_dispatch_tweets(spark, sf_dir):
+    """Posts of dispatched roots: originals with reposts are queued for their retweeters."""
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    roots = qu.dispatch_roots(normalize_net_user(users), _vertex_store(spark, sf_dir))["roots"]
+    t = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "retweet_count", "created_on")
+    return qu.dispatch_tweets(t, roots, NOW)["messages"]
+
+
+@register("q02_retweeter_status", f"""
+WITH {_ROOTS_SQL},
+per AS (SELECT author_id, max(created_on) AS last_tweeted_at,
+  sum(CASE WHEN coalesce(tweet_text NOT LIKE 'RT @%', true) AND retweet_count > 0 THEN 1 ELSE 0 END) AS nq
+  FROM fx_tweets GROUP BY author_id)
+SELECT r.user_id, CASE WHEN coalesce(p.nq, 0) > 0 THEN 'queued' ELSE 'completed' END AS retweeter_status,
+  CASE WHEN coalesce(p.nq, 0) > 0 THEN NULL ELSE '{NOW}' END AS retweeter_last_processed, p.last_tweeted_at
+FROM roots r LEFT JOIN per p ON p.author_id = r.user_id""")
+def q02_retweeter_status(spark, sf_dir):
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    roots = qu.dispatch_roots(normalize_net_user(users), _vertex_store(spark, sf_dir))["roots"]
+    t = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "retweet_count", "created_on")
+    return qu.dispatch_tweets(t, roots, NOW)["status"]
+
+
+@register("q05_retweeter_completion", f"""
+WITH {NET_CTES},
+expected AS (SELECT DISTINCT tweet_id, root_id AS target_user_id FROM net_tweets
+  WHERE coalesce(tweet_text NOT LIKE 'RT @%', true) AND retweet_count > 0),
+done AS (SELECT DISTINCT r.root_id AS target_user_id, r.tweet_id FROM net_rt r),
+e AS (SELECT target_user_id, count(DISTINCT tweet_id) AS n_expected FROM expected GROUP BY 1),
+d AS (SELECT d.target_user_id, count(*) AS n_done FROM done d JOIN expected x
+  ON x.tweet_id = d.tweet_id AND x.target_user_id = d.target_user_id GROUP BY 1)
+SELECT e.target_user_id, e.n_expected, coalesce(d.n_done, 0) AS n_done,
+  CASE WHEN coalesce(d.n_done, 0) >= e.n_expected THEN 'completed' ELSE 'pending' END AS retweeter_status
+FROM e LEFT JOIN d ON d.target_user_id = e.target_user_id""")
+def q05_retweeter_completion(spark, sf_dir):
+    """Per root: queued posts vs posts whose retweeters were collected."""
+    _, root_tweets, retweeters, _ = net_tables(spark, sf_dir)
+    expected = root_tweets.filter(F.col("retweet_count") > 0).filter(
+        ~F.coalesce(F.startswith("tweet_text", F.lit("RT @")), F.lit(False))) \
+        .select("tweet_id", F.col("root_id").alias("target_user_id"))
+    processed = retweeters.select(F.col("root_id").alias("target_user_id"), "tweet_id") \
+        .join(expected, ["target_user_id", "tweet_id"], "left_semi")
+    return qu.retweeter_completion(expected, processed)
+
+
+@register("q03_follower_status", f"""
+WITH {NET_CTES},
+n AS (SELECT root_id, count(*) AS n FROM net_fol GROUP BY root_id)
+SELECT r.user_id, CASE WHEN coalesce(n.n, 0) > 0 THEN 'completed' ELSE 'failed' END AS follower_status
+FROM net_roots r LEFT JOIN n ON n.root_id = r.user_id""")
+def q03_follower_status(spark, sf_dir):
+    """Processing follower pages: roots with followers complete, the rest fail."""
+    roots, _, _, followers = net_tables(spark, sf_dir)
+    fol = followers.withColumn("tweets_count", F.lit(None).cast("bigint")).withColumn("city", F.lit(None).cast("string"))
+    out = qu.process_followers(roots, fol, roots.select("user_id", "username", "profile_location", "target_location",
+                                                        "followers_count", "tweets_count", "city"))
+    return out["status"]
+
+
+@register("s14_list_memberships", """
+SELECT u.user_id, l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id""")
+def s14_list_memberships(spark, sf_dir):
+    users, lists = tables(spark, sf_dir, "fx_users", "fx_lists")
+    return list_memberships(users, lists.select("user_id", "list_id"))
+
+
+@register("s13_list_members", """
+SELECT i.tweet_id AS list_id, i.source AS user_id FROM fx_interactions i
+WHERE i.tweet_id IN (SELECT list_id FROM fx_lists WHERE list_id IS NOT NULL)""")
+def s13_list_members(spark, sf_dir):
+    """Members of each list (list membership records = interactions on the list's key)."""
+    lists, inter = tables(spark, sf_dir, "fx_lists", "fx_interactions")
+    members = inter.select(F.col("tweet_id").alias("list_id"), F.col("source").alias("user_id"))
+    return list_members(lists, members)
+
+
+@register("l03_list_expansion", f"""
+WITH rel AS (SELECT DISTINCT l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id
+  WHERE coalesce(len(list_filter({words_expr('l.name')}, lambda w: w IN {in_list(__import__('skein.functions.dims', fromlist=['x']).LIST_KEYWORDS)})) > 0, false)
+     OR coalesce(len(list_filter({words_expr('l.description')}, lambda w: w IN {in_list(__import__('skein.functions.dims', fromlist=['x']).LIST_KEYWORDS)})) > 0, false))
+SELECT DISTINCT i.source AS user_id FROM fx_interactions i JOIN rel ON rel.list_id = i.tweet_id""")
+def l03_list_expansion(spark, sf_dir):
+    """Job: users' lists (S14) -> relevant lists (F7) -> their members (S13) = expanded users."""
+    users, lists, inter = tables(spark, sf_dir, "fx_users", "fx_lists", "fx_interactions")
+    mine = list_memberships(users, lists.select("user_id", "list_id", "name", "description"))
+    rel = mine.filter(list_relevant("name", "description")).select("list_id")
+    members = inter.select(F.col("tweet_id").alias("list_id"), F.col("source").alias("user_id"))
+    return list_members(rel, members).select("user_id").distinct()
