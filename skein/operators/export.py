@@ -71,7 +71,7 @@ def export_typed(df: DataFrame) -> DataFrame:
         elif name == "~label":
             cols[name] = F.lit("User")
         elif base in _INT:
-            v = F.col(base).cast("bigint")
+            v = (F.col(base) if base in df.columns else F.lit(None)).cast("bigint")
             cols[name] = F.when(v.isNull() | (v == 0), F.lit(-99)).otherwise(v)
         elif base in _DATES or base in ("created_at", "last_tweeted_at"):
             v = F.col(base) if base in df.columns else F.lit(None)
@@ -138,19 +138,24 @@ def typed_tables(roots: DataFrame, root_tweets: DataFrame, retweeters: DataFrame
     vroots = valid.select(F.col("user_id").alias("root_id"), F.col("ord").alias("__root_ord"),
                           F.col("target_location").alias("__root_city"))
     last_at = root_tweets.groupBy(F.col("root_id").alias("user_id")).agg(F.max("created_on").alias("last_tweeted_at"))
-    root_rows = valid.join(last_at, "user_id", "left").select(
+    root_rows = valid.drop("last_tweeted_at").join(last_at, "user_id", "left").select(
         "*", F.col("ord").alias("__o1"), F.lit(0).alias("__sec"), F.lit(0).cast("bigint").alias("__o2"),
         F.lit(0).cast("bigint").alias("__o3"))
 
     def actors(df: DataFrame, sec: int, o2: str, o3: str) -> DataFrame:
+        """Retweeter/follower records; their own city/target fields are used when
+        landed, otherwise derived from the root's city (collection sets them so)."""
         j = df.join(vroots, "root_id")
         j = with_city_targets(j, "__root_city", None, out="__t")
-        return j.select(
-            "user_id", "username", "profile_location", F.col("__root_city").alias("target_location"),
-            "followers_count", "following_count",
-            F.when(location_match("profile_location", "__t"), F.col("__root_city")).alias("city"),
-            F.col("__root_ord").alias("__o1"), F.lit(sec).alias("__sec"),
-            F.col(o2).cast("bigint").alias("__o2"), F.col(o3).cast("bigint").alias("__o3"))
+        own = [c for c in df.columns if c not in ("root_id", "tweet_id", "ord", "pos", "__tw_ord",
+                                                   "city", "target_location", "last_tweeted_at")]
+        tl = F.coalesce(F.col("target_location"), F.col("__root_city")) if "target_location" in df.columns \
+            else F.col("__root_city")
+        derived = F.when(location_match("profile_location", "__t"), F.col("__root_city"))
+        city = F.coalesce(F.col("city"), derived) if "city" in df.columns else derived
+        return j.select(*own, tl.alias("target_location"), city.alias("city"),
+                        F.col("__root_ord").alias("__o1"), F.lit(sec).alias("__sec"),
+                        F.col(o2).cast("bigint").alias("__o2"), F.col(o3).cast("bigint").alias("__o3"))
 
     tw_ord = root_tweets.select("root_id", "tweet_id", F.col("ord").alias("__tw_ord"))
     rts = retweeters.join(tw_ord, ["root_id", "tweet_id"], "left")

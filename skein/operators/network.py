@@ -38,12 +38,10 @@ def explode_roots(net_root: DataFrame) -> dict[str, DataFrame]:
                             "t.retweet_count", "ord")
     retweeters = tw.select("root_id", F.col("t.tweet_id").alias("tweet_id"), F.col("ord"),
                            F.posexplode("t.retweeters").alias("pos", "r")) \
-        .select("root_id", "tweet_id", "r.user_id", "r.username", "r.profile_location", "r.followers_count",
-                "r.following_count", "ord", "pos")
+        .select("root_id", "tweet_id", "r.*", "ord", "pos")
     followers = net_root.select(F.col("user_id").alias("root_id"), F.lit(0).cast("bigint").alias("ord"),
                                 F.posexplode("followers").alias("pos", "f")) \
-        .select("root_id", "f.user_id", "f.username", "f.profile_location", "f.target_location",
-                "f.followers_count", "f.following_count", "ord", "pos")
+        .select("root_id", "f.*", "ord", "pos")
     return {"roots": roots, "root_tweets": root_tweets, "retweeters": retweeters, "followers": followers}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skein.functions import dims
 from skein.functions.predicates import list_relevant
 from skein.operators.network import normalize_net_user
 from skein.plans.q_network import net_tables
@@ -122,8 +123,8 @@ def s13_list_members(spark, sf_dir):
 
 @register("l03_list_expansion", f"""
 WITH rel AS (SELECT DISTINCT l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id
-  WHERE coalesce(len(list_filter({words_expr('l.name')}, lambda w: w IN {in_list(__import__('skein.functions.dims', fromlist=['x']).LIST_KEYWORDS)})) > 0, false)
-     OR coalesce(len(list_filter({words_expr('l.description')}, lambda w: w IN {in_list(__import__('skein.functions.dims', fromlist=['x']).LIST_KEYWORDS)})) > 0, false))
+  WHERE coalesce(len(list_filter({words_expr('l.name')}, lambda w: w IN {in_list(dims.LIST_KEYWORDS)})) > 0, false)
+     OR coalesce(len(list_filter({words_expr('l.description')}, lambda w: w IN {in_list(dims.LIST_KEYWORDS)})) > 0, false))
 SELECT DISTINCT i.source AS user_id FROM fx_interactions i JOIN rel ON rel.list_id = i.tweet_id""")
 def l03_list_expansion(spark, sf_dir):
     """Job: users' lists (S14) -> relevant lists (F7) -> their members (S13) = expanded users."""
