@@ -77,6 +77,11 @@ def squeeze_query(c: ColumnOrName) -> Column:
     return F.replace(out, F.lit("\t"), F.lit(" "))
 
 
+# The list filter's cleaning is lower-casing only.
+def lower_clean(c: ColumnOrName) -> Column:
+    return F.lower(_c(c))
+
+
 # Lower, strip, split on whitespace runs (Python str.split()).
 def words(c: ColumnOrName) -> Column:
     stripped = F.regexp_replace(F.lower(_c(c)), r"^\s+|\s+$", "")

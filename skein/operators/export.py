@@ -124,9 +124,19 @@ def export_graph_simple(edges: DataFrame, kind: str) -> tuple[DataFrame, DataFra
     return v, e.select("~id", "~from", "~to", "~label", "weight:Int", "tweet_ids")
 
 
+def conform_to_header(records: DataFrame, json_col: str, header: list[str]) -> tuple[DataFrame, DataFrame]:
+    """export rows whose field set differs from the header are rejected (kept
+    in a reject table instead of stopping the run)."""
+    keys = F.array_sort(F.json_object_keys(F.col(json_col)))
+    want = F.array_sort(F.array(*[F.lit(h) for h in header]))
+    ok = F.coalesce(keys == want, F.lit(False))
+    return records.filter(ok), records.filter(~ok)
+
+
 def typed_tables(roots: DataFrame, root_tweets: DataFrame, retweeters: DataFrame,
                  followers: DataFrame) -> dict[str, DataFrame]:
-    """K9 (G12-G15, D7, F14): user vertices, BELONGS_TO, RETWEETED and FOLLOWS edges.
+    """K9 (G12 BELONGS_TO, G13 typed vertices, G14 typed retweets, G15 typed follows,
+    D7, F14): user vertices, BELONGS_TO, RETWEETED and FOLLOWS edges.
 
     Only valid roots are traversed (id present, first time, city = target city).
     A user's vertex is written once, from its first occurrence in traversal order

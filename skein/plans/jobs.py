@@ -77,3 +77,70 @@ def pending_texts(roots: DataFrame, root_tweets: DataFrame) -> DataFrame:
         F.col("root_id").alias("user_id"), F.concat(F.lit("tweet_"), "tweet_id").alias("name"),
         F.col("tweet_text").alias("value"))
     return d.unionByName(t)
+
+
+def run_matrix(users: DataFrame, tweets: DataFrame, previous: DataFrame, total_budget: int,
+               skip: list[str] | None = None) -> dict[str, DataFrame]:
+    """L2: the city x account-type run as one job: city and type are columns, the
+    request budget is shared per type (W9), a type can be skipped (F16), and each
+    slice is classified (L1) and tabulated (L5)."""
+    from skein.functions.predicates import skip_types
+    u = users.filter(skip_types("search_account_type", skip or []))
+    budgets = an.even_split(u.select("search_account_type").distinct(), total_budget, "search_account_type")
+    labelled = cl.classify_incremental(u, tweets, previous)
+    table = tabulate_city(u.drop("content_labels", "content_is_relevant")
+                          .join(labelled, "user_id", "left"))
+    return {"budgets": budgets, "classified": labelled, "table": table}
+
+
+def reclassify(users: DataFrame, tweets: DataFrame) -> DataFrame:
+    """L4: reclassify normal / expanded / manually added users (M4) and tabulate."""
+    labelled = cl.reclassify_all(users, tweets)
+    return tabulate_city(users.drop("content_labels", "content_is_relevant").join(labelled, "user_id", "left"))
+
+
+def master_dataset(distinct_users: list[DataFrame], expanded_users: list[DataFrame]) -> DataFrame:
+    """Union each file family (S7/U1), then distinct ++ expanded distinct."""
+    return dd.master_dataset(dd.union_files(distinct_users), dd.union_files(expanded_users))
+
+
+def extra_tweets(tweets: DataFrame, users: DataFrame) -> DataFrame:
+    """The most recent min(tweet_count, 5) posts per user (W4), deduped as records (K1 semantics)."""
+    from skein.operators.enrich import recent_per_user
+    return dd.dedupe_whole(recent_per_user(tweets, users))
+
+
+def root_network(users: DataFrame, processed: DataFrame, pages: dict[str, list[DataFrame]]) -> dict[str, DataFrame]:
+    """Matched city users (F11) not processed yet (J5) -> landed pages of their
+    posts / followers / retweeters merged (S11) -> vertex and post shapes (P5/P6)."""
+    from skein.operators.enrich import unprocessed
+    from skein.sources.readers import land_pages
+    todo = unprocessed(an.matched_city_users(users), processed)
+    out = {"todo": todo}
+    for kind, key in (("tweets", "tweet_id"), ("followers", "user_id"), ("retweeters", "user_id")):
+        if pages.get(kind):
+            out[kind] = land_pages(pages[kind], key)
+    return out
+
+
+def attribute_backfill(followers: DataFrame, cache: DataFrame) -> DataFrame:
+    """Nested followers/retweeters replaced by cached attributes (J9), statuses reset."""
+    from skein.operators.enrich import with_cached_attributes
+    return nm.reset_status(with_cached_attributes(followers, cache))
+
+
+def user_catalogue(roots, retweeters, followers, stored) -> DataFrame:
+    """Every user seen in the network once, minus those stored already."""
+    from skein.operators.enrich import user_catalog
+    return user_catalog(roots, retweeters, followers, stored)
+
+
+def queue_workers(spark, landing: str, store: DataFrame, out: str, checkpoint: str) -> None:
+    """The dispatch worker as a stream (Q1 over S9, Q9 sink, Q7 at-least-once
+    through the streaming checkpoint), run until the landed messages are consumed."""
+    from skein.streaming import queues as qu
+    ddl = ("user_id STRING, username STRING, description STRING, profile_location STRING, target_location STRING, "
+           "followers_count BIGINT, tweets_count BIGINT, city STRING, msg_id STRING, sent_at STRING")
+    stream = qu.read_queue(spark, landing, ddl, watermark="1 hour")
+    msgs = qu.dispatch_roots(stream, store)["messages"]
+    qu.run_available(qu.write_messages(msgs, out, checkpoint))
