@@ -90,12 +90,33 @@ def render_attributes(deg: DataFrame, edges: DataFrame, label_min_degree: int =
     return nodes, widths
 
 
-def _normalised_edges(edges: DataFrame, partitions: int) -> DataFrame:
-    """Right-stochastic weights: w / sum of out-weights of the source."""
+def _normalised_edges(edges: DataFrame, parts: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Right-stochastic weights (w / out-weight of the source), salted against hot sources.
+
+    A source whose out-degree exceeds the average edges per task gets
+    ``salt = ceil(degree / per_task)`` buckets (at most ``parts``); its edges are
+    spread over the buckets by destination hash. Edges are partitioned by
+    (src, bucket) once, so no task holds all edges of a celebrity source and the
+    per-iteration join never reshuffles the edge table.
+    When no source is hot, edges are simply partitioned by src (bucket 0).
+    Returns (edges: src, dst, p, bucket; sources: src, __out, salt; salted?).
+    """
     e = edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w"))
-    out = e.groupBy("src").agg(F.sum("w").alias("__out"))
-    return e.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p")) \
-        .repartition(partitions, "src")
+    out = e.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__deg")).persist()
+    agg = out.agg(F.sum("__deg").alias("t"), F.max("__deg").alias("m")).first()
+    total, top = agg["t"] or 0, agg["m"] or 0
+    per_task = max(1, -(-total // parts))
+    if top <= per_task:
+        norm = e.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p"),
+                                          F.lit(0).alias("bucket"))
+        return norm.repartition(parts, "src"), out.select("src", "__out", F.lit(1).alias("salt")), False
+    src = out.select("src", "__out", F.least(F.lit(parts), F.ceil(F.col("__deg") / F.lit(per_task)))
+                     .cast("int").alias("salt"))
+    norm = e.join(src, "src").select(
+        "src", "dst", (F.col("w") / F.col("__out")).alias("p"),
+        F.when(F.col("salt") > 1, F.pmod(F.xxhash64("dst"), F.col("salt"))).otherwise(F.lit(0)).cast("int")
+        .alias("bucket"))
+    return norm.repartition(parts, "src", "bucket"), src, True
 
 
 def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
@@ -109,44 +130,54 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
     ``edges`` holds ``src, dst, weight``; ``vertices`` (``id``) may add isolated
     vertices, and defaults to the edge endpoints.
 
-    Per step one job runs: it joins the cached, source-partitioned edge table
-    with the ranks (co-partitioned, no shuffle of the edges), sums the
-    contributions per destination (partial aggregation absorbs hot
-    destinations), and folds the L1 change and the dangling mass of the new
-    ranks into one scalar aggregate. Every ``checkpoint_every`` steps the ranks
-    are written to the reliable checkpoint folder, so a lost executor replays at
-    most that many steps.
+    Per step one job runs: ranks are replicated to the salt buckets of their
+    vertex (one row for ordinary vertices) and joined with the edge table, which
+    was partitioned by (src, bucket) and checkpointed once, so the edges are
+    never reshuffled; contributions are summed per destination (partial
+    aggregation absorbs hot destinations); the L1 change and the dangling mass
+    of the new ranks come from one scalar aggregate. Every ``checkpoint_every``
+    steps the ranks are written to the reliable checkpoint folder, so a lost
+    executor replays at most that many steps.
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = _normalised_edges(edges, parts).checkpoint(eager=True)
-    has_out = e.select(F.col("src").alias("id")).distinct().withColumn("__has_out", F.lit(True))
+    e_raw, srcs, salted = _normalised_edges(edges, parts)
+    # Reliable copy first (cuts lineage), then a cached copy whose hash
+    # partitioning the planner knows (a checkpoint read does not carry it).
+    e_keys = ["src", "bucket"] if salted else ["src"]
+    e = e_raw.checkpoint(eager=True).repartition(parts, *e_keys).persist()
+    srcs = srcs.checkpoint(eager=True)
     ends = e.select(F.col("src").alias("id")).unionAll(e.select(F.col("dst").alias("id")))
     if vertices is not None:
         ends = ends.unionAll(vertices.select("id"))
-    v = ends.distinct().join(has_out, "id", "left") \
-        .select("id", F.coalesce("__has_out", F.lit(False)).alias("has_out")) \
-        .repartition(parts, "id").checkpoint(eager=True)
+    salt = srcs.select(F.col("src").alias("id"), "salt")
+    v = ends.distinct().join(salt, "id", "left") \
+        .select("id", F.col("salt").isNotNull().alias("has_out"), F.coalesce("salt", F.lit(1)).alias("salt")) \
+        .checkpoint(eager=True).repartition(parts, "id").persist()
     first = v.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(~F.col("has_out"), 1).otherwise(0)).alias("d")).first()
     n = first["n"]
     if n == 0:
         return v.select("id", F.lit(None).cast("double").alias("rank"))
-    ranks = v.select("id", "has_out", F.lit(1.0 / n).alias("rank"))
+    ranks = v.select("id", "has_out", "salt", F.lit(1.0 / n).alias("rank"))
     dangling = (first["d"] or 0) / n
     steps = fixed_iterations if fixed_iterations is not None else max_iter
     previous = None
     for i in range(steps):
-        contrib = e.join(ranks.select(F.col("id").alias("src"), "rank"), "src") \
-            .groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
+        if salted:
+            rep = ranks.filter("has_out").select(
+                F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("salt") - 1)).alias("bucket"))
+            joined = e.join(rep.repartition(parts, "src", "bucket"), ["src", "bucket"])
+        else:  # ranks and edges are co-partitioned on the vertex id: the edges stay in place
+            joined = e.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+        contrib = joined.groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
         base = (1.0 - alpha) / n + alpha * dangling / n
         new = ranks.join(contrib, ranks["id"] == contrib["dst"], "left").select(
-            "id", "has_out", F.col("rank").alias("__prev"),
+            "id", "has_out", "salt", F.col("rank").alias("__prev"),
             (F.lit(base) + F.lit(alpha) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank"))
         if (i + 1) % checkpoint_every == 0:
             new = new.checkpoint(eager=True)
-        else:
-            new = new.persist()
+        new = new.repartition(parts, "id").persist()
         stats = new.agg(F.sum(F.abs(F.col("rank") - F.col("__prev"))).alias("err"),
                         F.sum(F.when(~F.col("has_out"), F.col("rank"))).alias("dangling")).first()
         if previous is not None:
