@@ -186,9 +186,12 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
         ranks = new.drop("__prev")
         dangling = stats["dangling"] or 0.0
         if fixed_iterations is None and stats["err"] < n * tol:
-            return ranks.select("id", "rank")
-    if fixed_iterations is None:
-        raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
+            break
+    else:
+        if fixed_iterations is None:
+            raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
+    e.unpersist()  # the result is cached; these only served the iterations
+    v.unpersist()
     return ranks.select("id", "rank")
 
 

@@ -88,3 +88,9 @@ def advance_status(vertices: DataFrame, updates: DataFrame, status_col: str, tim
         (F.when(ok, F.col("__s")).otherwise(F.col(c)) if c == status_col else
          F.when(ok, F.col("__t")).otherwise(F.col(c)) if c == time_col else F.col(c)).alias(c)
         for c in vertices.columns])
+
+
+def city_must_exist(vertices: DataFrame, city: str, key: str = "id", label: str = "label") -> None:
+    """stop before dispatching when the City vertex is missing (one ``isEmpty`` probe)."""
+    if vertices.filter((F.col(key) == city) & (F.col(label) == "City")).isEmpty():
+        raise ValueError(f"City vertex {city!r} does not exist")

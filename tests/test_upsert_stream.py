@@ -69,3 +69,11 @@ def test_dispatch_stream_equals_batch(spark, tmp_dir):
     # replaying the same landing folder with the same checkpoint adds nothing
     qu.run_available(qu.write_messages(msgs, out, f"{tmp_dir}/ckpt"))
     assert spark.read.json(out).count() == len(want)
+
+
+def test_city_must_exist(spark):
+    import pytest
+    v = spark.createDataFrame([("kolkata", "City"), ("1", "User")], "id STRING, label STRING")
+    up.city_must_exist(v, "kolkata")
+    with pytest.raises(ValueError):
+        up.city_must_exist(v, "delhi")
