@@ -11,12 +11,13 @@ from skein.plans.registry import register, tables
 from skein.plans.sqlbits import NET_CTES, match_expr
 
 
-def net_tables(spark, sf_dir, materialize: bool = True):
+def net_tables(spark, sf_dir, need: tuple[str, ...] = ("retweeters", "followers")):
     """The four flat network tables derived from the fixture views.
 
-    Like the pipeline's explode step, the tables are materialised once (reliable
-    checkpoint in the session's checkpoint folder) so that every consumer in the
-    plan reads them instead of re-deriving them from the base tables.
+    Like the pipeline's explode step, the large tables a query needs (``need``)
+    are materialised once (reliable checkpoint in the session's checkpoint folder)
+    so that every consumer in the plan reads them instead of re-deriving them from
+    the base tables; the small ones stay lazy projections.
     """
     users, tweets, rts, inter = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_net_retweeters",
                                        "fx_interactions")
@@ -37,10 +38,13 @@ def net_tables(spark, sf_dir, materialize: bool = True):
         .join(attrs, "user_id", "left").join(root_city, "root_id", "left") \
         .select("root_id", "user_id", "username", "profile_location", "target_location", "followers_count",
                 "following_count", "ord", "pos")
-    if materialize:
+    if need:
         from skein.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(spark)
-        return tuple(t.checkpoint(eager=True) for t in (roots, root_tweets, retweeters, followers))
+        if "retweeters" in need:
+            retweeters = retweeters.checkpoint(eager=True)
+        if "followers" in need:
+            followers = followers.checkpoint(eager=True)
     return roots, root_tweets, retweeters, followers
 
 
@@ -75,13 +79,13 @@ fol_edges AS (
 
 @register("g01_retweet_interactions", f"WITH {NET_CTES}, {_RT_EDGES_SQL} SELECT * FROM rt_edges")
 def g01_retweet_interactions(spark, sf_dir):
-    roots, root_tweets, retweeters, _ = net_tables(spark, sf_dir)
+    roots, root_tweets, retweeters, _ = net_tables(spark, sf_dir, need=('retweeters',))
     return nw.retweet_edges(roots, root_tweets, retweeters)
 
 
 @register("g01_follower_interactions", f"WITH {NET_CTES}, {_FOL_EDGES_SQL} SELECT * FROM fol_edges")
 def g01_follower_interactions(spark, sf_dir):
-    roots, _, _, followers = net_tables(spark, sf_dir)
+    roots, _, _, followers = net_tables(spark, sf_dir, need=('followers',))
     return nw.follower_edges(roots, followers)
 
 
@@ -94,7 +98,7 @@ LEFT JOIN net_roots c ON c.user_id = r.root_id
 WHERE {match_expr('r.profile_location', 'c.target_location', None)}""")
 def d08_all_matching_retweeters(spark, sf_dir):
     """Option ``all_retweeters``: every matching retweeter of an original yields an edge."""
-    roots, root_tweets, retweeters, _ = net_tables(spark, sf_dir)
+    roots, root_tweets, retweeters, _ = net_tables(spark, sf_dir, need=('retweeters',))
     return nw.retweet_edges(roots, root_tweets, retweeters, all_retweeters=True) \
         .select("source", "tweet_id", "target", "ord", "pos")
 
@@ -179,14 +183,14 @@ per AS (SELECT root_id, count(*) AS n, sum(CASE WHEN coalesce(tweet_text NOT LIK
 SELECT round(median(CAST(n_rt AS DOUBLE) / n), 2) AS median_rt_share,
   round(median(CAST(n - n_rt AS DOUBLE) / n), 2) AS median_original_share FROM per WHERE n > 0""")
 def a11_query_shares(spark, sf_dir):
-    _, root_tweets, _, _ = net_tables(spark, sf_dir)
+    _, root_tweets, _, _ = net_tables(spark, sf_dir, need=())
     return nw.query_shares(root_tweets)
 
 
 @register("a12_last_tweeted_at", f"""
 WITH {NET_CTES} SELECT root_id AS user_id, max(created_on) AS last_tweeted_at FROM net_tweets GROUP BY root_id""")
 def a12_last_tweeted_at(spark, sf_dir):
-    _, root_tweets, _, _ = net_tables(spark, sf_dir)
+    _, root_tweets, _, _ = net_tables(spark, sf_dir, need=())
     return nw.last_tweeted_at(root_tweets)
 
 
@@ -195,7 +199,7 @@ WITH {NET_CTES}, {_FOL_EDGES_SQL}
 SELECT r.user_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_edges FROM net_roots r
 LEFT JOIN (SELECT target, count(*) AS n FROM fol_edges GROUP BY target) c ON c.target = r.user_id""")
 def j07_count_city_edges(spark, sf_dir):
-    roots, _, _, followers = net_tables(spark, sf_dir)
+    roots, _, _, followers = net_tables(spark, sf_dir, need=('followers',))
     fe = nw.follower_edges(roots, followers)
     return en.count_city_edges(roots.select("user_id"), fe)
 

@@ -81,7 +81,7 @@ SELECT e.target_user_id, e.n_expected, coalesce(d.n_done, 0) AS n_done,
 FROM e LEFT JOIN d ON d.target_user_id = e.target_user_id""")
 def q05_retweeter_completion(spark, sf_dir):
     """Per root: queued posts vs posts whose retweeters were collected."""
-    _, root_tweets, retweeters, _ = net_tables(spark, sf_dir)
+    _, root_tweets, retweeters, _ = net_tables(spark, sf_dir, need=('retweeters',))
     expected = root_tweets.filter(F.col("retweet_count") > 0).filter(
         ~F.coalesce(F.startswith("tweet_text", F.lit("RT @")), F.lit(False))) \
         .select("tweet_id", F.col("root_id").alias("target_user_id"))
@@ -97,7 +97,7 @@ SELECT r.user_id, CASE WHEN coalesce(n.n, 0) > 0 THEN 'completed' ELSE 'failed'
 FROM net_roots r LEFT JOIN n ON n.root_id = r.user_id""")
 def q03_follower_status(spark, sf_dir):
     """Processing follower pages: roots with followers complete, the rest fail."""
-    roots, _, _, followers = net_tables(spark, sf_dir)
+    roots, _, _, followers = net_tables(spark, sf_dir, need=('followers',))
     fol = followers.withColumn("tweets_count", F.lit(None).cast("bigint")).withColumn("city", F.lit(None).cast("string"))
     out = qu.process_followers(roots, fol, roots.select("user_id", "username", "profile_location", "target_location",
                                                         "followers_count", "tweets_count", "city"))
