@@ -22,18 +22,21 @@ def location_match(raw: ColumnOrName, targets: ColumnOrName) -> Column:
     return F.coalesce(F.exists(_c(targets), lambda t: F.contains(low, t)), F.lit(False))
 
 
+def city_targets_map(exclude_bare: list[str] | None = dims.EXCLUDE_BARE) -> Column:
+    """city -> targets as one literal map (32 entries, constant in the plan)."""
+    return F.create_map(*[x for c in dims.CITIES
+                          for x in (F.lit(c), dims.lit_array(dims.city_targets(c, exclude_bare)))])
+
+
 def with_city_targets(df: DataFrame, city_col: str, exclude_bare: list[str] | None = dims.EXCLUDE_BARE,
                       out: str = "targets") -> DataFrame:
     """Attach the target array of ``city_col`` (F2 via ``exclude_bare``).
 
-    The city dimension has 32 rows, so the broadcast has a fixed size bound. A
-    city outside the dimension matches on its own name only.
+    The 32-city dimension is a literal map inside the expression: no join and no
+    broadcast are needed. A city outside the dimension matches on its own name only.
     """
-    spark = df.sparkSession
-    dim = dims.city_targets_df(spark, exclude_bare).withColumnRenamed("targets", out)
-    joined = df.join(F.broadcast(dim), df[city_col] == dim["city"], "left")
-    keep = [df[c] for c in df.columns]
-    return joined.select(*keep, F.coalesce(dim[out], F.array(df[city_col])).alias(out))
+    targets = F.element_at(city_targets_map(exclude_bare), F.col(city_col))
+    return df.withColumn(out, F.coalesce(targets, F.array(F.col(city_col))))
 
 
 # original post (not a repost); missing text counts as original.
