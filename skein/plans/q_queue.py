@@ -133,3 +133,50 @@ def l03_list_expansion(spark, sf_dir):
     rel = mine.filter(list_relevant("name", "description")).select("list_id")
     members = inter.select(F.col("tweet_id").alias("list_id"), F.col("source").alias("user_id"))
     return list_members(rel, members).select("user_id").distinct()
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from skein.session import scratch_dir
+    return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("k04_s04_csv_roundtrip", """
+SELECT user_id, username, nullif(description, '') AS description, nullif(location, '') AS location,
+  search_location, followers_count FROM fx_users""")
+def k04_s04_csv_roundtrip(spark, sf_dir):
+    """Users written as header CSV (K4) to the shared scratch folder and read back with a
+    declared schema (S4). As with the reference's CSV files, an empty text comes back missing."""
+    from skein.sources.readers import read_csv
+    from skein.sources.sinks import write_csv
+    (users,) = tables(spark, sf_dir, "fx_users")
+    path = _scratch(spark, "users-csv")
+    write_csv(users.select("user_id", "username", "description", "location", "search_location", "followers_count"), path)
+    return read_csv(spark, path, "user_id STRING, username STRING, description STRING, location STRING, "
+                                 "search_location STRING, followers_count BIGINT")
+
+
+@register("k01_append_distinct", """
+SELECT DISTINCT source, target, tweet_id FROM fx_interactions""")
+def k01_append_distinct(spark, sf_dir):
+    """Two overlapping landings (orders before 1997, orders from mid-1996) appended with
+    whole-record dedupe (K1) as versions of one store; the latest version is read (S10 form)."""
+    from skein.sources.sinks import append_distinct, read_latest
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    rows = inter.select("source", "target", "tweet_id", "ts")
+    path = _scratch(spark, "edges-store")
+    append_distinct(rows.filter(F.col("ts") < F.lit("1997-01-01").cast("timestamp")).drop("ts"), path)
+    append_distinct(rows.filter(F.col("ts") >= F.lit("1996-07-01").cast("timestamp")).drop("ts"), path)
+    return read_latest(spark, path)
+
+
+@register("s10_processed_ids", """
+SELECT DISTINCT author_id AS user_id FROM fx_tweets""")
+def s10_processed_ids(spark, sf_dir):
+    """Ids present in a written output (posts appended per author, K2), read back distinct."""
+    from skein.sources.readers import read_processed_ids
+    from skein.sources.sinks import append
+    (tweets,) = tables(spark, sf_dir, "fx_tweets")
+    path = _scratch(spark, "posts-out")
+    append(tweets.select(F.col("author_id").alias("user_id"), "tweet_id"), path)
+    return read_processed_ids(spark, path)
