@@ -74,7 +74,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     """K4: header CSV; list columns become JSON text."""
     out = df.select(*[F.to_json(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() in ("array", "map", "struct")
                       else F.col(f"`{f.name}`") for f in df.schema.fields])
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"') \
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_interactions(edges: DataFrame, path: str) -> None:
