@@ -131,7 +131,9 @@ def even_split(groups: DataFrame, total: int, key: str, minimum: int = 1) -> Dat
     """Share ``total`` over the groups: floor(total/n) each, remainder to the last.
 
     The reference rounds up and may exceed the total; the intent is kept
-    (shares add up to the total). A share below ``minimum`` is null.
+    (shares add up to the total). A share below ``minimum`` is null. ``groups``
+    is the small list of account types (one row each), so the un-partitioned
+    window runs over a handful of rows.
     """
     w_all = Window.partitionBy(F.lit(1))
     w_ord = Window.orderBy(key)

@@ -84,16 +84,27 @@ def export_typed(df: DataFrame) -> DataFrame:
 
 
 def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str = "~id") -> DataFrame:
-    """Ids e1..eN in first-seen order.
+    """Ids e1..eN in first-seen order, computed on the JVM side.
 
-    A global range sort followed by ``zipWithIndex`` (one pass to count each
-    partition, one to number it), so no single task sees all rows.
+    Rows are range-sorted and numbered inside their partition
+    (``monotonically_increasing_id`` minus the partition base) in one pass that
+    is written to the reliable checkpoint folder; per-partition row counts (one
+    row per partition) give each partition's offset. No task sees all rows and
+    no row passes through Python.
     """
-    ordered = df.orderBy(*order)
-    schema = T.StructType(ordered.schema.fields + [T.StructField("__idx", T.LongType(), False)])
-    indexed = ordered.rdd.zipWithIndex().map(lambda t: tuple(t[0]) + (t[1],))
-    out = df.sparkSession.createDataFrame(indexed, schema)
-    return out.withColumn(col, F.concat(F.lit(prefix), (F.col("__idx") + 1).cast("string"))).drop("__idx")
+    from pyspark.sql import Window
+    from skein.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = df.orderBy(*order).select(
+        "*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid")
+    ).checkpoint(eager=True)
+    counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
+    out = numbered.join(offsets, "__pid").withColumn(
+        col, F.concat(F.lit(prefix), (F.col("__off") + local + 1).cast("string")))
+    return out.drop("__pid", "__mid", "__off")
 
 
 def export_graph_simple(edges: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
