@@ -98,15 +98,21 @@ def top_k(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:
 
 
 def per_group_first_n(df: DataFrame, keys: list[str], order: list[Column], n: Column | int,
-                      rank_col: str = "rn") -> DataFrame:
-    """Keep rows ranked <= n within each group (n may be a column).
+                      rank_col: str = "rn", bound: int | None = None) -> DataFrame:
+    """Keep rows ranked <= n within each group (n may be a column, then
+    ``bound`` is its literal upper bound).
 
-    The window sorts each group inside its partition; rows are never gathered
-    into a single collection.
+    A literal limit lets Spark insert a partial group limit before the shuffle
+    (``WindowGroupLimit``), so a hot group reaches the final sort as at most
+    n rows per input partition instead of all its rows.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
-    limit = n if isinstance(n, Column) else F.lit(n)
-    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= limit)
+    ranked = df.withColumn(rank_col, F.row_number().over(w))
+    if isinstance(n, Column):
+        if bound is not None:
+            ranked = ranked.filter(F.col(rank_col) <= F.lit(bound))
+        return ranked.filter(F.col(rank_col) <= n)
+    return ranked.filter(F.col(rank_col) <= F.lit(n))
 
 
 def random_sample(df: DataFrame, n: int = dims.SAMPLE_SIZE, seed: int = dims.SAMPLE_SEED,

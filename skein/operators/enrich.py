@@ -149,4 +149,4 @@ def recent_per_user(tweets: DataFrame, users: DataFrame, per_user_cap: int = 5,
     from skein.operators.analysis import per_group_first_n
     t = tweets.join(users.select(F.col("user_id").alias(author), F.col("tweets_count")), author)
     n = F.least(F.col("tweets_count"), F.lit(per_user_cap))
-    return per_group_first_n(t, [author], [F.col(order).desc()], n).drop("rn")
+    return per_group_first_n(t, [author], [F.col(order).desc()], n, bound=per_user_cap).drop("rn")

@@ -34,3 +34,8 @@ def test_location_match_needs_no_join(spark):
     # the city dimension is a literal map inside the expression
     plan = plan_of(E.queries()["f01_location_match"](spark, SF))
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_top_n_per_group_limits_before_the_shuffle(spark):
+    for name in ("w05_cap_per_entity", "w04_recent_per_user"):
+        assert "WindowGroupLimit" in plan_of(E.queries()[name](spark, SF)), name
