@@ -35,8 +35,8 @@ def register(name: str, oracle: str | None = None):
 def load_all() -> dict[str, Query]:
     # Importing the query modules fills REGISTRY.
     from skein.plans import (  # noqa: F401
-        q_analysis, q_clean, q_enrich, q_network, q_graph, q_upsert, q_export, q_classify,
-        q_text, q_queue,
+        q_analysis, q_clean, q_network, q_graph, q_upsert, q_export, q_classify,
+        q_text, q_queue, q_jobs,
     )
     return REGISTRY
 
