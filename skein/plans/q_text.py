@@ -84,7 +84,7 @@ def x07_clean_post(spark, sf_dir):
 SELECT doc_id, len({words_expr('text')}) AS n_words FROM documents""")
 def x10_words(spark, sf_dir):
     (docs,) = tables(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.size(tx.words("text")).alias("n_words"))
+    return docs.select("doc_id", F.size(tx.words("text")).cast("bigint").alias("n_words"))
 
 
 @register("x11_word_chars")
@@ -106,7 +106,7 @@ def x12_id_lists(spark, sf_dir):
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "pos", "tweet_id"))),
                                  lambda s: s["tweet_id"]), ";").alias("ids"),
         F.min("tweet_id").alias("first_id"))
-    return g.select("source", "target", F.size(tx.id_list("ids")).alias("n_ids"),
+    return g.select("source", "target", F.size(tx.id_list("ids")).cast("bigint").alias("n_ids"),
                     tx.id_list_contains("ids", "first_id").alias("has_first"),
                     tx.id_list_append("ids", F.lit("x")).alias("appended"))
 

@@ -133,9 +133,9 @@ def q06_status_lifecycle(spark, sf_dir):
     """Every account starts pending; queue events move it forward only."""
     users, q = tables(spark, sf_dir, "fx_users", "fx_queue")
     v = users.select("user_id", F.lit("pending").alias("follower_status"),
-                     F.lit(None).cast("timestamp").alias("follower_last_processed"))
+                     F.lit(None).cast("timestamp_ntz").alias("follower_last_processed"))
     status = (F.when(F.col("topic") == "view", "queued").when(F.col("topic") == "click", "in progress")
               .when(F.col("topic") == "purchase", "completed").when(F.col("topic") == "error", "failed")
               .otherwise("pending"))
-    upd = q.select("user_id", status.alias("status"), F.col("ts").cast("timestamp").alias("at"))
+    upd = q.select("user_id", status.alias("status"), F.col("ts").alias("at"))
     return up.advance_status(v, upd, "follower_status", "follower_last_processed")

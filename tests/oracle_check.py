@@ -48,6 +48,18 @@ def duck(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE",
+                 "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+def type_mismatches(sdf, con, sql):
+    st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    rel = con.sql(sql)
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (st[c], dt.get(c)) for c in st if SPARK_TO_DUCK.get(st[c], st[c]) != dt.get(c)}
+
+
 def compare(spark, name, fn, sql, sf_dir, con):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -64,11 +76,13 @@ def compare(spark, name, fn, sql, sf_dir, con):
     ok_cols = sorted(scols) == sorted(dcols)
     hs, ls = digest(scols, srows)
     hd, ld = digest(dcols, drows)
-    status = "ok" if ok_cols and hs == hd else "MISMATCH"
+    types = type_mismatches(sdf, con, sql)
+    status = "ok" if ok_cols and hs == hd and not types else "MISMATCH"
     out = dict(name=name, status=status, rows=(len(srows), len(drows)), spark_s=round(ts, 2),
                duck_s=round(td, 2))
     if status != "ok":
         out["cols"] = (scols, dcols)
+        out["types"] = types
         out["spark_only"] = sorted(set(ls) - set(ld))[:3]
         out["duck_only"] = sorted(set(ld) - set(ls))[:3]
     return out
