@@ -35,7 +35,11 @@ def attach_tweets(users: DataFrame, tweets: DataFrame, user_key: str = "user_id"
                              *[F.col(c) for c in extra if c in tweets.columns])
     posts = authored if own is None else own.unionByName(authored)
     base = users.drop("tweets") if "tweets" in users.columns else users
-    return base.join(posts, user_key, "left")
+    # Posts inner-join users (the hot side is the splittable, streamed side of an
+    # inner join), then users without any post are added back with null text.
+    with_posts = posts.join(base, user_key, "inner")
+    without = base.join(posts.select(user_key), user_key, "left_anti")
+    return with_posts.unionByName(without, allowMissingColumns=True)
 
 
 def attach_date(users: DataFrame, tweets: DataFrame, default: Column | str | None = None,
