@@ -68,8 +68,9 @@ def dispatch_roots(users: DataFrame, vertices: DataFrame, key: str = "user_id")
     roots = fresh.filter(qualifies_as_root("city", "target_location", "followers_count", "tweets_count"))
     msgs = roots.select(key, F.col("target_location").alias("location"),
                         F.explode(F.array(F.lit(TOPIC_TWEETS), F.lit(TOPIC_FOLLOWERS))).alias("topic"))
+    desc = F.col("description") if "description" in users.columns else F.lit(None).cast("string")
     objects = roots.select(F.col("target_location").alias("location"), key, F.lit("description").alias("name"),
-                           F.coalesce("description", F.lit("")).alias("value"))
+                           F.coalesce(desc, F.lit("")).alias("value"))
     queued = roots.withColumn("follower_status", F.lit("queued"))
     return {"roots": queued, "messages": msgs, "objects": objects}
 
