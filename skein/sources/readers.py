@@ -61,9 +61,13 @@ def read_network(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Header CSV (a UTF-8 byte-order mark is stripped by the reader)."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"') \
-        .schema(schemas.struct_type(ddl)).csv(path)
+    """Header CSV, columns taken by header name (any order, extra columns ignored,
+    missing ones null) and cast to the declared types; a UTF-8 byte-order mark is
+    stripped by the reader."""
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    have = set(raw.columns)
+    return raw.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                        for f in schemas.struct_type(ddl).fields])
 
 
 def select_files(df: DataFrame, look: list[str], avoid: list[str] | None = None) -> DataFrame:

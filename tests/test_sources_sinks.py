@@ -68,3 +68,32 @@ def test_land_pages_last_page_wins(spark):
     p1 = spark.createDataFrame([("a", 1, 0, "new"), ("a", 1, 1, "newer-in-page")], "id STRING, page INT, pos INT, v STRING")
     out = {r.id: r.v for r in rd.land_pages([p0, p1], "id").collect()}
     assert out == {"a": "new", "b": "b0"}
+
+
+def test_dated_folders_become_a_partition_column(spark, tmp_dir):
+    root = f"{tmp_dir}/dated"
+    for day, uid in [("2025-01-01", "1"), ("2025-01-02", "2")]:
+        os.makedirs(f"{root}/run_date={day}")
+        with open(f"{root}/run_date={day}/users.json", "w") as f:
+            json.dump([{"user_id": uid}], f)
+    df = rd.read_dated(spark, root, "user_id STRING")
+    got = {(r.user_id, str(r.run_date)) for r in df.filter(F.col("run_date") >= "2025-01-02").collect()}
+    assert got == {("2", "2025-01-02")}
+    plan = df.filter(F.col("run_date") >= "2025-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_date" in plan
+
+
+def test_csv_family_selection_and_labelled_sheet(spark, tmp_dir):
+    root = f"{tmp_dir}/csv"
+    os.makedirs(root)
+    for fname, uid in [("kolkata_distinct_users.csv", "1"), ("kolkata_expanded_distinct_users.csv", "2"),
+                       ("delhi_distinct_users.csv", "3")]:
+        with open(f"{root}/{fname}", "w", encoding="utf-8-sig") as f:
+            f.write("user_id,description,tweets,manual classification\n")
+            f.write(f'{uid},"bio, with comma","[\'a\']",Researchers\n')
+    df = rd.read_csv(spark, root, "user_id STRING, description STRING, tweets STRING, `manual classification` STRING")
+    fam = rd.select_files(df, ["distinct_users"], ["expanded"])
+    assert sorted(r.user_id for r in fam.collect()) == ["1", "3"]
+    sheet = rd.read_labelled(spark, f"{root}/kolkata_distinct_users.csv")
+    r = sheet.first()
+    assert (r.description, r["manual classification"]) == ("bio, with comma", "Researchers")
