@@ -190,9 +190,11 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
     else:
         if fixed_iterations is None:
             raise RuntimeError(f"pagerank did not converge in {max_iter} iterations")
-    e.unpersist()  # the result is cached; these only served the iterations
-    v.unpersist()
-    return ranks.select("id", "rank")
+    result = ranks.select("id", "rank").checkpoint(eager=True)  # reliable copy; caches released
+    for cached in (previous, e, v):
+        if cached is not None:
+            cached.unpersist()
+    return result
 
 
 def top_influencers(ranks: DataFrame, vertices: DataFrame, k: int = 3) -> DataFrame:

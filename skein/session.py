@@ -22,6 +22,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "8192",
     "spark.ui.enabled": "false",
+    # remove reliable checkpoint files once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
     # AQE converts a shuffle join into a broadcast join only when the runtime
     # size of a side is below this bound, so no broadcast grows with the data.
