@@ -113,13 +113,14 @@ def export_graph_simple(edges: DataFrame, kind: str) -> tuple[DataFrame, DataFra
     def loc(c: str) -> Column:
         return F.col(c) if c in edges.columns else F.lit(None).cast("string")
 
-    s = edges.select(F.col("source").alias("~id"), F.col("source_username").alias("username"),
-                     F.col("source_followers").alias("followers"), loc("source_location").alias("location"),
-                     "ord", "pos", F.lit(0).alias("side"))
-    t = edges.select(F.col("target").alias("~id"), F.col("target_username").alias("username"),
-                     F.col("target_followers").alias("followers"), loc("target_location").alias("location"),
-                     "ord", "pos", F.lit(1).alias("side"))
-    v = keep_last(s.unionByName(t), ["~id"], ["ord", "pos", "side"]) \
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("source").alias("~id"), F.col("source_username").alias("username"),
+                 F.col("source_followers").alias("followers"), loc("source_location").alias("location"),
+                 "ord", "pos", F.lit(0).alias("side")),
+        F.struct(F.col("target").alias("~id"), F.col("target_username").alias("username"),
+                 F.col("target_followers").alias("followers"), loc("target_location").alias("location"),
+                 "ord", "pos", F.lit(1).alias("side")))).alias("e")).select("e.*")
+    v = keep_last(ends, ["~id"], ["ord", "pos", "side"]) \
         .select("~id", F.lit("user").alias("~label"), "username", "followers", "location")
     grp = edges.groupBy(F.col("source").alias("~from"), F.col("target").alias("~to")).agg(
         F.count(F.lit(1)).alias("weight:Int"),

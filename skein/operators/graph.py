@@ -45,11 +45,12 @@ def follow_edges(edges: DataFrame, src: str = "source", dst: str = "target") ->
 
 def vertex_attributes(edges: DataFrame, policy: str = "first") -> DataFrame:
     """Attributes of both endpoints; first seen (graph) or last seen (simple export) wins."""
-    s = edges.select(F.col("source").alias("id"), F.col("source_username").alias("username"),
-                     F.col("source_followers").alias("followers"), "ord", "pos", F.lit(0).alias("side"))
-    t = edges.select(F.col("target").alias("id"), F.col("target_username").alias("username"),
-                     F.col("target_followers").alias("followers"), "ord", "pos", F.lit(1).alias("side"))
-    both = s.unionByName(t)
+    both = edges.select(F.explode(F.array(
+        F.struct(F.col("source").alias("id"), F.col("source_username").alias("username"),
+                 F.col("source_followers").alias("followers"), "ord", "pos", F.lit(0).alias("side")),
+        F.struct(F.col("target").alias("id"), F.col("target_username").alias("username"),
+                 F.col("target_followers").alias("followers"), "ord", "pos", F.lit(1).alias("side")))).alias("e")
+    ).select("e.*")  # both endpoints from one pass over the edges
     pick = keep_first if policy == "first" else keep_last
     return pick(both, ["id"], ["ord", "pos", "side"]).select("id", "username", "followers")
 
@@ -78,7 +79,8 @@ def graph_counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 def degree(edges: DataFrame) -> DataFrame:
     """In + out degree over distinct edges; a self-loop counts twice."""
     d = edges.select("src", "dst").distinct()
-    ends = d.select(F.col("src").alias("id")).unionAll(d.select(F.col("dst").alias("id")))
+    # both endpoints from one pass over the distinct edges (a union would scan them twice)
+    ends = d.select(F.explode(F.array("src", "dst")).alias("id"))
     return ends.groupBy("id").agg(F.count(F.lit(1)).alias("degree"))
 
 

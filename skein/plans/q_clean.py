@@ -86,8 +86,9 @@ SELECT id, ord, pos, side FROM (SELECT *, row_number() OVER (PARTITION BY id ORD
 WHERE rn = 1""")
 def d07_first_occurrence(spark, sf_dir):
     (inter,) = tables(spark, sf_dir, "fx_interactions")
-    ends = inter.select(F.col("source").alias("id"), "ord", "pos", F.lit(0).alias("side")).unionByName(
-        inter.select(F.col("target").alias("id"), "ord", "pos", F.lit(1).alias("side")))
+    ends = inter.select(F.explode(F.array(
+        F.struct(F.col("source").alias("id"), "ord", "pos", F.lit(0).alias("side")),
+        F.struct(F.col("target").alias("id"), "ord", "pos", F.lit(1).alias("side")))).alias("e")).select("e.*")
     return dd.first_occurrence(ends, "id", ["ord", "pos", "side"])
 
 
