@@ -31,8 +31,11 @@ def _store(spark, sf_dir):
     v = users.filter("followers_count > 0").select("user_id")
     rows = inter.select(F.col("source").alias("src"), F.col("target").alias("dst"), "tweet_id", "ord", "ts")
     old = rows.filter(F.col("ts") < F.lit(OLD_BEFORE).cast("timestamp"))
-    old_edges = old.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight"))
-    old_ids = old.groupBy("src", "dst", "tweet_id").agg(F.min("ord").alias("ord"))
+    # The store before the batch is a written table in practice: materialise it once.
+    from skein.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    old_edges = old.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")).checkpoint(eager=True)
+    old_ids = old.groupBy("src", "dst", "tweet_id").agg(F.min("ord").alias("ord")).checkpoint(eager=True)
     batch = rows.filter(F.col("ts") >= F.lit(NEW_FROM).cast("timestamp")).drop("ts")
     return v, old_edges, old_ids, batch
 
