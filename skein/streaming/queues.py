@@ -40,11 +40,16 @@ def read_queue(spark: SparkSession, path: str, ddl: str, max_files_per_trigger:
     return df
 
 
-def write_messages(messages: DataFrame, path: str, checkpoint: str, partition_by: str = "topic"):
-    """Q9: a message sink: JSON files per topic; tweet messages are keyed by their
-    target user (``repartition`` by target keeps one user's messages in order)."""
-    w = messages.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint) \
-        .partitionBy(partition_by).outputMode("append")
+def write_messages(messages: DataFrame, path: str, checkpoint: str, partition_by: str | None = "topic",
+                   key: str | None = None):
+    """Q9: a message sink: JSON files per topic. With ``key`` (e.g. the target user of
+    post messages) each micro-batch is hash-partitioned by it, so all messages of one
+    key land in one file of the batch in arrival order (FIFO per key)."""
+    out = messages.repartition(key) if key else messages
+    w = out.writeStream.format("json").option("path", path).option("checkpointLocation", checkpoint) \
+        .outputMode("append")
+    if partition_by and partition_by in messages.columns:
+        w = w.partitionBy(partition_by)
     return w
 
 

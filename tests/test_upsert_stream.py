@@ -77,3 +77,18 @@ def test_city_must_exist(spark):
     up.city_must_exist(v, "kolkata")
     with pytest.raises(ValueError):
         up.city_must_exist(v, "delhi")
+
+
+def test_post_messages_keyed_by_target(spark, tmp_dir):
+    land = f"{tmp_dir}/posts"
+    os.makedirs(land)
+    with open(f"{land}/a.json", "w") as f:
+        for i in range(20):
+            f.write(json.dumps({"tweet_id": f"t{i}", "target_user_id": str(i % 3), "location": "kolkata",
+                                "msg_id": f"m{i}", "sent_at": "2025-01-01T00:00:00"}) + "\n")
+    stream = qu.read_queue(spark, land, qu.msg_schema("tweet"))
+    qu.run_available(qu.write_messages(stream.select("tweet_id", "target_user_id", "location"), f"{tmp_dir}/out",
+                                       f"{tmp_dir}/ck", partition_by=None, key="target_user_id"))
+    df = spark.read.json(f"{tmp_dir}/out").withColumn("f", F.input_file_name())
+    files_per_key = df.groupBy("target_user_id").agg(F.countDistinct("f").alias("n")).collect()
+    assert df.count() == 20 and all(r.n == 1 for r in files_per_key)
