@@ -80,6 +80,8 @@ def model_scores(df: DataFrame, key: str, text: str, scorer: Callable[[pd.Series
                 out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
             yield pd.DataFrame({key: pdf[key], "scores": out})
 
+    from skein.session import ship_code
+    ship_code(df.sparkSession)
     return df.select(key, text).mapInPandas(run, f"{key} string, scores array<double>")
 
 
@@ -144,6 +146,8 @@ def score_with_prompts(df: DataFrame, key: str, prompt: str, client: Callable[[s
                     replies.append(None)
             yield pd.DataFrame({key: pdf[key], "reply": replies})
 
+    from skein.session import ship_code
+    ship_code(df.sparkSession)
     return df.select(key, prompt).mapInPandas(run, f"{key} string, reply string")
 
 

@@ -50,5 +50,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
+    from skein.session import ship_code
+    ship_code(spark)
     fixtures.register_views(spark, sf_dir)
     return [spark.table(n) for n in names]

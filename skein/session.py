@@ -88,3 +88,32 @@ def spread(df, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= want:
         return df
     return df.repartition(want)
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make the ``skein`` package importable in Python workers (``addPyFile``).
+
+    Functions handed to ``mapInPandas`` are pickled by reference to their module;
+    on a cluster (or when the driver runs from another folder) the executors
+    need the package itself. The archive is built once per driver process and
+    registered once per SparkContext.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="skein-code-"), "skein.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
