@@ -17,10 +17,10 @@ from skein.operators import normalize as nm
 
 def filter_lists(lists: DataFrame) -> DataFrame:
     """List file -> 4 columns (P22) -> unique list ids (D4) -> relevant lists."""
-    cols = nm.list_columns(lists.select("user_id", "list_id", "name", "description", "ord"))
-    first = dd.unique_by(lists.select("user_id", "list_id", "name", "description", "ord"), "list_id", ["ord"])
-    return first.filter(list_relevant("name", "description")).select("list_id", "user_id", "name", "description") \
-        if cols is not None else first
+    order = F.col("ord") if "ord" in lists.columns else F.monotonically_increasing_id()
+    kept = lists.select(*nm.list_columns(lists).columns, order.alias("ord"))
+    first = dd.unique_by(kept, "list_id", ["ord"])
+    return first.filter(list_relevant("name", "description")).select("list_id", "user_id", "name", "description")
 
 
 def tabulate_city(users: DataFrame, list_expansion: bool = False) -> DataFrame:
