@@ -252,7 +252,18 @@ def p28_city_file_key(spark, sf_dir):
     return cities.select("city", nm.city_file_key(F.col("city")).alias("main"))
 
 
-@register("f13_topic_match")
+def _topic_terms_sql() -> str:
+    rows = []
+    for lang, tmpl in dims.QUERY_TEMPLATES.items():
+        for t, q in tmpl.items():
+            for term in nm.template_terms(q):
+                rows.append("('{}', '{}', '{}')".format(lang, t, term.replace("'", "''")))
+    return f"(VALUES {', '.join(rows)}) AS tt(lang, account_type, term)"
+
+
+@register("f13_topic_match", f"""
+SELECT DISTINCT t.tweet_id, tt.account_type FROM fx_tweets t JOIN {_topic_terms_sql()} ON tt.lang = t.lang
+WHERE coalesce(t.tweet_text NOT LIKE 'RT @%', true) AND strpos(lower(t.tweet_text), tt.term) > 0""")
 def f13_topic_match(spark, sf_dir):
     """Posts tagged with every account type whose search terms they contain (originals only)."""
     (tweets,) = tables(spark, sf_dir, "fx_tweets")
