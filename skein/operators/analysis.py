@@ -119,10 +119,12 @@ def random_sample(df: DataFrame, n: int = dims.SAMPLE_SIZE, seed: int = dims.SAM
                   key: str = "user_id") -> DataFrame:
     """Reproducible fixed-size sample without replacement (a sampling operator).
 
-    Rows are ordered by a seeded hash of the key; ``limit`` after ``orderBy`` is
-    a distributed top-k (each partition keeps n rows, then one merge).
+    Rows are ordered by a seeded digest of the key (md5, so any SQL engine can
+    reproduce the sample); ``limit`` after ``orderBy`` is a distributed top-k
+    (each partition keeps n rows, then one merge).
     """
-    return df.orderBy(F.xxhash64(F.col(key).cast("string"), F.lit(seed)), F.col(key)).limit(n)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
+    return df.orderBy(digest, F.col(key)).limit(n)
 
 
 def train_test_split(df: DataFrame, test_share: float = 0.2, seed: int = 42,

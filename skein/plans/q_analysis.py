@@ -181,7 +181,9 @@ def w05_cap_per_entity(spark, sf_dir):
                                 [F.col("ord"), F.col("pos")], dims.CAP_RETWEETERS).drop("rn")
 
 
-@register("w06_random_sample")
+@register("w06_random_sample", """
+SELECT user_id, search_location, content_labels FROM fx_users
+ORDER BY md5('1236|' || user_id), user_id LIMIT 1200""")
 def w06_random_sample(spark, sf_dir):
     (users,) = tables(spark, sf_dir, "fx_users")
     return an.random_sample(users.select("user_id", "search_location", "content_labels"))
