@@ -161,31 +161,42 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
     n = first["n"]
     if n == 0:
         return v.select("id", F.lit(None).cast("double").alias("rank"))
-    ranks = v.select("id", "has_out", "salt", F.lit(1.0 / n).alias("rank"))
+    ranks = v.select("id", F.lit(1.0 / n).alias("rank"))
     dangling = (first["d"] or 0) / n
     steps = fixed_iterations if fixed_iterations is not None else max_iter
+    salts = v.filter("has_out").select(F.col("id").alias("src"), "salt")
     previous = None
     for i in range(steps):
+        src_ranks = ranks.select(F.col("id").alias("src"), "rank")
         if salted:
-            rep = ranks.filter("has_out").select(
-                F.col("id").alias("src"), "rank", F.explode(F.sequence(F.lit(0), F.col("salt") - 1)).alias("bucket"))
+            rep = src_ranks.join(salts, "src").select(
+                "src", "rank", F.explode(F.sequence(F.lit(0), F.col("salt") - 1)).alias("bucket"))
             joined = e.join(rep.repartition(parts, "src", "bucket"), ["src", "bucket"])
         else:  # ranks and edges are co-partitioned on the vertex id: the edges stay in place
-            joined = e.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+            joined = e.join(src_ranks, "src")
         contrib = joined.groupBy("dst").agg(F.sum(F.col("rank") * F.col("p")).alias("__in"))
         base = (1.0 - alpha) / n + alpha * dangling / n
-        new = ranks.join(contrib, ranks["id"] == contrib["dst"], "left").select(
-            "id", "has_out", "salt", F.col("rank").alias("__prev"),
-            (F.lit(base) + F.lit(alpha) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank"))
+        # The new ranks refer to the previous ones only through the contributions,
+        # so the plan grows by one step per iteration (not doubling) until the checkpoint.
+        new = v.join(contrib, v["id"] == contrib["dst"], "left").select(
+            "id", (F.lit(base) + F.lit(alpha) * F.coalesce(F.col("__in"), F.lit(0.0))).alias("rank"),
+            "has_out")
         if (i + 1) % checkpoint_every == 0:
-            new = new.checkpoint(eager=True)
-        new = new.repartition(parts, "id").persist()
-        stats = new.agg(F.sum(F.abs(F.col("rank") - F.col("__prev"))).alias("err"),
-                        F.sum(F.when(~F.col("has_out"), F.col("rank"))).alias("dangling")).first()
+            # a checkpoint read loses the hash partitioning, so restore it once
+            new = new.checkpoint(eager=True).repartition(parts, "id").persist()
+        else:
+            new = new.persist()
+        if fixed_iterations is None:
+            stats = new.join(ranks.select("id", F.col("rank").alias("__prev")), "id").agg(
+                F.sum(F.abs(F.col("rank") - F.col("__prev"))).alias("err"),
+                F.sum(F.when(~F.col("has_out"), F.col("rank"))).alias("dangling")).first()
+        else:
+            stats = new.agg(F.lit(0.0).alias("err"),
+                            F.sum(F.when(~F.col("has_out"), F.col("rank"))).alias("dangling")).first()
         if previous is not None:
             previous.unpersist()
         previous = new
-        ranks = new.drop("__prev")
+        ranks = new.select("id", "rank")
         dangling = stats["dangling"] or 0.0
         if fixed_iterations is None and stats["err"] < n * tol:
             break
