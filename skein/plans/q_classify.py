@@ -158,7 +158,28 @@ def p21_render_prompts(spark, sf_dir):
     return _conv_prompts(spark, sf_dir)
 
 
-@register("m08_score_with_prompts")
+_P21_SQL = f"""
+f AS (SELECT conv_id, text FROM conversations WHERE turn = 0),
+r AS (SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS tw FROM conversations WHERE turn > 0 GROUP BY conv_id),
+pr AS (SELECT CAST(coalesce(f.conv_id, r.conv_id) AS VARCHAR) AS conv_id,
+  replace(replace('{PROMPT.replace(chr(10), "' || chr(10) || '")}', 'user_description', coalesce(f.text, '')),
+    'user_tweets', coalesce(r.tw, '')) AS prompt
+FROM f FULL OUTER JOIN r ON r.conv_id = f.conv_id)"""
+
+
+@register("m08_score_with_prompts", f"""
+WITH {_P21_SQL},
+rep AS (SELECT conv_id, CASE
+  WHEN strpos(lower(prompt), ' der ') > 0 OR strpos(lower(prompt), ' und ') > 0 THEN '{{"category": "researchers"}}'
+  WHEN strpos(lower(prompt), ' la ') > 0 OR strpos(lower(prompt), ' le ') > 0
+    THEN 'The answer is {{''category'': ''media''}} because of the posts.'
+  WHEN strpos(lower(prompt), ' de ') > 0 THEN '{{"category": "Politicians"}}'
+  ELSE 'I cannot tell.' END AS reply FROM pr)
+SELECT conv_id, reply, CASE WHEN lower(trim(coalesce(CASE WHEN json_valid(reply) THEN json_extract_string(reply, '$.category') END,
+  nullif(regexp_extract(reply, '[''"]category[''"]\\s*:\\s*[''"]([^''"]+)[''"]', 1), ''))))
+  IN {in_list(dims.PROMPT_CATEGORIES)} THEN lower(trim(coalesce(CASE WHEN json_valid(reply) THEN json_extract_string(reply, '$.category') END,
+  nullif(regexp_extract(reply, '[''"]category[''"]\\s*:\\s*[''"]([^''"]+)[''"]', 1), '')))) END AS category
+FROM rep""")
 def m08_score_with_prompts(spark, sf_dir):
     """Prompts -> replies through a pluggable client (here a rule stand-in) -> parsed category."""
     replies = cl.score_with_prompts(_conv_prompts(spark, sf_dir), "conv_id", "prompt", rule_client)
