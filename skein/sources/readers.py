@@ -26,7 +26,11 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
 
 def read_json_array(spark: SparkSession, path: str, ddl: str, strict: bool = False) -> DataFrame:
     """Files holding one top-level JSON array each; a missing path is an empty
-    collection (``strict`` raises instead, as the older twins do)."""
+    collection (``strict`` raises instead, as the older twins do).
+
+    A multi-line JSON file is parsed by one task, so parallelism is per file; the
+    landing side writes one array per result page or run, which bounds each file.
+    """
     if not path_exists(spark, path):
         if strict:
             raise FileNotFoundError(path)
