@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skein.plans import jobs
-from skein.plans.q_network import net_tables
 from skein.plans.registry import register, tables
 from skein.plans.sqlbits import match_expr
 
