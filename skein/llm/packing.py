@@ -33,8 +33,11 @@ WINDOW = 4096
 END_ID = 2
 #: Most repeats of one length within a combination, and combinations that are kept.
 MAX_REPEAT = 16
+#: Chunks that a worker remembers at a time (twice as many while one generation follows another).
 KNOWN_CHUNKS = 300_000
 
+_TO_SPACE = bytes(32 if b in b" \t\n\x0b\x0c\r" else b for b in range(256))
+
 
 # --- tokens -----------------------------------------------------------------------------------
 
@@ -51,43 +54,81 @@ class ChunkTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        # two generations: when the young one is full it becomes the old one, and what is used again
+        # moves back, so frequent chunks are never forgotten
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         self.limit = limit
 
     def _pack(self, ids: list[int]) -> bytes:
         return np.array(ids, self.kind).tobytes()
 
     def _learn(self, chunks: list[bytes]) -> None:
-        if len(self.known) + len(chunks) > self.limit:
-            self.known.clear()
-        encoded = self.tokenizer.encode_batch([c.decode() for c in chunks], add_special_tokens=False)
-        self.known.update(zip(chunks, (self._pack(e.ids) for e in encoded), strict=True))
+        """Encode chunks some hundreds at a time, as one text, and part the ids at the chunks' bounds."""
+        for lo in range(0, len(chunks), 512):
+            part = [c.decode() for c in chunks[lo:lo + 512]]
+            encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(encoded.ids, self.kind)
+            first = np.fromiter((o[0] for o in encoded.offsets), np.int64, len(ids))
+            begin = np.cumsum([0, *(len(c) + 1 for c in part)])
+            edges = np.searchsorted(first, begin).tolist()
+            raw, width = ids.tobytes(), ids.itemsize
+            self.known.update(zip(chunks[lo:lo + 512], (raw[a * width:b * width] for a, b in zip(
+                edges[:-1], edges[1:], strict=True)), strict=True))
+
+    def _look_up(self, chunks: list[bytes]) -> list[bytes]:
+        """Packed ids of each of some distinct chunks."""
+        if len(self.known) > self.limit:
+            self.old, self.known = self.known, {}
+        known, old, new = self.known, self.old, []
+        out = list(map(known.get, chunks))
+        unknown = [i for i, x in enumerate(out) if x is None]
+        for i in unknown:
+            c = chunks[i]
+            out[i] = x = old.get(c)
+            if x is None:
+                new.append(c)
+            else:
+                known[c] = x
+        if new:
+            self._learn(new)
+            for i in unknown:
+                if out[i] is None:
+                    out[i] = known[chunks[i]]
+        return out
 
     def ids(self, texts: list[bytes | None]) -> list[bytes]:
         """Packed ids of each text."""
-        split: list[list[bytes] | None] = []
-        new: set[bytes] = set()
-        known = self.known
-        for t in texts:
-            if t and (b"<|" in t or b"\xcc" in t or b"\xcd" in t):
-                split.append(None)
-                continue
-            chunks = []
-            for c in (t or b"").lower().split():
-                # a full stop or comma after a letter is a piece of its own
-                if len(c) > 1 and c[-1] in b".," and 97 <= c[-2] <= 122:
-                    chunks += (c[:-1], c[-1:])
-                else:
-                    chunks.append(c)
-            split.append(chunks)
-            new.update(c for c in chunks if c not in known)
-        if len(known) + len(new) > self.limit:  # all chunks of this slice have to be known at once
-            new = {c for chunks in split if chunks for c in chunks}
-            known.clear()
-        if new:
-            self._learn(list(new))
-        return [self._pack(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids) if chunks is None
-                else b"".join([known[c] for c in chunks]) for t, chunks in zip(texts, split, strict=True)]
+        import pandas as pd
+
+        plain = [b"" if not t or b"<|" in t or b"\xcc" in t or b"\xcd" in t else t for t in texts]
+        blob = b" ".join(plain).lower().translate(_TO_SPACE)
+        data = np.frombuffer(blob, np.uint8)
+        starts, ends = common.word_spans(data)
+        sizes = np.fromiter(map(len, plain), np.int64, len(plain))
+        begin = np.cumsum(sizes + 1) - sizes - 1
+        # a full stop or comma after a letter is a chunk of its own
+        last, before = data[ends - 1], data[np.maximum(ends - 2, 0)]
+        mark = ((last == 46) | (last == 44)) & (ends - starts > 1) & (before >= 97) & (before <= 122)
+        ends = ends - mark
+        code, distinct = pd.factorize(common.Prefix(data).raw(starts, ends) if len(starts) else np.zeros(0, np.uint64))
+        first = np.zeros(len(distinct), np.int64)
+        first[code[::-1]] = np.arange(len(code))[::-1]
+        chunks = [b".", b",", *(blob[s:e] for s, e in zip(starts[first].tolist(), ends[first].tolist(), strict=True))]
+        packed = self._look_up(chunks)
+        width = np.dtype(self.kind).itemsize
+        pool = np.frombuffer(b"".join(packed), self.kind)
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // width
+        pool_at = np.cumsum(size) - size
+        where = np.flatnonzero(mark)
+        item = np.insert(code + 2, where + 1, (last[where] == 44).astype(np.int64))
+        text_of = np.insert(np.searchsorted(begin, starts, "right") - 1, where + 1,
+                            np.searchsorted(begin, starts[where], "right") - 1)
+        n = size[item]
+        out = pool[np.repeat(pool_at[item] - (np.cumsum(n) - n), n) + np.arange(n.sum())].tobytes()
+        edges = np.cumsum([0, *np.bincount(text_of, n, len(plain)).astype(np.int64)]) * width
+        return [self._pack(self.tokenizer.encode(t.decode(), add_special_tokens=False).ids) if t and not p
+                else out[a:b] for t, p, a, b in zip(texts, plain, edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
 _LOADED: dict[str, ChunkTokenizer] = {}
@@ -113,7 +154,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int, window: int, id_col:
         fulls, seen = 0, [0] * window
         for batch in batches:
             ids, n_of, full_no, rest_no = [], [], [], []
-            for _, texts in common.slices([batch.select(["text"])], 0):
+            for _, texts in common.slices([batch.select(["text"])], 0, 2 * common.SLICE_BYTES):
                 ids += [x + end for x in encoder.ids(texts)]
             for x in ids:
                 n = len(x) // width
