@@ -32,7 +32,7 @@ from skein.llm import common
 WORDS = 3
 MAX_BITS = 2
 SEED = 42
-BLOCK = 1 << 15
+BLOCK = 1 << 13
 MAX_BLOCKS = 1 << 11
 #: Node pairs walked at a time, and leaf products compared at once.
 FRONTIER = 1 << 18
@@ -258,21 +258,20 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, max_bl
             fp = batch.column(0).to_numpy().view(np.uint64)
             at = np.searchsorted(lows, fp, "right") - 1
             for node in np.unique(at):
-                mine, n = fp[at == node].view(np.int64), len(pair_of[node])
+                mine, n = fp[at == node].tobytes(), len(pair_of[node])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(pair_of[node], len(mine))), pa.array(np.repeat(side_of[node], len(mine))),
-                     pa.array(np.tile(mine, n))], ["pair", "side", "fp"])
+                    [pa.array(pair_of[node]), pa.array(side_of[node]), pa.array([mine] * n, pa.binary())],
+                    ["pair", "side", "fps"])
 
     def join(group):
-        fp = group["fp"].to_numpy().view(np.uint64)
-        side = group["side"].to_numpy()
-        a, b = np.sort(fp[side == 0]), np.sort(fp[side == 1])
+        a, b = (np.sort(np.frombuffer(b"".join(group["fps"][group["side"] == k]), np.uint64)) for k in (0, 1))
         u, v = forest(a, b if len(b) else None, max_bits)
         import pandas as pd
 
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
-    dealt = nodes.select("fp").mapInArrow(deal, "pair long, side int, fp long")
+    # a task's fingerprints of a subtree travel as one row of packed numbers for each pair
+    dealt = nodes.select("fp").mapInArrow(deal, "pair long, side int, fps binary")
     return dealt.groupBy("pair").applyInPandas(join, "u long, v long").distinct()
 
 
