@@ -35,7 +35,7 @@ from skein.llm import common
 FOLDS = 5
 HELD_OUT = 1
 FILTER_BITS = 27
-MAX_WORDS = 1 << 21
+MAX_WORDS = 1 << 18
 BITS_PER_ENTRY = 12
 PROBES = 4
 #: Weight of the unigram distribution in the smoothed bigram, in counts.
@@ -198,9 +198,9 @@ class Filter:
 class Model:
     """The filter, the words broadcast with exact counts, and the totals."""
 
-    def __init__(self, filter_: Filter, words: np.ndarray, counts: np.ndarray, complete: bool, n: int, v: int,
+    def __init__(self, filter_: Filter, words: np.ndarray, counts: np.ndarray, n: int, v: int,
                  mass: float):
-        self.filter, self.words, self.counts, self.complete, self.n, self.v = filter_, words, counts, complete, n, v
+        self.filter, self.words, self.counts, self.n, self.v = filter_, words, counts, n, v
         self.mass = mass  # sum of the words' quantised counts, so that unigrams add up to one
 
     def exact(self, h: np.ndarray) -> np.ndarray:
@@ -268,7 +268,7 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
     c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["c"], np.int64) for r in rows)])
     order = np.argsort(h)
     mass = sum(MIDDLE * 2.0 ** i * k for i, k in enumerate(word_levels) if i >= min_level)
-    model = Model(Filter(segments, shards, segment_bits, min_level), h[order], c[order], word_level == 0, n, v, mass)
+    model = Model(Filter(segments, shards, segment_bits, min_level), h[order], c[order], n, v, mass)
     return model, words.mapInArrow(cut(False), "h long, c long")
 
 
@@ -286,7 +286,7 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
     narrow = docs.select(F.col(id_col).alias("doc_id"), mark.alias("held_out"),
                          F.col(text_col).cast("string").alias("text"))
     model, rare = learn(narrow.filter(~F.col("held_out")).select("text"), filter_bits, max_words)
-    n, complete, total = model.n, model.complete, model.n + 0.5 * (model.v + 1)
+    n, total = model.n, model.n + 0.5 * (model.v + 1)
     shared = spark.sparkContext.broadcast(model)
     kind = narrow.schema["doc_id"].dataType.simpleString()
     rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
@@ -298,10 +298,7 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
             for _, texts in common.slices([batch.select(["text"])], 0):
                 tokens, of = token_hashes(texts)
                 word, back = np.unique(tokens, return_inverse=True)
-                counts = known.exact(word)
-                if known.complete:
-                    counts = np.maximum(counts, 0)
-                counts = counts[back]
+                counts = known.exact(word)[back]
                 inside = counts >= 0
                 size = len(texts)
                 cols[0] += np.bincount(of, minlength=size).tolist()
@@ -326,20 +323,15 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
     scored = narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, "
                                     "score double, rare array<struct<h:long,n:long>>")
 
-    def result(frame: DataFrame) -> DataFrame:
-        base = F.col("logs") - F.col("n_tokens") * float(np.log10(total))
-        return frame.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
-                            base.alias("base_score"), "score")
-
-    if complete:
-        return result(scored)
     scored = common.materialise(scored).withColumn("row", F.monotonically_increasing_id())  # stable: stored
     counted = (scored.select("row", F.inline("rare")).join(rare, "h", "left")
                .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more_logs"),
                                    F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known")))
-    return result(scored.drop("rare").join(counted, "row", "left").withColumns({
-        "logs": F.col("logs") + F.coalesce("more_logs", F.lit(0.0)),
-        "n_known": F.col("n_known") + F.coalesce("more_known", F.lit(0))}))
+    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
+    return scored.drop("rare").join(counted, "row", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(n).cast("long").alias("train_tokens"),
+        (logs - F.col("n_tokens") * float(np.log10(total))).alias("base_score"), "score")
 
 
 def op8_lm_score(spark, sf_dir: str) -> DataFrame:
