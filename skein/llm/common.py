@@ -16,12 +16,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from skein.session import ensure_checkpoint_dir, ship_code
 
 #: Bytes of text handled at once by the vectorised helpers (a longer text forms a slice alone).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -58,21 +59,15 @@ def slices(batches: Iterable[pa.RecordBatch], text_at: int, limit: int = SLICE_B
     Yields (other columns as lists, in order without the text column; texts).
     """
     for batch in batches:
-        texts = as_bytes(batch.column(text_at))
-        others = [batch.column(i).to_pylist() for i in range(batch.num_columns) if i != text_at]
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_pylist()
         lo = size = 0
-        for hi, t in enumerate(texts):
-            n = len(t) if t else 0
-            if hi > lo and size + n > limit:
-                yield [c[lo:hi] for c in others], texts[lo:hi]
+        for hi, n in enumerate([*sizes, None]):
+            if hi > lo and (n is None or size + n > limit):
+                part = batch.slice(lo, hi - lo)  # bytes are copied a slice at a time
+                yield ([part.column(i).to_pylist() for i in range(part.num_columns) if i != text_at],
+                       as_bytes(part.column(text_at)))
                 lo, size = hi, 0
-            size += n
-        if texts[lo:]:
-            yield [c[lo:] for c in others], texts[lo:]
-
-
-def arrow_schema(ddl_fields: list[tuple[str, pa.DataType]]) -> pa.Schema:
-    return pa.schema([pa.field(n, t) for n, t in ddl_fields])
+            size += n or 0
 
 
 # --- vectorised polynomial hashing over bytes -------------------------------------------------

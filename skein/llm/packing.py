@@ -34,7 +34,7 @@ END_ID = 2
 #: Most repeats of one length within a combination, and combinations that are kept.
 MAX_REPEAT = 16
 #: Chunks that a worker remembers at a time (twice as many while one generation follows another).
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 200_000
 
 _TO_SPACE = bytes(32 if b in b" \t\n\x0b\x0c\r" else b for b in range(256))
 
@@ -154,7 +154,7 @@ def tokenise(docs: DataFrame, vocabulary: str, end_id: int, window: int, id_col:
         fulls, seen = 0, [0] * window
         for batch in batches:
             ids, n_of, full_no, rest_no = [], [], [], []
-            for _, texts in common.slices([batch.select(["text"])], 0, 2 * common.SLICE_BYTES):
+            for _, texts in common.slices([batch.select(["text"])], 0):
                 ids += [x + end for x in encoder.ids(texts)]
             for x in ids:
                 n = len(x) // width
