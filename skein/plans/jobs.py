@@ -135,12 +135,20 @@ def user_catalogue(roots, retweeters, followers, stored) -> DataFrame:
     return user_catalog(roots, retweeters, followers, stored)
 
 
-def queue_workers(spark, landing: str, store: DataFrame, out: str, checkpoint: str) -> None:
-    """The dispatch worker as a stream (Q1 over S9, Q9 sink, Q7 at-least-once
-    through the streaming checkpoint), run until the landed messages are consumed."""
+def queue_workers(spark, landing: str, store: DataFrame, base: str) -> None:
+    """One run of the dispatch worker (Q1 over S9, Q7). Messages, roots and text objects are
+    appended below ``base``; roots dispatched by earlier runs count as known."""
+    from skein.sources.readers import path_exists
     from skein.streaming import queues as qu
     ddl = ("user_id STRING, username STRING, description STRING, profile_location STRING, target_location STRING, "
            "followers_count BIGINT, tweets_count BIGINT, city STRING, msg_id STRING, sent_at STRING")
-    stream = qu.read_queue(spark, landing, ddl, watermark="1 hour")
-    msgs = qu.dispatch_roots(stream, store)["messages"]
-    qu.run_available(qu.write_messages(msgs, out, checkpoint))
+    roots = f"{base.rstrip('/')}/roots"
+    known = store.select("user_id")
+    if path_exists(spark, roots):
+        known = known.unionByName(spark.read.parquet(roots).select("user_id")).distinct()
+
+    def step(messages: DataFrame) -> dict[str, DataFrame]:
+        out = qu.dispatch_roots(messages.drop("msg_id", "sent_at"), known)
+        return {"messages": out["messages"], "objects": out["objects"], "roots": out["roots"]}
+
+    qu.run_worker(spark, landing, ddl, base, step)

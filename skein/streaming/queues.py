@@ -6,38 +6,71 @@ in micro-batches; every step is the same DataFrame transform as its batch form
 (``dispatch_roots``, ``dispatch_tweets``, ...), so stream and batch give the
 same rows. Delivery is at least once: the streaming checkpoint records which
 files were consumed, and the store updates are idempotent (anti joins), so a
-replayed batch changes nothing. Messages carry a landing sequence; a watermark
-on the message time bounds the de-duplication state.
+replayed batch changes nothing. No message is dropped for its time: repeats are
+found by an anti join with the stored ids of handled messages.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.functions import dims
 from skein.functions.predicates import is_original, qualifies_as_root
+from skein.operators.dedupe import keep_first
 from skein.operators.upsert import upsert_vertices
 from skein.sources import schemas
+from skein.sources.readers import empty, path_exists
 
 TOPIC_TWEETS, TOPIC_FOLLOWERS, TOPIC_RETWEETERS, TOPIC_CLASSIFY = (
     "UserTweets", "UserFollowers", "UserRetweeters", "UserClassification")
 
 
 # --------------------------------------------------------------------------- sources / sinks
-def read_queue(spark: SparkSession, path: str, ddl: str, max_files_per_trigger: int = 100,
-               watermark: str | None = None, time_col: str = "sent_at") -> DataFrame:
-    """A streaming DataFrame over a landing folder of JSON message files.
+def read_queue(spark: SparkSession, path: str, ddl: str, max_files_per_trigger: int = 100) -> DataFrame:
+    """A streaming DataFrame over a landing folder of JSON message files; every message of
+    every file comes through, however late it lands."""
+    return spark.readStream.schema(schemas.struct_type(ddl)).option("maxFilesPerTrigger", max_files_per_trigger) \
+        .json(path)
+
+
+def unhandled(messages: DataFrame, handled: DataFrame) -> DataFrame:
+    """Messages whose ``msg_id`` is not among the handled ones, one per id (whole-row order decides).
+    Messages without an id are all kept: nothing says that they are repeats."""
+    named = messages.filter(F.col("msg_id").isNotNull())
+    first = keep_first(named, ["msg_id"], [c for c in named.columns if c != "msg_id"])
+    return first.join(handled.select("msg_id"), "msg_id", "left_anti").select(*messages.columns) \
+        .unionByName(messages.filter(F.col("msg_id").isNull()))
+
 
-    With ``watermark`` duplicates of a message (same ``msg_id``) inside the
-    watermark are dropped; the state kept for that is bounded by the watermark.
+def run_worker(spark: SparkSession, landing: str, ddl: str, base: str, step) -> dict[str, int]:
+    """Q7: one run of a queue worker. A stream lands everything that has arrived (its checkpoint
+    records the files); ``step`` maps the messages not handled yet to named outputs, which
+    are appended below ``base``; the ids are recorded last, so a run that dies is repeated.
+
+    The step runs as a batch: no callback from the stream into Python is needed.
     """
-    df = spark.readStream.schema(schemas.struct_type(ddl)).option("maxFilesPerTrigger", max_files_per_trigger) \
-        .json(path)
-    if watermark:
-        df = df.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, watermark) \
-            .dropDuplicatesWithinWatermark(["msg_id"])
-    return df
+    base = base.rstrip("/")
+    run = uuid.uuid4().hex
+    run_available(read_queue(spark, landing, ddl).writeStream.format("parquet").outputMode("append")
+                  .option("path", f"{base}/inbox").option("checkpointLocation", f"{base}/checkpoint"))
+    inbox = spark.read.schema(schemas.struct_type(ddl)).parquet(f"{base}/inbox")
+    done = f"{base}/handled"
+    handled = spark.read.parquet(done) if path_exists(spark, done) else empty(spark, "msg_id STRING, row_hash BIGINT")
+    row_hash = F.xxhash64(*inbox.columns)
+    fresh = unhandled(inbox.filter("msg_id IS NOT NULL"), handled).unionByName(
+        inbox.filter("msg_id IS NULL").withColumn("row_hash", row_hash)
+        .join(handled.filter("msg_id IS NULL").select("row_hash").distinct(), "row_hash", "left_anti").drop("row_hash"))
+    todo = f"{base}/todo/{run}"
+    fresh.write.parquet(todo)  # fixed before the outputs change any store
+    fresh = spark.read.parquet(todo)
+    written = {}
+    for name, out in step(fresh).items():
+        out.write.mode("append").parquet(f"{base}/{name}")
+        written[name] = 1
+    fresh.select("msg_id", row_hash.alias("row_hash")).write.mode("append").parquet(done)
+    return written
 
 
 def write_messages(messages: DataFrame, path: str, checkpoint: str, partition_by: str | None = "topic",
@@ -59,6 +92,12 @@ def run_available(stream_writer) -> None:
     q.awaitTermination()
 
 
+def _row_order(df: DataFrame, key: str) -> list[str]:
+    """A fixed order of rows that repeat a key: landing order where there is one, then the values."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [c for c in ("ord", "pos") if c in plain] + [c for c in plain if c not in ("ord", "pos", key)]
+
+
 # --------------------------------------------------------------------------- batch-form steps
 def dispatch_roots(users: DataFrame, vertices: DataFrame, key: str = "user_id") -> dict[str, DataFrame]:
     """Q1: users passing the root rule (F6, not yet a vertex) become vertices, get a
@@ -68,7 +107,8 @@ def dispatch_roots(users: DataFrame, vertices: DataFrame, key: str = "user_id")
     ``users`` holds the P5 vertex shape; ``vertices`` the current store (key column).
     """
     known = vertices.select(F.col(key).alias("__k"), F.lit(True).alias("__known"))
-    fresh = users.join(known, users[key] == known["__k"], "left").filter(F.col("__known").isNull()) \
+    once = users if users.isStreaming else keep_first(users, [key], _row_order(users, key))
+    fresh = once.join(known, once[key] == known["__k"], "left").filter(F.col("__known").isNull()) \
         .drop("__k", "__known")
     roots = fresh.filter(qualifies_as_root("city", "target_location", "followers_count", "tweets_count"))
     msgs = roots.select(key, F.col("target_location").alias("location"),
@@ -116,17 +156,17 @@ def retweeter_completion(expected: DataFrame, processed: DataFrame) -> DataFrame
 
 
 def process_followers(roots: DataFrame, followers: DataFrame, vertices: DataFrame,
-                      further: bool = False) -> dict[str, DataFrame]:
+                      further: bool = False, edges: DataFrame | None = None) -> dict[str, DataFrame]:
     """Q3: followers become vertices (G9) and FOLLOWS edges (G10); with ``further``
     qualifying followers are dispatched as new roots (snowball, Q1 rule); a root
     with followers is ``completed``, one without any is ``failed``."""
     from skein.operators.upsert import upsert_follows
-    fv = followers.select("user_id", "username", "profile_location", "target_location", "followers_count",
-                          "tweets_count", "city")
+    shape = [c for c in followers.columns if c not in ("root_id", "ord", "pos")]
+    fv = keep_first(followers, ["user_id"], ["root_id", *_row_order(followers, "user_id")]).select(*shape)
     new_vertices = upsert_vertices(vertices, fv)
     e = followers.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"))
-    empty_edges = e.limit(0).withColumn("weight", F.lit(1).cast("bigint"))
-    follows = upsert_follows(empty_edges, e, new_vertices)
+    stored = e.limit(0).withColumn("weight", F.lit(1).cast("bigint")) if edges is None else edges
+    follows = upsert_follows(stored, e, new_vertices)
     n = followers.groupBy("root_id").agg(F.count(F.lit(1)).alias("n"))
     status = roots.select("user_id").join(n, roots["user_id"] == n["root_id"], "left").select(
         "user_id", F.when(F.coalesce("n", F.lit(0)) > 0, "completed").otherwise("failed").alias("follower_status"))
@@ -148,7 +188,8 @@ def process_retweeters(tweet_msgs: DataFrame, retweeters: DataFrame, vertices: D
     batch = r.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"), "tweet_id",
                      F.col("ord").cast("bigint").alias("ord"))
     e, ids = upsert_retweets(edges, edge_tweets, batch, new_vertices)
-    dispatch = dispatch_roots(r.drop("tweet_id", "root_id", "ord", "pos").dropDuplicates(["user_id"]), vertices)
+    once = keep_first(r, ["user_id"], ["ord", "pos", "root_id", "tweet_id"])
+    dispatch = dispatch_roots(once.drop("tweet_id", "root_id", "ord", "pos"), vertices)
     return {"vertices": new_vertices, "edges": e, "edge_tweets": ids, "dispatch": dispatch["messages"]}
 
 
@@ -169,6 +210,3 @@ def msg_schema(kind: str) -> str:
     return {"user": schemas.MSG_USER + ", topic STRING, msg_id STRING, sent_at STRING",
             "tweet": schemas.MSG_TWEET + ", msg_id STRING, sent_at STRING"}[kind]
 
-
-def root_threshold() -> int:
-    return dims.ROOT_MIN_FOLLOWERS

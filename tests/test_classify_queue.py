@@ -28,8 +28,8 @@ def test_model_scores_failed_batch_keeps_rows(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8192")
     assert len(out) == 6
-    assert out["3"] == ("", False)  # its batch failed: kept, not relevant
-    assert sum(1 for v in out.values() if v == ("environmental research", True)) == 4
+    assert out["3"] == ("", False)  # its text failed: kept, not relevant
+    assert sum(1 for v in out.values() if v == ("environmental research", True)) == 5  # its batch did not
 
 
 def test_keyword_scorer_ties_pick_first_label(spark):
@@ -92,8 +92,8 @@ def test_queue_worker_stream_drops_duplicate_messages(spark, tmp_dir):
     with open(f"{land}/b.json", "w") as f:  # the same messages delivered again
         f.write("\n".join(json.dumps(r) for r in rows[:2]))
     store = spark.createDataFrame([("3",)], "user_id STRING")
-    jobs.queue_workers(spark, land, store, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
-    got = sorted((r.user_id, r.topic) for r in spark.read.json(f"{tmp_dir}/out").collect())
+    jobs.queue_workers(spark, land, store, f"{tmp_dir}/out")
+    got = sorted((r.user_id, r.topic) for r in spark.read.parquet(f"{tmp_dir}/out/messages").collect())
     assert got == sorted((str(i), t) for i in range(3) for t in ("UserTweets", "UserFollowers"))
 
 
