@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.functions.predicates import location_match, with_city_targets
-from skein.functions.text import edge_id, iso
+from skein.functions.text import chicago_to_utc, edge_id, iso, parse_any_date, parse_post_date
 from skein.operators.dedupe import keep_first, keep_last
 
 VERTEX_COLUMNS = ["~id", "~label", "username", "city", "profile_location", "target_location",
@@ -60,9 +60,24 @@ def migrate_status(df: DataFrame) -> DataFrame:
         .drop("processing_status", "last_processed")
 
 
+def _time(df: DataFrame, name: str, chicago: bool) -> Column:
+    """A time column in any landed form: timestamp, ISO text with or without offset, post date,
+    blank or the literal "null". Text that is no time gives null, as blank does."""
+    if name not in df.columns:
+        return F.lit(None).cast("timestamp")
+    if not isinstance(df.schema[name].dataType, T.StringType):
+        return F.col(name).cast("timestamp")
+    s = F.when(F.lower(F.trim(name)).isin("", "null", "none"), F.lit(None)).otherwise(F.trim(name))
+    parsed = parse_any_date(s, lenient=True)
+    if not chicago:
+        return parsed
+    zoned = s.rlike(r"(Z|[+-]\d\d:?\d\d)$") | parse_post_date(s).isNotNull()
+    return F.when(zoned, parsed).otherwise(chicago_to_utc(parsed))
+
+
 def export_typed(df: DataFrame) -> DataFrame:
-    """P17 (+X3/X5 for times): ``:Int`` columns with falsy -> -99 (0 becomes -99),
-    times as ISO text, other falsy values -> "null"."""
+    """P17 (+X3/X5 for times): ``:Int`` columns with falsy -> -99 (0 becomes -99), run times as ISO
+    text (naive ones read as Chicago time), ``created_at`` as the text it is, other falsy values -> "null"."""
     cols = {}
     for name in VERTEX_COLUMNS:
         base = name.split(":")[0]
@@ -73,10 +88,9 @@ def export_typed(df: DataFrame) -> DataFrame:
         elif base in _INT:
             v = (F.col(base) if base in df.columns else F.lit(None)).cast("bigint")
             cols[name] = F.when(v.isNull() | (v == 0), F.lit(-99)).otherwise(v)
-        elif base in _DATES or base in ("created_at", "last_tweeted_at"):
-            v = F.col(base) if base in df.columns else F.lit(None)
-            ts = v.cast("timestamp")
-            cols[name] = F.when(ts.isNull(), F.lit("null")).otherwise(iso(ts))
+        elif base in _DATES or base == "last_tweeted_at":
+            naive_zone = base in _DATES  # run times are wall-clock times of the collector
+            cols[name] = F.coalesce(iso(_time(df, base, naive_zone)), F.lit("null"))
         else:
             is_bool = base in df.columns and isinstance(df.schema[base].dataType, T.BooleanType)
             cols[name] = _text(F.col(base) if base in df.columns else F.lit(None), is_bool)
@@ -102,7 +116,7 @@ def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    out = numbered.join(offsets, "__pid").withColumn(
+    out = numbered.join(F.broadcast(offsets), "__pid").withColumn(  # one row per partition
         col, F.concat(F.lit(prefix), (F.col("__off") + local + 1).cast("string")))
     return out.drop("__pid", "__mid", "__off")
 
@@ -155,7 +169,7 @@ def typed_tables(roots: DataFrame, root_tweets: DataFrame, retweeters: DataFrame
     (root, then its posts' retweeters, then its followers); BELONGS_TO edges go
     with that emission when the user's city equals its target city.
     """
-    valid = keep_first(roots.filter(F.col("user_id").isNotNull() & F.col("city").isNotNull()
+    valid = keep_first(migrate_status(roots).filter(F.col("user_id").isNotNull() & F.col("city").isNotNull()
                                     & (F.col("city") == F.col("target_location"))), ["user_id"], ["ord"])
     vroots = valid.select(F.col("user_id").alias("root_id"), F.col("ord").alias("__root_ord"),
                           F.col("target_location").alias("__root_city"))
@@ -185,7 +199,10 @@ def typed_tables(roots: DataFrame, root_tweets: DataFrame, retweeters: DataFrame
         .unionByName(actors(followers, 2, "ord", "pos"), allowMissingColumns=True)
     first = keep_first(all_rows, ["user_id"], ["__o1", "__sec", "__o2", "__o3"])
     vertices = export_typed(first)
-    belongs = first.filter(F.col("city").isNotNull() & (F.col("city") == F.col("target_location"))).select(
+    # a valid root belongs to its city even where its vertex came from an earlier retweeter record
+    placed = first.filter(F.col("city").isNotNull() & (F.col("city") == F.col("target_location"))) \
+        .select("user_id", "city").unionAll(valid.select("user_id", "city")).distinct()
+    belongs = placed.select(
         edge_id("user_id", "city", F.lit("BELONGS_TO")).alias("~id"), F.col("user_id").alias("~from"),
         F.col("city").alias("~to"), F.lit("BELONGS_TO").alias("~label"))
     rt = rts.join(vroots.select("root_id"), "root_id").groupBy(

@@ -60,7 +60,8 @@ def k09_typed_vertices(spark, sf_dir):
 @register("g12_belongs_to", f"""
 WITH {_TYPED_SQL}
 SELECT sha256(concat_ws('|', user_id, city, 'BELONGS_TO')) AS "~id", user_id AS "~from", city AS "~to",
-  'BELONGS_TO' AS "~label" FROM firsts WHERE city IS NOT NULL AND city = target_location""")
+  'BELONGS_TO' AS "~label" FROM (SELECT user_id, city FROM firsts WHERE city IS NOT NULL AND city = target_location
+  UNION SELECT user_id, city FROM valid)""")
 def g12_belongs_to(spark, sf_dir):
     return _typed(spark, sf_dir)["belongs_to"]
 
