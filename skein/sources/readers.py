@@ -67,11 +67,23 @@ def read_network(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """Header CSV, columns taken by header name (any order, extra columns ignored,
     missing ones null) and cast to the declared types; a UTF-8 byte-order mark is
-    stripped by the reader."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    have = set(raw.columns)
-    return raw.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                        for f in schemas.struct_type(ddl).fields])
+    stripped by the reader. Files of one folder may have different headers: they are
+    read header by header and united by name."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+        F.monotonically_increasing_id().alias("no")).filter("start = 0")
+    heads = lines.groupBy("file").agg(F.min_by("value", "no").alias("head"))
+    by_head = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()  # names of the listed files
+    frames = []
+    for files in [r["files"] for r in by_head] or [[path]]:
+        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(files)
+        have = set(raw.columns)
+        frames.append(raw.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                                   for f in schemas.struct_type(ddl).fields]))
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def select_files(df: DataFrame, look: list[str], avoid: list[str] | None = None) -> DataFrame:
@@ -105,9 +117,12 @@ def read_dated(spark: SparkSession, root: str, ddl: str) -> DataFrame:
 
 
 def read_text_objects(spark: SparkSession, prefix: str) -> DataFrame:
-    """``networks/{location}/classification/{user}/input/{name}.txt`` objects ->
-    (location, user_id, name, value); an unreadable object is skipped by the reader."""
-    raw = spark.read.option("wholetext", True).option("ignoreCorruptFiles", True).text(
+    """``networks/{location}/classification/{user}/input/{name}.txt`` objects, or the table
+    that K7 writes -> (location, user_id, name, value). An empty object has the empty text; one that
+    cannot be read fails the job rather than vanish."""
+    if path_exists(spark, f"{prefix.rstrip('/')}/_SUCCESS"):
+        return spark.read.parquet(prefix).select("location", "user_id", "name", F.coalesce("value", F.lit("")).alias("value"))
+    raw = spark.read.option("wholetext", True).text(
         f"{prefix.rstrip('/')}/*/classification/*/input/*.txt")
     p = F.col("_metadata.file_path")
     rx = r"/([^/]+)/classification/([^/]+)/input/([^/]+)\.txt$"
