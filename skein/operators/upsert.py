@@ -62,11 +62,17 @@ def upsert_retweets_blind(edges: DataFrame, new: DataFrame) -> DataFrame:
         "src", "dst", (F.coalesce("weight", F.lit(0)) + F.coalesce("__add", F.lit(0))).cast("bigint").alias("weight"))
 
 
-def patch_vertices(vertices: DataFrame, updates: DataFrame, key: str = "user_id") -> DataFrame:
-    """Set the listed properties (single cardinality); null in ``updates`` keeps the old value."""
-    cols = [c for c in updates.columns if c != key and c in vertices.columns]
-    u = updates.select(key, *[F.col(c).alias(f"__u_{c}") for c in cols])
-    j = vertices.join(u, key, "left")
+def patch_vertices(vertices: DataFrame, updates: DataFrame, key: str = "user_id", order: str | None = None) -> DataFrame:
+    """Set the listed properties (single cardinality); null in ``updates`` keeps the old value.
+
+    Several updates of one key are reduced first: the last non-null value by ``order`` wins (without
+    an order column the greatest value does), so a vertex is never doubled.
+    """
+    cols = [c for c in updates.columns if c not in (key, order) and c in vertices.columns]
+    last = (lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order)))) if order else F.max
+    u = updates.groupBy(F.col(key).alias("__key")).agg(F.count(F.lit(1)).alias("__n"),
+                                                       *[last(c).alias(f"__u_{c}") for c in cols])
+    j = vertices.join(u, vertices[key] == u["__key"], "left")
     return j.select(*[(F.coalesce(F.col(f"__u_{c}"), F.col(c)) if c in cols else F.col(c)).alias(c)
                       for c in vertices.columns])
 
