@@ -47,9 +47,7 @@ def keyword_scores(texts: DataFrame, key: str, text: str, labels: list[str] = di
 
     ``texts`` holds any number of text rows per key (description, posts).
     """
-    from skein.session import spread
     kw = keywords or DEFAULT_KEYWORDS
-    texts = spread(texts)
     toks = F.col("__w")
 
     def hits(ks: list[str]) -> Column:
@@ -69,20 +67,28 @@ def model_scores(df: DataFrame, key: str, text: str, scorer: Callable[[pd.Series
                  labels: list[str] = dims.ZERO_SHOT_LABELS) -> DataFrame:
     """M1 (pluggable model): ``scorer`` maps a batch of texts to per-label scores.
 
-    A failing batch yields null scores for its rows (they are kept, not dropped).
+    A batch that fails is tried again text by text, so only the failing texts stay without scores; their
+    rows are kept and carry the error in ``score_error`` (null for scored rows).
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
+            texts, errors = pdf[text].fillna(""), [None] * len(pdf)
             try:
-                s = scorer(pdf[text].fillna(""))
-                out = pd.Series([list(map(float, r)) for r in s], index=pdf.index)
-            except Exception:  # noqa: BLE001 - a failed batch keeps its rows unscored
-                out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-            yield pd.DataFrame({key: pdf[key], "scores": out})
+                out = [list(map(float, r)) for r in scorer(texts)]
+            except Exception:  # noqa: BLE001 - find the failing texts
+                out = []
+                for i in range(len(pdf)):
+                    try:
+                        out += [list(map(float, r)) for r in scorer(texts.iloc[i:i + 1])]
+                    except Exception as e:  # noqa: BLE001 - reported in the row
+                        out.append(None)
+                        errors[i] = f"{type(e).__name__}: {e}"[:500]
+            yield pd.DataFrame({key: pdf[key], "scores": pd.Series(out, index=pdf.index, dtype=object),
+                                "score_error": pd.Series(errors, index=pdf.index, dtype=object)})
 
     from skein.session import ship_code
     ship_code(df.sparkSession)
-    return df.select(key, text).mapInPandas(run, f"{key} string, scores array<double>")
+    return df.select(key, text).mapInPandas(run, f"{key} string, scores array<double>, score_error string")
 
 
 def assign_label(scored: DataFrame, labels: list[str] = dims.ZERO_SHOT_LABELS, only_relevant: bool = False) -> DataFrame:
@@ -130,8 +136,9 @@ def classify_incremental(users: DataFrame, tweets: DataFrame, previous: DataFram
 def reclassify_all(users: DataFrame, tweets: DataFrame, labels: list[str] = dims.ZERO_SHOT_LABELS,
                    key: str = "user_id", keywords: dict[str, list[str]] | None = None) -> DataFrame:
     """M4: classify every user again (no skip); the caller overwrites the output."""
-    return classify_users(users.dropDuplicates([key]) if "ord" not in users.columns else
-                          users, tweets, labels, keywords, key)
+    from skein.operators.dedupe import unique_by
+    first = unique_by(users, key, ["ord"]) if "ord" in users.columns else users.dropDuplicates([key])
+    return classify_users(first, tweets, labels, keywords, key)
 
 
 def score_with_prompts(df: DataFrame, key: str, prompt: str, client: Callable[[str], str]) -> DataFrame:

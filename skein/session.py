@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for a session this library creates itself (tests, bench, local runs).
@@ -32,19 +33,30 @@ _LOCAL_DEFAULTS = {
 }
 
 
+def missing_settings(have: set[str], master: str | None = None, shuffle_partitions: int | None = None) -> dict[str, str]:
+    """The defaults for every key that the environment has not set itself."""
+    wanted = {"spark.master": master or os.environ.get("SKEIN_MASTER", "local[8]"),
+              "spark.sql.shuffle.partitions": str(shuffle_partitions or 8),
+              "spark.driver.memory": os.environ.get("SKEIN_DRIVER_MEMORY", "16g"), **_LOCAL_DEFAULTS}
+    if "spark.master" in have:  # a cluster: its sizes are its own
+        wanted = dict(_LOCAL_DEFAULTS)
+    return {k: v for k, v in wanted.items() if k not in have}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "skein") -> SparkSession:
-    """Return the active session, or build a local one with sane defaults."""
+    """Return the active session, or build one; what spark-submit or its files set is kept."""
     active = SparkSession.getActiveSession()
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
+    have: set[str] = set()
+    if "PYSPARK_GATEWAY_PORT" in os.environ:  # started by spark-submit: its settings are in the JVM
+        SparkContext._ensure_initialized()
+        have = {k for k, _ in SparkConf().getAll()}
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or os.environ.get("SKEIN_MASTER", "local[8]"))
-    for key, value in _LOCAL_DEFAULTS.items():
+    for key, value in missing_settings(have, master, shuffle_partitions).items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
-    builder = builder.config("spark.driver.memory", os.environ.get("SKEIN_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -76,20 +88,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster only when it arrives in too few partitions.
-
-    A large input already has one partition per file split, so nothing is added
-    there; a single-split input (one small file) would otherwise run CPU-heavy
-    per-row work (tokenising whole texts) in a single task.
-    """
-    sc = df.sparkSession.sparkContext
-    want = min_partitions or sc.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
-        return df
-    return df.repartition(want)
-
-
 _SHIPPED: set[int] = set()
 
 

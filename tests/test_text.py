@@ -48,11 +48,3 @@ def test_parse_category(spark):
 
 def test_word_chars_are_unicode(spark):
     assert one(spark, tx.word_chars("s"), "Bogotá, niño_2! 東京") == ["Bogotá", "niño_2", "東京"]
-
-
-def test_spread_only_when_too_few_partitions(spark):
-    from skein.session import spread
-    one_split = spark.range(100).coalesce(1)
-    assert spread(one_split, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(8)
-    assert spread(many, 4) is many
