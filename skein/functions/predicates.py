@@ -87,8 +87,13 @@ def is_relevant_label(label: ColumnOrName) -> Column:
     return F.coalesce(_c(label) != "other", F.lit(False))
 
 
-# [since, until) window on a timestamp column.
-def date_window(ts: ColumnOrName, since: str | None, until: str | None) -> Column:
+# [since, until) window on a timestamp column; with ``now`` and no bounds the default window
+# [now - 6 days, now - 60 seconds).
+def date_window(ts: ColumnOrName, since: str | None = None, until: str | None = None,
+                now: ColumnOrName | None = None) -> Column:
+    if since is None and until is None and now is not None:
+        at = _c(now).cast("timestamp")
+        return (_c(ts) >= at - F.expr("INTERVAL 6 DAYS")) & (_c(ts) < at - F.expr("INTERVAL 60 SECONDS"))
     if until is not None and since is None:
         raise ValueError("until needs since")
     cond = F.lit(True)
