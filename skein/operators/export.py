@@ -121,33 +121,37 @@ def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str
     return out.drop("__pid", "__mid", "__off")
 
 
-def export_graph_simple(edges: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """K8: vertices (~id, ~label=user, username, followers, location) with the last
-    seen attributes, and edges e1..eN (label retweeted/follows, weight, tweet ids joined by ',')."""
-    def loc(c: str) -> Column:
-        return F.col(c) if c in edges.columns else F.lit(None).cast("string")
+#: Fixed header of the simple loader's edge file (the typed one is VERTEX_COLUMNS above).
+SIMPLE_EDGE_COLUMNS = {"retweet": ["~id", "~from", "~to", "~label", "weight", "tweet_ids:String", "location"],
+                       "follower": ["~id", "~from", "~to", "~label", "location"]}
 
+
+def export_graph_simple(edges: DataFrame, kind: str, location: str) -> tuple[DataFrame, DataFrame]:
+    """K8: vertices (~id, ~label=user, username, followers, location) with the last seen
+    attributes, and edges e1..eN in first-seen order (label retweeted with weight and post ids
+    joined by ',', or follows). ``location`` is the run's city; every vertex and edge carries it."""
     ends = edges.select(F.explode(F.array(
         F.struct(F.col("source").alias("~id"), F.col("source_username").alias("username"),
-                 F.col("source_followers").alias("followers"), loc("source_location").alias("location"),
-                 "ord", "pos", F.lit(0).alias("side")),
+                 F.col("source_followers").alias("followers"), "ord", "pos", F.lit(0).alias("side")),
         F.struct(F.col("target").alias("~id"), F.col("target_username").alias("username"),
-                 F.col("target_followers").alias("followers"), loc("target_location").alias("location"),
-                 "ord", "pos", F.lit(1).alias("side")))).alias("e")).select("e.*")
+                 F.col("target_followers").alias("followers"), "ord", "pos", F.lit(1).alias("side"))))
+        .alias("e")).select("e.*")
     v = keep_last(ends, ["~id"], ["ord", "pos", "side"]) \
-        .select("~id", F.lit("user").alias("~label"), "username", "followers", "location")
-    grp = edges.groupBy(F.col("source").alias("~from"), F.col("target").alias("~to")).agg(
-        F.count(F.lit(1)).alias("weight:Int"),
-        F.min(F.struct("ord", "pos")).alias("__first"),
-        F.array_sort(F.collect_list(F.struct("ord", "pos", F.col("tweet_id")))).alias("__ids"))
-    label = "retweeted" if kind == "retweet" else "follows"
-    e = grp.select("~from", "~to", F.lit(label).alias("~label"), "weight:Int",
-                   F.array_join(F.transform("__ids", lambda x: x["tweet_id"]), ",").alias("tweet_ids"),
-                   F.col("__first.ord").alias("__o"), F.col("__first.pos").alias("__p"))
-    if kind != "retweet":
-        e = e.withColumn("weight:Int", F.lit(1).cast("bigint")).withColumn("tweet_ids", F.lit(None).cast("string"))
-    e = sequential_ids(e, ["__o", "__p", "~from", "~to"]).drop("__o", "__p")
-    return v, e.select("~id", "~from", "~to", "~label", "weight:Int", "tweet_ids")
+        .select("~id", F.lit("user").alias("~label"), "username", "followers", F.lit(location).alias("location"))
+    first = F.min(F.struct("ord", "pos")).alias("__first")
+    pair = [F.col("source").alias("~from"), F.col("target").alias("~to")]
+    if kind == "retweet":
+        grp = edges.groupBy(*pair).agg(
+            first, F.count(F.lit(1)).alias("weight"),
+            F.array_sort(F.collect_list(F.struct("ord", "pos", F.col("tweet_id")))).alias("__ids"))
+        grp = grp.withColumn("tweet_ids:String", F.array_join(F.transform("__ids", lambda x: x["tweet_id"]), ",")) \
+            .withColumn("~label", F.lit("retweeted"))
+    else:
+        grp = edges.groupBy(*pair).agg(first).withColumn("~label", F.lit("follows"))
+    e = grp.withColumns({"__o": F.col("__first.ord"), "__p": F.col("__first.pos"), "location": F.lit(location)})
+    columns = SIMPLE_EDGE_COLUMNS["retweet" if kind == "retweet" else "follower"]
+    e = e.select("__o", "__p", *[F.col(f"`{c}`") for c in columns[1:]])
+    return v, sequential_ids(e, ["__o", "__p", "~from", "~to"]).select(*[F.col(f"`{c}`") for c in columns])
 
 
 def conform_to_header(records: DataFrame, json_col: str, header: list[str]) -> tuple[DataFrame, DataFrame]:

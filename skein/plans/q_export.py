@@ -88,10 +88,10 @@ def g15_typed_follows(spark, sf_dir):
 WITH {EDGE_CTE},
 ends AS (SELECT source AS id, source_username AS username, source_followers AS followers, ord, pos, 0 AS side FROM ie
   UNION ALL SELECT target, target_username, target_followers, ord, pos, 1 FROM ie)
-SELECT id AS "~id", 'user' AS "~label", username, followers, CAST(NULL AS VARCHAR) AS location FROM (
+SELECT id AS "~id", 'user' AS "~label", username, followers, 'chicago' AS location FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC, pos DESC, side DESC) AS rn FROM ends) x WHERE rn = 1""")
 def k08_simple_vertices(spark, sf_dir):
-    v, _ = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet")
+    v, _ = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet", "chicago")
     return v
 
 
@@ -100,9 +100,19 @@ WITH g AS (SELECT source, target, count(*) AS w, min(ord) AS o,
     string_agg(tweet_id, ',' ORDER BY ord, pos, tweet_id) AS ids FROM fx_interactions GROUP BY source, target),
 g2 AS (SELECT g.*, (SELECT min(pos) FROM fx_interactions i WHERE i.source = g.source AND i.target = g.target AND i.ord = g.o) AS p FROM g)
 SELECT 'e' || CAST(row_number() OVER (ORDER BY o, p, source, target) AS VARCHAR) AS "~id", source AS "~from",
-  target AS "~to", 'retweeted' AS "~label", w AS "weight:Int", ids AS tweet_ids FROM g2""")
+  target AS "~to", 'retweeted' AS "~label", w AS weight, ids AS "tweet_ids:String", 'chicago' AS location FROM g2""")
 def w08_k08_simple_edges(spark, sf_dir):
-    _, e = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet")
+    _, e = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet", "chicago")
+    return e
+
+
+@register("k08_simple_follow_edges", """
+WITH g AS (SELECT source, target, min(ord) AS o FROM fx_interactions GROUP BY source, target),
+g2 AS (SELECT g.*, (SELECT min(pos) FROM fx_interactions i WHERE i.source = g.source AND i.target = g.target AND i.ord = g.o) AS p FROM g)
+SELECT 'e' || CAST(row_number() OVER (ORDER BY o, p, source, target) AS VARCHAR) AS "~id", source AS "~from",
+  target AS "~to", 'follows' AS "~label", 'chicago' AS location FROM g2""")
+def k08_simple_follow_edges(spark, sf_dir):
+    _, e = ex.export_graph_simple(interaction_edges(spark, sf_dir), "follower", "chicago")
     return e
 
 

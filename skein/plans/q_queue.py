@@ -40,6 +40,15 @@ def q01_dispatch_roots(spark, sf_dir):
     return out["messages"]
 
 
+@register("q01_root_objects", f"""
+WITH {_ROOTS_SQL}
+SELECT r.target_location AS location, r.user_id, 'description' AS name, '' AS value FROM roots r""")
+def q01_root_objects(spark, sf_dir):
+    """Description objects of dispatched accounts (the accounts here have no description)."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    return qu.dispatch_roots(normalize_net_user(users).drop("description"), _vertex_store(spark, sf_dir))["objects"]
+
+
 @register("q02_dispatch_tweets", f"""
 WITH {_ROOTS_SQL}
 SELECT t.tweet_id, t.author_id AS target_user_id, r.target_location AS location
@@ -97,11 +106,31 @@ SELECT r.user_id, CASE WHEN coalesce(n.n, 0) > 0 THEN 'completed' ELSE 'failed'
 FROM net_roots r LEFT JOIN n ON n.root_id = r.user_id""")
 def q03_follower_status(spark, sf_dir):
     """Processing follower pages: roots with followers complete, the rest fail."""
+    return _processed_followers(spark, sf_dir)["status"]
+
+
+def _processed_followers(spark, sf_dir):
     roots, _, _, followers = net_tables(spark, sf_dir, need=('followers',))
     fol = followers.withColumn("tweets_count", F.lit(None).cast("bigint")).withColumn("city", F.lit(None).cast("string"))
-    out = qu.process_followers(roots, fol, roots.select("user_id", "username", "profile_location", "target_location",
-                                                        "followers_count", "tweets_count", "city"))
-    return out["status"]
+    return qu.process_followers(roots, fol, roots.select("user_id", "username", "profile_location", "target_location",
+                                                         "followers_count", "tweets_count", "city"))
+
+
+@register("q03_vertices", f"""
+WITH {NET_CTES}
+SELECT user_id FROM net_roots UNION SELECT user_id FROM net_fol""")
+def q03_vertices(spark, sf_dir):
+    """The vertex store after processing follower pages: every id once."""
+    return _processed_followers(spark, sf_dir)["vertices"].select("user_id")
+
+
+@register("q03_follows", f"""
+WITH {NET_CTES}
+SELECT DISTINCT f.user_id AS src, f.root_id AS dst, CAST(1 AS BIGINT) AS weight FROM net_fol f
+WHERE f.root_id IN (SELECT user_id FROM net_roots)""")
+def q03_follows(spark, sf_dir):
+    """FOLLOWS edges from follower pages."""
+    return _processed_followers(spark, sf_dir)["follows"]
 
 
 @register("s14_list_memberships", """
