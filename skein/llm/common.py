@@ -28,10 +28,16 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+_BATCH_KEY, _BATCH_DEFAULT, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Ship the package to the workers and make sure a reliable checkpoint folder is set."""
+    """Ship the package to the workers, make sure a reliable checkpoint folder is set, and hand texts to
+    the workers in Arrow batches of 8 MB (unless the session has a size of its own)."""
     ship_code(spark)
     ensure_checkpoint_dir(spark)
+    if spark.conf.get(_BATCH_KEY, _BATCH_DEFAULT) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, _BATCH_BYTES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
