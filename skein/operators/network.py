@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import dims
 from skein.functions.predicates import is_original, location_match, with_city_targets
+from skein.functions.text import iso, parse_any_date
 from skein.operators.dedupe import keep_first
 
 EDGE_COLUMNS = ["source", "source_username", "source_followers", "source_following", "tweet_id",
@@ -183,19 +184,37 @@ def last_tweeted_at(root_tweets: DataFrame, created: str = "created_on") -> Data
     return root_tweets.groupBy(F.col("root_id").alias("user_id")).agg(F.max(created).alias("last_tweeted_at"))
 
 
-def normalize_net_user(users: DataFrame, now: str | None = None, exclude_bare=dims.EXCLUDE_BARE) -> DataFrame:
-    """P5: the 20-field vertex shape. Status ``pending``; category/arm null;
-    missing counts -> -99; city = target city when the profile location matches."""
+#: Where each landed shape keeps the fields of a vertex (fixed names of the landed records).
+_USER_SHAPES = {
+    "flat": {"user_id": "user_id", "username": "username", "followers_count": "followers_count",
+             "following_count": "following_count", "tweets_count": "tweets_count"},
+    "api": {"user_id": "id", "username": "username", "followers_count": "public_metrics.followers_count",
+            "following_count": "public_metrics.following_count", "tweets_count": "public_metrics.tweet_count"},
+    "scraper": {"user_id": "id", "username": "screen_name", "followers_count": "followers_count",
+                "following_count": "following_count", "tweets_count": "statuses_count"},
+}
+
+
+def normalize_net_user(users: DataFrame, now: str | None = None, exclude_bare=dims.EXCLUDE_BARE,
+                       shape: str = "flat") -> DataFrame:
+    """P5: the 20-field vertex shape from one of the landed shapes (``flat``, ``api``, ``scraper``; a
+    legacy follower goes through P7 to ``api``). Status ``pending``; category/arm null; missing
+    counts -> -99; city = target city when the profile location matches. ``verified`` and ``created_at``
+    are the record's own (false and null where it has none; a scraper's post-style date becomes ISO)."""
     t = with_city_targets(users, "search_location", exclude_bare, out="__t")
+    at = _USER_SHAPES[shape]
     match = location_match("location", "__t")
-    cnt = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(-99))
+    cnt = lambda c: F.coalesce(F.col(at[c]).cast("bigint"), F.lit(-99)).alias(c)
     ts = F.lit(now).cast("timestamp") if now else F.lit(None).cast("timestamp")
+    verified = F.coalesce(F.col("verified").cast("boolean"), F.lit(False)) if "verified" in users.columns else F.lit(False)
+    created = F.col("created_at").cast("string") if "created_at" in users.columns else F.lit(None).cast("string")
+    if shape == "scraper":
+        created = iso(parse_any_date(created, lenient=True))
     return t.select(
-        "user_id", "username", "description", F.col("location").alias("profile_location"),
-        F.col("search_location").alias("target_location"),
-        cnt("followers_count").alias("followers_count"), cnt("following_count").alias("following_count"),
-        cnt("tweets_count").alias("tweets_count"), F.lit(False).alias("verified"),
-        F.lit(None).cast("timestamp").alias("created_at"), F.lit(None).cast("string").alias("category"),
+        F.col(at["user_id"]).alias("user_id"), F.col(at["username"]).alias("username"), "description",
+        F.col("location").alias("profile_location"), F.col("search_location").alias("target_location"),
+        cnt("followers_count"), cnt("following_count"), cnt("tweets_count"), verified.alias("verified"),
+        created.alias("created_at"), F.lit(None).cast("string").alias("category"),
         F.lit(None).cast("string").alias("treatment_arm"), F.lit("pending").alias("retweeter_status"),
         F.lit(None).cast("timestamp").alias("retweeter_last_processed"), F.lit("pending").alias("follower_status"),
         F.lit(None).cast("timestamp").alias("follower_last_processed"),

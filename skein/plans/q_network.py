@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skein.functions.predicates import location_match, with_city_targets
+from skein.functions.text import iso
 from skein.operators import network as nw
 from skein.operators import enrich as en
 from skein.plans.registry import register, tables
@@ -221,19 +222,70 @@ def j13_user_catalog(spark, sf_dir):
     return en.user_catalog(roots, retweeters, followers, stored)
 
 
-@register("p05_normalize_net_user", f"""
+_P5_NOW = "2025-02-01T00:00:00+00:00"
+_P5_SQL = f"""
 SELECT user_id, username, description, location AS profile_location, search_location AS target_location,
   coalesce(followers_count, -99) AS followers_count, coalesce(following_count, -99) AS following_count,
-  coalesce(tweets_count, -99) AS tweets_count, false AS verified, 'pending' AS retweeter_status,
-  'pending' AS follower_status,
+  coalesce(tweets_count, -99) AS tweets_count, ord % 3 = 0 AS verified,
+  CASE WHEN ord % 7 <> 0 THEN '2015-0' || CAST(1 + ord % 9 AS VARCHAR) || '-11T10:20:30+00:00' END AS created_at,
+  CAST(NULL AS VARCHAR) AS category, CAST(NULL AS VARCHAR) AS treatment_arm, 'pending' AS retweeter_status,
+  CAST(NULL AS VARCHAR) AS retweeter_last_processed, 'pending' AS follower_status,
+  CAST(NULL AS VARCHAR) AS follower_last_processed, CAST(NULL AS VARCHAR) AS last_tweeted_at,
+  '{_P5_NOW}' AS extracted_at, '{_P5_NOW}' AS last_updated,
   CASE WHEN {match_expr('location', 'search_location')} THEN search_location END AS city
-FROM fx_users""")
-def p05_normalize_net_user(spark, sf_dir):
+FROM fx_users"""
+
+
+def _landed_users(spark, sf_dir):
+    """Accounts with a verified flag (missing for some) and a creation time (missing for some)."""
     (users,) = tables(spark, sf_dir, "fx_users")
-    out = nw.normalize_net_user(users)
-    return out.select("user_id", "username", "description", "profile_location", "target_location",
-                      "followers_count", "following_count", "tweets_count", "verified", "retweeter_status",
-                      "follower_status", "city")
+    day = F.concat(F.lit("2015-0"), (F.col("ord") % 9 + 1).cast("string"), F.lit("-11T10:20:30+00:00"))
+    return users.withColumns({
+        "verified": F.when(F.col("ord") % 3 == 0, F.lit(True)).when(F.col("ord") % 3 == 1, F.lit(False)),
+        "created_at": F.when(F.col("ord") % 7 != 0, day)})
+
+
+def _text_times(df):
+    """Times as ISO text, the form both sides of the comparison share."""
+    return df.select(*[iso(f.name).alias(f.name) if f.dataType.typeName() == "timestamp" else f.name
+                       for f in df.schema.fields])
+
+
+@register("p05_normalize_net_user", _P5_SQL)
+def p05_normalize_net_user(spark, sf_dir):
+    return _text_times(nw.normalize_net_user(_landed_users(spark, sf_dir), now=_P5_NOW))
+
+
+@register("p05_api_shape", _P5_SQL)
+def p05_api_shape(spark, sf_dir):
+    """The same accounts landed by the API: nested metrics, ``id``."""
+    u = _landed_users(spark, sf_dir).select(
+        F.col("user_id").alias("id"), "username", "description", "location", "search_location", "verified", "created_at",
+        F.struct("followers_count", "following_count", F.col("tweets_count").alias("tweet_count")).alias("public_metrics"))
+    return _text_times(nw.normalize_net_user(u, now=_P5_NOW, shape="api"))
+
+
+@register("p05_scraper_shape", _P5_SQL)
+def p05_scraper_shape(spark, sf_dir):
+    """The same accounts landed by the scraper: ``screen_name``, ``statuses_count``, post-style dates."""
+    posted = F.date_format(F.to_timestamp("created_at"), "EEE MMM dd HH:mm:ss '+0000' yyyy")
+    u = _landed_users(spark, sf_dir).select(
+        F.col("user_id").alias("id"), F.col("username").alias("screen_name"), "description", "location", "search_location",
+        "verified", posted.alias("created_at"), "followers_count", "following_count",
+        F.col("tweets_count").alias("statuses_count"))
+    return _text_times(nw.normalize_net_user(u, now=_P5_NOW, shape="scraper"))
+
+
+@register("p07_legacy_follower", _P5_SQL)
+def p07_legacy_follower(spark, sf_dir):
+    """Legacy follower records renamed to the API shape (P7), then normalised (P5)."""
+    from skein.operators.normalize import legacy_follower_to_v2
+    u = _landed_users(spark, sf_dir)
+    old = u.select(F.col("user_id").alias("id_str"), F.col("username").alias("screen_name"), "name", "description",
+                   "location", "followers_count", F.col("following_count").alias("friends_count"),
+                   F.col("tweets_count").alias("statuses_count"))
+    extra = u.select(F.col("user_id").alias("id"), "search_location", "verified", "created_at")
+    return _text_times(nw.normalize_net_user(legacy_follower_to_v2(old).join(extra, "id"), now=_P5_NOW, shape="api"))
 
 
 @register("p06_normalize_net_tweet", """
