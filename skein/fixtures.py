@@ -14,6 +14,16 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Words of the invented texts that stand for topic words in the classification queries.
+KEYWORDS = {
+    "environment or pollution": ["environment", "pollution", "air", "smog", "the"],
+    "environmental research": ["research", "science", "university", "of"],
+    "politician or policymaker": ["politics", "government", "minister", "de"],
+    "nonprofit organization": ["ngo", "nonprofit", "charity", "and"],
+    "news outlet or journalist": ["news", "journalist", "media", "la"],
+    "healthcare professional": ["doctor", "health", "nurse", "der"],
+}
+
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",

@@ -1,12 +1,11 @@
 """Small fixed dimensions (cities, aliases, languages, labels, keyword lists).
 
-They are data, not code: each list is exposed as a tiny DataFrame (a few dozen
-rows, a proven size bound) that may be broadcast, or as a literal array Column.
+They are data, not code: each list is a few dozen literals inside expressions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -111,42 +110,6 @@ def city_targets(city: str, exclude_bare: list[str] | None = EXCLUDE_BARE) -> li
     return bare + [alias for alias, main in ALIASES.items() if main == city]
 
 
-def _sql_str(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _inline(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A small literal table planned as a local relation (no job, no Python worker)."""
-    def lit_sql(v):
-        if isinstance(v, list):
-            return "array(" + ", ".join(_sql_str(x) for x in v) + ")" if v else "CAST(array() AS ARRAY<STRING>)"
-        return _sql_str(v)
-    values = ", ".join("(" + ", ".join(lit_sql(v) for v in r) + ")" for r in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(names)})")
-
-
-def city_targets_df(spark: SparkSession, exclude_bare: list[str] | None = EXCLUDE_BARE) -> DataFrame:
-    """One row per city: (city, targets ARRAY<STRING>). 32 rows, safe to broadcast."""
-    return _inline(spark, [(c, city_targets(c, exclude_bare)) for c in CITIES], ["city", "targets"])
-
-
-def alias_df(spark: SparkSession) -> DataFrame:
-    """alias -> main city (J8/P28); 20 rows."""
-    return _inline(spark, sorted(ALIASES.items()), ["alias", "city"])
-
-
-def city_lang_df(spark: SparkSession) -> DataFrame:
-    return _inline(spark, sorted(CITY_LANGS.items()), ["city", "lang"])
-
-
-def cities_df(spark: SparkSession, pilot_only: bool = False) -> DataFrame:
-    return _inline(spark, [(c,) for c in (PILOT_CITIES if pilot_only else CITIES)], ["city"])
-
-
-def account_types_df(spark: SparkSession) -> DataFrame:
-    return _inline(spark, [(t,) for t in ACCOUNT_TYPES], ["account_type"])
-
-
 def lit_array(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 

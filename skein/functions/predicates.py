@@ -61,11 +61,6 @@ def qualifies_as_root(city: ColumnOrName, target_location: ColumnOrName,
                       & (_c(tweets) > 0), F.lit(False))
 
 
-def qualify_root(users: DataFrame, existing: DataFrame, key: str = "user_id") -> DataFrame:
-    fresh = users.join(existing.select(key), key, "left_anti")
-    return fresh.filter(qualifies_as_root("city", "target_location", "followers_count", "tweets_count"))
-
-
 # any keyword equals a whitespace token of the name, else of the description.
 def list_relevant(name: ColumnOrName, description: ColumnOrName) -> Column:
     kw = dims.lit_array(dims.LIST_KEYWORDS)

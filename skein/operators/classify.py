@@ -24,15 +24,6 @@ from skein.functions import dims
 from skein.functions.predicates import is_relevant_label
 from skein.functions.text import classification_text, words
 
-# Demonstration keyword table for the built-in scorer (a parameter, not a reference value).
-DEFAULT_KEYWORDS: dict[str, list[str]] = {
-    "environment or pollution": ["environment", "pollution", "air", "smog", "the"],
-    "environmental research": ["research", "science", "university", "of"],
-    "politician or policymaker": ["politics", "government", "minister", "de"],
-    "nonprofit organization": ["ngo", "nonprofit", "charity", "and"],
-    "news outlet or journalist": ["news", "journalist", "media", "la"],
-    "healthcare professional": ["doctor", "health", "nurse", "der"],
-}
 OTHER_BASELINE = 0.5  # "other" wins only when no label keyword occurs
 
 
@@ -41,23 +32,21 @@ def argmax_label(scores: Column, labels: list[str]) -> Column:
     return F.element_at(dims.lit_array(labels), F.array_position(scores, F.array_max(scores)).cast("int"))
 
 
-def keyword_scores(texts: DataFrame, key: str, text: str, labels: list[str] = dims.ZERO_SHOT_LABELS,
-                   keywords: dict[str, list[str]] | None = None) -> DataFrame:
+def keyword_scores(texts: DataFrame, key: str, text: str, keywords: dict[str, list[str]],
+                   labels: list[str] = dims.ZERO_SHOT_LABELS) -> DataFrame:
     """M1 (built-in scorer): per key, an array of label scores in ``labels`` order.
 
-    ``texts`` holds any number of text rows per key (description, posts).
+    ``texts`` holds any number of text rows per key (description, posts); ``keywords`` lists the words
+    of each label. One pass over a text's words finds the listed ones; labels are counted among those.
     """
-    kw = keywords or DEFAULT_KEYWORDS
-    toks = F.col("__w")
+    listed = sorted({w for lab in labels for w in keywords.get(lab, [])})
+    hits = F.filter(words(F.coalesce(F.col(text), F.lit(""))), lambda w: w.isin(listed))
+    found = texts.select(F.col(key), hits.alias("__w"))
 
-    def hits(ks: list[str]) -> Column:
-        if not ks:
-            return F.lit(0)
-        arr = dims.lit_array(ks)
-        return F.size(F.filter(toks, lambda w: F.array_contains(arr, w)))
+    def count(ks: list[str]) -> Column:
+        return F.size(F.filter("__w", lambda w: w.isin(ks))) if ks else F.lit(0)
 
-    tokenised = texts.select(F.col(key), words(F.coalesce(F.col(text), F.lit(""))).alias("__w"))
-    per_row = tokenised.select(F.col(key), *[hits(kw.get(lab, [])).alias(f"__s{i}") for i, lab in enumerate(labels)])
+    per_row = found.select(key, *[count(keywords.get(lab, [])).alias(f"__s{i}") for i, lab in enumerate(labels)])
     agg = per_row.groupBy(key).agg(*[F.sum(f"__s{i}").cast("double").alias(f"__s{i}") for i in range(len(labels))])
     scores = [F.col(f"__s{i}") if lab != "other" else F.lit(OTHER_BASELINE) for i, lab in enumerate(labels)]
     return agg.select(key, F.array(*scores).alias("scores"))
@@ -111,34 +100,33 @@ def user_texts(users: DataFrame, tweets: DataFrame, key: str = "user_id", author
     return d.unionByName(t)
 
 
-def classify_users(users: DataFrame, tweets: DataFrame, labels: list[str] = dims.ZERO_SHOT_LABELS,
-                   keywords: dict[str, list[str]] | None = None, key: str = "user_id") -> DataFrame:
+def classify_users(users: DataFrame, tweets: DataFrame, keywords: dict[str, list[str]],
+                   labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id") -> DataFrame:
     """M1 + M2 for every user of ``users`` (users without text score as 'other')."""
     texts = user_texts(users, tweets.join(users.select(F.col(key).alias("author_id")), "author_id", "left_semi"))
-    scored = keyword_scores(texts, key, "text", labels, keywords)
+    scored = keyword_scores(texts, key, "text", keywords, labels)
     return assign_label(users.select(key).join(scored, key, "left").withColumn(
         "scores", F.coalesce("scores", F.array(*[F.lit(0.0) if lab != "other" else F.lit(OTHER_BASELINE)
                                                   for lab in labels]))), labels)
 
 
-def classify_incremental(users: DataFrame, tweets: DataFrame, previous: DataFrame,
-                         labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id",
-                         keywords: dict[str, list[str]] | None = None) -> DataFrame:
+def classify_incremental(users: DataFrame, tweets: DataFrame, previous: DataFrame, keywords: dict[str, list[str]],
+                         labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id") -> DataFrame:
     """M3: dedupe users, skip those already classified, classify the rest,
     union with the previous result and drop identical records."""
     from skein.operators.dedupe import dedupe_whole, unique_by
     u = unique_by(users, key, ["ord"]) if "ord" in users.columns else users.dropDuplicates([key])
     todo = u.join(previous.select(key), key, "left_anti")
-    new = classify_users(todo, tweets, labels, keywords, key).select(key, "content_labels", "content_is_relevant")
+    new = classify_users(todo, tweets, keywords, labels, key).select(key, "content_labels", "content_is_relevant")
     return dedupe_whole(previous.select(key, "content_labels", "content_is_relevant").unionByName(new))
 
 
-def reclassify_all(users: DataFrame, tweets: DataFrame, labels: list[str] = dims.ZERO_SHOT_LABELS,
-                   key: str = "user_id", keywords: dict[str, list[str]] | None = None) -> DataFrame:
+def reclassify_all(users: DataFrame, tweets: DataFrame, keywords: dict[str, list[str]],
+                   labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id") -> DataFrame:
     """M4: classify every user again (no skip); the caller overwrites the output."""
     from skein.operators.dedupe import unique_by
     first = unique_by(users, key, ["ord"]) if "ord" in users.columns else users.dropDuplicates([key])
-    return classify_users(first, tweets, labels, keywords, key)
+    return classify_users(first, tweets, keywords, labels, key)
 
 
 def score_with_prompts(df: DataFrame, key: str, prompt: str, client: Callable[[str], str]) -> DataFrame:

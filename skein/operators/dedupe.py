@@ -65,9 +65,9 @@ def unique_by(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
     return keep_first(df.filter(F.col(key).isNotNull()), [key], order)
 
 
-def merge_pages(df: DataFrame, key: str, page: str = "page", pos: str = "pos") -> DataFrame:
+def merge_pages(df: DataFrame, key: str | list[str], page: str = "page", pos: str = "pos") -> DataFrame:
     """D5 + D6: the last page wins per id; inside a page the first record wins."""
-    return keep_first(df, [key], [-F.col(page), F.col(pos)])
+    return keep_first(df, [key] if isinstance(key, str) else key, [-F.col(page), F.col(pos)])
 
 
 def first_occurrence(df: DataFrame, key: str, order: list[Column | str]) -> DataFrame:

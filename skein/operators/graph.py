@@ -55,6 +55,11 @@ def vertex_attributes(edges: DataFrame, policy: str = "first") -> DataFrame:
     return pick(both, ["id"], ["ord", "pos", "side"]).select("id", "username", "followers")
 
 
+def endpoints(edges: DataFrame) -> DataFrame:
+    """The vertices that the edges name (``id``), without attributes."""
+    return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+
+
 def build_graph(edges: DataFrame, kind: str = "retweet") -> tuple[DataFrame, DataFrame]:
     """(vertices, weighted edges)."""
     v = vertex_attributes(edges, "first")
@@ -92,7 +97,11 @@ def render_attributes(deg: DataFrame, edges: DataFrame, label_min_degree: int =
     return nodes, widths
 
 
-def _normalised_edges(edges: DataFrame, parts: int) -> tuple[DataFrame, DataFrame, bool]:
+#: Edges that one PageRank task is meant to hold.
+EDGES_PER_TASK = 2_000_000
+
+
+def _normalised_edges(edges: DataFrame, parts: int | None) -> tuple[DataFrame, DataFrame, bool, int]:
     """Right-stochastic weights (w / out-weight of the source), salted against hot sources.
 
     A source whose out-degree exceeds the average edges per task gets
@@ -101,24 +110,26 @@ def _normalised_edges(edges: DataFrame, parts: int) -> tuple[DataFrame, DataFram
     (src, bucket) once, so no task holds all edges of a celebrity source and the
     per-iteration join never reshuffles the edge table.
     When no source is hot, edges are simply partitioned by src (bucket 0).
-    Returns (edges: src, dst, p, bucket; sources: src, __out, salt; salted?).
+    Without ``parts`` their number follows from the number of edges.
+    Returns (edges: src, dst, p, bucket; sources: src, __out, salt; salted?; parts).
     """
     e = edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w"))
-    out = e.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__deg")).persist()
+    out = e.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__deg")).checkpoint(eager=True)
     agg = out.agg(F.sum("__deg").alias("t"), F.max("__deg").alias("m")).first()
     total, top = agg["t"] or 0, agg["m"] or 0
+    parts = parts or max(edges.sparkSession.sparkContext.defaultParallelism, -(-total // EDGES_PER_TASK))
     per_task = max(1, -(-total // parts))
     if top <= per_task:
         norm = e.join(out, "src").select("src", "dst", (F.col("w") / F.col("__out")).alias("p"),
                                           F.lit(0).alias("bucket"))
-        return norm.repartition(parts, "src"), out.select("src", "__out", F.lit(1).alias("salt")), False
+        return norm.repartition(parts, "src"), out.select("src", "__out", F.lit(1).alias("salt")), False, parts
     src = out.select("src", "__out", F.least(F.lit(parts), F.ceil(F.col("__deg") / F.lit(per_task)))
                      .cast("int").alias("salt"))
     norm = e.join(src, "src").select(
         "src", "dst", (F.col("w") / F.col("__out")).alias("p"),
         F.when(F.col("salt") > 1, F.pmod(F.xxhash64("dst"), F.col("salt"))).otherwise(F.lit(0)).cast("int")
         .alias("bucket"))
-    return norm.repartition(parts, "src", "bucket"), src, True
+    return norm.repartition(parts, "src", "bucket"), src, True, parts
 
 
 def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
@@ -143,8 +154,7 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
     """
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e_raw, srcs, salted = _normalised_edges(edges, parts)
+    e_raw, srcs, salted, parts = _normalised_edges(edges, partitions)
     # Reliable copy first (cuts lineage), then a cached copy whose hash
     # partitioning the planner knows (a checkpoint read does not carry it).
     e_keys = ["src", "bucket"] if salted else ["src"]
@@ -210,10 +220,20 @@ def pagerank(vertices: DataFrame | None, edges: DataFrame, alpha: float = 0.85,
     return result
 
 
+def edges_touching(edges: DataFrame, top: DataFrame) -> DataFrame:
+    """Edges with an end among the few ids of a top-k report (k literals, so the filter reaches the scan)."""
+    ids = [r["id"] for r in top.select("id").collect()]
+    return edges.filter(F.col("source").isin(ids) | F.col("target").isin(ids))
+
+
+def top_ranks(ranks: DataFrame, k: int = 3) -> DataFrame:
+    """The k highest ranks (ties by id)."""
+    return ranks.orderBy(F.col("rank").desc(), F.col("id").asc()).limit(k)
+
+
 def top_influencers(ranks: DataFrame, vertices: DataFrame, k: int = 3) -> DataFrame:
     """The k highest ranks with username and followers (ties by id)."""
-    top = ranks.orderBy(F.col("rank").desc(), F.col("id").asc()).limit(k)
-    return top.join(vertices.select("id", "username", "followers"), "id", "left")
+    return top_ranks(ranks, k).join(vertices.select("id", "username", "followers"), "id", "left")
 
 
 def snowball(edges: DataFrame, users: DataFrame, seeds: DataFrame, hops: int,
@@ -230,6 +250,7 @@ def snowball(edges: DataFrame, users: DataFrame, seeds: DataFrame, hops: int,
     ensure_checkpoint_dir(edges.sparkSession)
     rule = qualifies or (lambda df: df.filter(qualifies_as_root("city", "target_location",
                                                                 "followers_count", "tweets_count")))
+    edges = edges.select("source", "target").distinct().checkpoint(eager=True)  # read once per hop
     visited = seeds.select("user_id", F.lit(0).alias("hop")).distinct().checkpoint(eager=True)
     frontier = visited.select("user_id")
     for h in range(1, hops + 1):

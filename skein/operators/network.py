@@ -196,11 +196,12 @@ _USER_SHAPES = {
 
 
 def normalize_net_user(users: DataFrame, now: str | None = None, exclude_bare=dims.EXCLUDE_BARE,
-                       shape: str = "flat") -> DataFrame:
+                       shape: str = "flat", keep: list[str] = ()) -> DataFrame:
     """P5: the 20-field vertex shape from one of the landed shapes (``flat``, ``api``, ``scraper``; a
     legacy follower goes through P7 to ``api``). Status ``pending``; category/arm null; missing
     counts -> -99; city = target city when the profile location matches. ``verified`` and ``created_at``
-    are the record's own (false and null where it has none; a scraper's post-style date becomes ISO)."""
+    are the record's own (false and null where it has none; a scraper's post-style date becomes ISO).
+    ``keep`` names columns that stay in front of them."""
     t = with_city_targets(users, "search_location", exclude_bare, out="__t")
     at = _USER_SHAPES[shape]
     match = location_match("location", "__t")
@@ -211,7 +212,7 @@ def normalize_net_user(users: DataFrame, now: str | None = None, exclude_bare=di
     if shape == "scraper":
         created = iso(parse_any_date(created, lenient=True))
     return t.select(
-        F.col(at["user_id"]).alias("user_id"), F.col(at["username"]).alias("username"), "description",
+        *keep, F.col(at["user_id"]).alias("user_id"), F.col(at["username"]).alias("username"), "description",
         F.col("location").alias("profile_location"), F.col("search_location").alias("target_location"),
         cnt("followers_count"), cnt("following_count"), cnt("tweets_count"), verified.alias("verified"),
         created.alias("created_at"), F.lit(None).cast("string").alias("category"),
@@ -222,10 +223,10 @@ def normalize_net_user(users: DataFrame, now: str | None = None, exclude_bare=di
         F.when(match, F.col("search_location")).alias("city"))
 
 
-def normalize_net_tweet(tweets: DataFrame) -> DataFrame:
+def normalize_net_tweet(tweets: DataFrame, keep: list[str] = ()) -> DataFrame:
     """5 fields; ``like_count`` -> ``favorite_count``, missing -> 0."""
     fav = F.col("like_count") if "like_count" in tweets.columns else F.lit(None)
     rt = F.col("retweet_count") if "retweet_count" in tweets.columns else F.lit(None)
-    return tweets.select("tweet_id", "tweet_text", F.col("created_on").alias("created_at"),
+    return tweets.select(*keep, "tweet_id", "tweet_text", F.col("created_on").alias("created_at"),
                          F.coalesce(rt.cast("bigint"), F.lit(0)).alias("retweet_count"),
                          F.coalesce(fav.cast("bigint"), F.lit(0)).alias("favorite_count"))

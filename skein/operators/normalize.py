@@ -8,6 +8,7 @@ no broadcast is needed.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,15 +72,16 @@ def legacy_follower_to_v2(df: DataFrame) -> DataFrame:
                                           F.col("statuses_count").alias("tweet_count")).alias("public_metrics"))
 
 
-def conform_users(df: DataFrame, list_expansion: bool) -> DataFrame:
+def conform_users(df: DataFrame, list_expansion: bool, keep: list[str] = ()) -> DataFrame:
     """P9 + F9 + P8 + P26: add missing columns as null, keep the 14 user columns,
-    drop rows without user_id or relevance, attach URL and expansion flag."""
+    drop rows without user_id or relevance, attach URL and expansion flag; ``keep`` names further columns
+    to carry along."""
     cols = []
     for c in CLEAN_USER_COLUMNS:
         cols.append(F.col(c) if c in df.columns else F.lit(None).cast(
             "bigint" if c.endswith("_count") else "array<string>" if c == "tweets" else
             "boolean" if c == "content_is_relevant" else "string").alias(c))
-    out = df.select(*cols, F.col("search_location"))
+    out = df.select(*cols, F.col("search_location"), *keep)
     out = out.dropna(subset=["user_id", "content_is_relevant"])
     return out.withColumn("user_url", user_url("username")).withColumn("list_expansion", F.lit(list_expansion))
 
@@ -144,30 +146,41 @@ def render_alias_queries(cities: DataFrame, city: str, date_range: str) -> DataF
     return m.filter(t.isNotNull()).select(city, "account_type", F.concat(q, F.lit(" " + date_range)).alias("query"))
 
 
-def template_terms(template: str) -> list[str]:
-    """Search terms of one template: OR-separated words/phrases without the city slot."""
-    body = template.replace("-is:retweet", " ")
-    parts = re.split(r"\bOR\b|\n", body)
-    terms = []
-    for p in parts:
-        t = re.sub(r"[()\"]", " ", p).replace("location", " ")
-        t = " ".join(t.split()).lower()
-        if t and t not in terms:
-            terms.append(t)
-    return terms
+def _plain(text: Column) -> Column:
+    """Lower-cased words parted by single blanks, with a blank at both ends."""
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " ")), F.lit(" "))
+
+
+def template_terms(template: str) -> list[list[str]]:
+    """Alternatives of one search template (parted by OR); each lists the words and quoted phrases
+    that must all occur. The city slot is left to the caller."""
+    out = []
+    for part in re.split(r"\bOR\b", template.replace("-is:retweet", " ")):
+        terms = re.findall(r'"([^"]+)"', part) + re.sub(r'"[^"]*"', " ", part).replace("location", " ").split()
+        plain = [" ".join(re.findall(r"[^\W_]+", t.lower())) for t in terms]
+        if any(plain):
+            out.append([t for t in plain if t])
+    return out
 
 
 def topic_match(posts: DataFrame, text: str, lang: str, city: Column | None = None) -> DataFrame:
-    """F13 (search query re-aimed as a predicate): tag an original post with every
-    account type whose template (in the post's language) has a term inside the
-    text; with ``city`` the city name must occur too. Returns one row per (post, type).
+    """F13 (search query re-aimed as a predicate): tag an original post with every account type of
+    which, in the post's language, one alternative has all its words and phrases in the text as whole
+    words; with ``city`` the city's name must occur too. Returns one row per (post, type).
+
+    The list of types is built beside the text, so the text is never copied per type.
     """
-    rows = {f"{lg}|{t}": template_terms(q) for lg, ts in dims.QUERY_TEMPLATES.items() for t, q in ts.items()}
-    terms = F.create_map(*[x for k, v in rows.items() for x in (F.lit(k), dims.lit_array(v))])
-    low = F.lower(F.col(text))
-    e = posts.filter(is_original(text)).select("*", F.explode(dims.lit_array(dims.ACCOUNT_TYPES)).alias("account_type"))
-    ts = F.element_at(terms, F.concat_ws("|", F.col(lang), F.col("account_type")))
-    hit = F.coalesce(F.exists(ts, lambda t: F.contains(low, t)), F.lit(False))
-    if city is not None:
-        hit = hit & F.contains(low, F.lower(city))
-    return e.filter(hit).select("tweet_id", "account_type")
+    def has(term: str) -> Column:
+        return F.contains(F.col("__plain"), F.lit(f" {term} "))
+
+    def hit(template: str) -> Column:
+        return reduce(Column.__or__, [reduce(Column.__and__, map(has, alt)) for alt in template_terms(template)])
+
+    here = F.lit(True) if city is None else F.coalesce(F.contains(F.col("__plain"), F.col("__city")), F.lit(False))
+    types = F.array_compact(F.array(*[
+        F.when(here & (F.col("__lang") == lg) & hit(q), F.lit(t))
+        for lg, ts in dims.QUERY_TEMPLATES.items() for t, q in ts.items()]))
+    plain = posts.filter(is_original(text)).select(
+        "tweet_id", F.col(lang).alias("__lang"), _plain(F.col(text)).alias("__plain"),
+        (F.lit("") if city is None else _plain(city)).alias("__city"))
+    return plain.select("tweet_id", F.explode(types).alias("account_type"))

@@ -25,10 +25,8 @@ def filter_lists(lists: DataFrame) -> DataFrame:
 
 def tabulate_city(users: DataFrame, list_expansion: bool = False) -> DataFrame:
     """Conform user records (P9, F9, P8, P26) and keep one row per user (D3)."""
-    c = nm.conform_users(users, list_expansion)
-    order = ["ord"] if "ord" in users.columns else ["user_id"]
-    if "ord" in users.columns:
-        c = c.join(users.select("user_id", "ord"), "user_id")
+    c = nm.conform_users(users, list_expansion, keep=[c for c in ("ord",) if c in users.columns])
+    order = ["ord"] if "ord" in users.columns else [c for c in c.columns if c != "user_id"]
     return dd.unique_by(c, "user_id", order)
 
 
@@ -50,17 +48,19 @@ def edges_and_stats(roots, root_tweets, retweeters, followers) -> dict[str, Data
             "medians": nw.network_medians(stats), "query_shares": nw.query_shares(root_tweets)}
 
 
-def graph_report(edges: DataFrame, kind: str = "retweet", k: int = 3) -> dict[str, DataFrame]:
+def graph_report(edges: DataFrame, kind: str = "retweet", k: int = 3,
+                 fixed_iterations: int | None = None) -> dict[str, DataFrame]:
     """Graph (G2), counts/density/average degree (G3, G4, G6), PageRank (G7), top k."""
     v, e = gr.build_graph(edges, kind)
-    ranks = gr.pagerank(v.select("id"), e)
-    return {"vertices": v, "edges": e, "counts": gr.graph_counts(v, e), "degree": gr.degree(e),
+    ranks = gr.pagerank(None, e, fixed_iterations=fixed_iterations)
+    return {"vertices": v, "edges": e, "counts": gr.graph_counts(gr.endpoints(e), e), "degree": gr.degree(e),
             "pagerank": ranks, "top": gr.top_influencers(ranks, v, k)}
 
 
-def classify_slice(users: DataFrame, tweets: DataFrame, previous: DataFrame) -> DataFrame:
+def classify_slice(users: DataFrame, tweets: DataFrame, previous: DataFrame,
+                   keywords: dict[str, list[str]]) -> DataFrame:
     """L1 (classification half): dedupe, skip done, score, label, union (M3)."""
-    return cl.classify_incremental(users, tweets, previous)
+    return cl.classify_incremental(users, tweets, previous, keywords)
 
 
 def export_typed(roots, root_tweets, retweeters, followers) -> dict[str, DataFrame]:
@@ -80,22 +80,22 @@ def pending_texts(roots: DataFrame, root_tweets: DataFrame) -> DataFrame:
 
 
 def run_matrix(users: DataFrame, tweets: DataFrame, previous: DataFrame, total_budget: int,
-               skip: list[str] | None = None) -> dict[str, DataFrame]:
+               keywords: dict[str, list[str]], skip: list[str] | None = None) -> dict[str, DataFrame]:
     """L2: the city x account-type run as one job: city and type are columns, the
     request budget is shared per type (W9), a type can be skipped (F16), and each
     slice is classified (L1) and tabulated (L5)."""
     from skein.functions.predicates import skip_types
     u = users.filter(skip_types("search_account_type", skip or []))
     budgets = an.even_split(u.select("search_account_type").distinct(), total_budget, "search_account_type")
-    labelled = cl.classify_incremental(u, tweets, previous)
+    labelled = cl.classify_incremental(u, tweets, previous, keywords)
     table = tabulate_city(u.drop("content_labels", "content_is_relevant")
                           .join(labelled, "user_id", "left"))
     return {"budgets": budgets, "classified": labelled, "table": table}
 
 
-def reclassify(users: DataFrame, tweets: DataFrame) -> DataFrame:
+def reclassify(users: DataFrame, tweets: DataFrame, keywords: dict[str, list[str]]) -> DataFrame:
     """L4: reclassify normal / expanded / manually added users (M4) and tabulate."""
-    labelled = cl.reclassify_all(users, tweets)
+    labelled = cl.reclassify_all(users, tweets, keywords)
     return tabulate_city(users.drop("content_labels", "content_is_relevant").join(labelled, "user_id", "left"))
 
 
@@ -112,14 +112,22 @@ def extra_tweets(tweets: DataFrame, users: DataFrame) -> DataFrame:
 
 def root_network(users: DataFrame, processed: DataFrame, pages: dict[str, list[DataFrame]]) -> dict[str, DataFrame]:
     """Matched city users (F11) not processed yet (J5) -> landed pages of their
-    posts / followers / retweeters merged (S11) -> vertex and post shapes (P5/P6)."""
+    posts / followers / retweeters merged (S11) -> vertex and post shapes (P5/P6).
+
+    Pages carry ``root_id``, ``page`` and ``pos``; the outputs are appended by the caller (K2).
+    """
     from skein.operators.enrich import unprocessed
     from skein.sources.readers import land_pages
     todo = unprocessed(an.matched_city_users(users), processed)
     out = {"todo": todo}
-    for kind, key in (("tweets", "tweet_id"), ("followers", "user_id"), ("retweeters", "user_id")):
+    roots = todo.select(F.col("user_id").alias("root_id"), "search_location")
+    if pages.get("tweets"):
+        posts = land_pages(pages["tweets"], ["root_id", "tweet_id"]).join(roots, "root_id", "left_semi")
+        out["tweets"] = nw.normalize_net_tweet(posts, keep=["root_id"])
+    for kind, keys in (("followers", ["root_id", "user_id"]), ("retweeters", ["root_id", "tweet_id", "user_id"])):
         if pages.get(kind):
-            out[kind] = land_pages(pages[kind], key)
+            people = land_pages(pages[kind], keys).join(roots, "root_id")
+            out[kind] = nw.normalize_net_user(people, keep=[k for k in keys if k != "user_id"])
     return out
 
 

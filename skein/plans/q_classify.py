@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from skein.fixtures import KEYWORDS
 from skein.functions import dims
 from skein.functions.text import parse_category, render_prompt
 from skein.operators import classify as cl
@@ -18,7 +19,7 @@ PROMPT = "Description:\nuser_description\nPosts:\nuser_tweets\nAnswer as {\"cate
 def _score_sql(todo: str) -> str:
     """SQL of the keyword scorer over the users of CTE ``todo``: CTE ``lab`` (user_id, content_labels)."""
     sums = ",\n  ".join(
-        f"CAST(sum(len(list_filter(w, lambda x: list_contains({list(cl.DEFAULT_KEYWORDS[lab])}, x)))) AS DOUBLE) AS s{i}"
+        f"CAST(sum(len(list_filter(w, lambda x: list_contains({list(KEYWORDS[lab])}, x)))) AS DOUBLE) AS s{i}"
         for i, lab in enumerate(LABELS) if lab != "other")
     arr = ", ".join([f"coalesce(p.s{i}, 0.0)" for i, lab in enumerate(LABELS) if lab != "other"] + ["0.5"])
     return f"""
@@ -36,7 +37,7 @@ SELECT user_id, {", ".join(f"scores[{i + 1}] AS s{i}" for i in range(len(LABELS)
 def m01_keyword_scores(spark, sf_dir):
     users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
     texts = cl.user_texts(users, tweets.join(users.select(F.col("user_id").alias("author_id")), "author_id", "left_semi"))
-    s = cl.keyword_scores(texts, "user_id", "text", LABELS)
+    s = cl.keyword_scores(texts, "user_id", "text", KEYWORDS, LABELS)
     base = F.array(*[F.lit(0.0) if lab != "other" else F.lit(cl.OTHER_BASELINE) for lab in LABELS])
     s = users.select("user_id").join(s, "user_id", "left").withColumn("scores", F.coalesce("scores", base))
     return s.select("user_id", *[F.col("scores")[i].alias(f"s{i}") for i in range(len(LABELS))])
@@ -48,7 +49,7 @@ SELECT user_id, content_labels, content_labels <> 'other' AS content_is_relevant
 def m02_assign_label(spark, sf_dir):
     """M1 + M2 (A15 arg-max, F10) over every account; all accounts kept."""
     users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
-    return cl.classify_users(users.select("user_id", "description"), tweets).select(
+    return cl.classify_users(users.select("user_id", "description"), tweets, KEYWORDS).select(
         "user_id", "content_labels", "content_is_relevant")
 
 
@@ -67,16 +68,19 @@ def m03_classify_incremental(spark, sf_dir):
     prev = labels.select(F.col("doc_id").cast("string").alias("user_id"),
                          F.when(F.col("quality") == 1, "environmental research").otherwise("other").alias("content_labels"),
                          (F.col("quality") == 1).alias("content_is_relevant"))
-    return cl.classify_incremental(users.select("user_id", "description", "ord"), tweets, prev)
+    return cl.classify_incremental(users.select("user_id", "description", "ord"), tweets, prev, KEYWORDS)
 
 
 @register("m04_reclassify_relevant", f"""
 WITH todo AS (SELECT user_id, description FROM fx_users), {_score_sql('todo')}
 SELECT user_id, content_labels FROM lab WHERE content_labels <> 'other'""")
 def m04_reclassify_relevant(spark, sf_dir):
-    """M4 with the optional relevance filter switched on (F18 off)."""
+    """M4 with the optional relevance filter switched on (F18 off). Every account is landed twice; its
+    first record counts."""
     users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
-    out = cl.reclassify_all(users.select("user_id", "description", "ord"), tweets)
+    once = users.select("user_id", "description", "ord")
+    again = once.withColumns({"description": F.lit("the of and"), "ord": F.col("ord") + (1 << 40)})
+    out = cl.reclassify_all(once.unionByName(again), tweets, KEYWORDS)
     return out.filter("content_is_relevant").select("user_id", "content_labels")
 
 

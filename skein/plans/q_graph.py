@@ -69,8 +69,9 @@ SELECT nodes, edges, CASE WHEN nodes < 2 THEN 0.0 ELSE CAST(edges AS DOUBLE) / (
   CAST(2 * edges AS DOUBLE) / nullif(nodes, 0) AS average_degree FROM c""")
 def g03_graph_counts(spark, sf_dir):
     """G3 + G4 + G6: nodes, edges, density, average degree of the retweet graph."""
-    v, e = gr.build_graph(interaction_edges(spark, sf_dir), "retweet")
-    return gr.graph_counts(v, e)
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    e = inter.select(F.col("source").alias("src"), F.col("target").alias("dst")).distinct()
+    return gr.graph_counts(gr.endpoints(e), e)
 
 
 @register("g05_degree", """
@@ -78,7 +79,7 @@ WITH e AS (SELECT DISTINCT source AS src, target AS dst FROM fx_interactions)
 SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) x GROUP BY id""")
 def g05_degree(spark, sf_dir):
     (inter,) = tables(spark, sf_dir, "fx_interactions")
-    return gr.degree(gr.retweet_weights(inter))
+    return gr.degree(inter.select(F.col("source").alias("src"), F.col("target").alias("dst")))
 
 
 @register("p25_render_attributes", """
@@ -92,6 +93,15 @@ def p25_render_attributes(spark, sf_dir):
     return nodes
 
 
+@register("p25_edge_widths", """
+SELECT source AS src, target AS dst, count(*) * 2 AS width FROM fx_interactions GROUP BY 1, 2""")
+def p25_edge_widths(spark, sf_dir):
+    (inter,) = tables(spark, sf_dir, "fx_interactions")
+    e = gr.retweet_weights(inter)
+    _, widths = gr.render_attributes(gr.degree(e), e)
+    return widths
+
+
 def pagerank_sql(iterations: int = PAGERANK_ITERATIONS, alpha: float = 0.85) -> str:
     """Unrolled fixed-iteration PageRank as plain SQL (the oracle)."""
     ctes = ["""e AS (SELECT source AS src, target AS dst, CAST(count(*) AS DOUBLE) AS w FROM fx_interactions GROUP BY 1, 2)""",
@@ -130,9 +140,9 @@ u AS (SELECT user_id, username, followers_count FROM fx_users)
 SELECT t.id, round(t.rank, 8) AS rank, u.username, u.followers_count AS followers
 FROM top t LEFT JOIN u ON u.user_id = t.id"""))
 def g08_top_influencers(spark, sf_dir):
-    ranks = _retweet_graph_ranks(spark, sf_dir)
-    v = gr.vertex_attributes(interaction_edges(spark, sf_dir), "first")
-    top = gr.top_influencers(ranks, v, 3)
+    top = gr.top_ranks(_retweet_graph_ranks(spark, sf_dir), 3)
+    v = gr.vertex_attributes(gr.edges_touching(interaction_edges(spark, sf_dir), top), "first")
+    top = gr.top_influencers(top, v, 3)
     return top.select("id", F.round("rank", 8).alias("rank"), "username", "followers")
 
 
@@ -162,5 +172,5 @@ def g17_snowball_2hops(spark, sf_dir):
     seeds = supplier.select(F.col("s_suppkey").cast("string").alias("user_id"))
     people = normalize_net_user(users).select("user_id", "target_location", "followers_count",
                                               "tweets_count", "city")
-    return gr.snowball(inter.select("source", "target").distinct(), people, seeds, hops=2) \
+    return gr.snowball(inter, people, seeds, hops=2) \
         .select("user_id", F.col("hop").cast("int").alias("hop"))

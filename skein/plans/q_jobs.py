@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from skein.fixtures import KEYWORDS
 from skein.plans import jobs
+from skein.plans.q_classify import _score_sql
+from skein.plans.q_graph import PAGERANK_ITERATIONS, interaction_edges, pagerank_sql
+from skein.plans.q_network import _STATS_SQL, net_tables
 from skein.plans.registry import register, tables
-from skein.plans.sqlbits import match_expr
+from skein.plans.sqlbits import NET_CTES, match_expr
+from skein.session import scratch_dir
+
+
+def _matrix(spark, sf_dir):
+    users, tweets, labels = tables(spark, sf_dir, "fx_users", "fx_tweets", "labels")
+    prev = labels.select(F.col("doc_id").cast("string").alias("user_id"), F.lit("other").alias("content_labels"),
+                         F.lit(False).alias("content_is_relevant"))
+    return jobs.run_matrix(users, tweets, prev, 50, KEYWORDS, skip=["BUILDING"])
 
 
 @register("l02_run_matrix_budgets", """
@@ -17,20 +31,98 @@ SELECT search_account_type, CAST(CASE WHEN rn = n THEN floor(50 / n) + 50 % n EL
 FROM r, n""")
 def l02_run_matrix_budgets(spark, sf_dir):
     """City x type run with one type skipped: the per-type request budgets."""
-    users, tweets, labels = tables(spark, sf_dir, "fx_users", "fx_tweets", "labels")
-    prev = labels.select(F.col("doc_id").cast("string").alias("user_id"), F.lit("other").alias("content_labels"),
-                         F.lit(False).alias("content_is_relevant"))
-    return jobs.run_matrix(users, tweets, prev, 50, skip=["BUILDING"])["budgets"]
+    return _matrix(spark, sf_dir)["budgets"]
+
+
+@register("l02_run_matrix_table", f"""
+WITH prev AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS user_id FROM labels),
+u AS (SELECT * FROM fx_users WHERE search_account_type <> 'BUILDING'),
+todo AS (SELECT user_id, description FROM u WHERE user_id NOT IN (SELECT user_id FROM prev)),
+{_score_sql('todo')}
+SELECT u.user_id, u.search_location, u.search_account_type, 'https://twitter.com/' || u.username AS user_url,
+  coalesce(lab.content_labels, 'other') AS content_labels, coalesce(lab.content_labels, 'other') <> 'other' AS content_is_relevant,
+  false AS list_expansion
+FROM u LEFT JOIN lab ON lab.user_id = u.user_id""")
+def l02_run_matrix_table(spark, sf_dir):
+    """City x type run: the tabulated, classified accounts."""
+    return _matrix(spark, sf_dir)["table"].select("user_id", "search_location", "search_account_type", "user_url",
+                                                  "content_labels", "content_is_relevant", "list_expansion")
 
 
 @register("l04_reclassify_table", f"""
-SELECT user_id, search_location, 'https://twitter.com/' || username AS user_url FROM fx_users""")
+WITH todo AS (SELECT user_id, description FROM fx_users), {_score_sql('todo')}
+SELECT u.user_id, u.search_location, 'https://twitter.com/' || u.username AS user_url, lab.content_labels,
+  lab.content_labels <> 'other' AS content_is_relevant
+FROM fx_users u JOIN lab ON lab.user_id = u.user_id""")
 def l04_reclassify_table(spark, sf_dir):
-    """Reclassify every account and tabulate it (one row per user with its URL)."""
+    """Reclassify every account and tabulate it (one row per user with its URL and new label)."""
     users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
     out = jobs.reclassify(users.select("user_id", "username", "name", "description", "location", "followers_count",
-                                       "following_count", "search_account_type", "search_location", "ord"), tweets)
-    return out.select("user_id", "search_location", "user_url")
+                                       "following_count", "search_account_type", "search_location", "ord"), tweets, KEYWORDS)
+    return out.select("user_id", "search_location", "user_url", "content_labels", "content_is_relevant")
+
+
+@register("l05_tabulate_city", """
+SELECT user_id, username, name, description, location, followers_count, following_count, content_labels,
+  content_labels <> 'BUILDING' AS content_is_relevant, search_account_type, search_location,
+  'https://twitter.com/' || username AS user_url, true AS list_expansion
+FROM fx_users WHERE content_labels IS NOT NULL""")
+def l05_tabulate_city(spark, sf_dir):
+    """Accounts landed twice (the later records differ) conformed and reduced to one row per user;
+    those without a relevance are dropped."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    u = users.withColumn("content_is_relevant", F.col("content_labels") != "BUILDING")
+    later = u.withColumns({"name": F.lit("later"), "followers_count": F.lit(0).cast("bigint"), "ord": F.col("ord") + (1 << 40)})
+    out = jobs.tabulate_city(u.unionByName(later), list_expansion=True)
+    return out.select("user_id", "username", "name", "description", "location", "followers_count", "following_count",
+                      "content_labels", "content_is_relevant", "search_account_type", "search_location", "user_url",
+                      "list_expansion")
+
+
+@register("l06_master_dataset", """
+WITH a AS (SELECT user_id, username, CAST(NULL AS VARCHAR) AS location, 'distinct' AS family FROM fx_users WHERE search_location = 'kolkata'
+  UNION ALL SELECT user_id, username, location, 'distinct' FROM fx_users WHERE search_location <> 'kolkata'),
+b AS (SELECT user_id, CAST(NULL AS VARCHAR) AS username, location, 'expanded' AS family FROM fx_users WHERE tweets_count = 1
+  UNION ALL SELECT user_id, username, location, 'expanded' FROM fx_users WHERE tweets_count = 2)
+SELECT * FROM a UNION ALL SELECT * FROM b""")
+def l06_master_dataset(spark, sf_dir):
+    """Files of two families with different columns united, then distinct ++ expanded users."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    d = users.withColumn("family", F.lit("distinct"))
+    e = users.withColumn("family", F.lit("expanded"))
+    return jobs.master_dataset(
+        [d.filter("search_location = 'kolkata'").select("user_id", "username", "family"),
+         d.filter("search_location <> 'kolkata'").select("location", "user_id", "username", "family")],
+        [e.filter("tweets_count = 1").select("user_id", "location", "family"),
+         e.filter("tweets_count = 2").select("user_id", "username", "location", "family")])
+
+
+@register("l07_analysis_locations", f"""
+WITH m AS (SELECT user_id, search_location, {match_expr('location', 'search_location')} AS hit FROM fx_users),
+c AS (SELECT search_location AS location, nullif(sum(CASE WHEN hit THEN 0 ELSE 1 END), 0) AS f,
+  nullif(sum(CASE WHEN hit THEN 1 ELSE 0 END), 0) AS t FROM m GROUP BY 1)
+SELECT location, CAST(f AS BIGINT) AS n_false, CAST(t AS BIGINT) AS n_true, CAST(t + f AS BIGINT) AS total,
+  round(CAST(t AS DOUBLE) / (t + f), 2) AS match_percentage FROM c""")
+def l07_analysis_locations(spark, sf_dir):
+    """The analysis job's location table."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    return jobs.analysis(users, users, ["BUILDING"])["location_matches_counts"]
+
+
+@register("l08_extra_tweets", """
+SELECT DISTINCT tweet_id, author_id, tweet_text FROM (
+  SELECT t.*, u.tweets_count, row_number() OVER (PARTITION BY t.author_id ORDER BY t.ord DESC) AS rn
+  FROM fx_tweets t JOIN fx_users u ON u.user_id = t.author_id) x WHERE rn <= least(tweets_count, 5)""")
+def l08_extra_tweets(spark, sf_dir):
+    """The latest posts of each user (as many as it has, five at most), appended to a store that
+    holds some of them already."""
+    from skein.sources.sinks import append_distinct, read_distinct
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    got = jobs.extra_tweets(tweets, users).select("tweet_id", "author_id", "tweet_text")
+    path = scratch_dir(spark, f"extra-{uuid.uuid4().hex[:12]}")
+    append_distinct(got.filter("cast(tweet_id AS bigint) % 3 = 0"), path)
+    append_distinct(got, path)
+    return read_distinct(spark, path)
 
 
 @register("l09_root_network_todo", f"""
@@ -44,6 +136,71 @@ def l09_root_network_todo(spark, sf_dir):
     return jobs.root_network(users, done, {})["todo"]
 
 
+def _built(spark, sf_dir):
+    """Root network of users not built yet (built = collected posts with an even day), from two
+    landed runs of post and follower pages: the second run's post pages carry fresher repost counts."""
+    users, tweets, inter = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_interactions")
+    done = tweets.filter("ord % 4 = 0").select(F.col("author_id").alias("user_id")).distinct()
+    posts = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "created_on", "retweet_count",
+                          F.lit(0).alias("page"), F.col("ord").alias("pos"))
+    fresher = posts.filter("pos % 2 = 0").withColumns({"page": F.lit(1), "retweet_count": F.col("retweet_count") + 10})
+    people = users.select("user_id", "username", "description", "location", "followers_count", "following_count", "tweets_count")
+    followers = inter.select(F.col("target").alias("root_id"), F.col("source").alias("user_id"), F.lit(0).alias("page"),
+                             (F.col("ord") * 10 + F.col("pos")).alias("pos")).join(people, "user_id")
+    return jobs.root_network(users, done, {"tweets": [posts, fresher], "followers": [followers]})
+
+
+_TODO_SQL = f"""
+todo AS (SELECT DISTINCT user_id, search_location FROM fx_users WHERE {match_expr('location', 'search_location')}
+  AND user_id NOT IN (SELECT author_id FROM fx_tweets WHERE ord % 4 = 0))"""
+
+
+@register("l09_root_network_posts", f"""
+WITH {_TODO_SQL}
+SELECT t.author_id AS root_id, t.tweet_id, t.tweet_text, t.created_on AS created_at,
+  CAST(coalesce(t.retweet_count + CASE WHEN t.ord % 2 = 0 THEN 10 ELSE 0 END, 0) AS BIGINT) AS retweet_count,
+  CAST(0 AS BIGINT) AS favorite_count
+FROM fx_tweets t JOIN todo ON todo.user_id = t.author_id""")
+def l09_root_network_posts(spark, sf_dir):
+    """Posts of the roots to build, landed pages merged (S11), in the P6 shape."""
+    return _built(spark, sf_dir)["tweets"]
+
+
+@register("l09_root_network_followers", f"""
+WITH {_TODO_SQL},
+f AS (SELECT DISTINCT i.target AS root_id, i.source AS user_id, todo.search_location AS sl
+  FROM fx_interactions i JOIN todo ON todo.user_id = i.target)
+SELECT f.root_id, f.user_id, u.username, f.sl AS target_location, u.location AS profile_location,
+  coalesce(u.followers_count, -99) AS followers_count, 'pending' AS follower_status,
+  CASE WHEN {match_expr('u.location', 'f.sl')} THEN f.sl END AS city
+FROM f JOIN fx_users u ON u.user_id = f.user_id""")
+def l09_root_network_followers(spark, sf_dir):
+    """Followers of the roots to build, once per root, in the P5 shape."""
+    return _built(spark, sf_dir)["followers"].select("root_id", "user_id", "username", "target_location", "profile_location",
+                                                     "followers_count", "follower_status", "city")
+
+
+@register("l12_edges_and_stats", f"WITH {_STATS_SQL} SELECT * FROM stats2")
+def l12_edges_and_stats(spark, sf_dir):
+    """Both edge sets and the per-root coverage figures of the statistics job."""
+    return jobs.edges_and_stats(*net_tables(spark, sf_dir))["stats"]
+
+
+@register("l17_pending_texts", f"""
+WITH {NET_CTES}
+SELECT user_id, 'description' AS name, coalesce(description, '') AS value FROM fx_users WHERE followers_count IS NOT NULL
+UNION ALL SELECT root_id, 'tweet_' || tweet_id, tweet_text FROM net_tweets WHERE coalesce(tweet_text NOT LIKE 'RT @%', true)""")
+def l17_pending_texts(spark, sf_dir):
+    """Text objects of users with attributes, written in the object layout (K7) and read back."""
+    from skein.sources.readers import read_text_objects
+    from skein.sources.sinks import write_text_objects
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    posts = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text")
+    path = scratch_dir(spark, f"objects-{uuid.uuid4().hex[:12]}")
+    write_text_objects(jobs.pending_texts(users, posts).withColumn("location", F.lit("kolkata")), path)
+    return read_text_objects(spark, path).select("user_id", "name", "value")
+
+
 @register("l10_attribute_backfill", """
 SELECT i.source AS user_id, i.target AS root_id,
   CASE WHEN c.user_id IS NOT NULL THEN c.followers_count ELSE CAST(-1 AS BIGINT) END AS followers_count,
@@ -67,9 +224,19 @@ c AS (SELECT (SELECT count(*) FROM v) AS nodes, (SELECT count(*) FROM e) AS edge
 SELECT nodes, edges, CASE WHEN nodes < 2 THEN 0.0 ELSE CAST(edges AS DOUBLE) / (nodes * (nodes - 1)) END AS density,
   CAST(2 * edges AS DOUBLE) / nullif(nodes, 0) AS average_degree FROM c""")
 def l13_graph_report_counts(spark, sf_dir):
-    """Graph report of the follower network (distinct edges): counts, density, average degree."""
-    from skein.plans.q_graph import interaction_edges
-    e = interaction_edges(spark, sf_dir)
-    from skein.operators import graph as gr
-    v, edges = gr.build_graph(e, "follow")
-    return gr.graph_counts(v, edges)
+    """Graph report of the follower network: counts, density, average degree."""
+    return jobs.graph_report(interaction_edges(spark, sf_dir), "follow", fixed_iterations=1)["counts"]
+
+
+@register("l13_graph_report", pagerank_sql().rsplit("\nSELECT", 1)[0] + f""",
+de AS (SELECT id, count(*) AS degree FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e) x GROUP BY id),
+top AS (SELECT id FROM r{PAGERANK_ITERATIONS} ORDER BY rank DESC, id ASC LIMIT 3)
+SELECT r.id, de.degree, round(r.rank, 8) AS rank, top.id IS NOT NULL AS in_top, u.username
+FROM r{PAGERANK_ITERATIONS} r JOIN de ON de.id = r.id LEFT JOIN top ON top.id = r.id LEFT JOIN fx_users u ON u.user_id = r.id""")
+def l13_graph_report(spark, sf_dir):
+    """Graph report of the repost network: every account's degree, rank and place among the top."""
+    out = jobs.graph_report(interaction_edges(spark, sf_dir), "retweet", fixed_iterations=PAGERANK_ITERATIONS)
+    top = out["top"].select("id", F.lit(True).alias("__top"))
+    return (out["pagerank"].join(out["degree"], "id").join(out["vertices"].select("id", "username"), "id", "left")
+            .join(top, "id", "left")
+            .select("id", "degree", F.round("rank", 8).alias("rank"), F.col("__top").isNotNull().alias("in_top"), "username"))

@@ -34,9 +34,9 @@ WITH {_ROOTS_SQL}
 SELECT user_id, target_location AS location, 'UserTweets' AS topic FROM roots
 UNION ALL SELECT user_id, target_location, 'UserFollowers' FROM roots""")
 def q01_dispatch_roots(spark, sf_dir):
-    """New qualifying accounts (not yet vertices) -> one message per queue."""
+    """New qualifying accounts (not yet vertices), each landed twice -> one message per queue."""
     (users,) = tables(spark, sf_dir, "fx_users")
-    out = qu.dispatch_roots(normalize_net_user(users), _vertex_store(spark, sf_dir))
+    out = qu.dispatch_roots(normalize_net_user(users.unionAll(users)), _vertex_store(spark, sf_dir))
     return out["messages"]
 
 
@@ -189,14 +189,14 @@ def k04_s04_csv_roundtrip(spark, sf_dir):
 SELECT DISTINCT source, target, tweet_id FROM fx_interactions""")
 def k01_append_distinct(spark, sf_dir):
     """Two overlapping landings (orders before 1997, orders from mid-1996) appended with
-    whole-record dedupe (K1) as versions of one store; the latest version is read (S10 form)."""
-    from skein.sources.sinks import append_distinct, read_latest
+    whole-record dedupe (K1): the second append writes only what is new; the whole store is read."""
+    from skein.sources.sinks import append_distinct, read_distinct
     (inter,) = tables(spark, sf_dir, "fx_interactions")
     rows = inter.select("source", "target", "tweet_id", "ts")
     path = _scratch(spark, "edges-store")
     append_distinct(rows.filter(F.col("ts") < F.lit("1997-01-01").cast("timestamp")).drop("ts"), path)
     append_distinct(rows.filter(F.col("ts") >= F.lit("1996-07-01").cast("timestamp")).drop("ts"), path)
-    return read_latest(spark, path)
+    return read_distinct(spark, path)
 
 
 @register("s10_processed_ids", """

@@ -252,19 +252,26 @@ def p28_city_file_key(spark, sf_dir):
     return cities.select("city", nm.city_file_key(F.col("city")).alias("main"))
 
 
-def _topic_terms_sql() -> str:
-    rows = []
-    for lang, tmpl in dims.QUERY_TEMPLATES.items():
-        for t, q in tmpl.items():
-            for term in nm.template_terms(q):
-                rows.append("('{}', '{}', '{}')".format(lang, t, term.replace("'", "''")))
-    return f"(VALUES {', '.join(rows)}) AS tt(lang, account_type, term)"
+_PLAIN = "' ' || trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g')) || ' '"
 
 
 @register("f13_topic_match", f"""
-SELECT DISTINCT t.tweet_id, tt.account_type FROM fx_tweets t JOIN {_topic_terms_sql()} ON tt.lang = t.lang
-WHERE coalesce(t.tweet_text NOT LIKE 'RT @%', true) AND strpos(lower(t.tweet_text), tt.term) > 0""")
+WITH {_templates_sql()},
+alt AS (SELECT lang, account_type, unnest(regexp_split_to_array(replace(template, '-is:retweet', ' '), '\\bOR\\b')) AS a FROM tp),
+term AS (SELECT lang, account_type, a, unnest(list_concat(regexp_extract_all(a, '"([^"]+)"', 1),
+    string_split_regex(replace(regexp_replace(a, '"[^"]*"', ' ', 'g'), 'location', ' '), '\\s+'))) AS t FROM alt),
+need AS (SELECT lang, account_type, a, list({_PLAIN.format(x="t")}) FILTER (trim({_PLAIN.format(x="t")}) <> '') AS ts
+  FROM term GROUP BY ALL),
+post AS (SELECT t.tweet_id, t.lang, {_PLAIN.format(x="CASE WHEN t.ord % 2 = 0 THEN t.tweet_text || ' ' || u.search_location ELSE t.tweet_text END")} AS p,
+  {_PLAIN.format(x="u.search_location")} AS c
+  FROM fx_tweets t JOIN fx_users u ON u.user_id = t.author_id WHERE coalesce(t.tweet_text NOT LIKE 'RT @%', true))
+SELECT DISTINCT tweet_id, account_type FROM post JOIN need ON need.lang = post.lang
+WHERE ts IS NOT NULL AND strpos(p, c) > 0 AND len(list_filter(ts, lambda x: strpos(p, x) = 0)) = 0""")
 def f13_topic_match(spark, sf_dir):
-    """Posts tagged with every account type whose search terms they contain (originals only)."""
-    (tweets,) = tables(spark, sf_dir, "fx_tweets")
-    return nm.topic_match(tweets.select("tweet_id", "tweet_text", "lang"), "tweet_text", "lang")
+    """Original posts that name their author's search city, tagged with every account type whose
+    search they satisfy (half of the posts get the city's name appended)."""
+    tweets, users = tables(spark, sf_dir, "fx_tweets", "fx_users")
+    t = tweets.join(users.select(F.col("user_id").alias("author_id"), "search_location"), "author_id")
+    text = F.when(F.col("ord") % 2 == 0, F.concat("tweet_text", F.lit(" "), "search_location")).otherwise(F.col("tweet_text"))
+    return nm.topic_match(t.select("tweet_id", text.alias("text"), "lang", "search_location"), "text", "lang",
+                          F.col("search_location"))

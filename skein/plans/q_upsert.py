@@ -113,14 +113,18 @@ def g10_upsert_follows(spark, sf_dir):
 
 
 @register("g16_patch_vertex", """
-SELECT u.user_id, coalesce(p.username, u.username) AS username, u.search_location
-FROM fx_users u LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS user_id, lower(s_name) AS username FROM supplier) p
+SELECT u.user_id, CASE WHEN p.k IS NULL THEN u.username WHEN p.k % 2 = 0 THEN upper(p.n) ELSE lower(p.n) END AS username,
+  CASE WHEN p.k IS NULL THEN u.search_location ELSE 'moved' END AS search_location
+FROM fx_users u LEFT JOIN (SELECT CAST(s_suppkey AS VARCHAR) AS user_id, s_suppkey AS k, s_name AS n FROM supplier) p
 ON p.user_id = u.user_id""")
 def g16_patch_vertex(spark, sf_dir):
     users, supplier = tables(spark, sf_dir, "fx_users", "supplier")
-    updates = supplier.select(F.col("s_suppkey").cast("string").alias("user_id"),
-                              F.lower("s_name").alias("username"))
-    return up.patch_vertices(users.select("user_id", "username", "search_location"), updates)
+    key = F.col("s_suppkey").cast("string").alias("user_id")
+    none = F.lit(None).cast("string")
+    updates = (supplier.select(key, F.lower("s_name").alias("username"), none.alias("search_location"), F.lit(1).alias("at"))
+               .unionAll(supplier.select(key, none, F.lit("moved"), F.lit(2)))
+               .unionAll(supplier.filter("s_suppkey % 2 = 0").select(key, F.upper("s_name"), none, F.lit(3))))
+    return up.patch_vertices(users.select("user_id", "username", "search_location"), updates, order="at")
 
 
 @register("q06_status_lifecycle", """

@@ -137,7 +137,7 @@ def read_processed_ids(spark: SparkSession, path: str, fmt: str = "parquet", key
     return spark.read.format(fmt).load(path).select(key).distinct()
 
 
-def land_pages(pages: list[DataFrame], key: str, page_col: str = "page", pos_col: str = "pos") -> DataFrame:
+def land_pages(pages: list[DataFrame], key: str | list[str], page_col: str = "page", pos_col: str = "pos") -> DataFrame:
     """S11 + D5/D6: union landed result pages; the last page wins per id, the first record inside a page."""
     from skein.operators.dedupe import merge_pages, union_files
     return merge_pages(union_files(pages), key, page_col, pos_col)

@@ -53,11 +53,27 @@ def write_version(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     return target
 
 
+def read_distinct(spark: SparkSession, path: str) -> DataFrame | None:
+    """All records of a K1 store (every complete version holds what was new in it)."""
+    vs = versions(spark, path)
+    if not vs:
+        return None
+    return spark.read.option("mergeSchema", True).parquet(*[f"{path.rstrip('/')}/v={v}" for v in vs])
+
+
 def append_distinct(df: DataFrame, path: str) -> str:
-    """K1: existing union new, identical records collapse, written as a new version."""
-    old = read_latest(df.sparkSession, path)
-    merged = df if old is None else old.unionByName(df, allowMissingColumns=True)
-    return write_version(dedupe_whole(merged), path)
+    """K1: existing union new, identical records collapse. Only records that the store does not hold
+    yet are written, as its next version, so an append costs its own size; a repeated append adds an
+    empty version."""
+    old = read_distinct(df.sparkSession, path)
+    new = dedupe_whole(df)
+    if old is not None:
+        missing = [f for f in old.schema.fields if f.name not in new.columns]
+        new = new.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+        old = old.select(*[F.col(f"`{f.name}`") if f.name in old.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                           for f in new.schema.fields])
+        new = new.subtract(old)  # null-safe, on the whole record
+    return write_version(new, path)
 
 
 def append(df: DataFrame, path: str, fmt: str = "parquet") -> None:

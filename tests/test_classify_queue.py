@@ -34,7 +34,8 @@ def test_model_scores_failed_batch_keeps_rows(spark):
 
 def test_keyword_scorer_ties_pick_first_label(spark):
     texts = spark.createDataFrame([("u", "air research"), ("u", "  "), ("v", "nothing here")], "user_id STRING, text STRING")
-    s = cl.assign_label(cl.keyword_scores(texts, "user_id", "text"))
+    s = cl.assign_label(cl.keyword_scores(texts, "user_id", "text", {
+        "environment or pollution": ["air"], "environmental research": ["research"]}))
     got = {r.user_id: r.content_labels for r in s.collect()}
     assert got == {"u": "environment or pollution", "v": "other"}
 

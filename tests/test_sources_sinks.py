@@ -32,8 +32,11 @@ def test_append_distinct_writes_versions(spark, tmp_dir):
     sk.append_distinct(a, path)
     sk.append_distinct(b, path)
     assert sk.versions(spark, path) == [0, 1]
-    assert sorted(r.user_id for r in sk.read_latest(spark, path).collect()) == ["1", "2", "3"]
-    assert sorted(r.user_id for r in rd.read_processed_ids(spark, f"{path}/v=1").collect()) == ["1", "2", "3"]
+    assert sorted(r.user_id for r in sk.read_distinct(spark, path).collect()) == ["1", "2", "3"]
+    assert [r.user_id for r in rd.read_processed_ids(spark, f"{path}/v=1").collect()] == ["3"]
+    sk.append_distinct(spark.createDataFrame([("3", "z", None), (None, None, 5)], "user_id STRING, v STRING, w INT"), path)
+    sk.append_distinct(spark.createDataFrame([(None, None, 5)], "user_id STRING, v STRING, w INT"), path)
+    assert sk.read_distinct(spark, path).count() == 4
 
 
 def test_text_objects_round_trip(spark, tmp_dir):
