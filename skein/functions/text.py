@@ -88,9 +88,9 @@ def words(c: ColumnOrName) -> Column:
     return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, r"\s+"))
 
 
-# X11: Unicode word runs.
+# X11: Unicode word runs: letters, numbers and the underscore.
 def word_chars(c: ColumnOrName) -> Column:
-    return F.regexp_extract_all(_c(c), F.lit(r"(?U)\w+"), 0)
+    return F.regexp_extract_all(_c(c), F.lit(r"[\p{L}\p{N}_]+"), 0)
 
 
 # X12: ';'-joined id lists.

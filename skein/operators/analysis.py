@@ -129,8 +129,10 @@ def random_sample(df: DataFrame, n: int = dims.SAMPLE_SIZE, seed: int = dims.SAM
 
 def train_test_split(df: DataFrame, test_share: float = 0.2, seed: int = 42,
                      key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """Deterministic hash split (stable under task retries, unlike rand())."""
-    bucket = F.abs(F.xxhash64(F.col(key).cast("string"), F.lit(seed))) % 10000
+    """Deterministic split by a seeded digest of the key (stable under task retries, unlike rand();
+    any SQL engine can reproduce it). Rows without a key are for training."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    bucket = F.when(F.col(key).isNull(), 10000).otherwise(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10000)
     cut = int(round(test_share * 10000))
     return df.filter(bucket >= cut), df.filter(bucket < cut)
 

@@ -69,9 +69,15 @@ def attach_date_backfill(users: DataFrame, tweets: DataFrame, user_key: str = "u
     return out.withColumn("tweet_date", F.coalesce(F.col("__last_date"), keep)).drop("__last_date")
 
 
-def zip_batches(tweets: DataFrame, users: DataFrame, pos: str = "batch") -> DataFrame:
-    """I-th post batch with i-th user batch; unmatched batches drop (truncate)."""
-    return tweets.join(users, pos, "inner")
+def zip_batches(tweets: DataFrame, users: DataFrame, pos: str = "batch", author: str | None = None,
+                user_key: str = "user_id") -> DataFrame:
+    """I-th post batch with i-th user batch; unmatched batches drop (truncate).
+
+    ``tweets`` and ``users`` hold one row per batch, or, with ``author``, the batches' records: then
+    posts meet the users of their own batch by id (batches are never multiplied out)."""
+    if author is None:
+        return tweets.join(users, pos, "inner")
+    return tweets.join(users.withColumnRenamed(user_key, author), [pos, author], "inner")
 
 
 def unprocessed(users: DataFrame, done: DataFrame, key: str = "user_id") -> DataFrame:

@@ -143,20 +143,95 @@ def user_catalogue(roots, retweeters, followers, stored) -> DataFrame:
     return user_catalog(roots, retweeters, followers, stored)
 
 
+_PERSON = ("user_id STRING, username STRING, description STRING, profile_location STRING, target_location STRING, "
+           "followers_count BIGINT, tweets_count BIGINT, city STRING")
+_MESSAGE = "msg_id STRING, sent_at STRING"
+
+
+def _stored(spark, base: str, name: str, ddl: str) -> DataFrame:
+    """A worker's output so far (empty before its first run)."""
+    from skein.sources.readers import empty, path_exists
+    path = f"{base.rstrip('/')}/{name}"
+    return spark.read.parquet(path) if path_exists(spark, path) else empty(spark, ddl)
+
+
 def queue_workers(spark, landing: str, store: DataFrame, base: str) -> None:
     """One run of the dispatch worker (Q1 over S9, Q7). Messages, roots and text objects are
     appended below ``base``; roots dispatched by earlier runs count as known."""
-    from skein.sources.readers import path_exists
     from skein.streaming import queues as qu
-    ddl = ("user_id STRING, username STRING, description STRING, profile_location STRING, target_location STRING, "
-           "followers_count BIGINT, tweets_count BIGINT, city STRING, msg_id STRING, sent_at STRING")
-    roots = f"{base.rstrip('/')}/roots"
-    known = store.select("user_id")
-    if path_exists(spark, roots):
-        known = known.unionByName(spark.read.parquet(roots).select("user_id")).distinct()
+    known = store.select("user_id").unionByName(_stored(spark, base, "roots", "user_id STRING").select("user_id")).distinct()
 
     def step(messages: DataFrame) -> dict[str, DataFrame]:
         out = qu.dispatch_roots(messages.drop("msg_id", "sent_at"), known)
         return {"messages": out["messages"], "objects": out["objects"], "roots": out["roots"]}
 
-    qu.run_worker(spark, landing, ddl, base, step)
+    qu.run_worker(spark, landing, f"{_PERSON}, {_MESSAGE}", base, step)
+
+
+def posts_worker(spark, landing: str, roots: DataFrame, base: str, now: str) -> None:
+    """One run of the posts worker (Q2): landed posts of roots become text objects, messages for
+    their retweeters and a status of each root that the run has posts of."""
+    from skein.streaming import queues as qu
+
+    def step(posts: DataFrame) -> dict[str, DataFrame]:
+        mine = roots.join(posts.select(F.col("root_id").alias("user_id")), "user_id", "left_semi")
+        return qu.dispatch_tweets(posts.drop("msg_id", "sent_at"), mine, now)
+
+    qu.run_worker(spark, landing, "root_id STRING, tweet_id STRING, tweet_text STRING, retweet_count BIGINT, "
+                                  f"created_on STRING, {_MESSAGE}", base, step)
+
+
+def followers_worker(spark, landing: str, roots: DataFrame, store: DataFrame, base: str, further: bool = True) -> None:
+    """One run of the followers worker (Q3): new vertices, new FOLLOWS edges, statuses and, with
+    ``further``, messages to followers that qualify as roots. ``store`` holds the vertices known
+    from elsewhere; what earlier runs wrote below ``base`` counts as known too."""
+    from skein.streaming import queues as qu
+    ddl = f"{_PERSON}, root_id STRING, ord BIGINT, pos BIGINT"
+    vertices = store.unionByName(_stored(spark, base, "vertices", _PERSON)).select(*store.columns)
+    edges = _stored(spark, base, "follows", "src STRING, dst STRING, weight BIGINT")
+
+    def step(messages: DataFrame) -> dict[str, DataFrame]:
+        mine = roots.join(messages.select(F.col("root_id").alias("user_id")), "user_id", "left_semi")
+        out = qu.process_followers(mine, messages.drop("msg_id", "sent_at"), vertices, further, edges)
+        new = {"vertices": out["vertices"].join(vertices.select("user_id"), "user_id", "left_anti").select(*store.columns),
+               "follows": out["follows"].join(edges, ["src", "dst"], "left_anti"), "status": out["status"]}
+        return new | ({"messages": out["dispatch"]} if further else {})
+
+    qu.run_worker(spark, landing, f"{ddl}, {_MESSAGE}", base, step)
+
+
+def retweeters_worker(spark, landing: str, posts: DataFrame, store: DataFrame, base: str) -> None:
+    """One run of the retweeters worker (Q4, G11): new vertices, new (pair, post) records and messages
+    to retweeters that qualify as roots. An edge's weight is its number of records (``edge_weights``),
+    so runs only append. ``posts`` holds the queued posts (tweet_id, target_user_id)."""
+    from skein.sources.readers import empty
+    from skein.streaming import queues as qu
+    vertices = store.unionByName(_stored(spark, base, "vertices", _PERSON)).select(*store.columns)
+    ids = _stored(spark, base, "edge_tweets", "src STRING, dst STRING, tweet_id STRING, ord BIGINT")
+
+    def step(messages: DataFrame) -> dict[str, DataFrame]:
+        out = qu.process_retweeters(posts, messages.drop("msg_id", "sent_at"), vertices,
+                                    empty(spark, "src STRING, dst STRING, weight BIGINT"), ids)
+        return {"vertices": out["vertices"].join(vertices.select("user_id"), "user_id", "left_anti").select(*store.columns),
+                "edge_tweets": out["edge_tweets"].join(ids, ["src", "dst", "tweet_id"], "left_anti")
+                .select("src", "dst", "tweet_id", "ord"), "messages": out["dispatch"]}
+
+    qu.run_worker(spark, landing, f"{_PERSON}, root_id STRING, tweet_id STRING, ord BIGINT, pos BIGINT, {_MESSAGE}", base, step)
+
+
+def edge_weights(edge_tweets: DataFrame) -> DataFrame:
+    """RETWEETED edges of the (pair, post) records."""
+    return edge_tweets.groupBy("src", "dst").agg(F.countDistinct("tweet_id").alias("weight"))
+
+
+def classify_worker(spark, landing: str, base: str, template: str, client) -> None:
+    """One run of the classification worker (Q8): landed text objects -> prompts -> replies of
+    ``client`` (M8) -> category (X17); one row per user."""
+    from skein.functions.text import parse_category
+    from skein.streaming import queues as qu
+
+    def step(objects: DataFrame) -> dict[str, DataFrame]:
+        replies = cl.score_with_prompts(qu.render_queue_prompts(objects, template), "user_id", "prompt", client)
+        return {"classified": replies.select("user_id", "reply", parse_category("reply").alias("category"))}
+
+    qu.run_worker(spark, landing, f"user_id STRING, name STRING, value STRING, {_MESSAGE}", base, step)

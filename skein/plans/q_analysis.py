@@ -112,6 +112,37 @@ def a06_label_pivot_master(spark, sf_dir):
     return out.select("search_location", *[F.col(s).cast("bigint").alias(s) for s in SEGMENTS], "total_per_city")
 
 
+_BY = """SELECT search_location, content_labels, count(user_id) AS n_users FROM {} WHERE search_location IS NOT NULL
+  AND content_labels IS NOT NULL GROUP BY 1, 2"""
+_MASTER = "(SELECT * FROM fx_users UNION ALL SELECT * FROM fx_users WHERE followers_count > 0) m"
+
+
+def _suite(spark, sf_dir):
+    from skein.operators.dedupe import master_dataset
+    (users,) = tables(spark, sf_dir, "fx_users")
+    return an.analysis_suite(users, master_dataset(users, users.filter("followers_count > 0")), SEGMENTS)
+
+
+@register("a06_user_analysis", _BY.format("fx_users"))
+def a06_user_analysis(spark, sf_dir):
+    return _suite(spark, sf_dir)["user_analysis"]
+
+
+@register("a06_user_analysis_with_expansions", _BY.format(_MASTER))
+def a06_user_analysis_with_expansions(spark, sf_dir):
+    return _suite(spark, sf_dir)["user_analysis_with_expansions"]
+
+
+@register("a06_label_pivot_users", f"""
+SELECT search_location, {_A5_COLS}, CAST({_A5_TOTAL} AS BIGINT) AS total_per_city
+FROM (SELECT search_location, content_labels, count(user_id) AS n FROM fx_users
+      WHERE search_location IS NOT NULL AND content_labels IS NOT NULL GROUP BY 1, 2) c
+GROUP BY search_location""")
+def a06_label_pivot_users(spark, sf_dir):
+    out = _suite(spark, sf_dir)["user_analysis_pivot"]
+    return out.select("search_location", *[F.col(s).cast("bigint").alias(s) for s in SEGMENTS], "total_per_city")
+
+
 @register("a13_dispatch_counters", """
 SELECT CAST(count(*) AS BIGINT) AS n_users,
   CAST(sum(CASE WHEN followers_count > 100 AND tweets_count > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_root_candidates,

@@ -166,6 +166,16 @@ def j04_zip_batches(spark, sf_dir):
     return en.zip_batches(t, u, "batch")
 
 
+@register("j04_zip_records", """
+SELECT t.tweet_id, u.user_id AS author_id, u.username, u.ord % 3 AS batch FROM fx_tweets t
+JOIN fx_users u ON u.user_id = t.author_id AND u.ord % 3 = t.ord % 5""")
+def j04_zip_records(spark, sf_dir):
+    """Five batches of posts with three of users: posts meet the users of the batch in the same place."""
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    t = tweets.select("tweet_id", "author_id", (F.col("ord") % 5).alias("batch"))
+    return en.zip_batches(t, users.select("user_id", "username", (F.col("ord") % 3).alias("batch")), author="author_id")
+
+
 @register("j05_unprocessed", """
 SELECT user_id, search_location FROM fx_users WHERE user_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)""")
 def j05_unprocessed(spark, sf_dir):

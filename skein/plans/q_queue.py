@@ -10,6 +10,7 @@ from skein.operators.network import normalize_net_user
 from skein.plans.q_network import net_tables
 from skein.plans.registry import register, tables
 from skein.plans.sqlbits import NET_CTES, in_list, match_expr, words_expr
+from skein.sources import readers
 from skein.sources.readers import list_members, list_memberships
 from skein.streaming import queues as qu
 
@@ -133,6 +134,92 @@ def q03_follows(spark, sf_dir):
     return _processed_followers(spark, sf_dir)["follows"]
 
 
+def _people(spark, sf_dir, df):
+    """Landed follower / retweeter records with their own post count, target city and matched city."""
+    from skein.functions.predicates import location_match, with_city_targets
+    (users,) = tables(spark, sf_dir, "fx_users")
+    roots = users.select(F.col("user_id").alias("root_id"), F.col("search_location").alias("target_location"))
+    counts = users.select("user_id", "tweets_count")
+    t = with_city_targets(df.drop("target_location").join(roots, "root_id").join(counts, "user_id"), "target_location", out="__t")
+    return t.withColumn("city", F.when(location_match("profile_location", "__t"), F.col("target_location"))).drop("__t", "following_count")
+
+
+def _people_store(spark, sf_dir):
+    (users,) = tables(spark, sf_dir, "fx_users")
+    return users.filter("followers_count > 9000").select(
+        "user_id", "username", F.col("location").alias("profile_location"), F.col("search_location").alias("target_location"),
+        "followers_count", "tweets_count", F.lit(None).cast("string").alias("city"))
+
+
+def _dispatched_sql(people: str, order: str) -> str:
+    """Messages to the users of CTE ``people`` whose first record qualifies and who are no vertex yet."""
+    return f"""
+p1 AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY {order}) AS rn FROM {people}),
+ok AS (SELECT user_id, target_location AS location FROM p1 WHERE rn = 1 AND {match_expr('profile_location', 'target_location')}
+  AND followers_count > 100 AND tweets_count > 0 AND user_id NOT IN (SELECT user_id FROM fx_users WHERE followers_count > 9000))
+SELECT user_id, location, 'UserTweets' AS topic FROM ok UNION ALL SELECT user_id, location, 'UserFollowers' FROM ok"""
+
+
+@register("q03_dispatch", f"""
+WITH {NET_CTES},
+fol AS (SELECT f.*, u.tweets_count FROM net_fol f JOIN net_roots r ON r.user_id = f.root_id JOIN fx_users u ON u.user_id = f.user_id),
+{_dispatched_sql("fol", "root_id, ord, pos")}""")
+def q03_dispatch(spark, sf_dir):
+    """Followers (of several roots each) that qualify as new roots: one message per user and queue."""
+    roots, _, _, followers = net_tables(spark, sf_dir, need=('followers',))
+    return qu.process_followers(roots, _people(spark, sf_dir, followers), _people_store(spark, sf_dir), True)["dispatch"]
+
+
+def _processed_retweeters(spark, sf_dir):
+    """Two deliveries: some retweeters first, then all of them (the first ones again)."""
+    _, posts, retweeters, _ = net_tables(spark, sf_dir, need=('retweeters',))
+    msgs = posts.filter(~F.coalesce(F.startswith("tweet_text", F.lit("RT @")), F.lit(False)) & (F.col("retweet_count") > 0)) \
+        .select("tweet_id", F.col("root_id").alias("target_user_id"))
+    rts = _people(spark, sf_dir, retweeters)
+    edges, ids = (readers.empty(spark, d) for d in ("src STRING, dst STRING, weight BIGINT",
+                                                    "src STRING, dst STRING, tweet_id STRING, ord BIGINT"))
+    one = qu.process_retweeters(msgs, rts.filter("pos = 1"), _people_store(spark, sf_dir), edges, ids)
+    return qu.process_retweeters(msgs, rts, _people_store(spark, sf_dir), one["edges"], one["edge_tweets"])
+
+
+_RTS_SQL = f"""{NET_CTES},
+rts AS (SELECT r.*, n.target_location, u.tweets_count FROM net_rt r JOIN net_tweets t ON t.tweet_id = r.tweet_id AND t.root_id = r.root_id
+    AND coalesce(t.tweet_text NOT LIKE 'RT @%', true) AND t.retweet_count > 0
+  JOIN net_roots n ON n.user_id = r.root_id JOIN fx_users u ON u.user_id = r.user_id)"""
+
+
+@register("q04_edges", f"""
+WITH {_RTS_SQL}
+SELECT user_id AS src, root_id AS dst, count(DISTINCT tweet_id) AS weight FROM rts
+WHERE root_id IN (SELECT user_id FROM fx_users WHERE followers_count > 9000) OR root_id IN (SELECT user_id FROM rts)
+GROUP BY 1, 2""")
+def q04_edges(spark, sf_dir):
+    """RETWEETED edges between known vertices; a delivery that comes again adds nothing."""
+    return _processed_retweeters(spark, sf_dir)["edges"]
+
+
+@register("q04_dispatch", f"""
+WITH {_RTS_SQL},
+{_dispatched_sql("rts", "ord, pos, root_id, tweet_id")}""")
+def q04_dispatch(spark, sf_dir):
+    """Retweeters that qualify as new roots: one message per user and queue."""
+    return _processed_retweeters(spark, sf_dir)["dispatch"]
+
+
+@register("q08_prompts", """
+WITH t AS (SELECT author_id AS user_id, string_agg(tweet_text, chr(10) ORDER BY 'tweet_' || tweet_id) AS posts FROM fx_tweets
+  WHERE coalesce(tweet_text NOT LIKE 'RT @%', true) GROUP BY 1)
+SELECT coalesce(u.user_id, t.user_id) AS user_id, 'About: ' || coalesce(u.description, '') || chr(10) || 'Posts: ' || coalesce(t.posts, '') AS prompt
+FROM fx_users u FULL OUTER JOIN t ON t.user_id = u.user_id""")
+def q08_prompts(spark, sf_dir):
+    """Stored text objects of every user -> its prompt (users with one post or none included)."""
+    from skein.plans import jobs
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    posts = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text")
+    objects = jobs.pending_texts(users.withColumn("followers_count", F.coalesce("followers_count", F.lit(0))), posts)
+    return qu.render_queue_prompts(objects, "About: user_description\nPosts: user_tweets")
+
+
 @register("s14_list_memberships", """
 SELECT u.user_id, l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id""")
 def s14_list_memberships(spark, sf_dir):

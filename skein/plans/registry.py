@@ -36,7 +36,7 @@ def load_all() -> dict[str, Query]:
     # Importing the query modules fills REGISTRY.
     from skein.plans import (  # noqa: F401
         q_analysis, q_clean, q_network, q_graph, q_upsert, q_export, q_classify,
-        q_text, q_queue, q_jobs,
+        q_text, q_queue, q_jobs, q_records,
     )
     return REGISTRY
 

@@ -184,11 +184,11 @@ def process_retweeters(tweet_msgs: DataFrame, retweeters: DataFrame, vertices: D
     from skein.operators.upsert import upsert_retweets
     r = retweeters.join(tweet_msgs.select("tweet_id", F.col("target_user_id").alias("root_id")),
                         ["tweet_id", "root_id"], "left_semi")
-    new_vertices = upsert_vertices(vertices, r.drop("tweet_id", "root_id", "ord", "pos"))
+    once = keep_first(r, ["user_id"], ["ord", "pos", "root_id", "tweet_id"])  # the same row in every attempt
+    new_vertices = upsert_vertices(vertices, once.drop("tweet_id", "root_id", "ord", "pos"))
     batch = r.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"), "tweet_id",
                      F.col("ord").cast("bigint").alias("ord"))
     e, ids = upsert_retweets(edges, edge_tweets, batch, new_vertices)
-    once = keep_first(r, ["user_id"], ["ord", "pos", "root_id", "tweet_id"])
     dispatch = dispatch_roots(once.drop("tweet_id", "root_id", "ord", "pos"), vertices)
     return {"vertices": new_vertices, "edges": e, "edge_tweets": ids, "dispatch": dispatch["messages"]}
 
@@ -206,6 +206,13 @@ def classify_queue(objects: DataFrame) -> DataFrame:
                                 lambda s: s["value"]).alias("tweets"))
 
 
+def render_queue_prompts(objects: DataFrame, template: str) -> DataFrame:
+    """Q8 up to the model: one prompt per user from its stored text objects."""
+    from skein.functions.text import render_prompt
+    users = classify_queue(objects)
+    return users.select("user_id", render_prompt(template, F.coalesce("description", F.lit("")), F.col("tweets")).alias("prompt"))
+
+
 def msg_schema(kind: str) -> str:
     return {"user": schemas.MSG_USER + ", topic STRING, msg_id STRING, sent_at STRING",
             "tweet": schemas.MSG_TWEET + ", msg_id STRING, sent_at STRING"}[kind]
