@@ -96,27 +96,22 @@ def literal_spans(text: str) -> list[tuple[int, int]]:
     if "=" not in text and ":" not in text:
         return []
     found = pairs(text)
-    named_for: dict[str, set[str]] = {}  # source name -> names that take over its value
+    takes_from: dict[str, set[str]] = {}  # name -> names whose value it takes over
     for name, _, _, ref in found:
         if ref and ref != name:
-            named_for.setdefault(ref, set()).add(name)
+            takes_from.setdefault(name, set()).add(ref)
+    # Highest sensitivity among a name and all names its value flows into: the most sensitive names
+    # hand theirs on first, so each name is visited once however long the chains are.
     best: dict[str, int] = {}
-
-    def reach(name: str) -> int:
-        """Highest sensitivity among a name and all names its value flows into."""
-        if name not in best:
-            seen, todo, top = {name}, [name], 0
-            while todo:
-                top = max(top, name_score(x := todo.pop()))
-                for y in named_for.get(x, ()):
-                    if y not in seen:
-                        seen.add(y)
-                        todo.append(y)
-            best[name] = top
-        return best[name]
-
+    names = {x for name, _, _, ref in found for x in (name, ref) if x}
+    for points, target in sorted(((name_score(x), x) for x in names), reverse=True):
+        todo = [target]
+        while todo:
+            if (x := todo.pop()) not in best:
+                best[x] = points
+                todo += takes_from.get(x, ())
     spans = {(s, e) for name, s, e, ref in found
-             if ref is None and (points := reach(name)) >= 3 and points + literal_score(text[s:e]) >= THRESHOLD}
+             if ref is None and (points := best[name]) >= 3 and points + literal_score(text[s:e]) >= THRESHOLD}
     return sorted(spans)
 
 

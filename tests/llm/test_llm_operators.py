@@ -148,6 +148,10 @@ def test_secret_scan(spark):
     assert not any(literal(i) for i in (3, 4, 7, 9)) and got[5] == got[6] == got[7] == got[10] == []
     assert got[8][:1] == [("assign", 4, 44)] and {k for k, *_ in got[8]} >= {"assign", "hex", "access"}
     assert [k for k, *_ in got[1]] == ["literal"]
+    # a long chain of names, and a ring: the literal is reached through all of them
+    chain = "".join(f"v{'x' * (i % 7)}{chr(97 + i // 7 % 26)} = v{'x' * ((i + 1) % 7)}{chr(97 + (i + 1) // 7 % 26)}\n" for i in range(181))
+    text = f"api_secret = va\nring = api_secret\nva = ring\n{chain}v{'x' * (181 % 7)}{chr(97 + 181 // 7 % 26)} = '{secret}'"
+    assert [text[s:e] for s, e in secret_scan.literal_spans(text)] == [secret]
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
