@@ -256,6 +256,13 @@ def p28_city_file_key(spark, sf_dir):
 _PLAIN = "' ' || trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+', ' ', 'g')) || ' '"
 
 
+#: Ends of the posts that the search is tried on: words, phrases, parts of words, several languages.
+_TAILS = ["breaking", "Breaking-NEWS", "prensa local", "air quality!", "bias officers", "la calidad del aire", "(presse)",
+          "healthcare professional", "professional in healthcare", "news"]
+_TAILED = ("t.tweet_text || ' ' || CASE t.ord % 10 " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(_TAILS))
+           + " END || CASE WHEN t.ord % 3 <> 0 THEN ' ' || u.search_location ELSE '' END")
+
+
 @register("f13_topic_match", f"""
 WITH {_templates_sql()},
 alt AS (SELECT lang, account_type, unnest(regexp_split_to_array(replace(template, '-is:retweet', ' '), '\\bOR\\b')) AS a FROM tp),
@@ -263,16 +270,18 @@ term AS (SELECT lang, account_type, a, unnest(list_concat(regexp_extract_all(a,
     string_split_regex(replace(regexp_replace(a, '"[^"]*"', ' ', 'g'), 'location', ' '), '\\s+'))) AS t FROM alt),
 need AS (SELECT lang, account_type, a, list({_PLAIN.format(x="t")}) FILTER (trim({_PLAIN.format(x="t")}) <> '') AS ts
   FROM term GROUP BY ALL),
-post AS (SELECT t.tweet_id, t.lang, {_PLAIN.format(x="CASE WHEN t.ord % 2 = 0 THEN t.tweet_text || ' ' || u.search_location ELSE t.tweet_text END")} AS p,
+post AS (SELECT t.tweet_id, t.lang, {_PLAIN.format(x=_TAILED)} AS p,
   {_PLAIN.format(x="u.search_location")} AS c
   FROM fx_tweets t JOIN fx_users u ON u.user_id = t.author_id WHERE coalesce(t.tweet_text NOT LIKE 'RT @%', true))
 SELECT DISTINCT tweet_id, account_type FROM post JOIN need ON need.lang = post.lang
 WHERE ts IS NOT NULL AND strpos(p, c) > 0 AND len(list_filter(ts, lambda x: strpos(p, x) = 0)) = 0""")
 def f13_topic_match(spark, sf_dir):
     """Original posts that name their author's search city, tagged with every account type whose
-    search they satisfy (half of the posts get the city's name appended)."""
+    search they satisfy (posts get a topic's words and, two of three, the city's name appended)."""
     tweets, users = tables(spark, sf_dir, "fx_tweets", "fx_users")
     t = tweets.join(users.select(F.col("user_id").alias("author_id"), "search_location"), "author_id")
-    text = F.when(F.col("ord") % 2 == 0, F.concat("tweet_text", F.lit(" "), "search_location")).otherwise(F.col("tweet_text"))
+    tail = F.element_at(F.array(*map(F.lit, _TAILS)), (F.col("ord") % 10 + 1).cast("int"))
+    here = F.when(F.col("ord") % 3 != 0, F.concat(F.lit(" "), "search_location")).otherwise("")
+    text = F.concat("tweet_text", F.lit(" "), tail, here)
     return nm.topic_match(t.select("tweet_id", text.alias("text"), "lang", "search_location"), "text", "lang",
                           F.col("search_location"))
