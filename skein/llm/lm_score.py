@@ -1,9 +1,9 @@
 """LM scoring: a bigram model in a log-frequency Bloom filter.
 
-Counts of n-grams are quantised to q = floor(log2(count)) and an n-gram is put into the filter once
+Counts of n-grams are quantised to q = 1 + floor(log2(count)) and an n-gram is put into the filter once
 for each level 1..q, so a count is read back by probing level after level until one is missing. An
-n-gram seen once has level 0 and no entry. The probability of a word after another mixes the bigram
-estimate with the unigram one (Dirichlet smoothing). Unigrams are divided by the sum of all quantised
+n-gram seen once has one entry; level 0 is one never seen. The probability of a word after another mixes
+the bigram estimate with the unigram one (Dirichlet smoothing). Unigrams are divided by the sum of all quantised
 counts; pairs take the low end of their level and contexts the high end, so the probabilities of a
 context's words add up to one at most (but for the filter's false positives).
 
@@ -122,14 +122,29 @@ def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
 
 
 def levels(c: np.ndarray) -> np.ndarray:
-    """floor(log2(count))."""
-    return np.frexp(c.astype(float))[1] - 1
+    """1 + floor(log2(count)); 0 for a count of 0."""
+    return np.frexp(c.astype(float))[1]
+
+
+def low_end(q: np.ndarray) -> np.ndarray:
+    """Smallest count of each level."""
+    return np.where(q > 0, 2.0 ** (q - 1), 0.0)
+
+
+def middle(q: np.ndarray) -> np.ndarray:
+    """A count that stands for each level (level 1 is a count of 1 alone)."""
+    return np.where(q > 1, MIDDLE, 1.0) * low_end(q)
+
+
+def high_end(q: np.ndarray) -> np.ndarray:
+    """Bound on the counts of each level."""
+    return np.where(q > 0, 2.0 ** q, 0.0)
 
 
 def merge_shards(parts: DataFrame) -> DataFrame:
     """One row per shard and order: its distinct n-grams, counts and the number of n-grams of each level.
 
-    Words keep their exact counts; pairs seen once have no entry in the filter and are let go.
+    Words keep their exact counts (8 bytes), pairs the levels of theirs (1 byte).
     """
     import pandas as pd
 
@@ -137,11 +152,10 @@ def merge_shards(parts: DataFrame) -> DataFrame:
         order = int(group["order"].iloc[0])
         h, c = _merge(np.concatenate([np.frombuffer(x, np.uint64) for x in group["h"]]),
                       np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) for x in group["c"]]))
-        of_level = np.bincount(levels(c), minlength=64)
-        keep = slice(None) if order == 1 else c > 1
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "order": [order], "h": [h[keep].tobytes()],
-                             "c": [c[keep].tobytes()], "total": [int(c.sum())], "distinct": [len(h)],
-                             "of_level": [of_level.tolist()]})
+        q = levels(c)
+        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "order": [order], "h": [h.tobytes()],
+                             "c": [(c if order == 1 else q.astype(np.uint8)).tobytes()], "total": [int(c.sum())],
+                             "distinct": [len(h)], "of_level": [np.bincount(q, minlength=64).tolist()]})
 
     return parts.groupBy("shard", "order").applyInPandas(
         merge, "shard int, order int, h binary, c binary, total long, distinct long, of_level array<long>")
@@ -160,7 +174,8 @@ def build_segments(merged: DataFrame, segment_bits: int, min_level: int) -> Data
     def build(group):
         flags = np.zeros(segment_bits, bool)
         for order, hs, cs in zip(group["order"], group["h"], group["c"], strict=True):
-            h, q = np.frombuffer(hs, np.uint64), levels(np.frombuffer(cs, np.int64))
+            h = np.frombuffer(hs, np.uint64)
+            q = levels(np.frombuffer(cs, np.int64)) if order == 1 else np.frombuffer(cs, np.uint8).astype(np.int64)
             for level in range(min_level, int(q.max(initial=0)) + 1):
                 h, q = h[q >= level], q[q >= level]
                 for probe in range(PROBES):
@@ -214,14 +229,13 @@ class Model:
         """log10 of the smoothed probability of each token after the one before it."""
         word, back = np.unique(tokens, return_inverse=True)
         level = self.filter.level(word, 1)
-        high = np.where(level > 0, 2.0 ** (level + 1), 2.0 ** self.filter.min_level)[back]
-        unigram = ((np.where(level > 0, MIDDLE * 2.0 ** level, 0.0) + 0.5) / (self.mass + 0.5 * (self.v + 1)))[back]
+        # a word that has no level is one never seen or, if low levels are left out, one under them
+        high = np.where(level > 0, high_end(level), high_end(np.array(self.filter.min_level - 1)))[back]
+        unigram = ((middle(level) + 0.5) / (self.mass + 0.5 * (self.v + 1)))[back]
         context = np.concatenate([[0.0], high[:-1]])
         before_end = np.flatnonzero(np.concatenate([[True], tokens[:-1] == END]))
-        end_level = int(self.filter.level(np.array([END]), 1)[0])
-        context[before_end] = 2.0 ** (end_level + 1)
-        pair = self.filter.level(pair_hashes(tokens), 2)
-        seen = np.where(pair > 0, 2.0 ** pair, 0.0)
+        context[before_end] = high_end(self.filter.level(np.array([END]), 1))[0]
+        seen = low_end(self.filter.level(pair_hashes(tokens), 2))
         return np.log10((seen + PRIOR * unigram) / (context + PRIOR))
 
 
@@ -267,7 +281,7 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
     h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["h"], np.uint64) for r in rows)])
     c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["c"], np.int64) for r in rows)])
     order = np.argsort(h)
-    mass = sum(MIDDLE * 2.0 ** i * k for i, k in enumerate(word_levels) if i >= min_level)
+    mass = sum(float(middle(np.array(i))) * k for i, k in enumerate(word_levels) if i >= min_level)
     model = Model(Filter(segments, shards, segment_bits, min_level), h[order], c[order], n, v, mass)
     return model, words.mapInArrow(cut(False), "h long, c long")
 

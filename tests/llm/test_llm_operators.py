@@ -231,6 +231,21 @@ def test_lm_learns_word_order(spark):
     assert sum(r["score"] for r in got) > 0.8 * sum(r["base_score"] for r in got)  # both are negative
 
 
+def test_lm_pairs_seen_once_count(spark):
+    # every pair is seen once in training; the words of all three held-out texts are equally frequent
+    ids = iter(range(10_000))
+    learnt, asked = [], []
+    while len(learnt) < 1 or len(asked) < 3:
+        i = next(ids)
+        if brute.training(i) and len(learnt) < 1:
+            learnt.append(i)
+        elif not brute.training(i) and len(asked) < 3:
+            asked.append(i)
+    rows = [(learnt[0], "a b c d"), (asked[0], "a b c d"), (asked[1], "c a d b"), (asked[2], "e f g h")]
+    score = {r["doc_id"]: r["score"] for r in lm_score.lm_score(frame(spark, rows)).collect()}
+    assert score[asked[0]] > score[asked[1]] + 1e-9 and score[asked[1]] > score[asked[2]] + 1e-9
+
+
 def test_token_counts(spark):
     vocabulary = {p for p in token_counts.load_pieces(PIECES)}
     got = token_counts.token_counts(frame(spark, ROWS).coalesce(1), PIECES).collect()
