@@ -13,10 +13,12 @@ occurrences in a join on the word's hash.
 
 Scale: every task sums n-grams of its slices before the shuffle and sends them as sorted arrays, one
 row per shard, so a word in all documents arrives as one number per task. Each shard counts its own
-n-grams and builds its own segment of the filter. What is broadcast is bounded by parameters:
-``2**filter_bits`` bits and ``max_words`` words. If the n-grams would crowd the filter (under
-``BITS_PER_ENTRY`` bits for each), the lowest levels are left out, which follows from the levels'
-counts over all documents.
+n-grams and builds its own segment of the filter, which has ``ROOMY`` bits for each entry. What is
+broadcast is bounded by parameters: ``2**filter_bits`` bits and ``max_words`` words. If the n-grams would
+crowd the filter (under ``BITS_PER_ENTRY`` bits for each), the lowest levels are not put into it, which
+follows from the levels' counts over all documents. N-grams under that cut are not lost: whatever the
+filter does not know is looked up in the stored shard counts by a join, so scores do not depend on
+the filter's size (but for its false positives).
 
 Defined results: a null text is empty and has the end token alone. A null id counts as the empty
 text in the split. Repeated rows are learnt from and scored each by itself. Without any training
@@ -37,6 +39,8 @@ HELD_OUT = 1
 FILTER_BITS = 27
 MAX_WORDS = 1 << 18
 BITS_PER_ENTRY = 12
+#: Bits for each entry while they do not fill ``2**filter_bits``.
+ROOMY = 64
 PROBES = 4
 #: Weight of the unigram distribution in the smoothed bigram, in counts.
 PRIOR = 4096.0
@@ -225,22 +229,38 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
         return np.where(self.words[at] == h, self.counts[at], -1)
 
-    def log_probs(self, tokens: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed probability of each token after the one before it."""
+    def unigram(self, q: np.ndarray) -> np.ndarray:
+        """Probability of a word of each level."""
+        return (middle(q) + 0.5) / (self.mass + 0.5 * (self.v + 1))
+
+    def log_probs(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 of the smoothed probability of each token after the one before it, as far as it is known here.
+
+        (sum of the known parts, levels, pair hashes, which words and which pairs have to be looked up). A
+        token's part is log10(seen + PRIOR * unigram), its context's -log10(context + PRIOR).
+        """
         word, back = np.unique(tokens, return_inverse=True)
         level = self.filter.level(word, 1)
-        # a word that has no level is one never seen or, if low levels are left out, one under them
-        high = np.where(level > 0, high_end(level), high_end(np.array(self.filter.min_level - 1)))[back]
-        unigram = ((middle(level) + 0.5) / (self.mass + 0.5 * (self.v + 1)))[back]
-        context = np.concatenate([[0.0], high[:-1]])
-        before_end = np.flatnonzero(np.concatenate([[True], tokens[:-1] == END]))
-        context[before_end] = high_end(self.filter.level(np.array([END]), 1))[0]
-        seen = low_end(self.filter.level(pair_hashes(tokens), 2))
-        return np.log10((seen + PRIOR * unigram) / (context + PRIOR))
-
-
-def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS) -> tuple[Model, DataFrame]:
-    """(model, words left out of it as (h, c) rows) from a frame with the one column ``text``."""
+        exact = self.exact(word)
+        level = np.where((level == 0) & (exact > 0), levels(np.maximum(exact, 0)), level)
+        below = self.filter.min_level > 1
+        open_word = ((level == 0) & (exact < 0) & below)[back]
+        level = level[back]
+        pairs = pair_hashes(tokens)
+        pair = self.filter.level(pairs, 2)
+        open_pair = ((pair == 0) | open_word) & below
+        # the token before; before a text's first token stands the end token, whose level is that of the texts' ends
+        ends = np.flatnonzero(tokens == END)
+        before = np.concatenate([ends[:1], np.arange(len(tokens) - 1)])
+        known = np.where(open_pair, 0.0, np.log10(low_end(pair) + PRIOR * self.unigram(level)))
+        known -= np.where(open_word[before], 0.0, np.log10(high_end(level[before]) + PRIOR))
+        return known, level, pairs, open_word, open_pair
+
+
+def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS
+          ) -> tuple[Model, DataFrame, DataFrame]:
+    """(model, words that are not broadcast as (h, c) rows, pairs under the filter's cut as (h, q) rows) from a
+    frame with the one column ``text``."""
     spark = training.sparkSession
     shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     merged = common.materialise(merge_shards(count_ngrams(training, shards)))
@@ -257,7 +277,7 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
         entries[i] = entries[i + 1] + at_least
     capacity = (1 << filter_bits) // BITS_PER_ENTRY
     min_level = next(i for i in range(1, 66) if entries[i] <= capacity)
-    segment_bits = max(8, (1 << filter_bits) // shards // 8 * 8)
+    segment_bits = max(8, min(1 << filter_bits, ROOMY * entries[min_level]) // shards // 8 * 8)
     segments = {r["shard"]: bytes(r["bits"]) for r in build_segments(merged, segment_bits, min_level).collect()}
 
     word_levels = [int(by[1][f"l{i}"] or 0) if 1 in by else 0 for i in range(64)]
@@ -281,11 +301,26 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
     h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["h"], np.uint64) for r in rows)])
     c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["c"], np.int64) for r in rows)])
     order = np.argsort(h)
-    mass = sum(float(middle(np.array(i))) * k for i, k in enumerate(word_levels) if i >= min_level)
+    mass = sum(float(middle(np.array(i))) * k for i, k in enumerate(word_levels))
     model = Model(Filter(segments, shards, segment_bits, min_level), h[order], c[order], n, v, mass)
-    return model, words.mapInArrow(cut(False), "h long, c long")
+
+    def under(batches):
+        for batch in batches:
+            for hs, qs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h, q = np.frombuffer(hs, np.uint64), np.frombuffer(qs, np.uint8)
+                h, q = h[q < min_level], q[q < min_level]
+                for i in range(0, len(h), 1 << 20):
+                    yield pa.RecordBatch.from_arrays([pa.array(h[i:i + (1 << 20)].view(np.int64)),
+                                                      pa.array(q[i:i + (1 << 20)].view(np.int8))], ["h", "q"])
+
+    pairs = merged.filter(F.col("order") == 2).select("h", "c").mapInArrow(under, "h long, q byte")
+    return model, words.mapInArrow(cut(False), "h long, c long"), pairs
 
 
+#: What a text leaves to look up, as bytes: hash, count and mark of the words that are not broadcast (the mark: it
+#: has to be looked up as a context too), the pairs that wait for a marked word, other pairs, their words' levels.
+PACKED = ("word", "times", "marked", "waiting", "pair", "level")
+
 # --- scoring ----------------------------------------------------------------------------------
 
 def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -299,16 +334,19 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
     mark = held_out(F.col(id_col)) if held_out_col is None else F.coalesce(held_out_col, F.lit(False))
     narrow = docs.select(F.col(id_col).alias("doc_id"), mark.alias("held_out"),
                          F.col(text_col).cast("string").alias("text"))
-    model, rare = learn(narrow.filter(~F.col("held_out")).select("text"), filter_bits, max_words)
+    model, rare, pairs = learn(narrow.filter(~F.col("held_out")).select("text"), filter_bits, max_words)
     n, total = model.n, model.n + 0.5 * (model.v + 1)
     shared = spark.sparkContext.broadcast(model)
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    rare_type = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
+
+    def packed(values, edges):
+        """The stretches of an array between edges, as bytes: what is looked up is stored at 9 bytes a pair."""
+        return [values[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
     def run(batches):
         known = shared.value
         for batch in batches:
-            cols: list[list] = [[] for _ in range(5)]
+            cols: list[list] = [[] for _ in range(10)]
             for _, texts in common.slices([batch.select(["text"])], 0):
                 tokens, of = token_hashes(texts)
                 word, back = np.unique(tokens, return_inverse=True)
@@ -319,33 +357,91 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
                 cols[1] += np.bincount(of[counts > 0], minlength=size).tolist()
                 logs = np.where(inside, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
                 cols[2] += np.bincount(of, logs, minlength=size).tolist()
-                cols[3] += np.bincount(of, known.log_probs(tokens), minlength=size).tolist()
-                left: list[list] = [[] for _ in texts]
-                if not inside.all():
-                    out = np.flatnonzero(~inside)
-                    pairs = np.stack([of[out].astype(np.uint64), tokens[out]], 1)
-                    pairs, times = np.unique(pairs, axis=0, return_counts=True)
-                    for d, h, k in zip(pairs[:, 0].tolist(), pairs[:, 1].view(np.int64).tolist(), times.tolist(),
-                                       strict=True):
-                        left[d].append({"h": h, "n": k})
-                cols[4] += left
+                part, level, pair, open_word, open_pair = known.log_probs(tokens)
+                cols[3] += np.bincount(of, part, minlength=size).tolist()
+
+                # words that are not broadcast, once per text: how often as a word, how often as a context to look
+                # up (after each of its occurrences, an end's being the text's first), and the pairs waiting for it
+                out = np.flatnonzero(~inside)
+                out = out[np.lexsort((tokens[out], of[out]))]
+                new = np.ones(len(out), bool)
+                new[1:] = (tokens[out[1:]] != tokens[out[:-1]]) | (of[out[1:]] != of[out[:-1]])
+                first = np.flatnonzero(new)
+                at = np.searchsorted(of[out[first]], np.arange(size + 1))
+                waits = np.concatenate([[0], np.cumsum(open_word[out])])[np.append(first, len(out))[at]]
+                cols[4] += packed(tokens[out[first]], at)
+                cols[5] += packed(np.diff(np.append(first, len(out))).astype("<u4"), at)
+                cols[6] += packed(open_word[out[first]].astype(np.uint8), at)
+                cols[7] += packed(pair[out[open_word[out]]], waits)
+
+                # pairs to look up whose word's level is known
+                out = np.flatnonzero(open_pair & ~open_word)
+                at = np.searchsorted(of[out], np.arange(size + 1))
+                cols[8] += packed(pair[out], at)
+                cols[9] += packed(level[out].astype(np.uint8), at)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:2]),
-                 *(pa.array(c, pa.float64()) for c in cols[2:4]), pa.array(cols[4], rare_type)],
-                ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "rare"])
+                 *(pa.array(c, pa.float64()) for c in cols[2:4]), *(pa.array(c, pa.binary()) for c in cols[4:])],
+                ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", *PACKED])
 
     scored = narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, "
-                                    "score double, rare array<struct<h:long,n:long>>")
+                                    f"score double, {', '.join(f'{c} binary' for c in PACKED)}")
+
+    def unpack_words(batches):
+        for batch in batches:
+            rows, *blobs = (batch.column(i).to_pylist() for i in range(5))
+            h, n, m, pair = (np.frombuffer(b"".join(x), t) for x, t in zip(blobs, ("<i8", "<u4", "u1", "<i8"), strict=True))
+            m = n * m.astype(np.int64)
+            waits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m)]).astype(np.int32)), pa.array(pair))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(rows, np.int64), [len(x) // 8 for x in blobs[0]])), pa.array(h),
+                 pa.array(n.astype(np.int64)), pa.array(m), waits], ["row", "h", "n", "m", "pairs"])
+
+    def unpack_pairs(batches):
+        for batch in batches:
+            rows, hs, qs = (batch.column(i).to_pylist() for i in range(3))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.array(rows, np.int64), [len(x) for x in qs])),
+                 pa.array(np.frombuffer(b"".join(hs), "<i8")), pa.array(np.frombuffer(b"".join(qs), np.int8))],
+                ["row", "h", "q"])
+
+    def level_of(c):  # 1 + floor(log2(c)) of a positive count, exact
+        return F.when(c > 0, F.length(F.bin(c))).otherwise(0)
+
+    def low(q):
+        return F.when(q > 0, F.pow(F.lit(2.0), q - 1)).otherwise(0.0)
+
+    def high(q):
+        return F.when(q > 0, F.pow(F.lit(2.0), q)).otherwise(0.0)
+
+    def unigram(q):
+        middle_of = F.when(q > 1, MIDDLE).otherwise(1.0) * low(q)
+        return (middle_of + 0.5) / (model.mass + 0.5 * (model.v + 1))
 
     scored = common.materialise(scored).withColumn("row", F.monotonically_increasing_id())  # stable: stored
-    counted = (scored.select("row", F.inline("rare")).join(rare, "h", "left")
-               .groupBy("row").agg(F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + 0.5)).alias("more_logs"),
-                                   F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known")))
+    words = (scored.select("row", *PACKED[:4])
+             .mapInArrow(unpack_words, "row long, h long, n long, m long, pairs array<long>").join(rare, "h", "left")
+             .select("row", "n", "m", "pairs", F.coalesce("c", F.lit(0)).alias("c"))
+             .withColumn("q", level_of(F.col("c"))))
+    more = words.select(
+        "row", (F.col("n") * F.log10(F.col("c") + 0.5)).alias("logs"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
+        F.when(F.col("m") > 0, -F.col("m") * F.log10(high(F.col("q")) + PRIOR)).otherwise(0.0).alias("score"))
+    if model.filter.min_level > 1:  # otherwise the filter holds every pair
+        waiting = words.select("row", F.explode("pairs").alias("h"), F.col("q").cast("byte").alias("q"))
+        asked = (scored.select("row", *PACKED[4:]).mapInArrow(unpack_pairs, "row long, h long, q byte")
+                 .unionAll(waiting).withColumnRenamed("q", "word"))
+        pair = F.coalesce("q", F.lit(0))
+        more = more.unionAll(asked.join(pairs, "h", "left").select(
+            "row", F.lit(0.0), F.lit(0).cast("long"),
+            F.log10(low(pair) + PRIOR * unigram(F.col("word")))))
+    counted = more.groupBy("row").agg(F.sum("logs").alias("more_logs"), F.sum("known").alias("more_known"),
+                                      F.sum("score").alias("more_score"))
     logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
-    return scored.drop("rare").join(counted, "row", "left").select(
+    return scored.drop(*PACKED).join(counted, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * float(np.log10(total))).alias("base_score"), "score")
+        (logs - F.col("n_tokens") * float(np.log10(total))).alias("base_score"),
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
 
 
 def op8_lm_score(spark, sf_dir: str) -> DataFrame:

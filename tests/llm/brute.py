@@ -90,6 +90,21 @@ def unigrams(rows, training):
             for i, w in toks}, n
 
 
+def bigrams(rows, training, prior, mid):
+    """[(id, text)] -> {id: score} of the bigram model with counts quantised to powers of two."""
+    from math import log10
+
+    toks = [(i, [*words(t), "\0end"]) for i, t in rows]
+    pairs = lambda w: zip(["\0end", *w], w)
+    c1 = Counter(x for i, w in toks if training(i) for x in w)
+    c2 = Counter(x for i, w in toks if training(i) for x in pairs(w))
+    low = lambda c: 1 << c.bit_length() - 1 if c else 0
+    middle = lambda c: low(c) * (mid if c > 1 else 1)
+    mass = sum(map(middle, c1.values())) + 0.5 * (len(c1) + 1)
+    return {i: sum(log10((low(c2[a, b]) + prior * (middle(c1[b]) + 0.5) / mass) / (2 * low(c1[a]) + prior))
+                   for a, b in pairs(w)) for i, w in toks}
+
+
 def training(i):
     return zlib.crc32(str(i).encode()) % 5 != 1
 

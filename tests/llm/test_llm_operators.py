@@ -231,6 +231,17 @@ def test_lm_learns_word_order(spark):
     assert sum(r["score"] for r in got) > 0.8 * sum(r["base_score"] for r in got)  # both are negative
 
 
+@pytest.mark.parametrize("max_words", [1 << 18, 40, 0])
+@pytest.mark.parametrize("filter_bits", [27, 13, 3])
+def test_lm_scores_do_not_depend_on_the_filter(spark, filter_bits, max_words):
+    rows = [(n, t) for n, (_, t) in enumerate(ROWS)]
+    want = brute.bigrams(rows, brute.training, lm_score.PRIOR, lm_score.MIDDLE)
+    got = {r["doc_id"]: r["score"] for r in
+           lm_score.lm_score(frame(spark, rows), filter_bits=filter_bits, max_words=max_words).collect()}
+    # 2**27 bits hold all n-grams, 2**3 bits none; 2**13 are crowded, with false positives
+    assert got == {i: pytest.approx(x, rel={27: 1e-3, 13: 3e-2, 3: 1e-9}[filter_bits]) for i, x in want.items()}
+
+
 def test_lm_pairs_seen_once_count(spark):
     # every pair is seen once in training; the words of all three held-out texts are equally frequent
     ids = iter(range(10_000))
