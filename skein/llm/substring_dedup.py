@@ -19,11 +19,14 @@ order: equal content is adjacent in either, and only matches of at least ``lengt
 3. Equal anchors with different spans can still share shorter strings of ``length`` bytes and more.
    For these anchors (a second scan finds them by a bit array of fixed size, which lets all of them
    pass) the spans' bytes are sent along, and a dense array of every start in them is searched the same way.
+   An anchor of more than ``SPREAD`` spans (found by a second such array) does not go to one bucket: every
+   start in its spans is an entry of its own, with the fingerprint of its ``length`` bytes. A batch reports
+   the starts that repeat an earlier one of the batch; the others are dealt to buckets by that fingerprint.
 
-Scale: one narrow shuffle of entries, one of the few spans of step 3, one of the texts to meet their
-spans. A passage that a third of all documents hold arrives as one entry per batch, not per
-document. Every stage is linear in the input; nothing but the bit array (bounded by
-``2**FILTER_BITS`` bits) reaches the driver.
+Scale: one narrow shuffle of entries, one of the few spans and starts of step 3, one of the texts to meet
+their spans. A passage that a third of all documents hold arrives as one entry per batch, not per
+document, and so does each string at its edges; strings that differ are spread over all buckets. Every stage is linear in the input; nothing but the bit arrays (bounded by
+``2**FILTER_BITS`` bits each) reaches the driver.
 
 Defined results: a null or empty text has no bytes. Null ids come before all others. Rows that
 repeat an id are ordered by the CRC-32 of their texts; rows equal in both are one document, so their
@@ -44,6 +47,8 @@ LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 32 << 20
 FILTER_BITS = 25
+#: Spans of one anchor that go to one bucket; the starts of an anchor with more are spread over all.
+SPREAD = 256
 #: Levels merge when the older is at most this many times the newer.
 RATIO = 2
 NULL_ID = -(1 << 63)
@@ -182,14 +187,32 @@ REPEATS = "kind int, doc long, crc long, start long, end long"
 
 
 def _found(intervals, keys=()):
-    """Rows of kind 0 (covered bytes) and kind 1 (an anchor with several spans, in ``doc``)."""
+    """Rows of kind 0 (covered bytes) and kind 1 (an anchor with several spans, in ``doc``, and
+    their number, in ``start``)."""
     import pandas as pd
 
-    rows = [(0, *x) for x in intervals] + [(1, k, 0, 0, 0) for k in keys]
+    rows = [(0, *x) for x in intervals] + [(1, k, 0, n, 0) for k, n in keys]
     out = pd.DataFrame(rows, columns=["kind", "doc", "crc", "start", "end"])
     return out.astype({c: "int64" for c in out.columns} | {"kind": "int32"})
 
 
+def _dealt(index: np.ndarray, repeats: np.ndarray, by: str, buckets: int, task: int, no: int) -> pa.RecordBatch:
+    """A batch's suffix array by bucket of the field ``by`` (kind 0) and its repeats (kind 1)."""
+    bucket = _bucket(index[by], buckets)
+    order = np.argsort(bucket, kind="stable")
+    index, bucket = index[order], bucket[order]
+    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    full = np.flatnonzero(np.diff(edges)).tolist()
+    rows = [(b, 0, index[edges[b]:edges[b + 1]].tobytes()) for b in full]
+    repeats = repeats[np.lexsort((repeats["lo"], repeats["crc"], repeats["doc"]))]
+    rows += [((task + no * 7919 + i) % buckets, 1, repeats[i << 12:(i + 1) << 12].tobytes())
+             for i in range((len(repeats) + 4095) >> 12)]
+    cols = list(zip(*rows, strict=True)) or [()] * 3
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cols[0], pa.int32()), pa.array([(task << 20) + no] * len(rows), pa.int64()),
+         pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], ["bucket", "batch", "kind", "data"])
+
+
 def index_batches(texts: DataFrame, buckets: int, length: int, gram: int, batch_bytes: int) -> DataFrame:
     """(bucket, batch, kind, data): every batch's suffix array by bucket (kind 0), and the entries that
     repeat inside the batch (kind 1, in any bucket)."""
@@ -200,67 +223,95 @@ def index_batches(texts: DataFrame, buckets: int, length: int, gram: int, batch_
         task = TaskContext.get().partitionId()
         parts, size, no = [], 0, 0
 
-        def flush():
-            index, repeats = suffix_array(np.concatenate(parts))
-            bucket = _bucket(index["key"], buckets)
-            order = np.argsort(bucket, kind="stable")
-            index, bucket = index[order], bucket[order]
-            edges = np.searchsorted(bucket, np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(edges)).tolist()
-            rows = [(b, 0, index[edges[b]:edges[b + 1]].tobytes()) for b in full]
-            repeats = repeats[np.lexsort((repeats["lo"], repeats["crc"], repeats["doc"]))]
-            rows += [((task + no * 7919 + i) % buckets, 1, repeats[i << 12:(i + 1) << 12].tobytes())
-                     for i in range((len(repeats) + 4095) >> 12)]
-            cols = list(zip(*rows, strict=True)) or [()] * 3
-            return pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array([(task << 20) + no] * len(rows), pa.int64()),
-                 pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())], ["bucket", "batch", "kind", "data"])
-
         for (docs, crcs), part in common.slices(batches, 2):
             parts.append(spans_of(part, np.array(docs, np.int64), np.array(crcs, np.uint32), length, gram)[0])
             size += sum(map(len, part))
             if size >= batch_bytes:
-                yield flush()
+                yield _dealt(*suffix_array(np.concatenate(parts)), "key", buckets, task, no)
                 parts, size, no = [], 0, no + 1
         if parts:
-            yield flush()
+            yield _dealt(*suffix_array(np.concatenate(parts)), "key", buckets, task, no)
 
     return texts.mapInArrow(run, "bucket int, batch long, kind int, data binary")
 
 
+def _run_family(group, length: int) -> tuple[Family, list]:
+    """(family of a bucket's batches, bytes covered by their repeats)."""
+    family = Family()
+    repeats = []
+    for kind, data in group.sort_values("batch")[["kind", "data"]].itertuples(index=False, name=None):
+        e = np.frombuffer(data, ENTRY)
+        if kind:
+            repeats.append(e)
+        else:
+            family.add(e.copy())
+    return family, [*_intervals(np.concatenate([np.zeros(0, ENTRY), *repeats]), length),
+                    *_intervals(np.concatenate([np.zeros(0, ENTRY), *family.repeats]), length)]
+
+
 def scan_family(batches: DataFrame, length: int) -> DataFrame:
     """Run every bucket's batches through its family of levels."""
 
     def scan(group):
-        family = Family()
-        repeats = []
-        for kind, data in group.sort_values("batch")[["kind", "data"]].itertuples(index=False, name=None):
-            e = np.frombuffer(data, ENTRY)
-            if kind:
-                repeats.append(e)
-            else:
-                family.add(e.copy())
-        keys = np.sort(np.concatenate([np.zeros(0, np.uint64), *(x["key"] for x in family.levels)]))
-        several = np.unique(keys[1:][keys[1:] == keys[:-1]]).view(np.int64).tolist()
-        covered = [*_intervals(np.concatenate([np.zeros(0, ENTRY), *repeats]), length),
-                   *_intervals(np.concatenate([np.zeros(0, ENTRY), *family.repeats]), length)]
-        return _found(covered, several)
+        family, covered = _run_family(group, length)
+        keys, times = np.unique(np.concatenate([np.zeros(0, np.uint64), *(x["key"] for x in family.levels)]),
+                                return_counts=True)
+        several = times > 1
+        return _found(covered, zip(keys[several].view(np.int64).tolist(), times[several].tolist(), strict=True))
 
     return batches.groupBy("bucket").applyInPandas(scan, REPEATS)
 
 
-def span_batches(texts: DataFrame, bitmap, bits: int, buckets: int, length: int, gram: int) -> DataFrame:
-    """(bucket, data, ends, bytes): spans of the anchors in the bit array, once per slice and content."""
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+def dense_starts(e: np.ndarray, first: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """An entry for every start of the spans, with the fingerprint of the ``length`` bytes from there."""
+    n = e["n"].astype(np.int64)
+    which = np.repeat(np.arange(len(e)), n)
+    step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    dense = np.zeros(len(which), ENTRY)
+    begin = first[which] + step
+    dense["f"] = common.mix(common.Prefix(data).raw(begin, begin + length))
+    for c in ("key", "doc", "crc"):
+        dense[c] = e[c][which]
+    dense["lo"] = e["lo"][which] + step
+    dense["n"] = 1
+    return dense
+
+
+def start_batches(texts: DataFrame, several, spread, bits: int, buckets: int, length: int, gram: int,
+                  batch_bytes: int) -> DataFrame:
+    """(bucket, batch, kind, data, raw) of the spans of the anchors in the bit array ``several``.
+
+    Anchors that are in ``spread`` too send starts: each content of a batch once, by bucket of its fingerprint
+    (kind 0), and the starts that repeat inside the batch (kind 1). The others send their spans, once per slice
+    and content, with their bytes (kind 2, by bucket of the anchor).
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((several, spread))
 
     def run(batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get().partitionId()
+        parts, size, no = [], 0, 0
+
+        def flush():
+            out = _dealt(*suffix_array(np.concatenate(parts)), "f", buckets, task, no)
+            return out.append_column("raw", pa.nulls(out.num_rows, pa.binary()))
+
         for (docs, crcs), part in common.slices(batches, 2):
             e, first, last, data = spans_of(part, np.array(docs, np.int64), np.array(crcs, np.uint32), length, gram)
-            ok = np.flatnonzero(common.in_filter(shared.value, e["key"], bits))
+            ok = np.flatnonzero(common.in_filter(shared.value[0], e["key"], bits))
             if not len(ok):
                 continue
             ok = ok[_earliest(e[ok])]
-            ok = ok[~_same(e[ok])]
+            ok = ok[~_same(e[ok])]  # spans of equal content are found by their own fingerprints
+            hot = common.in_filter(shared.value[1], e["key"][ok], bits)
+            if hot.any():
+                parts.append(dense_starts(e[ok[hot]], first[ok[hot]], data, length))
+                size += parts[-1].nbytes
+                if size >= batch_bytes:
+                    yield flush()
+                    parts, size, no = [], 0, no + 1
+            ok = ok[~hot]
             bucket = _bucket(e["key"][ok], buckets)
             order = np.argsort(bucket, kind="stable")
             ok, bucket = ok[order], bucket[order]
@@ -269,19 +320,22 @@ def span_batches(texts: DataFrame, bitmap, bits: int, buckets: int, length: int,
                 at = ok[bucket == b]
                 raw = b"".join(data[s:t].tobytes() for s, t in zip(first[at].tolist(), last[at].tolist(), strict=True))
                 rows.append((int(b), e[at].tobytes(), raw))
-            cols = list(zip(*rows, strict=True))
+            cols = list(zip(*rows, strict=True)) or [()] * 3
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
-                ["bucket", "data", "raw"])
+                [pa.array(cols[0], pa.int32()), pa.array([-1] * len(rows), pa.int64()),
+                 pa.array([2] * len(rows), pa.int32()), pa.array(cols[1], pa.binary()), pa.array(cols[2], pa.binary())],
+                ["bucket", "batch", "kind", "data", "raw"])
+        if parts:
+            yield flush()
 
-    return texts.mapInArrow(run, "bucket int, data binary, raw binary")
+    return texts.mapInArrow(run, "bucket int, batch long, kind int, data binary, raw binary")
 
 
-def scan_spans(spans: DataFrame, length: int) -> DataFrame:
+def scan_starts(batches: DataFrame, length: int) -> DataFrame:
     """Repeats among all starts of the spans that share an anchor."""
 
-    def scan(group):
-        e = np.concatenate([np.frombuffer(x, ENTRY) for x in group["data"]])
+    def of_spans(group):
+        e = np.concatenate([np.zeros(0, ENTRY), *(np.frombuffer(x, ENTRY) for x in group["data"])])
         data = np.frombuffer(b"".join(group["raw"]), np.uint8)
         size = e["n"].astype(np.int64) + length - 1
         at = np.cumsum(size) - size
@@ -290,26 +344,19 @@ def scan_spans(spans: DataFrame, length: int) -> DataFrame:
         _, back, times = np.unique(e["key"][order], return_inverse=True, return_counts=True)
         order = order[times[back] > 1]
         if not len(order):
-            return _found([])
-        e, at = e[order], at[order]
-        n = e["n"].astype(np.int64)
-        which = np.repeat(np.arange(len(e)), n)
-        step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        dense = np.zeros(len(which), ENTRY)
-        begin = at[which] + step
-        dense["f"] = common.mix(common.Prefix(data).raw(begin, begin + length))
-        for c in ("key", "doc", "crc"):
-            dense[c] = e[c][which]
-        dense["lo"] = e["lo"][which] + step
-        dense["n"] = 1
-        return _found(_intervals(suffix_array(dense)[1], length))
-
-    return spans.groupBy("bucket").applyInPandas(scan, REPEATS)
+            return []
+        return _intervals(suffix_array(dense_starts(e[order], at[order], data, length))[1], length)
+
+    def scan(group):
+        spans = group["kind"] == 2
+        return _found([*of_spans(group[spans]), *_run_family(group[~spans], length)[1]])
+
+    return batches.groupBy("bucket").applyInPandas(scan, REPEATS)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
                    text_col: str = "text", batch_bytes: int = BATCH_BYTES, buckets: int | None = None,
-                   filter_bits: int = FILTER_BITS) -> DataFrame:
+                   filter_bits: int = FILTER_BITS, spread: int = SPREAD) -> DataFrame:
     """(doc, crc, start, end): stretches of repeated bytes; they can touch and overlap."""
     spark = docs.sparkSession
     common.prepare(spark)
@@ -317,22 +364,27 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     texts = _narrow(docs, id_col, text_col)
     found = common.materialise(scan_family(index_batches(texts, buckets, length, gram, batch_bytes), length))
     at = f"shiftrightunsigned(doc, {64 - filter_bits})"
-    # at most 2**(filter_bits - 6) rows, whatever the size of the input
-    words = (found.filter("kind = 1").selectExpr(f"shiftright({at}, 6) AS i",
-                                                 f"shiftleft(1L, cast({at} & 63 AS int)) AS v")
-             .groupBy("i").agg(F.bit_or("v").alias("v")).toArrow())
-    bitmap = np.zeros(1 << (filter_bits - 6), np.uint64)
-    bitmap[words.column("i").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
-    more = scan_spans(span_batches(texts, bitmap, filter_bits, buckets, length, gram), length)
+
+    def bit_array(anchors):
+        # at most 2**(filter_bits - 6) rows, whatever the size of the input
+        words = (anchors.selectExpr(f"shiftright({at}, 6) AS i", f"shiftleft(1L, cast({at} & 63 AS int)) AS v")
+                 .groupBy("i").agg(F.bit_or("v").alias("v")).toArrow())
+        out = np.zeros(1 << (filter_bits - 6), np.uint64)
+        out[words.column("i").to_numpy()] = words.column("v").to_numpy().view(np.uint64)
+        return out
+
+    anchors = found.filter("kind = 1")
+    several, many = bit_array(anchors), bit_array(anchors.filter(F.col("start") > spread))
+    more = scan_starts(start_batches(texts, several, many, filter_bits, buckets, length, gram, batch_bytes), length)
     return found.filter("kind = 0").unionAll(more).select("doc", "crc", "start", "end")
 
 
 def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
                     text_col: str = "text", batch_bytes: int = BATCH_BYTES, buckets: int | None = None,
-                    filter_bits: int = FILTER_BITS) -> DataFrame:
+                    filter_bits: int = FILTER_BITS, spread: int = SPREAD) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, removed (array of start, end in
     bytes), kept (the remaining bytes)."""
-    per_doc = (repeated_spans(docs, length, gram, id_col, text_col, batch_bytes, buckets, filter_bits)
+    per_doc = (repeated_spans(docs, length, gram, id_col, text_col, batch_bytes, buckets, filter_bits, spread)
                .groupBy("doc", "crc").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     narrow = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc"),

@@ -286,3 +286,23 @@ def test_substring_dedup(spark, batch_bytes):
     nulls = substring_dedup.substring_dedup(frame(spark, [(None, ROWS[0][1]), (1, ROWS[0][1])])).collect()
     assert {r["doc_id"]: r["n_removed"] > 0 for r in nulls} == {None: False, 1: True}
     assert substring_dedup.substring_dedup(frame(spark, [])).count() == 0
+
+
+def test_substring_dedup_spreads_an_anchor_with_many_spans(spark):
+    # one passage in many documents, in surroundings that all differ: the spans at its edges share two anchors
+    rnd = random.Random(3)
+    noise = lambda n: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    passage = noise(600)
+    rows = [(i, noise(150) + passage + noise(150)) for i in range(200)]
+    texts = substring_dedup._narrow(frame(spark, rows).repartition(4), "doc_id", "text")
+    every = np.full(1 << 4, -1, np.int64).view(np.uint64)  # lets all anchors pass
+    found = substring_dedup.start_batches(texts, every, every, 10, 64, 100, 32, 1 << 30).filter("kind = 0").collect()
+    sizes = {}
+    for r in found:
+        sizes[r["bucket"]] = sizes.get(r["bucket"], 0) + len(r["data"])
+    assert len(sizes) == 64 and max(sizes.values()) < 2 * sum(sizes.values()) / 64
+    want = brute.substring_dedup([(i, t.encode()) for i, t in rows], 100)
+    for batch_bytes, spread in ((32 << 20, 256), (32 << 20, 20), (20_000, 1)):
+        got = substring_dedup.substring_dedup(frame(spark, rows).repartition(4), batch_bytes=batch_bytes,
+                                              spread=spread).collect()
+        assert sorted((r["doc_id"], bytes(r["kept"]), [tuple(x) for x in r["removed"]]) for r in got) == sorted(want)
