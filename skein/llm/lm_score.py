@@ -172,31 +172,35 @@ def _slots(h: np.ndarray, level: int, order: int, bits: int, probe: int) -> np.n
 
 
 def build_segments(merged: DataFrame, segment_bits: int, min_level: int) -> DataFrame:
-    """(shard, bits): every shard's segment of the filter."""
-    import pandas as pd
+    """(shard, bits): every shard's segment of the filter, one row for each order (to be joined by or).
+
+    The stored rows are read where they lie; nothing is shuffled.
+    """
 
-    def build(group):
-        flags = np.zeros(segment_bits, bool)
-        for order, hs, cs in zip(group["order"], group["h"], group["c"], strict=True):
-            h = np.frombuffer(hs, np.uint64)
-            q = levels(np.frombuffer(cs, np.int64)) if order == 1 else np.frombuffer(cs, np.uint8).astype(np.int64)
-            for level in range(min_level, int(q.max(initial=0)) + 1):
-                h, q = h[q >= level], q[q >= level]
-                for probe in range(PROBES):
-                    flags[_slots(h, level, order, segment_bits, probe)] = True
-        return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "bits": [np.packbits(flags).tobytes()]})
+    def build(batches):
+        for batch in batches:
+            for shard, order, hs, cs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                flags = np.zeros(segment_bits, bool)
+                h = np.frombuffer(hs, np.uint64)
+                q = levels(np.frombuffer(cs, np.int64)) if order == 1 else np.frombuffer(cs, np.uint8).astype(np.int64)
+                for level in range(min_level, int(q.max(initial=0)) + 1):
+                    h, q = h[q >= level], q[q >= level]
+                    for probe in range(PROBES):
+                        flags[_slots(h, level, order, segment_bits, probe)] = True
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([np.packbits(flags).tobytes()])], ["shard", "bits"])
 
-    return merged.groupBy("shard").applyInPandas(build, "shard int, bits binary")
+    return merged.select("shard", "order", "h", "c").mapInArrow(build, "shard int, bits binary")
 
 
 class Filter:
     """Quantised counts by repeated membership probes."""
 
-    def __init__(self, segments: dict[int, bytes], shards: int, segment_bits: int, min_level: int):
+    def __init__(self, segments: list[tuple[int, bytes]], shards: int, segment_bits: int, min_level: int):
         size = segment_bits // 8
         self.bits = np.zeros(shards * size, np.uint8)
-        for s, data in segments.items():
-            self.bits[s * size:(s + 1) * size] = np.frombuffer(data, np.uint8)
+        for s, data in segments:
+            self.bits[s * size:(s + 1) * size] |= np.frombuffer(data, np.uint8)
         self.shards, self.segment_bits, self.min_level = shards, segment_bits, min_level
 
     def level(self, h: np.ndarray, order: int) -> np.ndarray:
@@ -278,7 +282,7 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
     capacity = (1 << filter_bits) // BITS_PER_ENTRY
     min_level = next(i for i in range(1, 66) if entries[i] <= capacity)
     segment_bits = max(8, min(1 << filter_bits, ROOMY * entries[min_level]) // shards // 8 * 8)
-    segments = {r["shard"]: bytes(r["bits"]) for r in build_segments(merged, segment_bits, min_level).collect()}
+    segments = [(r["shard"], bytes(r["bits"])) for r in build_segments(merged, segment_bits, min_level).collect()]
 
     word_levels = [int(by[1][f"l{i}"] or 0) if 1 in by else 0 for i in range(64)]
     word_level = next(i for i in range(65) if sum(word_levels[i:]) <= max_words)
