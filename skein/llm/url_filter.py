@@ -4,11 +4,12 @@ Spark's FP-growth mines combinations of URL tokens that go along with a bad labe
 becomes a block rule if its support, confidence and lift reach the given bounds and no part of it is
 as sure by itself. An inverted index (rarest token -> rules) matches rules against every URL.
 
-Scale: each URL gives one item of each of ten fixed kinds (scheme, top-level domain, last two
-labels, first label, host, first and second path segment, depth, query keys, fragment), so a mined
-set has at most ten items and there are at most 1023 / min_support frequent sets, whatever the
-input. That bounds what FP-growth returns to the driver and the broadcast index. Matching is one
-pass without a shuffle. Labels are joined to pages on their ids, one label per id.
+Scale: a URL gives an item for every label of its host, path segment, word of a segment and query key,
+beside scheme, host, top-level domain, last two labels, first label, depth and fragment. There are at
+most (2**k - 1) / min_support frequent sets, k being the most items of a URL: the count does not grow
+with the number of pages, but with the length of URLs that many pages share. These sets come to the
+driver, and the index is broadcast. Matching is one pass without a shuffle. Labels are joined to
+pages on their ids, one label per id.
 
 Defined results: a null URL or one without ``://`` has an empty host and path, no rule, and is
 allowed unless its items match a mined rule. An id labelled more than once is bad if any of its
@@ -56,7 +57,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def url_items(url: str | None) -> list[str]:
-    """At most one item of each of ten kinds."""
+    """The items of a URL, each once: scheme, host and all its labels, all path segments and their words, all
+    query keys, depth, and whether there is a fragment."""
     if not url or "://" not in url:
         return ["form=none"]
     scheme, _, rest = url.partition("://")
@@ -70,12 +72,14 @@ def url_items(url: str | None) -> list[str]:
              f"depth={len(parts)}"]
     if len(labels) > 1:
         items.append("domain=" + ".".join(labels[-2:]))
-    items += [f"path{i}={re.sub(r'[0-9]+', '0', p)}" for i, p in enumerate(parts[:2], 1)]
-    if query:
-        items.append("query=" + "&".join(sorted({q.partition("=")[0] for q in query.lower().split("&")})))
+    items += [f"part={x}" for x in labels[:-1]]
+    items += [f"path{i}={re.sub(r'[0-9]+', '0', p)}" for i, p in enumerate(parts, 1)]
+    # numbers are one word, as in the segments
+    items += [f"word={re.sub(r'[0-9]+', '0', w)}" for p in parts for w in re.split(r"[\W_]+", p) if w]
+    items += [f"key={q.partition('=')[0]}" for q in query.lower().split("&") if q]
     if fragment:
         items.append("fragment=yes")
-    return items
+    return list(dict.fromkeys(items))
 
 
 def mine_rules(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
@@ -99,7 +103,7 @@ def mine_rules(urls: DataFrame, min_support: float = MIN_SUPPORT, min_confidence
     alone = sets.filter(~with_bad).select(F.array_sort("items").alias("key"), F.col("freq").alias("n"))
     both = (sets.filter(with_bad & (F.size("items") > 1))
             .select(F.array_sort(F.array_remove("items", BAD)).alias("key"), F.col("freq").alias("n_bad")))
-    rows = both.join(alone, "key").select("key", "n_bad", "n").collect()  # at most 1023 / min_support
+    rows = both.join(alone, "key").select("key", "n_bad", "n").collect()  # bounded by the items of a URL and the support, not by the pages
     counts = {r["key"][0]: r["n"] for r in alone.filter(F.size("key") == 1).collect()}
     sure = {frozenset(r["key"]): r["n_bad"] / r["n"] for r in rows}
     best: dict[frozenset, float] = {frozenset(): bad / total}

@@ -69,6 +69,24 @@ def test_url_filter(spark):
     assert url_filter.url_filter(pages.limit(0), labels.limit(0)).count() == 0
 
 
+def test_url_filter_reads_every_token(spark):
+    assert set(url_filter.url_items("http://www.casino-win.a.org/x/y/cheap-pills7/?id=1&bad=2&id=3")) >= {
+        "part=www", "part=casino-win", "part=a", "path3=cheap-pills0", "word=cheap", "word=pills0", "key=id", "key=bad"}
+    # bad pages have one thing in common: a middle label, a segment, a word of a segment or a query key
+    kinds = ["http://h{i}.casino-win.a{i}.org/", "http://h{i}.org/p{i}/q{i}/spam", "http://h{i}.org/p/q/r{i}x-pills-y{i}x",
+             "http://h{i}.org/?k{i}=1&bad=2"]
+    # letters in place of digits, so that no two pages share more
+    name = lambda n: "".join(chr(97 + int(d)) for d in str(n))
+    for kind in kinds:
+        urls = [(n, kind.replace("{i}", name(n))) for n in range(40)]
+        urls += [(n, f"http://h{name(n)}.net/good{name(n)}") for n in range(100, 140)]
+        urls += [(999, kind.replace("{i}", "new"))]
+        pages = spark.createDataFrame(urls, "page_id long, url string")
+        labels = spark.createDataFrame([(n, int(n >= 100), 0) for n, _ in urls[:-1]], "doc_id long, quality int, toxic int")
+        got = url_filter.url_filter(pages, labels, rules=[]).filter("page_id = 999").first()
+        assert got["verdict"] == "block", kind
+
+
 def test_line_dedup(spark):
     got = line_dedup.line_dedup(frame(spark, ROWS), 5).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1])
