@@ -32,9 +32,10 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, as [0-9a-f]+ gives them, of 32 characters and more
 
-# name, operator, then a quoted literal, a reference or a bare word
+# name (the whole run, however long; nothing in it can start the operator, so it is never given back),
+# operator, then a quoted literal, a reference or a bare word
 _PAIR = re.compile(
-    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]{0,127})["']?[ \t]*(?::=|=>|=(?![=>])|:(?!//|:))[ \t]*"""
+    r"""(?<![\w.$-])["']?(?P<name>[A-Za-z_][\w.-]*+)["']?[ \t]*(?::=|=>|=(?![=>])|:(?!//|:))[ \t]*"""
     r"""(?:"(?P<dq>(?:[^"\\\n]|\\.)*)"|'(?P<sq>(?:[^'\\\n]|\\.)*)'|`(?P<bq>[^`\n]*)`"""
     r"""|\$\{?(?P<ref>[A-Za-z_]\w*)\}?|(?P<bare>[^\s,;"'`(){}\[\]<>]+))""", re.A)
 _REFERENCE = re.compile(r"[A-Za-z_][\w.]*", re.A)

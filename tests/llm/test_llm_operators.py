@@ -173,6 +173,14 @@ def test_secret_scan(spark):
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
+def test_secret_scan_reads_long_names():
+    secret = "s3cR3t-Zx81kQp0"
+    for n in (1, 100, 128, 140, 5000, 1_000_000):
+        text = f"{'a' * n}.pwd = '{secret}'\n"
+        assert [text[s:e] for s, e in secret_scan.literal_spans(text)] == [secret], n
+    assert secret_scan.literal_spans("a.b-" * 500_000 + " x = 1") == []
+
+
 @pytest.mark.parametrize("block", [1 << 13, 4])
 def test_simhash(spark, block):
     near = ROWS[0][1]
