@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from skein.llm import (decontaminate, line_dedup, lm_score, packing, quality_rules, secret_scan, simhash_dups,
-                       substring_dedup, token_counts, url_filter)
+from skein.llm import (centroid_clusters, conversation_repair, decontaminate, exact_dedup, line_dedup, lm_score, packing,
+                       quality_rules, secret_scan, simhash_dups, substring_dedup, token_counts, url_filter)
 
 QUERIES = {
     "op1_url_filter": url_filter.op1_url_filter,
@@ -16,6 +16,11 @@ QUERIES = {
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_token_counts": token_counts.op9_token_counts,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_centroid_clusters": centroid_clusters.op11_centroid_clusters,
+    "op12_exact_dedup": exact_dedup.op12_exact_dedup,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
-ORACLE_SQL = {"op2_line_dedup": line_dedup.OP2_SQL, "op7_decontaminate": decontaminate.OP7_SQL}
+ORACLE_SQL = {"op2_line_dedup": line_dedup.OP2_SQL, "op7_decontaminate": decontaminate.OP7_SQL,
+              "op11_centroid_clusters": centroid_clusters.OP11_SQL, "op12_exact_dedup": exact_dedup.OP12_SQL,
+              "op13_conversation_repair": conversation_repair.OP13_SQL}
