@@ -12,13 +12,16 @@ frequent words (by levels, as many as fit into ``max_words``) are broadcast, rar
 occurrences in a join on the word's hash.
 
 Scale: every task sums n-grams of its slices before the shuffle and sends them as sorted arrays, one
-row per shard, so a word in all documents arrives as one number per task. Each shard counts its own
+row per shard, so a word in all documents arrives as one number per task. The number of shards follows from the
+bytes of the training texts (``SHARD_BYTES`` each). Each shard counts its own
 n-grams and builds its own segment of the filter, which has ``ROOMY`` bits for each entry. What is
 broadcast is bounded by parameters: ``2**filter_bits`` bits and ``max_words`` words. If the n-grams would
-crowd the filter (under ``BITS_PER_ENTRY`` bits for each), the lowest levels are not put into it, which
-follows from the levels' counts over all documents. N-grams under that cut are not lost: whatever the
-filter does not know is looked up in the stored shard counts by a join, so scores do not depend on
-the filter's size (but for its false positives).
+crowd the filter (under ``BITS_PER_ENTRY`` bits for each), the lowest levels of pairs (and of words, should they alone fill
+half of it) are not put into it, which
+follows from the levels' counts over all documents. N-grams under that cut are not lost: what the
+filter does not know is asked of the shards, a batch of texts at a time, in packed rows, and a shard answers
+with sums per text. So scores depend on the filter's size only in its false positives (about 0.65% of
+absent n-grams when it is full).
 
 Defined results: a null text is empty and has the end token alone. A null id counts as the empty
 text in the split. Repeated rows are learnt from and scored each by itself. Without any training
@@ -36,7 +39,7 @@ from skein.llm import common
 
 FOLDS = 5
 HELD_OUT = 1
-FILTER_BITS = 27
+FILTER_BITS = 28
 MAX_WORDS = 1 << 18
 BITS_PER_ENTRY = 12
 #: Bits for each entry while they do not fill ``2**filter_bits``.
@@ -46,8 +49,10 @@ PROBES = 4
 PRIOR = 4096.0
 #: A count of a level, as a multiple of the level's low end.
 MIDDLE = 1.4
-#: Text a task learns from before it sends its counts.
+#: Text a task learns from before it sends its counts, and scores before it sends its questions.
 FLUSH_BYTES = 24 << 20
+#: Training text whose n-grams make up a shard.
+SHARD_BYTES = 32 << 20
 
 _TO_SPACE = bytes(32 if b in b" \t\n\x0b\x0c\r" else b for b in range(256))
 END = np.uint64(0x5851F42D4C957F2D)
@@ -89,7 +94,8 @@ def _merge(h: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # --- learning ---------------------------------------------------------------------------------
 
 def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
-    """(shard, order, h, c): each task's n-grams as sorted arrays, dealt to shards by their hash."""
+    """(shard, order, h, c): each task's n-grams as sorted arrays, dealt to shards by their hash. Those found more
+    than once come first, and their counts are ``c``; the others have a count of one."""
 
     def run(batches):
         held: dict[int, list] = {1: [], 2: []}
@@ -103,8 +109,9 @@ def count_ngrams(texts: DataFrame, shards: int) -> DataFrame:
                 shard = ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
                 edges = np.searchsorted(shard, np.arange(shards + 1).astype(np.uint64))
                 for s in np.flatnonzero(np.diff(edges)).tolist():
-                    a, b = edges[s], edges[s + 1]
-                    rows.append((s, order, h[a:b].tobytes(), c[a:b].astype("<u4").tobytes()))
+                    hs, cs = h[edges[s]:edges[s + 1]], c[edges[s]:edges[s + 1]]
+                    rows.append((s, order, np.concatenate([hs[cs > 1], hs[cs == 1]]).tobytes(),
+                                 cs[cs > 1].astype("<u4").tobytes()))
                 parts.clear()
             cols = list(zip(*rows, strict=True)) or [()] * 4
             return pa.RecordBatch.from_arrays(
@@ -154,8 +161,11 @@ def merge_shards(parts: DataFrame) -> DataFrame:
 
     def merge(group):
         order = int(group["order"].iloc[0])
-        h, c = _merge(np.concatenate([np.frombuffer(x, np.uint64) for x in group["h"]]),
-                      np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) for x in group["c"]]))
+        hs = [np.frombuffer(x, np.uint64) for x in group["h"]]
+        cs = [np.ones(len(x), np.int64) for x in hs]
+        for c, more in zip(cs, group["c"], strict=True):
+            c[:len(more) // 4] = np.frombuffer(more, "<u4")
+        h, c = _merge(np.concatenate(hs), np.concatenate(cs))
         q = levels(c)
         return pd.DataFrame({"shard": [int(group["shard"].iloc[0])], "order": [order], "h": [h.tobytes()],
                              "c": [(c if order == 1 else q.astype(np.uint8)).tobytes()], "total": [int(c.sum())],
@@ -171,7 +181,7 @@ def _slots(h: np.ndarray, level: int, order: int, bits: int, probe: int) -> np.n
     return ((x >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)
 
 
-def build_segments(merged: DataFrame, segment_bits: int, min_level: int) -> DataFrame:
+def build_segments(merged: DataFrame, segment_bits: int, min_levels: dict[int, int]) -> DataFrame:
     """(shard, bits): every shard's segment of the filter, one row for each order (to be joined by or).
 
     The stored rows are read where they lie; nothing is shuffled.
@@ -183,7 +193,7 @@ def build_segments(merged: DataFrame, segment_bits: int, min_level: int) -> Data
                 flags = np.zeros(segment_bits, bool)
                 h = np.frombuffer(hs, np.uint64)
                 q = levels(np.frombuffer(cs, np.int64)) if order == 1 else np.frombuffer(cs, np.uint8).astype(np.int64)
-                for level in range(min_level, int(q.max(initial=0)) + 1):
+                for level in range(min_levels[order], int(q.max(initial=0)) + 1):
                     h, q = h[q >= level], q[q >= level]
                     for probe in range(PROBES):
                         flags[_slots(h, level, order, segment_bits, probe)] = True
@@ -196,18 +206,18 @@ def build_segments(merged: DataFrame, segment_bits: int, min_level: int) -> Data
 class Filter:
     """Quantised counts by repeated membership probes."""
 
-    def __init__(self, segments: list[tuple[int, bytes]], shards: int, segment_bits: int, min_level: int):
+    def __init__(self, segments: list[tuple[int, bytes]], shards: int, segment_bits: int, min_levels: dict[int, int]):
         size = segment_bits // 8
         self.bits = np.zeros(shards * size, np.uint8)
         for s, data in segments:
             self.bits[s * size:(s + 1) * size] |= np.frombuffer(data, np.uint8)
-        self.shards, self.segment_bits, self.min_level = shards, segment_bits, min_level
+        self.shards, self.segment_bits, self.min_levels = shards, segment_bits, min_levels
 
     def level(self, h: np.ndarray, order: int) -> np.ndarray:
         """Highest level that is present without a gap below it; 0 for none."""
         out = np.zeros(len(h), np.int64)
         shard = ((h >> np.uint64(32)) * np.uint64(self.shards)) >> np.uint64(32)
-        at, level = np.arange(len(h)), self.min_level
+        at, level = np.arange(len(h)), self.min_levels[order]
         while len(at):
             for probe in range(PROBES):
                 slot = _slots(h[at], level, order, self.segment_bits, probe) + shard[at] * np.uint64(self.segment_bits)
@@ -247,12 +257,12 @@ class Model:
         level = self.filter.level(word, 1)
         exact = self.exact(word)
         level = np.where((level == 0) & (exact > 0), levels(np.maximum(exact, 0)), level)
-        below = self.filter.min_level > 1
-        open_word = ((level == 0) & (exact < 0) & below)[back]
+        least = self.filter.min_levels
+        open_word = ((level == 0) & (exact < 0) & (least[1] > 1))[back]
         level = level[back]
         pairs = pair_hashes(tokens)
         pair = self.filter.level(pairs, 2)
-        open_pair = ((pair == 0) | open_word) & below
+        open_pair = ((pair == 0) & (least[2] > 1)) | open_word
         # the token before; before a text's first token stands the end token, whose level is that of the texts' ends
         ends = np.flatnonzero(tokens == END)
         before = np.concatenate([ends[:1], np.arange(len(tokens) - 1)])
@@ -261,74 +271,105 @@ class Model:
         return known, level, pairs, open_word, open_pair
 
 
-def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS
-          ) -> tuple[Model, DataFrame, DataFrame]:
-    """(model, words that are not broadcast as (h, c) rows, pairs under the filter's cut as (h, q) rows) from a
-    frame with the one column ``text``."""
-    spark = training.sparkSession
-    shards = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS,
+          shard_bytes: int = SHARD_BYTES) -> tuple[Model, DataFrame]:
+    """(model, rest) from a frame with the one column ``text``: ``rest`` has a row per shard and order, as
+    ``merge_shards`` makes them, of the words that are not broadcast and the pairs that are not in the filter."""
+    size = training.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(16, -(-size // shard_bytes))
     merged = common.materialise(merge_shards(count_ngrams(training, shards)))
     stats = merged.groupBy("order").agg(
         F.sum("total").alias("total"), F.sum("distinct").alias("distinct"),
         *(F.sum(F.get("of_level", F.lit(i))).alias(f"l{i}") for i in range(64))).collect()  # two rows
     by = {r["order"]: r for r in stats}
     n, v = (int(by[1]["total"]), int(by[1]["distinct"])) if 1 in by else (0, 0)
-    of_level = [sum(int(r[f"l{i}"] or 0) for r in stats) for i in range(64)]
-    entries = [0] * 66  # entries of the filter if levels start at i
-    at_least = 0
-    for i in range(63, 0, -1):
-        at_least += of_level[i]
-        entries[i] = entries[i + 1] + at_least
+    entries = {1: [0] * 66, 2: [0] * 66}  # entries of the filter if levels start at i
+    for order, row in by.items():
+        at_least = 0
+        for i in range(63, 0, -1):
+            at_least += int(row[f"l{i}"] or 0)
+            entries[order][i] = entries[order][i + 1] + at_least
     capacity = (1 << filter_bits) // BITS_PER_ENTRY
-    min_level = next(i for i in range(1, 66) if entries[i] <= capacity)
-    segment_bits = max(8, min(1 << filter_bits, ROOMY * entries[min_level]) // shards // 8 * 8)
-    segments = [(r["shard"], bytes(r["bits"])) for r in build_segments(merged, segment_bits, min_level).collect()]
+    low = next(i for i in range(1, 66) if 2 * entries[1][i] <= capacity)
+    # a pair is not more frequent than its word, so it is under the cut if its word is
+    min_levels = {1: low, 2: next(i for i in range(low, 66) if entries[1][low] + entries[2][i] <= capacity)}
+    filled = entries[1][low] + entries[2][min_levels[2]]
+    segment_bits = max(8, min(1 << filter_bits, ROOMY * filled) // shards // 8 * 8)
+    segments = [(r["shard"], bytes(r["bits"])) for r in build_segments(merged, segment_bits, min_levels).collect()]
 
     word_levels = [int(by[1][f"l{i}"] or 0) if 1 in by else 0 for i in range(64)]
     word_level = next(i for i in range(65) if sum(word_levels[i:]) <= max_words)
     words = merged.filter("order = 1").select("h", "c")
 
-    def cut(frequent: bool):
-        def run(batches):
-            for batch in batches:
-                for hs, cs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    h, c = np.frombuffer(hs, np.uint64), np.frombuffer(cs, np.int64)
-                    ok = (levels(c) >= word_level) == frequent
-                    if frequent:
-                        yield pa.RecordBatch.from_arrays([pa.array([h[ok].tobytes()]), pa.array([c[ok].tobytes()])],
-                                                         ["h", "c"])
-                    else:
-                        yield pa.RecordBatch.from_arrays([pa.array(h[ok].view(np.int64)), pa.array(c[ok])], ["h", "c"])
-        return run
-
-    rows = words.mapInArrow(cut(True), "h binary, c binary").collect()  # at most max_words words in all
+    def frequent(batches):
+        for batch in batches:
+            for hs, cs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                h, c = np.frombuffer(hs, np.uint64), np.frombuffer(cs, np.int64)
+                ok = levels(c) >= word_level
+                yield pa.RecordBatch.from_arrays([pa.array([h[ok].tobytes()]), pa.array([c[ok].tobytes()])], ["h", "c"])
+
+    rows = words.mapInArrow(frequent, "h binary, c binary").collect()  # at most max_words words in all
     h = np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r["h"], np.uint64) for r in rows)])
     c = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(r["c"], np.int64) for r in rows)])
     order = np.argsort(h)
     mass = sum(float(middle(np.array(i))) * k for i, k in enumerate(word_levels))
-    model = Model(Filter(segments, shards, segment_bits, min_level), h[order], c[order], n, v, mass)
+    model = Model(Filter(segments, shards, segment_bits, min_levels), h[order], c[order], n, v, mass)
 
     def under(batches):
         for batch in batches:
-            for hs, qs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h, q = np.frombuffer(hs, np.uint64), np.frombuffer(qs, np.uint8)
-                h, q = h[q < min_level], q[q < min_level]
-                for i in range(0, len(h), 1 << 20):
-                    yield pa.RecordBatch.from_arrays([pa.array(h[i:i + (1 << 20)].view(np.int64)),
-                                                      pa.array(q[i:i + (1 << 20)].view(np.int8))], ["h", "q"])
-
-    pairs = merged.filter(F.col("order") == 2).select("h", "c").mapInArrow(under, "h long, q byte")
-    return model, words.mapInArrow(cut(False), "h long, c long"), pairs
+            for shard, order, hs, cs in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                h, c = np.frombuffer(hs, np.uint64), np.frombuffer(cs, np.int64 if order == 1 else np.uint8)
+                ok = levels(c) < word_level if order == 1 else c < min_levels[2]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int64()), pa.array([order], pa.int32()), pa.array([h[ok].tobytes()]),
+                     pa.array([c[ok].tobytes()])], ["shard", "order", "h", "c"])
 
+    rest = merged.select("shard", "order", "h", "c").mapInArrow(under, "shard long, order int, h binary, c binary")
+    return model, rest
 
-#: What a text leaves to look up, as bytes: hash, count and mark of the words that are not broadcast (the mark: it
-#: has to be looked up as a context too), the pairs that wait for a marked word, other pairs, their words' levels.
-PACKED = ("word", "times", "marked", "waiting", "pair", "level")
 
 # --- scoring ----------------------------------------------------------------------------------
 
+#: Questions to a shard: the pair's level, given its word's (0 to 63); a word's exact count; a word's level as a context;
+#: the level of a word for a pair that waits for it.
+EXACT, CONTEXT, WAITING = 100, 101, 102
+_ASK = "key long, batch long, ids array<{kind}>, held array<boolean>, base binary, h binary, row binary, what binary, other binary"
+_ASK_NAMES = ["key", "batch", "ids", "held", "base", "h", "row", "what", "other"]
+_TOLD = "batch long, ids array<{kind}>, held array<boolean>, base binary, row binary, logs binary, known binary, score binary"
+_TOLD_NAMES = ["batch", "ids", "held", "base", "row", "logs", "known", "score"]
+
+
+def _deal(shards: int, batch: int, h, row, what, other) -> list[tuple]:
+    """Questions of a batch, one row of packed columns per shard."""
+    shard = ((h >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
+    order = np.argsort(shard, kind="stable")
+    edges = np.searchsorted(shard[order], np.arange(shards + 1).astype(np.uint64))
+    out = []
+    for s in np.flatnonzero(np.diff(edges)).tolist():
+        at = order[edges[s]:edges[s + 1]]
+        waits = at[what[at] == WAITING]
+        out.append((s, batch, None, None, None, h[at].tobytes(), row[at].astype("<u4").tobytes(),
+                    what[at].tobytes(), other[waits].tobytes()))
+    return out
+
+
+def _asks(rows: list[tuple], ids: pa.DataType) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [()] * 9
+    types = [pa.int64(), pa.int64(), pa.list_(ids), pa.list_(pa.bool_()), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], _ASK_NAMES)
+
+
+def _lookup(keys: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Values of sorted keys; 0 for others."""
+    if not len(keys):
+        return np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+    return np.where(keys[at] == h, values[at], 0).astype(np.int64)
+
+
 def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str = "doc_id", text_col: str = "text",
-             filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS) -> DataFrame:
+             filter_bits: int = FILTER_BITS, max_words: int = MAX_WORDS, flush_bytes: int = FLUSH_BYTES,
+             shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     ``held_out_col`` (a condition on the input) marks the rows that are not learnt from.
@@ -338,114 +379,127 @@ def lm_score(docs: DataFrame, held_out_col: Column | None = None, id_col: str =
     mark = held_out(F.col(id_col)) if held_out_col is None else F.coalesce(held_out_col, F.lit(False))
     narrow = docs.select(F.col(id_col).alias("doc_id"), mark.alias("held_out"),
                          F.col(text_col).cast("string").alias("text"))
-    model, rare, pairs = learn(narrow.filter(~F.col("held_out")).select("text"), filter_bits, max_words)
-    n, total = model.n, model.n + 0.5 * (model.v + 1)
+    model, rest = learn(narrow.filter(~F.col("held_out")).select("text"), filter_bits, max_words, shard_bytes)
+    n, total, shards, least = model.n, model.n + 0.5 * (model.v + 1), model.filter.shards, model.filter.min_levels
+    mass, v = model.mass, model.v
     shared = spark.sparkContext.broadcast(model)
     kind = narrow.schema["doc_id"].dataType.simpleString()
 
-    def packed(values, edges):
-        """The stretches of an array between edges, as bytes: what is looked up is stored at 9 bytes a pair."""
-        return [values[a:b].tobytes() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+    def ask(batches):
+        """Each batch's known sums (key -1 - batch), and its questions (key: the shard)."""
+        from pyspark import TaskContext
+
+        known, batch_id, ids_type = shared.value, TaskContext.get().partitionId() << 24, pa.int64()
+        ids, held, sums, asked, rows, size = [], [], [], [], 0, 0
+
+        def flush():
+            nonlocal batch_id
+            h, row, what, other = (np.concatenate([a[k] for a in asked]) for k in range(4))
+            out = [(-1 - batch_id, batch_id, ids, held, np.concatenate(sums, axis=1).tobytes(), *[None] * 4),
+                   *_deal(shards, batch_id, h, row, what, other)]
+            batch_id += 1
+            return _asks(out, ids_type)
 
-    def run(batches):
-        known = shared.value
         for batch in batches:
-            cols: list[list] = [[] for _ in range(10)]
-            for _, texts in common.slices([batch.select(["text"])], 0):
+            ids_type = batch.schema.field(0).type
+            for (some, marks), texts in common.slices([batch], 2):
                 tokens, of = token_hashes(texts)
                 word, back = np.unique(tokens, return_inverse=True)
                 counts = known.exact(word)[back]
                 inside = counts >= 0
-                size = len(texts)
-                cols[0] += np.bincount(of, minlength=size).tolist()
-                cols[1] += np.bincount(of[counts > 0], minlength=size).tolist()
-                logs = np.where(inside, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
-                cols[2] += np.bincount(of, logs, minlength=size).tolist()
                 part, level, pair, open_word, open_pair = known.log_probs(tokens)
-                cols[3] += np.bincount(of, part, minlength=size).tolist()
-
-                # words that are not broadcast, once per text: how often as a word, how often as a context to look
-                # up (after each of its occurrences, an end's being the text's first), and the pairs waiting for it
-                out = np.flatnonzero(~inside)
-                out = out[np.lexsort((tokens[out], of[out]))]
-                new = np.ones(len(out), bool)
-                new[1:] = (tokens[out[1:]] != tokens[out[:-1]]) | (of[out[1:]] != of[out[:-1]])
-                first = np.flatnonzero(new)
-                at = np.searchsorted(of[out[first]], np.arange(size + 1))
-                waits = np.concatenate([[0], np.cumsum(open_word[out])])[np.append(first, len(out))[at]]
-                cols[4] += packed(tokens[out[first]], at)
-                cols[5] += packed(np.diff(np.append(first, len(out))).astype("<u4"), at)
-                cols[6] += packed(open_word[out[first]].astype(np.uint8), at)
-                cols[7] += packed(pair[out[open_word[out]]], waits)
-
-                # pairs to look up whose word's level is known
-                out = np.flatnonzero(open_pair & ~open_word)
-                at = np.searchsorted(of[out], np.arange(size + 1))
-                cols[8] += packed(pair[out], at)
-                cols[9] += packed(level[out].astype(np.uint8), at)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in cols[:2]),
-                 *(pa.array(c, pa.float64()) for c in cols[2:4]), *(pa.array(c, pa.binary()) for c in cols[4:])],
-                ["doc_id", "held_out", "n_tokens", "n_known", "logs", "score", *PACKED])
-
-    scored = narrow.mapInArrow(run, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, "
-                                    f"score double, {', '.join(f'{c} binary' for c in PACKED)}")
-
-    def unpack_words(batches):
-        for batch in batches:
-            rows, *blobs = (batch.column(i).to_pylist() for i in range(5))
-            h, n, m, pair = (np.frombuffer(b"".join(x), t) for x, t in zip(blobs, ("<i8", "<u4", "u1", "<i8"), strict=True))
-            m = n * m.astype(np.int64)
-            waits = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(m)]).astype(np.int32)), pa.array(pair))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(rows, np.int64), [len(x) // 8 for x in blobs[0]])), pa.array(h),
-                 pa.array(n.astype(np.int64)), pa.array(m), waits], ["row", "h", "n", "m", "pairs"])
-
-    def unpack_pairs(batches):
-        for batch in batches:
-            rows, hs, qs = (batch.column(i).to_pylist() for i in range(3))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(np.array(rows, np.int64), [len(x) for x in qs])),
-                 pa.array(np.frombuffer(b"".join(hs), "<i8")), pa.array(np.frombuffer(b"".join(qs), np.int8))],
-                ["row", "h", "q"])
-
-    def level_of(c):  # 1 + floor(log2(c)) of a positive count, exact
-        return F.when(c > 0, F.length(F.bin(c))).otherwise(0)
-
-    def low(q):
-        return F.when(q > 0, F.pow(F.lit(2.0), q - 1)).otherwise(0.0)
-
-    def high(q):
-        return F.when(q > 0, F.pow(F.lit(2.0), q)).otherwise(0.0)
-
-    def unigram(q):
-        middle_of = F.when(q > 1, MIDDLE).otherwise(1.0) * low(q)
-        return (middle_of + 0.5) / (model.mass + 0.5 * (model.v + 1))
-
-    scored = common.materialise(scored).withColumn("row", F.monotonically_increasing_id())  # stable: stored
-    words = (scored.select("row", *PACKED[:4])
-             .mapInArrow(unpack_words, "row long, h long, n long, m long, pairs array<long>").join(rare, "h", "left")
-             .select("row", "n", "m", "pairs", F.coalesce("c", F.lit(0)).alias("c"))
-             .withColumn("q", level_of(F.col("c"))))
-    more = words.select(
-        "row", (F.col("n") * F.log10(F.col("c") + 0.5)).alias("logs"), F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-        F.when(F.col("m") > 0, -F.col("m") * F.log10(high(F.col("q")) + PRIOR)).otherwise(0.0).alias("score"))
-    if model.filter.min_level > 1:  # otherwise the filter holds every pair
-        waiting = words.select("row", F.explode("pairs").alias("h"), F.col("q").cast("byte").alias("q"))
-        asked = (scored.select("row", *PACKED[4:]).mapInArrow(unpack_pairs, "row long, h long, q byte")
-                 .unionAll(waiting).withColumnRenamed("q", "word"))
-        pair = F.coalesce("q", F.lit(0))
-        more = more.unionAll(asked.join(pairs, "h", "left").select(
-            "row", F.lit(0.0), F.lit(0).cast("long"),
-            F.log10(low(pair) + PRIOR * unigram(F.col("word")))))
-    counted = more.groupBy("row").agg(F.sum("logs").alias("more_logs"), F.sum("known").alias("more_known"),
-                                      F.sum("score").alias("more_score"))
-    logs = F.col("logs") + F.coalesce("more_logs", F.lit(0.0))
-    return scored.drop(*PACKED).join(counted, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
-        F.lit(n).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * float(np.log10(total))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
+                logs = np.where(inside, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
+                count = lambda x, w=None: np.bincount(of[x] if x is not None else of, w, len(texts)).astype(float)
+                sums.append(np.stack([count(None), count(counts > 0), count(None, logs), count(None, part)]))
+                ends = np.flatnonzero(tokens == END)
+                before = np.concatenate([ends[:1], np.arange(len(tokens) - 1)])  # every text has its end token
+                context = open_word[before]
+                ready = open_pair & ~open_word
+                waits = open_pair & open_word
+                parts = [(tokens[~inside], of[~inside], EXACT, None), (tokens[before][context], of[context], CONTEXT, None),
+                         (pair[ready], of[ready], level[ready], None), (tokens[waits], of[waits], WAITING, pair[waits])]
+                for h, row, what, other in parts:
+                    asked.append((h, row + rows, np.broadcast_to(np.asarray(what, np.uint8), h.shape),
+                                  np.zeros(len(h), np.uint64) if other is None else other))
+                ids += some
+                held += marks
+                rows += len(texts)
+                size += sum(len(t) for t in texts if t)
+                if size >= flush_bytes:
+                    yield flush()
+                    ids, held, sums, asked, rows, size = [], [], [], [], 0, 0
+        if rows:
+            yield flush()
+
+    def low_of(table: pa.Table, order: int, dtype) -> tuple[np.ndarray, np.ndarray]:
+        for o, h, c in zip(table["order"].to_pylist(), table["h"].to_pylist(), table["c"].to_pylist(), strict=True):
+            if o == order:
+                return np.frombuffer(h, np.uint64), np.frombuffer(c, dtype)
+        return np.zeros(0, np.uint64), np.zeros(0, dtype)
+
+    def answer(asks: pa.Table, held: pa.Table) -> pa.Table:
+        """A shard's sums for each batch's texts; sums already known and questions for other shards pass through."""
+        words, pairs = low_of(held, 1, np.int64), low_of(held, 2, np.uint8)
+        out = []
+        for r in asks.to_pylist():
+            if r["key"] < 0:
+                out.append((r["batch"], r["ids"], r["held"], r["base"], *[None] * 4, *[None] * 4))
+                continue
+            h, row = np.frombuffer(r["h"], np.uint64), np.frombuffer(r["row"], "<u4").astype(np.int64)
+            what, other = np.frombuffer(r["what"], np.uint8), np.frombuffer(r["other"], np.uint64)
+            of_word = what >= EXACT
+            c = np.zeros(len(h), np.int64)
+            c[of_word] = _lookup(*words, h[of_word])
+            q = np.where(of_word, levels(c), 0)
+            q[~of_word] = _lookup(*pairs, h[~of_word])
+            word_p = (middle(np.where(of_word, 0, what)) + 0.5) / (mass + 0.5 * (v + 1))
+            score = np.where(what < EXACT, np.log10(low_end(q) + PRIOR * word_p), 0.0)
+            score -= np.where(what == CONTEXT, np.log10(high_end(q) + PRIOR), 0.0)
+            exact = what == EXACT
+            size = int(row.max()) + 1
+            touched = np.unique(row)
+            logs = np.bincount(row[exact], np.log10(c[exact] + 0.5), size)[touched] if exact.any() else np.zeros(0)
+            seen = np.bincount(row[exact & (c > 0)], minlength=size)[touched] if exact.any() else np.zeros(0, np.int64)
+            told = (r["batch"], None, None, None, touched.astype("<u4").tobytes(), logs.tobytes(),
+                    seen.astype("<u4").tobytes(), np.bincount(row, score, size)[touched].tobytes())
+            out.append((*told, *[None] * 4))
+            waits = what == WAITING
+            for shard, *_, hs, rows, levels_, _ in _deal(shards, r["batch"], other, row[waits], q[waits].astype(np.uint8), other):
+                out.append((r["batch"], *[None] * 7, hs, rows, levels_, shard))
+        types = [pa.int64(), pa.list_(asks.schema.field("ids").type.value_type), pa.list_(pa.bool_()), *[pa.binary()] * 8, pa.int64()]
+        cols = list(zip(*out, strict=True)) if out else [()] * 12
+        return pa.table([pa.array(x, t) for x, t in zip(cols, types, strict=True)], names=[*_TOLD_NAMES, "h", "at", "what", "key"])
+
+    def total_of(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        base = next(r for r in rows if r["base"] is not None)
+        sums = np.frombuffer(base["base"]).reshape(4, -1).copy()
+        packed = [r for r in rows if r["row"] is not None]
+        # in one order whatever arrives first, so that sums are the same bits
+        for r in sorted(packed, key=lambda r: (r["row"], r["score"], r["logs"])):
+            at = np.frombuffer(r["row"], "<u4")
+            sums[3, at] += np.frombuffer(r["score"])
+            if r["logs"]:
+                sums[2, at] += np.frombuffer(r["logs"])
+                sums[1, at] += np.frombuffer(r["known"], "<u4")
+        ids = table["ids"].type.value_type
+        return pa.table({"doc_id": pa.array(base["ids"], ids), "held_out": pa.array(base["held"], pa.bool_()),
+                         "n_tokens": pa.array(sums[0].astype(np.int64)), "n_known": pa.array(sums[1].astype(np.int64)),
+                         "train_tokens": pa.array(np.full(sums.shape[1], n, np.int64)),
+                         "base_score": pa.array(sums[2] - sums[0] * float(np.log10(total))), "score": pa.array(sums[3])})
+
+    told_ddl = f"{_TOLD.format(kind=kind)}, h binary, at binary, what binary, key long"
+    asks = narrow.mapInArrow(ask, _ASK.format(kind=kind))
+    by_shard = rest.groupBy("shard")
+    told = asks.groupBy("key").cogroup(by_shard).applyInArrow(answer, told_ddl)
+    if least[1] > 1:  # some pairs waited for their words: their questions go on to the pairs' shards
+        told = common.materialise(told)
+        again = told.filter(F.col("key").isNotNull()).select(
+            "key", "batch", "ids", "held", "base", "h", F.col("at").alias("row"), "what", F.lit(b"").alias("other"))
+        told = told.filter(F.col("key").isNull()).unionAll(
+            again.groupBy("key").cogroup(by_shard).applyInArrow(answer, told_ddl))
+    return told.select(*_TOLD_NAMES).filter("base IS NOT NULL OR row IS NOT NULL").groupBy("batch").applyInArrow(
+        total_of, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def op8_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -263,7 +263,8 @@ def test_lm_scores_do_not_depend_on_the_filter(spark, filter_bits, max_words):
     rows = [(n, t) for n, (_, t) in enumerate(ROWS)]
     want = brute.bigrams(rows, brute.training, lm_score.PRIOR, lm_score.MIDDLE)
     got = {r["doc_id"]: r["score"] for r in
-           lm_score.lm_score(frame(spark, rows), filter_bits=filter_bits, max_words=max_words).collect()}
+           lm_score.lm_score(frame(spark, rows), filter_bits=filter_bits, max_words=max_words, flush_bytes=20_000,
+                             shard_bytes=5_000).collect()}
     # 2**27 bits hold all n-grams, 2**3 bits none; 2**13 are crowded, with false positives
     assert got == {i: pytest.approx(x, rel={27: 1e-3, 13: 3e-2, 3: 1e-9}[filter_bits]) for i, x in want.items()}
 
