@@ -15,12 +15,13 @@ Scale: every task sums n-grams of its slices before the shuffle and sends them a
 row per shard, so a word in all documents arrives as one number per task. The number of shards follows from the
 bytes of the training texts (``SHARD_BYTES`` each). Each shard counts its own
 n-grams and builds its own segment of the filter, which has ``ROOMY`` bits for each entry. What is
-broadcast is bounded by parameters: ``2**filter_bits`` bits and ``max_words`` words. If the n-grams would
-crowd the filter (under ``BITS_PER_ENTRY`` bits for each), the lowest levels of pairs (and of words, should they alone fill
-half of it) are not put into it, which
+broadcast is bounded by parameters: ``2**filter_bits`` bits and ``max_words`` words. Words are in the filter from
+their first occurrence on, pairs from ``PAIR_LEVEL`` on (most pairs are seen once). If that would
+crowd the filter (under ``BITS_PER_ENTRY`` bits for each entry), more of the lowest levels of pairs (and of words, should they
+alone fill half of it) are left out, which
 follows from the levels' counts over all documents. N-grams under that cut are not lost: what the
 filter does not know is asked of the shards, a batch of texts at a time, in packed rows, and a shard answers
-with sums per text. So scores depend on the filter's size only in its false positives (about 0.65% of
+exactly, with sums per text. So scores depend on the filter's size only in its false positives (about 0.65% of
 absent n-grams when it is full).
 
 Defined results: a null text is empty and has the end token alone. A null id counts as the empty
@@ -42,6 +43,8 @@ HELD_OUT = 1
 FILTER_BITS = 28
 MAX_WORDS = 1 << 18
 BITS_PER_ENTRY = 12
+#: Lowest level of the pairs in the filter: those seen twice or more.
+PAIR_LEVEL = 2
 #: Bits for each entry while they do not fill ``2**filter_bits``.
 ROOMY = 64
 PROBES = 4
@@ -292,7 +295,7 @@ def learn(training: DataFrame, filter_bits: int = FILTER_BITS, max_words: int =
     capacity = (1 << filter_bits) // BITS_PER_ENTRY
     low = next(i for i in range(1, 66) if 2 * entries[1][i] <= capacity)
     # a pair is not more frequent than its word, so it is under the cut if its word is
-    min_levels = {1: low, 2: next(i for i in range(low, 66) if entries[1][low] + entries[2][i] <= capacity)}
+    min_levels = {1: low, 2: next(i for i in range(max(low, PAIR_LEVEL), 66) if entries[1][low] + entries[2][i] <= capacity)}
     filled = entries[1][low] + entries[2][min_levels[2]]
     segment_bits = max(8, min(1 << filter_bits, ROOMY * filled) // shards // 8 * 8)
     segments = [(r["shard"], bytes(r["bits"])) for r in build_segments(merged, segment_bits, min_levels).collect()]
