@@ -96,6 +96,8 @@ def with_prefix(sql: str) -> str:
         return sql
     ctes = ",\n".join(f"{n} AS ({VIEWS[n].strip()})" for n in names)
     body = sql.strip()
+    if body[:14].upper() == "WITH RECURSIVE":
+        return f"WITH RECURSIVE {ctes},\n{body[14:].lstrip()}"
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"

@@ -149,76 +149,187 @@ _MESSAGE = "msg_id STRING, sent_at STRING"
 
 
 def _stored(spark, base: str, name: str, ddl: str) -> DataFrame:
-    """A worker's output so far (empty before its first run)."""
-    from skein.sources.readers import empty, path_exists
-    path = f"{base.rstrip('/')}/{name}"
-    return spark.read.parquet(path) if path_exists(spark, path) else empty(spark, ddl)
+    """A worker's published output so far (empty before its first run)."""
+    from skein.streaming.runs import RunStore
+    return RunStore(spark, base).read(name, ddl)
 
 
 def queue_workers(spark, landing: str, store: DataFrame, base: str) -> None:
     """One run of the dispatch worker (Q1 over S9, Q7). Messages, roots and text objects are
-    appended below ``base``; roots dispatched by earlier runs count as known."""
+    published below ``base``; roots dispatched by earlier runs count as known."""
     from skein.streaming import queues as qu
-    known = store.select("user_id").unionByName(_stored(spark, base, "roots", "user_id STRING").select("user_id")).distinct()
+    known = store.select("user_id").unionByName(_stored(spark, base, "roots", "user_id STRING")).distinct()
 
-    def step(messages: DataFrame) -> dict[str, DataFrame]:
+    def step(messages: DataFrame, run: int) -> dict[str, DataFrame]:
         out = qu.dispatch_roots(messages.drop("msg_id", "sent_at"), known)
         return {"messages": out["messages"], "objects": out["objects"], "roots": out["roots"]}
 
     qu.run_worker(spark, landing, f"{_PERSON}, {_MESSAGE}", base, step)
 
 
+_POSTS_STATUS = "user_id STRING, retweeter_status STRING, retweeter_last_processed STRING, last_tweeted_at STRING, run BIGINT"
+_DONE = "root_id STRING, tweet_id STRING, at STRING, run BIGINT"
+
+
 def posts_worker(spark, landing: str, roots: DataFrame, base: str, now: str) -> None:
     """One run of the posts worker (Q2): landed posts of roots become text objects, messages for
-    their retweeters and a status of each root that the run has posts of."""
+    their retweeters and a status row of each root that the run has posts of (``retweeter_statuses`` folds them)."""
     from skein.streaming import queues as qu
 
-    def step(posts: DataFrame) -> dict[str, DataFrame]:
+    def step(posts: DataFrame, run: int) -> dict[str, DataFrame]:
         mine = roots.join(posts.select(F.col("root_id").alias("user_id")), "user_id", "left_semi")
-        return qu.dispatch_tweets(posts.drop("msg_id", "sent_at"), mine, now)
+        out = qu.dispatch_tweets(posts.drop("msg_id", "sent_at"), mine, now)
+        return out | {"status": out["status"].withColumn("run", F.lit(run).cast("long"))}
 
     qu.run_worker(spark, landing, "root_id STRING, tweet_id STRING, tweet_text STRING, retweet_count BIGINT, "
                                   f"created_on STRING, {_MESSAGE}", base, step)
 
 
-def followers_worker(spark, landing: str, roots: DataFrame, store: DataFrame, base: str, further: bool = True) -> None:
+def retweeter_statuses(spark, posts_base: str, retweeters_base: str) -> DataFrame:
+    """Q2, Q5, Q6 over all published runs of the posts and the retweeters worker: one status per root."""
+    from skein.streaming import queues as qu
+    return qu.current_retweeter_status(_stored(spark, posts_base, "status", _POSTS_STATUS),
+                                       _stored(spark, posts_base, "messages", "tweet_id STRING, target_user_id STRING"),
+                                       _stored(spark, retweeters_base, "done", _DONE))
+
+
+def followers_worker(spark, landing: str, roots: DataFrame, store: DataFrame, base: str, further: bool = True,
+                     now: str = "") -> None:
     """One run of the followers worker (Q3): new vertices, new FOLLOWS edges, statuses and, with
     ``further``, messages to followers that qualify as roots. ``store`` holds the vertices known
-    from elsewhere; what earlier runs wrote below ``base`` counts as known too."""
+    from elsewhere; what earlier runs published below ``base`` counts as known too. A root whose landing has no
+    follower (a record with ``root_id`` alone) becomes ``failed``. ``status_log`` holds the statuses of all runs."""
     from skein.streaming import queues as qu
+    from skein.streaming.runs import fold_status
     ddl = f"{_PERSON}, root_id STRING, ord BIGINT, pos BIGINT"
     vertices = store.unionByName(_stored(spark, base, "vertices", _PERSON)).select(*store.columns)
     edges = _stored(spark, base, "follows", "src STRING, dst STRING, weight BIGINT")
 
-    def step(messages: DataFrame) -> dict[str, DataFrame]:
+    def step(messages: DataFrame, run: int) -> dict[str, DataFrame]:
         mine = roots.join(messages.select(F.col("root_id").alias("user_id")), "user_id", "left_semi")
         out = qu.process_followers(mine, messages.drop("msg_id", "sent_at"), vertices, further, edges)
+        log = out["status"].select("user_id", F.lit("follower").alias("kind"), F.col("follower_status").alias("status"),
+                                   F.lit(now).alias("at"), F.lit(run).cast("long").alias("run"))
         new = {"vertices": out["vertices"].join(vertices.select("user_id"), "user_id", "left_anti").select(*store.columns),
-               "follows": out["follows"].join(edges, ["src", "dst"], "left_anti"), "status": out["status"]}
+               "follows": out["follows"].join(edges, ["src", "dst"], "left_anti"), "status": out["status"], "status_log": log}
         return new | ({"messages": out["dispatch"]} if further else {})
 
-    qu.run_worker(spark, landing, f"{ddl}, {_MESSAGE}", base, step)
+    qu.run_worker(spark, landing, f"{ddl}, {_MESSAGE}", base, step, {"status_log": fold_status})
+
 
+def follower_statuses(spark, base: str) -> DataFrame:
+    """Q6 over all published runs of the followers worker: one status per root. A root that has had followers once is
+    ``completed``, also if a later landing has none."""
+    from skein.streaming.runs import STATUS_LOG
+    log = _stored(spark, base, "status_log", STATUS_LOG)
+    any_ = F.max(F.when(F.col("status") == "completed", F.struct("at", "run")))
+    last = F.max(F.struct("at", "run"))
+    return log.groupBy("user_id").agg(any_.alias("c"), last.alias("l")).select(
+        "user_id", F.when(F.col("c").isNotNull(), "completed").otherwise("failed").alias("follower_status"),
+        F.coalesce("c.at", "l.at").alias("follower_last_processed"))
 
-def retweeters_worker(spark, landing: str, posts: DataFrame, store: DataFrame, base: str) -> None:
+
+def retweeters_worker(spark, landing: str, posts: DataFrame, store: DataFrame, base: str, now: str = "") -> None:
     """One run of the retweeters worker (Q4, G11): new vertices, new (pair, post) records and messages
     to retweeters that qualify as roots. An edge's weight is its number of records (``edge_weights``),
-    so runs only append. ``posts`` holds the queued posts (tweet_id, target_user_id)."""
+    so runs only append. ``posts`` holds the queued posts (tweet_id, target_user_id). Every queued post that has
+    landed, with retweeters or (a record without ``user_id``) without, is ``done``, which completes its root (Q5)."""
     from skein.sources.readers import empty
     from skein.streaming import queues as qu
     vertices = store.unionByName(_stored(spark, base, "vertices", _PERSON)).select(*store.columns)
     ids = _stored(spark, base, "edge_tweets", "src STRING, dst STRING, tweet_id STRING, ord BIGINT")
 
-    def step(messages: DataFrame) -> dict[str, DataFrame]:
+    def step(messages: DataFrame, run: int) -> dict[str, DataFrame]:
         out = qu.process_retweeters(posts, messages.drop("msg_id", "sent_at"), vertices,
                                     empty(spark, "src STRING, dst STRING, weight BIGINT"), ids)
+        done = messages.select("root_id", "tweet_id").distinct().join(
+            posts.select("tweet_id", F.col("target_user_id").alias("root_id")), ["root_id", "tweet_id"], "left_semi")
         return {"vertices": out["vertices"].join(vertices.select("user_id"), "user_id", "left_anti").select(*store.columns),
                 "edge_tweets": out["edge_tweets"].join(ids, ["src", "dst", "tweet_id"], "left_anti")
-                .select("src", "dst", "tweet_id", "ord"), "messages": out["dispatch"]}
+                .select("src", "dst", "tweet_id", "ord"), "messages": out["dispatch"],
+                "done": done.select("root_id", "tweet_id", F.lit(now).alias("at"), F.lit(run).cast("long").alias("run"))}
 
     qu.run_worker(spark, landing, f"{_PERSON}, root_id STRING, tweet_id STRING, ord BIGINT, pos BIGINT, {_MESSAGE}", base, step)
 
 
+_TOPIC_USER, _TOPIC_TWEET = "user_id STRING, location STRING", "tweet_id STRING, target_user_id STRING, location STRING"
+
+
+def collection_loop(spark, base: str, seeds: DataFrame, posts: DataFrame, followers: DataFrame, retweeters: DataFrame,
+                    now: str = "") -> dict[str, DataFrame]:
+    """Q1-Q5 as one closed loop: seeds are dispatched to the topics, and the consumers of the topics run until no topic
+    has unread rows. A follower or retweeter that qualifies as a root is dispatched in turn.
+
+    ``seeds`` and the people of the landed pages have the vertex shape; pages also have ``root_id``, ``ord`` and
+    ``pos`` (and ``tweet_id``). Returns the published vertices, follows, edge_tweets and the status of each root.
+    A consumer reads whole topic increments, so the number of runs is that of the hops, not of the users.
+    """
+    from skein.sources.readers import empty
+    from skein.streaming import queues as qu
+    from skein.streaming.runs import RunStore, consume, fold_status
+    store = RunStore(spark, base, {"status_log": fold_status})
+    people = lambda: store.read("vertices", _PERSON)
+
+    def topics(messages: DataFrame) -> dict[str, DataFrame]:
+        return {t: messages.filter(F.col("topic") == t).select("user_id", "location")
+                for t in (qu.TOPIC_TWEETS, qu.TOPIC_FOLLOWERS)}
+
+    def new_people(all_: DataFrame) -> DataFrame:
+        return all_.join(people().select("user_id"), "user_id", "left_anti")
+
+    def log(df: DataFrame, kind: str) -> DataFrame:
+        return df.select("user_id", F.lit(kind).alias("kind"), F.col(f"{kind}_status").alias("status"),
+                         F.lit(now).alias("at"), F.lit(store.manifest()["run"] + 1).cast("long").alias("run"))
+
+    def on_posts(rows: DataFrame) -> dict[str, DataFrame]:
+        roots = rows.select("user_id", F.col("location").alias("target_location")).distinct()
+        out = qu.dispatch_tweets(posts, roots, now)
+        return {qu.TOPIC_RETWEETERS: out["messages"], "objects": out["objects"],
+                "posts_status": out["status"].withColumn("run", F.lit(store.manifest()["run"] + 1).cast("long"))}
+
+    def on_followers(rows: DataFrame) -> dict[str, DataFrame]:
+        roots = rows.select("user_id").distinct()
+        mine = followers.join(roots.withColumnRenamed("user_id", "root_id"), "root_id", "left_semi")
+        edges = store.read("follows", "src STRING, dst STRING, weight BIGINT")
+        out = qu.process_followers(roots, mine, people(), True, edges)
+        return {"vertices": new_people(out["vertices"]), "follows": out["follows"].join(edges, ["src", "dst"], "left_anti"),
+                "status_log": log(out["status"], "follower"), **topics(out["dispatch"])}
+
+    def on_retweeters(rows: DataFrame) -> dict[str, DataFrame]:
+        ids = store.read("edge_tweets", "src STRING, dst STRING, tweet_id STRING, ord BIGINT")
+        out = qu.process_retweeters(rows, retweeters, people(), empty(spark, "src STRING, dst STRING, weight BIGINT"), ids)
+        done = rows.select(F.col("target_user_id").alias("root_id"), "tweet_id", F.lit(now).alias("at"),
+                           F.lit(store.manifest()["run"] + 1).cast("long").alias("run"))
+        return {"vertices": new_people(out["vertices"]), "done": done,
+                "edge_tweets": out["edge_tweets"].join(ids, ["src", "dst", "tweet_id"], "left_anti")
+                .select("src", "dst", "tweet_id", "ord"), **topics(out["dispatch"])}
+
+    if store.manifest()["run"] == 0:
+        start = store.begin()
+        start.stage("vertices", seeds.select(*people().columns).dropDuplicates(["user_id"]))
+        for topic in (qu.TOPIC_TWEETS, qu.TOPIC_FOLLOWERS):
+            start.stage(topic, seeds.select("user_id", F.col("target_location").alias("location")).distinct())
+        start.publish()
+    consumers = [("posts", qu.TOPIC_TWEETS, _TOPIC_USER, on_posts), ("followers", qu.TOPIC_FOLLOWERS, _TOPIC_USER, on_followers),
+                 ("retweeters", qu.TOPIC_RETWEETERS, _TOPIC_TWEET, on_retweeters)]
+    moved = True
+    while moved:
+        moved = False
+        for consumer, topic, ddl, step in consumers:
+            got = store.unread(consumer, topic, ddl)
+            if got is None:
+                continue
+            if got[0].isEmpty():  # nothing was said: only the offset moves
+                store.begin().publish({consumer: {topic: got[1]}})
+            else:
+                moved |= consume(store, consumer, topic, ddl, step)
+    return {"vertices": people(), "follows": store.read("follows", "src STRING, dst STRING, weight BIGINT"),
+            "edge_tweets": store.read("edge_tweets", "src STRING, dst STRING, tweet_id STRING, ord BIGINT"),
+            "roots": store.read(qu.TOPIC_FOLLOWERS, _TOPIC_USER).distinct(),
+            "status": qu.current_retweeter_status(store.read("posts_status", _POSTS_STATUS),
+                                                  store.read(qu.TOPIC_RETWEETERS, _TOPIC_TWEET), store.read("done", _DONE))}
+
+
 def edge_weights(edge_tweets: DataFrame) -> DataFrame:
     """RETWEETED edges of the (pair, post) records."""
     return edge_tweets.groupBy("src", "dst").agg(F.countDistinct("tweet_id").alias("weight"))
@@ -230,7 +341,7 @@ def classify_worker(spark, landing: str, base: str, template: str, client) -> No
     from skein.functions.text import parse_category
     from skein.streaming import queues as qu
 
-    def step(objects: DataFrame) -> dict[str, DataFrame]:
+    def step(objects: DataFrame, run: int) -> dict[str, DataFrame]:
         replies = cl.score_with_prompts(qu.render_queue_prompts(objects, template), "user_id", "prompt", client)
         return {"classified": replies.select("user_id", "reply", parse_category("reply").alias("category"))}
 

@@ -206,6 +206,120 @@ def q04_dispatch(spark, sf_dir):
     return _processed_retweeters(spark, sf_dir)["dispatch"]
 
 
+LATER = "2025-02-02T00:00:00+00:00"
+
+
+@register("q02_status_folded", f"""
+WITH {_ROOTS_SQL},
+t AS (SELECT author_id, tweet_id, created_on, ord % 2 AS half,
+  coalesce(tweet_text NOT LIKE 'RT @%', true) AND retweet_count > 0 AS wanted FROM fx_tweets),
+halves AS (SELECT author_id, half, bool_or(wanted) AS queued, max(created_on) AS last FROM t GROUP BY 1, 2),
+runs AS (SELECT author_id, max(CASE WHEN NOT queued THEN '{NOW}' END) AS at, max(last) AS last FROM halves GROUP BY 1),
+done AS (SELECT DISTINCT root_id, tweet_id FROM fx_net_retweeters),
+n AS (SELECT t.author_id, count(*) AS n_expected, count(d.tweet_id) AS n_done FROM t
+  LEFT JOIN done d ON d.root_id = t.author_id AND d.tweet_id = t.tweet_id WHERE t.wanted GROUP BY 1)
+SELECT r.user_id, CASE WHEN coalesce(n.n_done < n.n_expected, false) THEN 'queued' ELSE 'completed' END AS retweeter_status,
+  CASE WHEN coalesce(n.n_done < n.n_expected, false) THEN NULL ELSE greatest(u.at, CASE WHEN n.n_done > 0 THEN '{LATER}' END) END
+    AS retweeter_last_processed, CAST(u.last AS VARCHAR) AS last_tweeted_at,
+  coalesce(n.n_expected, 0) AS n_expected, coalesce(n.n_done, 0) AS n_done
+FROM roots r JOIN runs u ON u.author_id = r.user_id LEFT JOIN n ON n.author_id = r.user_id""")
+def q02_status_folded(spark, sf_dir):
+    """Posts dispatched in two published runs, their retweeters in a third: one status per root over all runs."""
+    from skein.streaming.runs import RunStore
+    users, tweets, rts = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_net_retweeters")
+    roots = qu.dispatch_roots(normalize_net_user(users), _vertex_store(spark, sf_dir))["roots"].select("user_id", "target_location")
+    t = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "retweet_count",
+                      F.col("created_on").cast("string").alias("created_on"), "ord")
+    store = RunStore(spark, _scratch(spark, "status-store"))
+    for half in (0, 1):
+        landed, run = t.filter(F.col("ord") % 2 == half), store.begin()
+        mine = roots.join(landed.select(F.col("root_id").alias("user_id")), "user_id", "left_semi")
+        out = qu.dispatch_tweets(landed, mine, NOW)
+        run.stage("status", out["status"])
+        run.stage("messages", out["messages"])
+        run.publish()
+    messages = store.table("messages")
+    run = store.begin()
+    run.stage("done", rts.select("root_id", "tweet_id").distinct().join(
+        messages.select("tweet_id", F.col("target_user_id").alias("root_id")), ["root_id", "tweet_id"], "left_semi")
+        .withColumn("at", F.lit(LATER)))
+    run.publish()
+    return qu.current_retweeter_status(store.table("status"), messages, store.table("done"))
+
+
+@register("q03_failed_root", f"""
+WITH {NET_CTES},
+n AS (SELECT root_id, count(*) AS n FROM net_fol GROUP BY root_id)
+SELECT r.user_id, 'follower' AS kind, CASE WHEN coalesce(n.n, 0) > 0 THEN 'completed' ELSE 'failed' END AS status,
+  '{LATER}' AS at, CAST(2 AS BIGINT) AS run
+FROM net_roots r LEFT JOIN n ON n.root_id = r.user_id""")
+def q03_failed_root(spark, sf_dir):
+    """Roots queued in one run and processed in the next: the log folded by Q6's order; a root without followers fails."""
+    from skein.streaming import runs
+    roots, _, _, _ = net_tables(spark, sf_dir, need=())
+    store = runs.RunStore(spark, _scratch(spark, "status-log"), {"status_log": runs.fold_status})
+    for at, log in ((NOW, roots.select("user_id", F.lit("queued").alias("status"))),
+                    (LATER, _processed_followers(spark, sf_dir)["status"].select("user_id", F.col("follower_status").alias("status")))):
+        run = store.begin()
+        run.stage("status_log", log.select("user_id", F.lit("follower").alias("kind"), "status", F.lit(at).alias("at"),
+                                           F.lit(run.number).cast("long").alias("run")))
+        run.publish()
+    return runs.fold_status(store.table("status_log"))
+
+
+@register("q07_replay", """
+SELECT user_id, topic, count(*) AS n, CAST(sum(seq) AS BIGINT) AS seqs FROM fx_queue GROUP BY 1, 2""")
+def q07_replay(spark, sf_dir):
+    """Messages landed twice over (every third without an id, landed once): a run dies before it publishes, is repeated,
+    and a second run gets what landed later; each message is counted once."""
+    from skein.streaming.runs import RunStore
+    (queue,) = tables(spark, sf_dir, "fx_queue")
+    ddl = "user_id STRING, topic STRING, seq BIGINT, msg_id STRING"
+    messages = queue.select("user_id", "topic", "seq", F.when(F.col("seq") % 3 != 0, F.col("seq").cast("string")).alias("msg_id"))
+    base = _scratch(spark, "replay")
+    step = lambda df, run: {"counts": df.groupBy("user_id", "topic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("seq").alias("seqs"))}
+    first = messages.filter(F.col("seq") % 2 == 0)
+    first.write.mode("append").json(f"{base}/landing")
+    dead = RunStore(spark, f"{base}/store").begin()
+    for name, out in step(dead.land(f"{base}/landing", ddl), dead.number).items():
+        dead.stage(name, out)  # and dies here
+    qu.run_worker(spark, f"{base}/landing", ddl, f"{base}/store", step)
+    again = messages.filter((F.col("seq") % 2 == 1) | F.col("msg_id").isNotNull())
+    again.write.mode("append").json(f"{base}/landing")
+    qu.run_worker(spark, f"{base}/landing", ddl, f"{base}/store", step)
+    return RunStore(spark, f"{base}/store").table("counts").groupBy("user_id", "topic").agg(
+        F.sum("n").alias("n"), F.sum("seqs").alias("seqs"))
+
+
+@register("l15_closed_loop", f"""
+WITH RECURSIVE {NET_CTES},
+ok AS (SELECT user_id FROM net_roots WHERE coalesce(city = target_location AND followers_count > 100 AND tweets_count > 0, false)),
+wanted AS (SELECT DISTINCT r.user_id AS source, r.root_id AS target, r.tweet_id FROM net_rt r JOIN net_tweets t
+  ON t.tweet_id = r.tweet_id AND t.root_id = r.root_id AND t.retweet_count > 0 AND coalesce(t.tweet_text NOT LIKE 'RT @%', true)),
+e AS (SELECT source, target FROM fx_interactions UNION SELECT source, target FROM wanted),
+reached AS (SELECT n.user_id FROM net_roots n JOIN supplier s ON n.user_id = CAST(s.s_suppkey AS VARCHAR)
+  UNION SELECT e.source FROM reached r JOIN e ON e.target = r.user_id JOIN ok ON ok.user_id = e.source)
+SELECT 'FOLLOWS' AS label, source AS src, target AS dst, CAST(1 AS BIGINT) AS weight
+FROM (SELECT DISTINCT source, target FROM fx_interactions) f WHERE target IN (SELECT user_id FROM reached)
+UNION ALL SELECT 'RETWEETED', source, target, count(*) FROM wanted WHERE target IN (SELECT user_id FROM reached) GROUP BY 2, 3""")
+def l15_closed_loop(spark, sf_dir):
+    """Queue workers as a closed loop over topics with offsets: seeds (supplier accounts) are dispatched, landed followers
+    and retweeters that qualify are dispatched in turn, until nothing is unread: all edges collected."""
+    from skein.plans import jobs
+    users, tweets, rts, inter, supplier = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_net_retweeters", "fx_interactions", "supplier")
+    shape = ["user_id", "username", "description", "profile_location", "target_location", "followers_count", "tweets_count", "city"]
+    people = normalize_net_user(users).select(*shape)
+    seeds = people.join(supplier.select(F.col("s_suppkey").cast("string").alias("user_id")), "user_id", "left_semi")
+    posts = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text", "retweet_count",
+                          F.col("created_on").cast("string").alias("created_on"))
+    followers = inter.select(F.col("target").alias("root_id"), F.col("source").alias("user_id"), "ord", "pos").join(people, "user_id")
+    reposters = rts.join(people, "user_id")
+    out = jobs.collection_loop(spark, _scratch(spark, "loop"), seeds, posts, followers, reposters, NOW)
+    follows = out["follows"].select(F.lit("FOLLOWS").alias("label"), "src", "dst", "weight")
+    return follows.unionByName(jobs.edge_weights(out["edge_tweets"]).select(F.lit("RETWEETED").alias("label"), "src", "dst", "weight"))
+
+
 @register("q08_prompts", """
 WITH t AS (SELECT author_id AS user_id, string_agg(tweet_text, chr(10) ORDER BY 'tweet_' || tweet_id) AS posts FROM fx_tweets
   WHERE coalesce(tweet_text NOT LIKE 'RT @%', true) GROUP BY 1)

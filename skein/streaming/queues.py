@@ -5,15 +5,13 @@ a landing folder of JSON message files read with ``readStream`` and processed
 in micro-batches; every step is the same DataFrame transform as its batch form
 (``dispatch_roots``, ``dispatch_tweets``, ...), so stream and batch give the
 same rows. Delivery is at least once: the streaming checkpoint records which
-files were consumed, and the store updates are idempotent (anti joins), so a
-replayed batch changes nothing. No message is dropped for its time: repeats are
+files were consumed, and a run's outputs are published in one step
+(``skein.streaming.runs``), so a replayed batch changes nothing. No message is dropped for its time: repeats are
 found by an anti join with the stored ids of handled messages.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +19,6 @@ from skein.functions.predicates import is_original, qualifies_as_root
 from skein.operators.dedupe import keep_first
 from skein.operators.upsert import upsert_vertices
 from skein.sources import schemas
-from skein.sources.readers import empty, path_exists
 
 TOPIC_TWEETS, TOPIC_FOLLOWERS, TOPIC_RETWEETERS, TOPIC_CLASSIFY = (
     "UserTweets", "UserFollowers", "UserRetweeters", "UserClassification")
@@ -36,40 +33,39 @@ def read_queue(spark: SparkSession, path: str, ddl: str, max_files_per_trigger:
 
 
 def unhandled(messages: DataFrame, handled: DataFrame) -> DataFrame:
-    """Messages whose ``msg_id`` is not among the handled ones, one per id (whole-row order decides).
+    """Messages whose ``msg_id`` is not among the handled ones, one per id (the first landed).
     Messages without an id are all kept: nothing says that they are repeats."""
     named = messages.filter(F.col("msg_id").isNotNull())
-    first = keep_first(named, ["msg_id"], [c for c in named.columns if c != "msg_id"])
+    order = [c for c in ("landed_id",) if c in named.columns]  # where messages landed, else their values
+    first = keep_first(named, ["msg_id"], order or [c for c in named.columns if c != "msg_id"])
     return first.join(handled.select("msg_id"), "msg_id", "left_anti").select(*messages.columns) \
         .unionByName(messages.filter(F.col("msg_id").isNull()))
 
 
-def run_worker(spark: SparkSession, landing: str, ddl: str, base: str, step) -> dict[str, int]:
-    """Q7: one run of a queue worker. A stream lands everything that has arrived (its checkpoint
-    records the files); ``step`` maps the messages not handled yet to named outputs, which
-    are appended below ``base``; the ids are recorded last, so a run that dies is repeated.
+def run_worker(spark: SparkSession, landing: str, ddl: str, base: str, step, folds=None) -> dict[str, int]:
+    """Q7: one run of a queue worker. A stream lands what has arrived in the run's own folder (its checkpoint
+    records the files); ``step(messages, run number)`` maps the messages to named outputs, which are staged and
+    published together with the ids of the messages (``runs.RunStore``). A run that dies leaves nothing that
+    anybody reads; its retry sees the same messages and the same published tables.
+
+    A message id handled before is a repeat. A message without an id is handled once as well: it is the landed row
+    that counts, so equal ones are all handled. ``RunStore(spark, base).table(name)`` reads an output.
 
     The step runs as a batch: no callback from the stream into Python is needed.
     """
-    base = base.rstrip("/")
-    run = uuid.uuid4().hex
-    run_available(read_queue(spark, landing, ddl).writeStream.format("parquet").outputMode("append")
-                  .option("path", f"{base}/inbox").option("checkpointLocation", f"{base}/checkpoint"))
-    inbox = spark.read.schema(schemas.struct_type(ddl)).parquet(f"{base}/inbox")
-    done = f"{base}/handled"
-    handled = spark.read.parquet(done) if path_exists(spark, done) else empty(spark, "msg_id STRING, row_hash BIGINT")
-    row_hash = F.xxhash64(*inbox.columns)
-    fresh = unhandled(inbox.filter("msg_id IS NOT NULL"), handled).unionByName(
-        inbox.filter("msg_id IS NULL").withColumn("row_hash", row_hash)
-        .join(handled.filter("msg_id IS NULL").select("row_hash").distinct(), "row_hash", "left_anti").drop("row_hash"))
-    todo = f"{base}/todo/{run}"
-    fresh.write.parquet(todo)  # fixed before the outputs change any store
-    fresh = spark.read.parquet(todo)
-    written = {}
-    for name, out in step(fresh).items():
-        out.write.mode("append").parquet(f"{base}/{name}")
-        written[name] = 1
-    fresh.select("msg_id", row_hash.alias("row_hash")).write.mode("append").parquet(done)
+    from skein.streaming.runs import RunStore
+    store = RunStore(spark, base, folds)
+    run = store.begin()
+    landed = run.land(landing, ddl)
+    if landed.isEmpty():
+        return {}
+    fresh = unhandled(landed, store.read("handled", "msg_id STRING"))
+    for name, out in step(fresh.drop("landed_id"), run.number).items():
+        run.stage(name, out)
+    run.stage("handled", fresh.filter("msg_id IS NOT NULL").select("msg_id"))
+    run.publish()
+    written = dict.fromkeys(run.staged, 1)
+    store.compact()
     return written
 
 
@@ -155,12 +151,31 @@ def retweeter_completion(expected: DataFrame, processed: DataFrame) -> DataFrame
                         .otherwise("pending"))
 
 
+def current_retweeter_status(posts_status: DataFrame, expected: DataFrame, done: DataFrame) -> DataFrame:
+    """Q2 + Q5 over all runs: one row per root. ``queued`` while a queued post of it is not processed (Q5), however many
+    posts without reposts come later; else ``completed`` at the latest time known for it. ``last_tweeted_at``
+    is the latest of all runs."""
+    both = done.select(F.col("root_id").alias("target_user_id"), "tweet_id", "at")
+    want = expected.select(F.col("target_user_id"), "tweet_id").distinct()
+    ends = both.groupBy("target_user_id", "tweet_id").agg(F.min("at").alias("at"))
+    per_root = want.join(ends, ["target_user_id", "tweet_id"], "left").groupBy(F.col("target_user_id").alias("user_id")).agg(
+        F.count(F.lit(1)).alias("n_expected"), F.count("at").alias("n_done"), F.max("at").alias("done_at"))
+    seen = posts_status.groupBy("user_id").agg(F.max("last_tweeted_at").alias("last_tweeted_at"),
+                                               F.max("retweeter_last_processed").alias("at"))
+    j = seen.join(per_root, "user_id", "full_outer")
+    open_ = F.coalesce(F.col("n_done") < F.col("n_expected"), F.lit(False))
+    return j.select("user_id", F.when(open_, "queued").otherwise("completed").alias("retweeter_status"),
+                    F.when(~open_, F.greatest("at", "done_at")).alias("retweeter_last_processed"), "last_tweeted_at",
+                    F.coalesce("n_expected", F.lit(0)).alias("n_expected"), F.coalesce("n_done", F.lit(0)).alias("n_done"))
+
+
 def process_followers(roots: DataFrame, followers: DataFrame, vertices: DataFrame,
                       further: bool = False, edges: DataFrame | None = None) -> dict[str, DataFrame]:
     """Q3: followers become vertices (G9) and FOLLOWS edges (G10); with ``further``
     qualifying followers are dispatched as new roots (snowball, Q1 rule); a root
     with followers is ``completed``, one without any is ``failed``."""
     from skein.operators.upsert import upsert_follows
+    followers = followers.filter(F.col("user_id").isNotNull())  # a landing of no followers is a record of the root alone
     shape = [c for c in followers.columns if c not in ("root_id", "ord", "pos")]
     fv = keep_first(followers, ["user_id"], ["root_id", *_row_order(followers, "user_id")]).select(*shape)
     new_vertices = upsert_vertices(vertices, fv)
@@ -182,7 +197,7 @@ def process_retweeters(tweet_msgs: DataFrame, retweeters: DataFrame, vertices: D
     dispatched as roots (Q1 rule), and RETWEETED edges are upserted (G11, idempotent:
     Q7 at-least-once delivery replays a message without changing the store)."""
     from skein.operators.upsert import upsert_retweets
-    r = retweeters.join(tweet_msgs.select("tweet_id", F.col("target_user_id").alias("root_id")),
+    r = retweeters.filter(F.col("user_id").isNotNull()).join(tweet_msgs.select("tweet_id", F.col("target_user_id").alias("root_id")),
                         ["tweet_id", "root_id"], "left_semi")
     once = keep_first(r, ["user_id"], ["ord", "pos", "root_id", "tweet_id"])  # the same row in every attempt
     new_vertices = upsert_vertices(vertices, once.drop("tweet_id", "root_id", "ord", "pos"))

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from skein.streaming.runs import RunStore
 from skein.functions import dims
 from skein.operators import classify as cl
 from skein.operators.export import conform_to_header
@@ -94,7 +95,7 @@ def test_queue_worker_stream_drops_duplicate_messages(spark, tmp_dir):
         f.write("\n".join(json.dumps(r) for r in rows[:2]))
     store = spark.createDataFrame([("3",)], "user_id STRING")
     jobs.queue_workers(spark, land, store, f"{tmp_dir}/out")
-    got = sorted((r.user_id, r.topic) for r in spark.read.parquet(f"{tmp_dir}/out/messages").collect())
+    got = sorted((r.user_id, r.topic) for r in RunStore(spark, f"{tmp_dir}/out").table("messages").collect())
     assert got == sorted((str(i), t) for i in range(3) for t in ("UserTweets", "UserFollowers"))
 
 

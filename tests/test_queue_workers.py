@@ -4,6 +4,7 @@ import json
 import os
 
 from skein.plans import jobs
+from skein.streaming.runs import RunStore
 
 STORE = ("user_id STRING, username STRING, description STRING, profile_location STRING, target_location STRING, "
          "followers_count BIGINT, tweets_count BIGINT, city STRING")
@@ -21,7 +22,8 @@ def _person(uid, followers=500):
 
 
 def _rows(spark, path, *cols):
-    return sorted(map(tuple, spark.read.parquet(path).select(*cols).collect()))
+    base, name = path.rsplit("/", 1)
+    return sorted(map(tuple, RunStore(spark, base).table(name).select(*cols).collect()))
 
 
 def test_posts_worker(spark, tmp_dir):
@@ -61,7 +63,7 @@ def test_retweeters_worker(spark, tmp_dir):
     jobs.retweeters_worker(spark, land, posts, store, base)
     _land(land, "b", [rt("u", "t1", 0), rt("u", "t2", 1)])
     jobs.retweeters_worker(spark, land, posts, store, base)
-    edges = jobs.edge_weights(spark.read.parquet(f"{base}/edge_tweets"))
+    edges = jobs.edge_weights(RunStore(spark, base).table("edge_tweets"))
     assert sorted(map(tuple, edges.collect())) == [("u", "r1", 2), ("v", "r1", 1)]
     assert _rows(spark, f"{base}/vertices", "user_id") == [("u",), ("v",)]
     assert len(_rows(spark, f"{base}/messages", "user_id")) == 4

@@ -4,6 +4,7 @@ import json
 import os
 
 
+from skein.streaming.runs import RunStore
 from skein.functions.predicates import date_window
 from skein.operators import export as ex
 from skein.operators.upsert import patch_vertices
@@ -34,9 +35,9 @@ def test_worker_keeps_late_messages_and_drops_repeats(spark, tmp_dir):
                       _user("a", "m5"), _user("n1", None), _user("n2", None)])
     jobs.queue_workers(spark, land, store, base)
     jobs.queue_workers(spark, land, store, base)
-    got = sorted((r["user_id"], r["topic"]) for r in spark.read.parquet(f"{base}/messages").collect())
+    got = sorted((r["user_id"], r["topic"]) for r in RunStore(spark, base).table("messages").collect())
     assert got == sorted((u, t) for u in ("a", "late", "b", "n1", "n2") for t in (qu.TOPIC_TWEETS, qu.TOPIC_FOLLOWERS))
-    assert spark.read.parquet(f"{base}/roots").count() == spark.read.parquet(f"{base}/objects").count() == 5
+    assert RunStore(spark, base).table("roots").count() == RunStore(spark, base).table("objects").count() == 5
 
 
 def test_follower_of_two_roots_is_dispatched_once_and_edges_stay(spark):
