@@ -24,6 +24,7 @@ from skein.functions import dims
 from skein.functions.predicates import is_original, location_match, with_city_targets
 from skein.functions.text import iso, parse_any_date
 from skein.operators.dedupe import keep_first
+from skein.operators.medians import exact_medians
 
 EDGE_COLUMNS = ["source", "source_username", "source_followers", "source_following", "tweet_id",
                 "target", "target_username", "target_followers", "target_following"]
@@ -126,26 +127,21 @@ def network_medians(stats: DataFrame) -> DataFrame:
     """A10: exact medians of the A9 columns and the ratio-of-median figures, rounded to 2.
 
     Inclusion rules: followers/following only when > 0; city counts and original
-    counts only for roots with at least one original that was retweeted. Exact
-    ``median`` keeps a value->frequency buffer, so its size is bounded by the
-    number of distinct counts, not by the number of roots.
+    counts only for roots with at least one original that was retweeted. All ten are found
+    in one pass over value counts (``exact_medians``), so no task holds a column's values.
     """
     active = F.col("originals_with_retweets") > 0
-
-    def med(c, cond=None):
-        return F.median(F.when(cond, F.col(c)) if cond is not None else F.col(c))
-
-    m = stats.agg(
-        med("originals", active).alias("m_originals"),
-        med("followers_count", F.col("followers_count") > 0).alias("m_followers"),
-        med("following_count", F.col("following_count") > 0).alias("m_following"),
-        med("collected_followers").alias("m_collected_followers"),
-        med("city_followers", active).alias("m_city_followers"),
-        med("share_with_retweets").alias("m_share_with_retweets"),
-        med("retweets_total").alias("m_retweets_total"),
-        med("share_collected", active).alias("m_share_collected"),
-        med("collected_retweeters").alias("m_collected_retweeters"),
-        med("city_retweeters", active).alias("m_city_retweeters"))
+    m = exact_medians(stats, {
+        "m_originals": F.when(active, F.col("originals")),
+        "m_followers": F.when(F.col("followers_count") > 0, F.col("followers_count")),
+        "m_following": F.when(F.col("following_count") > 0, F.col("following_count")),
+        "m_collected_followers": F.col("collected_followers"),
+        "m_city_followers": F.when(active, F.col("city_followers")),
+        "m_share_with_retweets": F.col("share_with_retweets"),
+        "m_retweets_total": F.col("retweets_total"),
+        "m_share_collected": F.when(active, F.col("share_collected")),
+        "m_collected_retweeters": F.col("collected_retweeters"),
+        "m_city_retweeters": F.when(active, F.col("city_retweeters"))})
     r = F.round
     return m.select(
         r("m_originals", 2).alias("median_originals"),
@@ -175,8 +171,8 @@ def query_shares(root_tweets: DataFrame) -> DataFrame:
     per = per.filter(F.col("n") > 0).select(
         (F.col("n_rt") / F.col("n")).alias("rt_share"),
         ((F.col("n") - F.col("n_rt")) / F.col("n")).alias("original_share"))
-    return per.agg(F.round(F.median("rt_share"), 2).alias("median_rt_share"),
-                   F.round(F.median("original_share"), 2).alias("median_original_share"))
+    m = exact_medians(per, {"rt": F.col("rt_share"), "original": F.col("original_share")})
+    return m.select(F.round("rt", 2).alias("median_rt_share"), F.round("original", 2).alias("median_original_share"))
 
 
 def last_tweeted_at(root_tweets: DataFrame, created: str = "created_on") -> DataFrame:
