@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from skein.functions.predicates import location_match, with_city_targets
 from skein.functions.text import chicago_to_utc, edge_id, iso, parse_any_date, parse_post_date
+from skein.operators.long_lists import in_chunks, joined, numbered
 from skein.operators.dedupe import keep_first, keep_last
 
 VERTEX_COLUMNS = ["~id", "~label", "username", "city", "profile_location", "target_location",
@@ -106,19 +107,8 @@ def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str
     row per partition) give each partition's offset. No task sees all rows and
     no row passes through Python.
     """
-    from pyspark.sql import Window
-    from skein.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    numbered = df.orderBy(*order).select(
-        "*", F.spark_partition_id().alias("__pid"), F.monotonically_increasing_id().alias("__mid")
-    ).checkpoint(eager=True)
-    counts = numbered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
-    offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("bigint"), 33)
-    out = numbered.join(F.broadcast(offsets), "__pid").withColumn(  # one row per partition
-        col, F.concat(F.lit(prefix), (F.col("__off") + local + 1).cast("string")))
-    return out.drop("__pid", "__mid", "__off")
+    return numbered(df, order).withColumn(
+        col, F.concat(F.lit(prefix), (F.col("__no") + 1).cast("string"))).drop("__no")
 
 
 #: Fixed header of the simple loader's edge file (the typed one is VERTEX_COLUMNS above).
@@ -141,11 +131,13 @@ def export_graph_simple(edges: DataFrame, kind: str, location: str) -> tuple[Dat
     first = F.min(F.struct("ord", "pos")).alias("__first")
     pair = [F.col("source").alias("~from"), F.col("target").alias("~to")]
     if kind == "retweet":
-        grp = edges.groupBy(*pair).agg(
-            first, F.count(F.lit(1)).alias("weight"),
-            F.array_sort(F.collect_list(F.struct("ord", "pos", F.col("tweet_id")))).alias("__ids"))
-        grp = grp.withColumn("tweet_ids:String", F.array_join(F.transform("__ids", lambda x: x["tweet_id"]), ",")) \
-            .withColumn("~label", F.lit("retweeted"))
+        ids = joined(in_chunks(edges.select(*pair, "ord", "pos", "tweet_id"), ["~from", "~to"], ["ord", "pos"], "tweet_id"),
+                     ["~from", "~to"], ",")
+        ids = ids.select(F.col("~from").alias("__f"), F.col("~to").alias("__t"), F.col("n").alias("weight"),
+                         F.col("text").alias("tweet_ids:String"))
+        grp = edges.groupBy(*pair).agg(first)
+        grp = grp.join(ids, grp["~from"].eqNullSafe(ids["__f"]) & grp["~to"].eqNullSafe(ids["__t"])) \
+            .drop("__f", "__t").withColumn("~label", F.lit("retweeted"))
     else:
         grp = edges.groupBy(*pair).agg(first).withColumn("~label", F.lit("follows"))
     e = grp.withColumns({"__o": F.col("__first.ord"), "__p": F.col("__first.pos"), "location": F.lit(location)})
@@ -209,13 +201,11 @@ def typed_tables(roots: DataFrame, root_tweets: DataFrame, retweeters: DataFrame
     belongs = placed.select(
         edge_id("user_id", "city", F.lit("BELONGS_TO")).alias("~id"), F.col("user_id").alias("~from"),
         F.col("city").alias("~to"), F.lit("BELONGS_TO").alias("~label"))
-    rt = rts.join(vroots.select("root_id"), "root_id").groupBy(
-        F.col("user_id").alias("~from"), F.col("root_id").alias("~to")).agg(
-        F.count(F.lit(1)).alias("weight:Int"),
-        F.array_sort(F.collect_list(F.struct("__tw_ord", "pos", "tweet_id"))).alias("__ids"))
-    retweeted = rt.select(edge_id("~from", "~to", F.lit("RETWEETED")).alias("~id"), "~from", "~to",
-                          F.lit("RETWEETED").alias("~label"), "weight:Int",
-                          F.array_join(F.transform("__ids", lambda x: x["tweet_id"]), ";").alias("tweet_ids"))
+    rt = rts.join(vroots.select("root_id"), "root_id").select(
+        F.col("user_id").alias("~from"), F.col("root_id").alias("~to"), "__tw_ord", "pos", "tweet_id")
+    ids = joined(in_chunks(rt, ["~from", "~to"], ["__tw_ord", "pos"], "tweet_id"), ["~from", "~to"], ";")
+    retweeted = ids.select(edge_id("~from", "~to", F.lit("RETWEETED")).alias("~id"), "~from", "~to",
+                           F.lit("RETWEETED").alias("~label"), F.col("n").alias("weight:Int"), F.col("text").alias("tweet_ids"))
     fol = followers.join(vroots.select("root_id"), "root_id").select(
         F.col("user_id").alias("~from"), F.col("root_id").alias("~to")).distinct()
     follows = fol.select(edge_id("~from", "~to", F.lit("FOLLOWS")).alias("~id"), "~from", "~to",

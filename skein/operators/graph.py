@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators.dedupe import keep_first, keep_last
+from skein.operators.long_lists import CHUNK, in_chunks, joined
 from skein.session import ensure_checkpoint_dir
 
 
@@ -27,14 +28,18 @@ def retweet_tweet_ids(edges: DataFrame, src: str = "source", dst: str = "target"
                       order: tuple[str, str] = ("ord", "pos")) -> DataFrame:
     """A7 export form: weight and the pair's post ids joined in arrival order.
 
-    The id list of a pair is bounded by the target's collected posts (a user
-    reposts a post at most once and posts per root are capped at collection).
+    ``retweet_id_chunks`` has the ids in chunks of bounded length, for targets that take them so; here they are
+    put together in the one cell that this form has for them.
     """
-    g = edges.groupBy(F.col(src).alias("src"), F.col(dst).alias("dst")).agg(
-        F.count(F.lit(1)).alias("weight"),
-        F.array_sort(F.collect_list(F.struct(F.col(order[0]), F.col(order[1]), F.col("tweet_id")))).alias("__ids"))
-    return g.select("src", "dst", "weight",
-                    F.array_join(F.transform("__ids", lambda s: s["tweet_id"]), sep).alias("tweet_ids"))
+    chunks = retweet_id_chunks(edges, src, dst, order)
+    return joined(chunks, ["src", "dst"], sep).select("src", "dst", F.col("n").alias("weight"), F.col("text").alias("tweet_ids"))
+
+
+def retweet_id_chunks(edges: DataFrame, src: str = "source", dst: str = "target",
+                      order: tuple[str, str] = ("ord", "pos"), size: int = CHUNK) -> DataFrame:
+    """(src, dst, chunk, n, values): the post ids of each pair in arrival order, at most ``size`` in a row."""
+    pairs = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst"), *order, "tweet_id")
+    return in_chunks(pairs, ["src", "dst"], list(order), "tweet_id", size)
 
 
 def follow_edges(edges: DataFrame, src: str = "source", dst: str = "target") -> DataFrame:

@@ -334,6 +334,24 @@ def q08_prompts(spark, sf_dir):
     return qu.render_queue_prompts(objects, "About: user_description\nPosts: user_tweets")
 
 
+@register("q08_prompt_parts", """
+WITH t AS (SELECT author_id AS user_id, string_agg(tweet_text, chr(10) ORDER BY 'tweet_' || tweet_id) AS posts FROM fx_tweets
+  WHERE coalesce(tweet_text NOT LIKE 'RT @%', true) GROUP BY 1)
+SELECT coalesce(u.user_id, t.user_id) AS user_id,
+  sha256('About: ' || coalesce(u.description, '') || chr(10) || 'Posts: ' || coalesce(t.posts, '')) AS prompt_sha256
+FROM fx_users u FULL OUTER JOIN t ON t.user_id = u.user_id""")
+def q08_prompt_parts(spark, sf_dir):
+    """Prompts in parts of three posts at most, put together again for the comparison."""
+    from skein.plans import jobs
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    posts = tweets.select(F.col("author_id").alias("root_id"), "tweet_id", "tweet_text")
+    objects = jobs.pending_texts(users.withColumn("followers_count", F.coalesce("followers_count", F.lit(0))), posts)
+    parts = qu.prompt_parts(objects, "About: user_description\nPosts: user_tweets", 3)
+    whole = parts.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("part", "text"))).alias("p"))
+    text = F.array_join(F.transform("p", lambda x: x["text"]), "")
+    return whole.select("user_id", F.sha2(text.cast("binary"), 256).alias("prompt_sha256"))
+
+
 @register("s14_list_memberships", """
 SELECT u.user_id, l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id""")
 def s14_list_memberships(spark, sf_dir):

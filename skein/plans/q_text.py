@@ -9,6 +9,7 @@ from skein.functions import dims
 from skein.functions import predicates as pr
 from skein.functions import text as tx
 from skein.operators import normalize as nm
+from skein.operators.long_lists import in_chunks, joined
 from skein.plans.registry import register, tables
 from skein.plans.sqlbits import in_list, words_expr
 
@@ -103,10 +104,9 @@ SELECT source, target, len(string_split(ids, ';')) AS n_ids, list_contains(strin
 def x12_id_lists(spark, sf_dir):
     """';'-joined id lists: split, membership, append-if-absent."""
     (inter,) = tables(spark, sf_dir, "fx_interactions")
-    g = inter.groupBy("source", "target").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "pos", "tweet_id"))),
-                                 lambda s: s["tweet_id"]), ";").alias("ids"),
-        F.min("tweet_id").alias("first_id"))
+    lists = joined(in_chunks(inter, ["source", "target"], ["ord", "pos"], "tweet_id"), ["source", "target"], ";")
+    g = lists.withColumnRenamed("text", "ids").join(
+        inter.groupBy("source", "target").agg(F.min("tweet_id").alias("first_id")), ["source", "target"])
     return g.select("source", "target", F.size(tx.id_list("ids")).cast("bigint").alias("n_ids"),
                     tx.id_list_contains("ids", "first_id").alias("has_first"),
                     tx.id_list_append("ids", F.lit("x")).alias("appended"))

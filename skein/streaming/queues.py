@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from skein.functions.predicates import is_original, qualifies_as_root
 from skein.operators.dedupe import keep_first
+from skein.operators.long_lists import CHUNK, in_chunks, text_parts
 from skein.operators.upsert import upsert_vertices
 from skein.sources import schemas
 
@@ -210,15 +211,14 @@ def process_retweeters(tweet_msgs: DataFrame, retweeters: DataFrame, vertices: D
 
 def classify_queue(objects: DataFrame) -> DataFrame:
     """Q8: a user's stored objects -> (description, posts) for prompting; a user with
-    one post keeps it (the reference's "> 1" test dropped it). The post list of a
-    user is bounded by the posts stored per user at collection time."""
+    one post keeps it (the reference's "> 1" test dropped it). The posts of a user are put together from
+    chunks into the one list that a prompt takes; ``prompt_parts`` is the form without that list."""
     d = objects.filter(F.col("name") == "description").select("user_id", F.col("value").alias("description"))
-    t = objects.filter(F.col("name") != "description").groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("name", "value"))).alias("__t"))
-    j = d.join(t, "user_id", "full_outer")
-    return j.select("user_id", "description",
-                    F.transform(F.coalesce("__t", F.array().cast("array<struct<name:string,value:string>>")),
-                                lambda s: s["value"]).alias("tweets"))
+    chunks = in_chunks(objects.filter(F.col("name") != "description"), ["user_id"], ["name"], "value")
+    t = chunks.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("chunk", "values"))).alias("__t"))
+    return d.join(t, "user_id", "full_outer").select(
+        "user_id", "description", F.coalesce(F.flatten(F.transform("__t", lambda p: p["values"])),
+                                             F.array().cast("array<string>")).alias("tweets"))
 
 
 def render_queue_prompts(objects: DataFrame, template: str) -> DataFrame:
@@ -228,6 +228,22 @@ def render_queue_prompts(objects: DataFrame, template: str) -> DataFrame:
     return users.select("user_id", render_prompt(template, F.coalesce("description", F.lit("")), F.col("tweets")).alias("prompt"))
 
 
+def prompt_parts(objects: DataFrame, template: str, size: int = CHUNK) -> DataFrame:
+    """Q8 for clients that take a prompt piece by piece: (user_id, part, text) rows, to be sent by ``part``; together
+    they are the prompt of ``render_queue_prompts``. No row holds more than ``size`` posts."""
+    head, _, tail = template.partition("user_tweets")
+    if "user_tweets" in tail:
+        raise ValueError("a template in parts names user_tweets once")
+    d = objects.filter(F.col("name") == "description").select("user_id", F.col("value").alias("description"))
+    posts = objects.filter(F.col("name") != "description")
+    fill = lambda t: F.replace(F.lit(t), F.lit("user_description"), F.coalesce("description", F.lit("")))
+    chunks = in_chunks(posts, ["user_id"], ["name"], "value", size).join(d, "user_id", "left")
+    some = text_parts(chunks, ["user_id"], "\n", fill(head), fill(tail))
+    none = d.join(posts.select("user_id").distinct(), "user_id", "left_anti").select(
+        "user_id", F.lit(0).cast("bigint").alias("part"), F.concat(fill(head), fill(tail)).alias("text"))
+    return some.unionByName(none)
+
+
 def msg_schema(kind: str) -> str:
     return {"user": schemas.MSG_USER + ", topic STRING, msg_id STRING, sent_at STRING",
             "tweet": schemas.MSG_TWEET + ", msg_id STRING, sent_at STRING"}[kind]
