@@ -24,6 +24,7 @@ from skein.functions import dims
 from skein.functions.predicates import is_original, location_match, with_city_targets
 from skein.functions.text import iso, parse_any_date
 from skein.operators.dedupe import keep_first
+from skein.operators.long_lists import numbered
 from skein.operators.medians import exact_medians
 
 EDGE_COLUMNS = ["source", "source_username", "source_followers", "source_following", "tweet_id",
@@ -31,9 +32,13 @@ EDGE_COLUMNS = ["source", "source_username", "source_followers", "source_followi
 
 
 def explode_roots(net_root: DataFrame) -> dict[str, DataFrame]:
-    """S3 -> flat tables: explode nested root documents once (bounded per document)."""
-    user_cols = [c for c in net_root.columns if c not in ("tweets", "followers")]
-    roots = net_root.select(*user_cols, F.monotonically_increasing_id().alias("ord"))
+    """S3 -> flat tables: explode nested root documents once (bounded per document). Roots are numbered in the
+    order of their landed files (``file``, ``pos``), where the documents have them."""
+    user_cols = [c for c in net_root.columns if c not in ("tweets", "followers", "file", "pos")]
+    if {"file", "pos"} <= set(net_root.columns):
+        roots = numbered(net_root.select(*user_cols, "file", "pos"), ["file", "pos"], "ord").drop("file", "pos")
+    else:
+        roots = net_root.select(*user_cols, F.monotonically_increasing_id().alias("ord"))
     tw = net_root.select(F.col("user_id").alias("root_id"), F.posexplode_outer("tweets").alias("ord", "t")) \
         .filter(F.col("t").isNotNull())
     root_tweets = tw.select("root_id", "t.tweet_id", "t.tweet_text", F.col("t.created_at").alias("created_on"),

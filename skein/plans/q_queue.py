@@ -389,6 +389,19 @@ def _scratch(spark, name: str) -> str:
     return scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@register("s01_json_pages", """
+SELECT user_id, username, description, location, followers_count FROM fx_users""")
+def s01_json_pages(spark, sf_dir):
+    """Users landed as JSON-array files of 1000 records each (one page a file), read back by byte ranges."""
+    (users,) = tables(spark, sf_dir, "fx_users")
+    path = _scratch(spark, "pages")
+    record = F.to_json(F.struct("user_id", "username", "description", "location", "followers_count"))
+    users.groupBy(F.floor(F.col("ord") / 1000).alias("page")).agg(F.array_sort(F.collect_list(record)).alias("r")) \
+        .select("page", F.concat(F.lit("["), F.array_join("r", ", "), F.lit("]")).alias("value")) \
+        .write.partitionBy("page").text(path)
+    return readers.read_json_array(spark, path, "user_id STRING, username STRING, description STRING, location STRING, followers_count BIGINT")
+
+
 @register("k04_s04_csv_roundtrip", """
 SELECT user_id, username, nullif(description, '') AS description, nullif(location, '') AS location,
   search_location, followers_count FROM fx_users""")

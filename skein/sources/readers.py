@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skein.sources import schemas
+from skein.sources.json_arrays import read_elements
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -28,14 +29,14 @@ def read_json_array(spark: SparkSession, path: str, ddl: str, strict: bool = Fal
     """Files holding one top-level JSON array each; a missing path is an empty
     collection (``strict`` raises instead, as the older twins do).
 
-    A multi-line JSON file is parsed by one task, so parallelism is per file; the
-    landing side writes one array per result page or run, which bounds each file.
+    A file is read by as many tasks as it has blocks (``json_arrays``). Elements that are no objects give null rows,
+    as Spark's reader of whole files does.
     """
     if not path_exists(spark, path):
         if strict:
             raise FileNotFoundError(path)
         return empty(spark, ddl)
-    return spark.read.option("multiLine", True).schema(schemas.struct_type(ddl)).json(path)
+    return read_elements(spark, path).select(F.from_json("text", schemas.struct_type(ddl)).alias("r")).select("r.*")
 
 
 def read_ragged_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -48,9 +49,7 @@ def read_ragged_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     if not path_exists(spark, path):
         return empty(spark, ddl).withColumns({"file": F.lit(None).cast("string"),
                                               "pos": F.lit(None).cast("int"), "sub": F.lit(None).cast("int")})
-    raw = spark.read.option("wholetext", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("value"))
-    top = raw.select("file", F.posexplode(F.from_json("value", "array<string>")).alias("pos", "e"))
+    top = read_elements(spark, path).select("file", F.col("pos").cast("int").alias("pos"), F.col("text").alias("e"))
     nested = top.filter(F.startswith(F.ltrim("e"), F.lit("["))).select(
         "file", "pos", F.posexplode(F.from_json("e", "array<string>")).alias("sub", "e"))
     flat = top.filter(F.startswith(F.ltrim("e"), F.lit("{"))).select("file", "pos", F.lit(0).alias("sub"), "e") \
@@ -60,8 +59,12 @@ def read_ragged_json(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 
 def read_network(spark: SparkSession, path: str) -> DataFrame:
-    """S3: root documents (root > posts > retweeters, root > followers)."""
-    return read_json_array(spark, path, schemas.NET_ROOT)
+    """S3: root documents (root > posts > retweeters, root > followers), with their place in the landed files
+    (``file``, ``pos``), which orders them alike for any split of the files."""
+    if not path_exists(spark, path):
+        return empty(spark, f"{schemas.NET_ROOT}, file STRING, pos BIGINT")
+    return read_elements(spark, path).select(F.from_json("text", schemas.struct_type(schemas.NET_ROOT)).alias("r"), "file", "pos") \
+        .select("r.*", "file", "pos")
 
 
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
