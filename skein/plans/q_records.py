@@ -215,3 +215,41 @@ def k07_s08_roundtrip(spark, sf_dir):
     path = scratch_dir(spark, f"objects-{uuid.uuid4().hex[:12]}")
     write_text_objects(objects, path)
     return read_text_objects(spark, path)
+
+
+@register("k07_object_files", """
+SELECT u.search_location AS location, t.author_id AS user_id, 'tweet_' || t.tweet_id AS name, t.tweet_text AS value
+FROM fx_tweets t JOIN fx_users u ON u.user_id = t.author_id
+UNION ALL SELECT search_location, user_id, 'description', coalesce(description, '') FROM fx_users""")
+def k07_object_files(spark, sf_dir):
+    """Descriptions and posts written as one ``.txt`` each in the layout that other programs read (K7), read back through the
+    text branch of S8."""
+    from skein.sources.objects import write_object_files
+    from skein.sources.readers import read_text_objects
+    tweets, users = tables(spark, sf_dir, "fx_tweets", "fx_users")
+    who = users.select(F.col("user_id").alias("author_id"), F.col("search_location").alias("location"))
+    posts = tweets.join(who, "author_id").select("location", F.col("author_id").alias("user_id"),
+                                                 F.concat(F.lit("tweet_"), "tweet_id").alias("name"), F.col("tweet_text").alias("value"))
+    bios = users.select(F.col("search_location").alias("location"), "user_id", F.lit("description").alias("name"),
+                        F.coalesce("description", F.lit("")).alias("value"))
+    path = scratch_dir(spark, f"networks-{uuid.uuid4().hex[:12]}")
+    write_object_files(posts.unionByName(bios), path)
+    return read_text_objects(spark, path)
+
+
+@register("k10_second_sync", """
+SELECT search_location || '/part.csv' AS relative, TRUE AS first_copied, FALSE AS second_copied FROM fx_users GROUP BY 1""")
+def k10_second_sync(spark, sf_dir):
+    """A tree of users by city synchronised twice: the first run copies every file, the second none."""
+    from skein.sources import objects as ob
+    (users,) = tables(spark, sf_dir, "fx_users")
+    base = scratch_dir(spark, f"sync-{uuid.uuid4().hex[:12]}")
+    users.select("search_location", "user_id", "username").repartition("search_location") \
+        .write.partitionBy("search_location").option("header", True).csv(f"{base}/source")
+    first = ob.sync_directory(spark, f"{base}/source", f"{base}/target")
+    second = ob.sync_directory(spark, f"{base}/source", f"{base}/target")
+    city = F.url_decode(F.regexp_extract("relative", "search_location=([^/]+)/", 1))
+    there = ob.listing(spark, f"{base}/target").join(first.select("relative", F.lit(True).alias("f")), "relative", "left") \
+        .join(second.select("relative", F.lit(True).alias("s")), "relative", "left")
+    return there.select(F.concat(city, F.lit("/part.csv")).alias("relative"), F.coalesce("f", F.lit(False)).alias("first_copied"),
+                        F.coalesce("s", F.lit(False)).alias("second_copied"))

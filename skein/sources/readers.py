@@ -100,19 +100,6 @@ def select_files(df: DataFrame, look: list[str], avoid: list[str] | None = None)
     return df.filter(cond)
 
 
-def read_city_files(spark: SparkSession, root: str, city: str, kind: str, ddl: str) -> DataFrame:
-    """Pick a city's files by name: users (filtered, not expanded), lists, or
-    expanded (filtered) users. Nothing matching -> empty (no error)."""
-    rules = {"users": (["users", "filtered"], ["expanded"]), "lists": (["list"], []),
-             "expanded": (["expanded", "filtered"], [])}
-    look, avoid = rules[kind]
-    if not path_exists(spark, root):
-        return empty(spark, ddl)
-    df = spark.read.option("multiLine", True).schema(schemas.struct_type(ddl)).json(f"{root.rstrip('/')}/*")
-    return select_files(df, [city.replace(" ", "_")] + look, avoid) \
-        .withColumn("file_name", F.col("_metadata.file_name"))
-
-
 def read_dated(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     """One folder per run date (``run_date=YYYY-MM-DD``) -> a partition column (pruned by filters)."""
     return spark.read.option("multiLine", True).schema(
@@ -125,12 +112,12 @@ def read_text_objects(spark: SparkSession, prefix: str) -> DataFrame:
     cannot be read fails the job rather than vanish."""
     if path_exists(spark, f"{prefix.rstrip('/')}/_SUCCESS"):
         return spark.read.parquet(prefix).select("location", "user_id", "name", F.coalesce("value", F.lit("")).alias("value"))
-    raw = spark.read.option("wholetext", True).text(
-        f"{prefix.rstrip('/')}/*/classification/*/input/*.txt")
-    p = F.col("_metadata.file_path")
-    rx = r"/([^/]+)/classification/([^/]+)/input/([^/]+)\.txt$"
-    return raw.select(F.regexp_extract(p, rx, 1).alias("location"), F.regexp_extract(p, rx, 2).alias("user_id"),
-                      F.regexp_extract(p, rx, 3).alias("name"), F.col("value"))
+    from skein.sources.objects import listing, read_objects
+    rx = r"^([^/]+)/classification/([^/]+)/input/([^/]+)\.txt$"
+    files = listing(spark, prefix).filter(F.col("relative").rlike(rx))
+    return read_objects(files).select(F.regexp_extract("relative", rx, 1).alias("location"),
+                                      F.regexp_extract("relative", rx, 2).alias("user_id"),
+                                      F.regexp_extract("relative", rx, 3).alias("name"), "value")
 
 
 def read_processed_ids(spark: SparkSession, path: str, fmt: str = "parquet", key: str = "user_id") -> DataFrame:

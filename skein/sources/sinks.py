@@ -1,5 +1,5 @@
-"""Writers (K1-K7, K10). Every writer takes any Hadoop URI (local, HDFS, s3a, ...),
-so syncing outputs to object storage (K10) is writing there directly.
+"""Writers (K1-K7). Every writer takes any Hadoop URI (local, HDFS, s3a, ...); trees that exist already are
+synchronised by ``objects.sync_directory`` (K10).
 
 Rewrites never replace data in place: ``write_version`` writes a new numbered
 version next to the old ones and readers pick the newest complete version
@@ -106,6 +106,6 @@ def write_records_json(df: DataFrame, path: str) -> None:
 
 
 def write_text_objects(objects: DataFrame, path: str) -> None:
-    """K7: one row per (location, user, name), in a folder per location (a file per user would
-    mean millions of tiny objects); S8 reads it back."""
+    """K7 as a table: one row per (location, user, name), in a folder per location (a file per user would
+    mean millions of tiny objects); S8 reads it back. ``objects.write_object_files`` writes the files other programs read."""
     objects.select("location", "user_id", "name", "value").write.mode("overwrite").partitionBy("location").parquet(path)

@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from skein.operators.dedupe import dedupe_by_key
+from skein.sources import objects as ob
 from skein.sources import readers as rd
 from skein.sources import sinks as sk
 
@@ -60,9 +61,9 @@ def test_city_files_by_name(spark, tmp_dir):
                        ("kolkata_media_list.json", "3"), ("delhi_media_users_filtered.json", "4")]:
         with open(f"{root}/{fname}", "w") as f:
             json.dump([{"user_id": uid}], f)
-    users = rd.read_city_files(spark, root, "kolkata", "users", "user_id STRING")
+    users = ob.read_city_files(spark, root, "kolkata", "users", "user_id STRING")
     assert [r.user_id for r in users.collect()] == ["1"]
-    exp = rd.read_city_files(spark, root, "kolkata", "expanded", "user_id STRING")
+    exp = ob.read_city_files(spark, root, "kolkata", "expanded", "user_id STRING")
     assert [r.user_id for r in exp.collect()] == ["2"]
 
 
