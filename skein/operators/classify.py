@@ -114,8 +114,8 @@ def classify_incremental(users: DataFrame, tweets: DataFrame, previous: DataFram
                          labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id") -> DataFrame:
     """M3: dedupe users, skip those already classified, classify the rest,
     union with the previous result and drop identical records."""
-    from skein.operators.dedupe import dedupe_whole, unique_by
-    u = unique_by(users, key, ["ord"]) if "ord" in users.columns else users.dropDuplicates([key])
+    from skein.operators.dedupe import dedupe_whole, row_order, unique_by
+    u = unique_by(users, key, row_order(users, key))
     todo = u.join(previous.select(key), key, "left_anti")
     new = classify_users(todo, tweets, keywords, labels, key).select(key, "content_labels", "content_is_relevant")
     return dedupe_whole(previous.select(key, "content_labels", "content_is_relevant").unionByName(new))
@@ -124,8 +124,8 @@ def classify_incremental(users: DataFrame, tweets: DataFrame, previous: DataFram
 def reclassify_all(users: DataFrame, tweets: DataFrame, keywords: dict[str, list[str]],
                    labels: list[str] = dims.ZERO_SHOT_LABELS, key: str = "user_id") -> DataFrame:
     """M4: classify every user again (no skip); the caller overwrites the output."""
-    from skein.operators.dedupe import unique_by
-    first = unique_by(users, key, ["ord"]) if "ord" in users.columns else users.dropDuplicates([key])
+    from skein.operators.dedupe import row_order, unique_by
+    first = unique_by(users, key, row_order(users, key))
     return classify_users(first, tweets, keywords, labels, key)
 
 

@@ -33,6 +33,12 @@ def keep_first(df: DataFrame, keys: list[str] | Column, order: list[Column | str
     return agg.select(f"{_ROW}.*")
 
 
+def row_order(df: DataFrame, key: str) -> list[str]:
+    """A fixed order of rows that repeat a key: landing order where there is one, then the values."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [c for c in ("ord", "pos") if c in plain] + [c for c in plain if c not in ("ord", "pos", key)]
+
+
 def keep_last(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
     cols = df.columns

@@ -20,14 +20,12 @@ STATUS_ORDER = {"pending": 0, "in progress": 1, "queued": 1, "completed": 2, "fa
 def upsert_vertices(vertices: DataFrame, new: DataFrame, key: str = "user_id") -> DataFrame:
     """Insert a vertex when its id is absent; existing vertices stay untouched.
 
-    ``new`` may repeat an id; the first row per id (by ``ord`` when present) is inserted.
+    ``new`` may repeat an id; the first row per id (in landing order where there is one, then by
+    its values, so that a retry inserts the same) is inserted.
     """
-    from skein.operators.dedupe import keep_first
+    from skein.operators.dedupe import keep_first, row_order
     fresh = new.join(vertices.select(key), key, "left_anti")
-    if "ord" in fresh.columns:
-        fresh = keep_first(fresh, [key], ["ord"])
-    else:
-        fresh = fresh.dropDuplicates([key])
+    fresh = keep_first(fresh, [key], row_order(fresh, key) or [key])
     return vertices.unionByName(fresh.select(*vertices.columns))
 
 

@@ -63,6 +63,78 @@ def classify_slice(users: DataFrame, tweets: DataFrame, previous: DataFrame,
     return cl.classify_incremental(users, tweets, previous, keywords)
 
 
+def collect_slices(spark, posts: DataFrame, users: DataFrame, base: str, keywords: dict[str, list[str]], default_date: str,
+                   cities: list[str] | None = None, skip: list[str] | None = None,
+                   budget: int | None = None) -> dict[str, DataFrame]:
+    """L1 for every city x type slice at once (L2): queries (P19, F16) choose the slices; their landed search pages are merged
+    (S11), normalised (P1, P2), dated (J2), reduced to one record per key (D1) and appended to the stores below
+    ``base`` (K1); users with their posts (J1) are classified unless they were before (M3), and tabulated (L5).
+
+    ``posts`` and ``users`` are landed pages: raw records with ``city``, ``account_type``, ``page`` and ``pos``. ``cities``: all
+    by default, ``dims.PILOT_CITIES`` for a pilot run, one name for one city. ``budget`` is shared by the types (W9) and
+    limits the pages of each slice's users (W5).
+    """
+    from skein.functions import dims
+    from skein.functions.predicates import skip_types
+    from skein.operators import enrich as en
+    from skein.sources.readers import land_pages
+    from skein.sources.sinks import append_distinct, read_distinct
+    names = spark.createDataFrame([(c,) for c in (dims.CITIES if cities is None else cities)], "city STRING")
+    queries = nm.render_queries(names, "city").filter(F.col("query").isNotNull() & skip_types("account_type", skip or []))
+    posts, users = (p.join(queries.select("city", "account_type"), ["city", "account_type"], "left_semi") for p in (posts, users))
+    if budget is not None:
+        shares = an.even_split(queries.select("account_type").distinct(), budget, "account_type")
+        pages = users.select("city", "account_type", "page").distinct().join(shares, "account_type")
+        allowed = an.per_group_first_n(pages, ["city", "account_type"], [F.col("page")], F.col("budget"))
+        users = users.join(allowed.select("city", "account_type", "page"), ["city", "account_type", "page"], "left_semi")
+    landed = land_pages([posts], "id")
+    tweets = dd.dedupe_by_key(nm.normalize_tweets_full(landed).withColumn("user_date_id", F.lit(None).cast("string")),
+                              ["created_at", "text"]).drop("user_date_id")
+    people = land_pages([users], "id")
+    place = people.select(F.col("id").alias("user_id"), F.col("city").alias("search_location"),
+                          F.col("account_type").alias("search_account_type"))
+    found = nm.normalize_users_search(people).join(place, "user_id")
+    dated = en.attach_date(found, tweets.withColumn("ord", F.struct("created_at", "tweet_id")), default_date, created="created_at")
+    append_distinct(tweets, f"{base}/tweets")
+    append_distinct(dated, f"{base}/users")
+    stored_tweets, stored_users = read_distinct(spark, f"{base}/tweets"), read_distinct(spark, f"{base}/users")
+    texts = stored_tweets.select("tweet_id", "author_id", F.col("text").alias("tweet_text"), F.col("tweet_id").alias("ord"))
+    before = read_distinct(spark, f"{base}/classified")
+    if before is None:
+        from skein.sources.readers import empty
+        before = empty(spark, "user_id STRING, content_labels STRING, content_is_relevant BOOLEAN")
+    append_distinct(cl.classify_incremental(stored_users, texts, before, keywords), f"{base}/classified")
+    classified = read_distinct(spark, f"{base}/classified")
+    table = tabulate_city(stored_users.withColumnRenamed("tweets", "own_tweets").join(classified, "user_id"))
+    return {"queries": queries, "tweets": stored_tweets, "users": stored_users, "classified": classified, "table": table}
+
+
+def expand_lists(users: DataFrame, lists: DataFrame, members: DataFrame, accounts: DataFrame, tweets: DataFrame,
+                 previous: DataFrame, keywords: dict[str, list[str]]) -> dict[str, DataFrame]:
+    """L3: users' lists (S14) -> relevant lists (F7) -> their members (S13) -> the members' landed records (P2) -> those not
+    classified before are classified (M3) and tabulated as expanded users (P26, L5)."""
+    from skein.sources.readers import list_members, list_memberships
+    mine = list_memberships(users, lists.select("user_id", "list_id", "name", "description"))
+    relevant = mine.filter(list_relevant("name", "description")).select("list_id")
+    ids = list_members(relevant, members).select("user_id").distinct()
+    records = nm.normalize_users_search(accounts.join(ids.withColumnRenamed("user_id", "id"), "id", "left_semi"))
+    place = accounts.select(F.col("id").alias("user_id"), "search_location", "search_account_type")
+    found = records.join(place, "user_id")
+    labelled = cl.classify_incremental(found, tweets, previous, keywords)
+    table = tabulate_city(found.withColumnRenamed("tweets", "own_tweets").join(labelled, "user_id"), list_expansion=True)
+    return {"members": ids, "classified": labelled, "table": table}
+
+
+def export_simple(roots, root_tweets, retweeters, followers, location: str) -> dict[str, DataFrame]:
+    """L14 (simple form, K8): the city's edges (G1) as the simple loader's vertices and edges, both kinds."""
+    mine = roots.filter(F.col("target_location") == location)
+    out = {}
+    for kind, edges in (("retweet", nw.retweet_edges(mine, root_tweets, retweeters.join(mine.select(F.col("user_id").alias("root_id")), "root_id", "left_semi"))),
+                        ("follower", nw.follower_edges(mine, followers.join(mine.select(F.col("user_id").alias("root_id")), "root_id", "left_semi")))):
+        out[f"{kind}_vertices"], out[f"{kind}_edges"] = ex.export_graph_simple(edges, kind, location)
+    return out
+
+
 def export_typed(roots, root_tweets, retweeters, followers) -> dict[str, DataFrame]:
     """L14 (typed form, K9)."""
     return ex.typed_tables(roots, root_tweets, retweeters, followers)

@@ -7,12 +7,13 @@ import uuid
 from pyspark.sql import functions as F
 
 from skein.fixtures import KEYWORDS
+from skein.functions import dims
 from skein.plans import jobs
 from skein.plans.q_classify import _score_sql
 from skein.plans.q_graph import PAGERANK_ITERATIONS, interaction_edges, pagerank_sql
-from skein.plans.q_network import _STATS_SQL, net_tables
+from skein.plans.q_network import _RT_EDGES_SQL, _STATS_SQL, net_tables
 from skein.plans.registry import register, tables
-from skein.plans.sqlbits import NET_CTES, match_expr
+from skein.plans.sqlbits import NET_CTES, in_list, match_expr, words_expr
 from skein.session import scratch_dir
 
 
@@ -82,8 +83,8 @@ def l05_tabulate_city(spark, sf_dir):
 @register("l06_master_dataset", """
 WITH a AS (SELECT user_id, username, CAST(NULL AS VARCHAR) AS location, 'distinct' AS family FROM fx_users WHERE search_location = 'kolkata'
   UNION ALL SELECT user_id, username, location, 'distinct' FROM fx_users WHERE search_location <> 'kolkata'),
-b AS (SELECT user_id, CAST(NULL AS VARCHAR) AS username, location, 'expanded' AS family FROM fx_users WHERE tweets_count = 1
-  UNION ALL SELECT user_id, username, location, 'expanded' FROM fx_users WHERE tweets_count = 2)
+b AS (SELECT user_id, CAST(NULL AS VARCHAR) AS username, location, 'expanded' AS family FROM fx_users WHERE tweets_count < 2
+  UNION ALL SELECT user_id, username, location, 'expanded' FROM fx_users WHERE tweets_count >= 2)
 SELECT * FROM a UNION ALL SELECT * FROM b""")
 def l06_master_dataset(spark, sf_dir):
     """Files of two families with different columns united, then distinct ++ expanded users."""
@@ -93,8 +94,8 @@ def l06_master_dataset(spark, sf_dir):
     return jobs.master_dataset(
         [d.filter("search_location = 'kolkata'").select("user_id", "username", "family"),
          d.filter("search_location <> 'kolkata'").select("location", "user_id", "username", "family")],
-        [e.filter("tweets_count = 1").select("user_id", "location", "family"),
-         e.filter("tweets_count = 2").select("user_id", "username", "location", "family")])
+        [e.filter("tweets_count < 2").select("user_id", "location", "family"),
+         e.filter("tweets_count >= 2").select("user_id", "username", "location", "family")])
 
 
 @register("l07_analysis_locations", f"""
@@ -240,3 +241,94 @@ def l13_graph_report(spark, sf_dir):
     return (out["pagerank"].join(out["degree"], "id").join(out["vertices"].select("id", "username"), "id", "left")
             .join(top, "id", "left")
             .select("id", "degree", F.round("rank", 8).alias("rank"), F.col("__top").isNotNull().alias("in_top"), "username"))
+
+
+_TYPE_SQL = f"{list(dims.ACCOUNT_TYPES)}[CAST(ord % 7 AS INT) + 1]"
+DEFAULT_DATE = "2025-03-01"
+
+
+def _search_pages(spark, sf_dir):
+    """Accounts and posts as landed search pages: raw records per city and type, ten pages of accounts."""
+    users, tweets = tables(spark, sf_dir, "fx_users", "fx_tweets")
+    kind = F.element_at(F.array(*[F.lit(t) for t in dims.ACCOUNT_TYPES]), (F.col("ord") % 7 + 1).cast("int"))
+    slice_ = [F.col("search_location").alias("city"), kind.alias("account_type")]
+    raw = users.select(
+        *slice_, (F.col("ord") % 10).alias("page"), F.col("ord").alias("pos"), F.col("user_id").alias("id"), "username", "description",
+        "location", "name", F.lit(None).cast("string").alias("url"), F.struct(
+            "followers_count", "following_count", F.col("tweets_count").alias("tweet_count"), F.col("ord").alias("listed_count"))
+        .alias("public_metrics"))
+    author = users.select(F.col("user_id").alias("author_id"), *slice_)
+    posts = tweets.join(author, "author_id").select(
+        "city", "account_type", F.lit(0).alias("page"), F.col("ord").alias("pos"), F.col("tweet_id").alias("id"), F.col("tweet_text").alias("text"),
+        "author_id", F.col("created_on").cast("string").alias("created_at"), "lang")
+    return posts, raw
+
+
+def _slices_sql(where: str) -> str:
+    return f"""
+WITH todo AS (SELECT *, {_TYPE_SQL} AS account_type FROM fx_users WHERE {where}),
+{_score_sql('todo')},
+last AS (SELECT author_id, CAST(max(created_on) AS VARCHAR) AS day FROM fx_tweets GROUP BY 1)
+SELECT t.user_id, t.search_location, t.account_type AS search_account_type, t.name, coalesce(last.day, '{DEFAULT_DATE}') AS tweet_date,
+  lab.content_labels, lab.content_labels <> 'other' AS content_is_relevant
+FROM todo t JOIN lab ON lab.user_id = t.user_id LEFT JOIN last ON last.author_id = t.user_id"""
+
+
+def _slices_table(spark, sf_dir, **how):
+    posts, users = _search_pages(spark, sf_dir)
+    out = jobs.collect_slices(spark, posts, users, scratch_dir(spark, f"slices-{uuid.uuid4().hex[:12]}"), KEYWORDS, DEFAULT_DATE, **how)
+    return out["table"].select("user_id", "search_location", "search_account_type", "name", "tweet_date", "content_labels",
+                               "content_is_relevant")
+
+
+@register("l01_collect_slices", _slices_sql("true"))
+def l01_collect_slices(spark, sf_dir):
+    """Search pages of all cities and types: merged, normalised, dated, stored, classified and tabulated."""
+    return _slices_table(spark, sf_dir)
+
+
+@register("l02_pilot_run", _slices_sql("search_location IN ('kolkata', 'guatemala') AND ord % 7 <> 0 AND ord % 10 < 5"))
+def l02_pilot_run(spark, sf_dir):
+    """The pilot cities with the first type skipped and a budget of 30 pages, five for each type's slices."""
+    return _slices_table(spark, sf_dir, cities=dims.PILOT_CITIES, skip=[dims.ACCOUNT_TYPES[0]], budget=30)
+
+
+@register("l02_one_city", _slices_sql("search_location = 'new york'"))
+def l02_one_city(spark, sf_dir):
+    """All types of one city."""
+    return _slices_table(spark, sf_dir, cities=["new york"])
+
+
+@register("l03_expanded_users", f"""
+WITH rel AS (SELECT DISTINCT l.list_id FROM fx_users u JOIN fx_lists l ON l.user_id = u.user_id
+  WHERE coalesce(len(list_filter({words_expr('l.name')}, lambda w: w IN {in_list(dims.LIST_KEYWORDS)})) > 0, false)
+     OR coalesce(len(list_filter({words_expr('l.description')}, lambda w: w IN {in_list(dims.LIST_KEYWORDS)})) > 0, false)),
+found AS (SELECT * FROM fx_users WHERE user_id IN (SELECT i.source FROM fx_interactions i JOIN rel ON rel.list_id = i.tweet_id)),
+prev AS (SELECT CAST(doc_id AS VARCHAR) AS user_id FROM labels),
+todo AS (SELECT user_id, description FROM found WHERE user_id NOT IN (SELECT user_id FROM prev)),
+{_score_sql('todo')}
+SELECT f.user_id, f.search_location, f.username, coalesce(lab.content_labels, 'other') AS content_labels,
+  coalesce(lab.content_labels, 'other') <> 'other' AS content_is_relevant, true AS list_expansion
+FROM found f LEFT JOIN lab ON lab.user_id = f.user_id""")
+def l03_expanded_users(spark, sf_dir):
+    """Members of the users' relevant lists, normalised, classified unless they were before, tabulated as expanded users."""
+    users, tweets, lists, inter, labels = tables(spark, sf_dir, "fx_users", "fx_tweets", "fx_lists", "fx_interactions", "labels")
+    members = inter.select(F.col("tweet_id").alias("list_id"), F.col("source").alias("user_id"))
+    _, raw = _search_pages(spark, sf_dir)
+    accounts = raw.withColumnsRenamed({"city": "search_location", "account_type": "search_account_type"})
+    prev = labels.select(F.col("doc_id").cast("string").alias("user_id"), F.lit("other").alias("content_labels"),
+                         F.lit(False).alias("content_is_relevant"))
+    out = jobs.expand_lists(users, lists, members, accounts, tweets, prev, KEYWORDS)
+    return out["table"].select("user_id", "search_location", "username", "content_labels", "content_is_relevant", "list_expansion")
+
+
+@register("l14_simple_edges", f"""
+WITH {NET_CTES}, {_RT_EDGES_SQL},
+c AS (SELECT * FROM rt_edges WHERE target IN (SELECT user_id FROM net_roots WHERE target_location = 'kolkata')),
+g AS (SELECT source, target, count(*) AS w, min((ord, pos)) AS o, string_agg(tweet_id, ',' ORDER BY ord, pos, tweet_id) AS ids
+  FROM c GROUP BY source, target)
+SELECT 'e' || CAST(row_number() OVER (ORDER BY o, source, target) AS VARCHAR) AS "~id", source AS "~from",
+  target AS "~to", 'retweeted' AS "~label", w AS weight, ids AS "tweet_ids:String", 'kolkata' AS location FROM g""")
+def l14_simple_edges(spark, sf_dir):
+    """The export job's simple form: one city's retweet edges in the simple loader's columns."""
+    return jobs.export_simple(*net_tables(spark, sf_dir), "kolkata")["retweet_edges"]

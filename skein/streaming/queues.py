@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.functions.predicates import is_original, qualifies_as_root
-from skein.operators.dedupe import keep_first
+from skein.operators.dedupe import keep_first, row_order
 from skein.operators.long_lists import CHUNK, in_chunks, text_parts
 from skein.operators.upsert import upsert_vertices
 from skein.sources import schemas
@@ -89,12 +89,6 @@ def run_available(stream_writer) -> None:
     q.awaitTermination()
 
 
-def _row_order(df: DataFrame, key: str) -> list[str]:
-    """A fixed order of rows that repeat a key: landing order where there is one, then the values."""
-    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return [c for c in ("ord", "pos") if c in plain] + [c for c in plain if c not in ("ord", "pos", key)]
-
-
 # --------------------------------------------------------------------------- batch-form steps
 def dispatch_roots(users: DataFrame, vertices: DataFrame, key: str = "user_id") -> dict[str, DataFrame]:
     """Q1: users passing the root rule (F6, not yet a vertex) become vertices, get a
@@ -104,7 +98,7 @@ def dispatch_roots(users: DataFrame, vertices: DataFrame, key: str = "user_id")
     ``users`` holds the P5 vertex shape; ``vertices`` the current store (key column).
     """
     known = vertices.select(F.col(key).alias("__k"), F.lit(True).alias("__known"))
-    once = users if users.isStreaming else keep_first(users, [key], _row_order(users, key))
+    once = users if users.isStreaming else keep_first(users, [key], row_order(users, key))
     fresh = once.join(known, once[key] == known["__k"], "left").filter(F.col("__known").isNull()) \
         .drop("__k", "__known")
     roots = fresh.filter(qualifies_as_root("city", "target_location", "followers_count", "tweets_count"))
@@ -178,7 +172,7 @@ def process_followers(roots: DataFrame, followers: DataFrame, vertices: DataFram
     from skein.operators.upsert import upsert_follows
     followers = followers.filter(F.col("user_id").isNotNull())  # a landing of no followers is a record of the root alone
     shape = [c for c in followers.columns if c not in ("root_id", "ord", "pos")]
-    fv = keep_first(followers, ["user_id"], ["root_id", *_row_order(followers, "user_id")]).select(*shape)
+    fv = keep_first(followers, ["user_id"], ["root_id", *row_order(followers, "user_id")]).select(*shape)
     new_vertices = upsert_vertices(vertices, fv)
     e = followers.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"))
     stored = e.limit(0).withColumn("weight", F.lit(1).cast("bigint")) if edges is None else edges
