@@ -118,7 +118,7 @@ def _normalised_edges(edges: DataFrame, parts: int | None) -> tuple[DataFrame, D
     Without ``parts`` their number follows from the number of edges.
     Returns (edges: src, dst, p, bucket; sources: src, __out, salt; salted?; parts).
     """
-    e = edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w"))
+    e = edges.groupBy("src", "dst").agg(F.sum("weight").cast("double").alias("w")).checkpoint(eager=True)  # read twice
     out = e.groupBy("src").agg(F.sum("w").alias("__out"), F.count(F.lit(1)).alias("__deg")).checkpoint(eager=True)
     agg = out.agg(F.sum("__deg").alias("t"), F.max("__deg").alias("m")).first()
     total, top = agg["t"] or 0, agg["m"] or 0
