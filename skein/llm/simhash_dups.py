@@ -323,7 +323,8 @@ def simhash_dups(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS,
 def apply_simhash(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS, id_col: str = "doc_id",
                   text_col: str = "text", block: int = BLOCK, max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """The input's rows, one of each component: that of the smallest id (null ids last), and among
-    rows of that id the one whose text has the smallest hash. Wholly equal rows are one."""
+    rows of that id the one whose text has the smallest hash. Of rows that share both, one stays: the least
+    by the other columns, in their order."""
     rows, known = _labelled(docs, words, max_bits, id_col, text_col, block, max_blocks)
     first = (rows.join(known, "fp").groupBy("root")
              .agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "thash")).alias("k"))
@@ -343,7 +344,11 @@ def apply_simhash(docs: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS,
     out = kept(stay.filter("__n = 1"))
     if repeated.isEmpty():
         return out
-    return out.unionByName(kept(repeated).dropDuplicates([id_col, text_col]))
+    columns = docs.columns
+    order = [f"`{f.name}`" for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    least = F.min_by(F.struct(*[F.col(f"`{c}`") for c in columns]), F.struct(*order)).alias("row")
+    tied = kept(repeated).groupBy(F.col(id_col).alias("__id"), F.xxhash64(F.col(text_col).cast("string")).alias("__hash"))
+    return out.unionByName(tied.agg(least).select("row.*"))
 
 
 def op6_simhash_dups(spark, sf_dir: str) -> DataFrame:

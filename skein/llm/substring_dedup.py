@@ -40,8 +40,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skein.llm import common
+from skein.operators.long_lists import numbered
 
 LENGTH = 100
 GRAM = 32
@@ -379,11 +381,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     return found.filter("kind = 0").unionAll(more).select("doc", "crc", "start", "end")
 
 
+def _by_text_ids(docs: DataFrame, length: int, gram: int, id_col: str, text_col: str, *more) -> DataFrame:
+    """Identifiers numbered in their order (a range sort; a row per distinct one), and put back into the result."""
+    common.prepare(docs.sparkSession)
+    name = F.col(id_col).cast("string")
+    ids = common.materialise(numbered(docs.select(name.alias("name")).filter("name IS NOT NULL").distinct(), ["name"], "no"))
+    mine = docs.select(name.alias("name"), F.col(text_col).alias("text")).join(ids, "name", "left").select("no", "text")
+    found = substring_dedup(mine, length, gram, "no", "text", *more)
+    back = ids.select(F.col("no").alias("doc_id"), F.col("name").cast(docs.schema[id_col].dataType).alias("name"))
+    return found.join(back, "doc_id", "left").select(F.col("name").alias("doc_id"), *found.columns[1:])
+
+
 def substring_dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id",
                     text_col: str = "text", batch_bytes: int = BATCH_BYTES, buckets: int | None = None,
                     filter_bits: int = FILTER_BITS, spread: int = SPREAD) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, removed (array of start, end in
-    bytes), kept (the remaining bytes)."""
+    bytes), kept (the remaining bytes). Identifiers that are not whole numbers are ordered as text."""
+    if not isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return _by_text_ids(docs, length, gram, id_col, text_col, batch_bytes, buckets, filter_bits, spread)
     per_doc = (repeated_spans(docs, length, gram, id_col, text_col, batch_bytes, buckets, filter_bits, spread)
                .groupBy("doc", "crc").agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     narrow = docs.select(

@@ -1,4 +1,4 @@
-"""Centroid clustering, exact dedup and conversation repair against brute force."""
+"""Centroid clustering, exact dedup and conversation repair against brute force; text ids and ties of earlier operators."""
 
 import hashlib
 import itertools
@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.llm import centroid_clusters, conversation_repair, exact_dedup
+from skein.llm import centroid_clusters, conversation_repair, exact_dedup, simhash_dups, substring_dedup
 from tests.llm import brute
 
 SCHEMA = "doc_id long, text string, row string, digest string, kept string, slot string"
@@ -240,3 +240,24 @@ def test_conversation_repair_empty_table(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert conversation_repair.repair(conversation_repair.damage(empty), gone_col="gone").count() == 0
     assert conversation_repair.repaired_messages(empty).count() == 0
+
+
+# --- text ids, ties ---------------------------------------------------------------------------
+
+def test_substring_dedup_orders_text_ids(spark):
+    passage = "".join(random.Random(8).choices("abcdefgh", k=150))
+    rows = [("b10", "x" + passage), ("b9", "yy" + passage), ("a", "zzz" + passage), (None, passage + "!"), ("e", None), ("e", "")]
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    got = {(r["doc_id"], r["n_bytes"]): bytes(r["kept"]).decode() for r in substring_dedup.substring_dedup(df).collect()}
+    first = (None, 151)  # null comes before every other
+    want = {(i, len(t or "")): (t or "") if (i, len(t or "")) == first else (t or "").replace(passage, "") for i, t in rows}
+    assert got == want
+
+
+def test_simhash_ties_stay_once_in_a_fixed_order(spark):
+    rows = [(1, "one two three four", "web"), (1, "one two three four", "book"), (2, "one two three four", "a"),
+            (3, "quite another text here", "c"), (3, "quite another text here", "c")]
+    for n in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(n)
+        assert sorted(map(tuple, simhash_dups.apply_simhash(df).collect())) == [
+            (1, "one two three four", "book"), (3, "quite another text here", "c")]
