@@ -266,7 +266,9 @@ def _search_pages(spark, sf_dir):
 
 def _slices_sql(where: str) -> str:
     return f"""
-WITH todo AS (SELECT *, {_TYPE_SQL} AS account_type FROM fx_users WHERE {where}),
+WITH landed AS (SELECT *, {_TYPE_SQL} AS account_type,
+  dense_rank() OVER (PARTITION BY search_location, ord % 7 ORDER BY ord % 10) AS page_no FROM fx_users),
+todo AS (SELECT * FROM landed WHERE {where}),
 {_score_sql('todo')},
 last AS (SELECT author_id, CAST(max(created_on) AS VARCHAR) AS day FROM fx_tweets GROUP BY 1)
 SELECT t.user_id, t.search_location, t.account_type AS search_account_type, t.name, coalesce(last.day, '{DEFAULT_DATE}') AS tweet_date,
@@ -287,9 +289,9 @@ def l01_collect_slices(spark, sf_dir):
     return _slices_table(spark, sf_dir)
 
 
-@register("l02_pilot_run", _slices_sql("search_location IN ('kolkata', 'guatemala') AND ord % 7 <> 0 AND ord % 10 < 5"))
+@register("l02_pilot_run", _slices_sql("search_location IN ('kolkata', 'guatemala') AND ord % 7 <> 0 AND page_no <= 5"))
 def l02_pilot_run(spark, sf_dir):
-    """The pilot cities with the first type skipped and a budget of 30 pages, five for each type's slices."""
+    """The pilot cities with the first type skipped and a budget of 30 pages: the first five landed pages of each slice."""
     return _slices_table(spark, sf_dir, cities=dims.PILOT_CITIES, skip=[dims.ACCOUNT_TYPES[0]], budget=30)
 
 
