@@ -1,7 +1,9 @@
 """The training-data operators against brute force, with nulls, empty and long texts, ties, repeated
 rows, empty tables and clashing column names."""
 
+import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -63,12 +65,54 @@ def test_url_filter(spark):
     assert by[14]["verdict"] == "block" and by[2001]["verdict"] == "allow"
     # the mined rules against counting all item sets
     labelled = [(u["url"], 1000 <= u["page_id"] < 1050) for u in pages.collect() if (u["page_id"] or 0) >= 1000]
-    for items, _, confidence in url_filter.mine_rules(spark.createDataFrame(labelled, "url string, bad boolean"))[0]:
-        hits = [bad for u, bad in labelled if items <= set(url_filter.url_items(u))]
-        assert confidence == pytest.approx(sum(hits) / len(hits)) and sum(hits) >= url_filter.MIN_COUNT
+    rules, members = url_filter.mine_rules(spark.createDataFrame(labelled, "url string, bad boolean"))
+    cover = {r["item"]: r["cover"] for r in members.collect()}
+    for r in rules.collect():
+        hits = [bad for u, bad in labelled if set(r["covers"]) <= {cover.get(i) for i in url_filter.url_items(u)}]
+        assert r["confidence"] == pytest.approx(sum(hits) / len(hits)) and sum(hits) >= url_filter.MIN_COUNT
     assert url_filter.url_filter(pages.limit(0), labels.limit(0)).count() == 0
 
 
+def test_url_filter_mines_all_rules(spark):
+    """Verdicts equal those of all item sets counted one by one, by the index and by joins."""
+    rng = random.Random(3)
+    rows = []
+    for n in range(120):
+        host = rng.choice(["a.example", "b.example", "shop.b.example"])
+        rows.append((n, f"http://{host}/{rng.choice(['x', 'y'])}?{rng.choice(['k=1', 'j=1'])}", rng.random() < 0.4))
+    rows = [(n, u, bad or "a.ex" in u and "/x" in u or "shop" in u and "j=" in u) for n, u, bad in rows]
+    total, bad = len(rows), sum(b for _, _, b in rows)
+    items = {n: frozenset(url_filter.url_items(u)) for n, u, _ in rows}
+    count, count_bad = Counter(), Counter()
+    for n, _, is_bad in rows:
+        for size in range(1, len(items[n]) + 1):
+            for key in itertools.combinations(sorted(items[n]), size):
+                count[key] += 1
+                count_bad[key] += is_bad
+    able = {frozenset(k): count_bad[k] / c for k, c in count.items()
+            if count_bad[k] >= 8 and count_bad[k] / c >= max(0.6, 1.2 * bad / total)}
+    rules = {k: s for k, s in able.items() if not any(p < k and t >= s for p, t in able.items())}
+    assert rules
+    want = {n: min(((-s, sorted(k)) for k, s in rules.items() if k <= items[n]), default=None) for n in items}
+    pages = spark.createDataFrame([(n, u) for n, u, _ in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(n, int(not b), 0) for n, _, b in rows], "doc_id long, quality int, toxic int")
+    for most in (url_filter.BROADCAST_RULES, 0):
+        got = url_filter.url_filter(pages, labels, rules=[], min_support=0.0, min_lift=1.2, min_count=8, broadcast_rules=most)
+        assert {r["page_id"]: r["mined"] for r in got.collect()} == {
+            n: " & ".join(w[1]) if w else None for n, w in want.items()}
+
+
+def test_url_filter_mines_long_urls(spark):
+    """Pages of one site share two dozen items, all true together: one set, not all their choices."""
+    path = "/".join(f"part{i}-of{i}" for i in "abcdefghij")
+    urls = [(n, f"http://www.shop.example.org/{path}/{n}") for n in range(200)]
+    urls += [(n, f"http://h{n}.example.net/{n}") for n in range(200, 300)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    labels = spark.createDataFrame([(n, int(n >= 200), 0) for n, _ in urls], "doc_id long, quality int, toxic int")
+    got = url_filter.url_filter(pages, labels, rules=[]).groupBy("verdict").count().collect()
+    assert {r["verdict"]: r["count"] for r in got} == {"block": 200, "allow": 100}
+
+
 def test_url_filter_reads_every_token(spark):
     assert set(url_filter.url_items("http://www.casino-win.a.org/x/y/cheap-pills7/?id=1&bad=2&id=3")) >= {
         "part=www", "part=casino-win", "part=a", "path3=cheap-pills0", "word=cheap", "word=pills0", "key=id", "key=bad"}
