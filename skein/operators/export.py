@@ -76,9 +76,29 @@ def _time(df: DataFrame, name: str, chicago: bool) -> Column:
     return F.when(zoned, parsed).otherwise(chicago_to_utc(parsed))
 
 
-def export_typed(df: DataFrame) -> DataFrame:
+def _is_time(name: str) -> bool:
+    return name in _DATES or name == "last_tweeted_at"
+
+
+def unread_times(df: DataFrame) -> DataFrame:
+    """(column, value, n): texts in the time columns that are no time, which ``export_typed`` writes as "null"."""
+    names = [n for n in dict.fromkeys(c.split(":")[0] for c in VERTEX_COLUMNS) if _is_time(n) and n in df.columns]
+    if not names:
+        return df.sparkSession.createDataFrame([], "column STRING, value STRING, n BIGINT")
+    cells = [F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("value"),
+                      _time(df, n, n in _DATES).isNull().alias("unread")) for n in names]
+    return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*") \
+        .filter(F.col("unread") & ~F.lower(F.trim("value")).isin("", "null", "none")) \
+        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def export_typed(df: DataFrame, strict: bool = False) -> DataFrame:
     """P17 (+X3/X5 for times): ``:Int`` columns with falsy -> -99 (0 becomes -99), run times as ISO
-    text (naive ones read as Chicago time), ``created_at`` as the text it is, other falsy values -> "null"."""
+    text (naive ones read as Chicago time), ``created_at`` as the text it is, other falsy values -> "null".
+
+    Text in a time column that is no time gives "null" and is listed by ``unread_times``; with ``strict`` it
+    fails the job.
+    """
     cols = {}
     for name in VERTEX_COLUMNS:
         base = name.split(":")[0]
@@ -89,9 +109,14 @@ def export_typed(df: DataFrame) -> DataFrame:
         elif base in _INT:
             v = (F.col(base) if base in df.columns else F.lit(None)).cast("bigint")
             cols[name] = F.when(v.isNull() | (v == 0), F.lit(-99)).otherwise(v)
-        elif base in _DATES or base == "last_tweeted_at":
+        elif _is_time(base):
             naive_zone = base in _DATES  # run times are wall-clock times of the collector
-            cols[name] = F.coalesce(iso(_time(df, base, naive_zone)), F.lit("null"))
+            value = iso(_time(df, base, naive_zone))
+            if strict and base in df.columns:
+                known = F.lower(F.trim(F.coalesce(F.col(base).cast("string"), F.lit("")))).isin("", "null", "none")
+                value = F.when(value.isNull() & ~known, F.raise_error(F.concat(F.lit(f"no time in {base}: "), F.col(base).cast("string")))) \
+                    .otherwise(value)
+            cols[name] = F.coalesce(value, F.lit("null"))
         else:
             is_bool = base in df.columns and isinstance(df.schema[base].dataType, T.BooleanType)
             cols[name] = _text(F.col(base) if base in df.columns else F.lit(None), is_bool)

@@ -6,6 +6,11 @@ needs and ids stay strings.
 
 from __future__ import annotations
 
+import csv
+import io
+import urllib.parse
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +18,9 @@ from pyspark.sql import types as T
 from skein.sources import schemas
 from skein.sources.json_arrays import read_elements
 
+#: Bytes of a CSV file read at once to find its header.
+HEAD = 1 << 16
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -67,26 +75,71 @@ def read_network(spark: SparkSession, path: str) -> DataFrame:
         .select("r.*", "file", "pos")
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+def csv_heads(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(file, names): the header of every CSV file; a task reads a file's first bytes only. A file without a record
+    (empty, or blank lines) has no names."""
+    from skein.session import ship_code
+    from skein.sources.objects import file_system
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for uri in batch.column(0).to_pylist():
+                fs, name = file_system(urllib.parse.unquote(uri))
+                with fs.open_input_stream(name) as f:
+                    data = f.read(HEAD)
+                    # the first record ends at the first line end outside quotes, blank lines before it do not count
+                    while (end := _record_end(data)) is None and (more := f.read(HEAD)):
+                        data += more
+                text = data[:end].decode("utf-8-sig", "replace").strip("\r\n")
+                out.append(next(csv.reader(io.StringIO(text)), []))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["file", "names"])
+
+    ship_code(spark)
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    return files.mapInArrow(run, "file STRING, names ARRAY<STRING>")
+
+
+def _record_end(data: bytes) -> int | None:
+    lead = len(data) - len(data.removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n"))
+    at = lead
+    while (at := min((i for i in (data.find(b"\n", at), data.find(b"\r", at)) if i >= 0), default=-1)) >= 0:
+        if data.count(b'"', lead, at) % 2 == 0:
+            return at
+        at += 1
+    return None
+
+
+def read_csv(spark: SparkSession, path: str | list[str], ddl: str) -> DataFrame:
     """Header CSV, columns taken by header name (any order, extra columns ignored,
-    missing ones null) and cast to the declared types; a UTF-8 byte-order mark is
-    stripped by the reader. Files of one folder may have different headers: they are
-    read header by header and united by name."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
-        F.monotonically_increasing_id().alias("no")).filter("start = 0")
-    heads = lines.groupBy("file").agg(F.min_by("value", "no").alias("head"))
-    by_head = heads.groupBy("head").agg(F.collect_list("file").alias("files")).collect()  # names of the listed files
-    frames = []
-    for files in [r["files"] for r in by_head] or [[path]]:
-        raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(files)
-        have = set(raw.columns)
-        frames.append(raw.select(*[(F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-                                   for f in schemas.struct_type(ddl).fields]))
-    out = frames[0]
-    for more in frames[1:]:
-        out = out.unionByName(more)
-    return out
+    missing ones null, the first of equal names) and cast to the declared types; a UTF-8 byte-order mark is
+    stripped. Files of one folder may have different headers.
+
+    The data are scanned once, by position; the headers come from the files' first bytes. Files that all have
+    one header need nothing else; else each row meets its file's header in a join on the file. No file name
+    passes through the driver beyond Spark's own listing.
+    """
+    from skein.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    fields = schemas.struct_type(ddl).fields
+    heads = csv_heads(spark, path).filter(F.size("names") > 0).checkpoint()
+    kinds = heads.select("names").distinct().limit(2).collect()
+    if not kinds:
+        return empty(spark, ddl)
+    width = heads.agg(F.max(F.size("names"))).first()[0]
+    raw = spark.read.schema(T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(width)])) \
+        .option("header", True).option("enforceSchema", True).option("multiLine", True).option("escape", '"').csv(path)
+    if len(kinds) == 1:
+        at = {n: i for i, n in reversed(list(enumerate(kinds[0]["names"])))}
+        return raw.select(*[(F.col(f"_c{at[f.name]}") if f.name in at else F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in fields])
+    cells = raw.select(F.col("_metadata.file_path").alias("file"), F.array(*raw.columns).alias("cells")).join(heads, "file")
+
+    def cell(name):
+        at = F.array_position("names", F.lit(name))
+        return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
+
+    return cells.select(*[cell(f.name).cast(f.dataType).alias(f.name) for f in fields])
 
 
 def select_files(df: DataFrame, look: list[str], avoid: list[str] | None = None) -> DataFrame:
