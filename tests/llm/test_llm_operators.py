@@ -217,6 +217,95 @@ def test_secret_scan(spark):
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
+SYNTAX = [
+    'token: str = "{}"', 'cfg["pwd"] = "{}"', "cfg[ 'pwd' ]='{}'", 'api_key = b = "{}"', 'x = "{}"\npassword = f"{{x}}"',
+    'password = """{}"""', "pwd = r'{}'", "pwd: |\n  {}\nnext: 1", "- pwd: >-\n    {}", "<pwd>{}</pwd>", '<pwd kind="a">\n {} </pwd>',
+    'client.set_password("{}")', 'client.setPassword("{}")', 'password.set("{}")', 'x.put("pwd", "{}")', 'define("DB_PASSWORD", "{}");',
+    'pwd = os.getenv("X", "{}")', "PWD=${{X:-{}}}", 'pwd = os.environ["Q"]\nQ={}', '<add key="pwd" value="{}"/>',
+    'connect(user="me", password="{}")', 'var secretToken string = "{}"', 'const token: string | null = "{}"', 'pwd = a or "{}"',
+    'pwd = a ?? "{}"', '{{"pwd":"{}"}}', 'pwd = SecretStr("{}")', 'K = "{}"\nclient.api_key = K\n', "export PWD={}", "pwd => '{}'"]
+
+
+def test_secret_scan_reads_syntax():
+    secret = "s3cR3t-Zx81kQp0"
+    for kind in SYNTAX:
+        text = kind.format(secret)
+        assert [text[s:e] for s, e in secret_scan.literal_spans(text)] == [secret], kind
+        harmless = text
+        for name in ("api_key", "pwd", "PWD", "password", "Password", "PASSWORD", "secretToken", "token"):
+            harmless = harmless.replace(name, "title")
+        assert secret_scan.literal_spans(harmless) == [], harmless
+    for text in ('pwd = "s3cR3t-" + "Zx81kQp0"', "pwd = 's3cR3t-' 'Zx81kQp0'", 'pwd = ("s3cR3t-"\n  "Zx81kQp0")',
+                 'pwd = f"s3cR3t-{x}Zx81kQp0"', 'pwd = "s3cR3t-" . "Zx81kQp0"'):
+        assert [text[s:e] for s, e in secret_scan.literal_spans(text)] == ["s3cR3t-", "Zx81kQp0"], text
+    for text in ("", "=", "pwd =", "pwd: |\n", "pwd: (", 'pwd["', "pwd = ${", 'pwd = """', "<pwd></pwd>", "set_pwd(''"):
+        assert secret_scan.literal_spans(text) == [], text
+
+
+def test_secret_scan_base_kinds_equal_brute_force():
+    """The three base kinds on random texts, character by character."""
+    rng = random.Random(11)
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+
+    def runs(text, at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def assign_at(text, at):
+        low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text[at:at + 8])
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if not low.startswith(word):
+                continue
+            p = at + len(word)
+            p += text[p:p + 1] in ('"', "'") and p < len(text)
+            p = runs(text, p, " ")
+            if text[p:p + 1] not in (":", "=") or p >= len(text):
+                continue
+            p = runs(text, p + 1, " ")
+            p += text[p:p + 1] in ('"', "'") and p < len(text)
+            end = runs(text, p, value)
+            if end > p:
+                return p, end
+        return None
+
+    def brute_spans(text):
+        out, at = [], 0
+        while at < len(text):
+            if m := assign_at(text, at):
+                if m[1] - m[0] >= 8:
+                    out.append((at, m[1], "assign"))
+                at = m[1]
+            else:
+                at += 1
+        at = 0
+        while at < len(text):
+            end = runs(text, at + 4, set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")) if text[at:at + 4] == "AKIA" else at
+            if end > at + 4:
+                if end - at >= 16:
+                    out.append((at, end, "access"))
+                at = end
+            else:
+                at += 1
+        at = 0
+        while at < len(text):
+            end = runs(text, at, set("0123456789abcdef"))
+            if end - at >= 32:
+                out.append((at, end, "hex"))
+            at = max(end, at + 1)
+        return out
+
+    pieces = ["password", "PassWd", "secret", "TOKEN", "api_key", "apikey", "api-key", "=", ":", " ", "  ", '"', "'", "AKIA", "AKIAAKIA",
+              "ABCDEFGH1234", "abcdef01", "0123456789abcdef", "=+/", "\u017f", "\u212a", "\n", "\t", "é", "x", "deadbeef" * 4]
+    found = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(14)))
+        assert sorted(secret_scan.base_spans(text)) == sorted(brute_spans(text)), repr(text)
+        found += len(brute_spans(text))
+    assert found > 300
+
+
 def test_secret_scan_reads_long_names():
     secret = "s3cR3t-Zx81kQp0"
     for n in (1, 100, 128, 140, 5000, 1_000_000):
