@@ -1,8 +1,9 @@
 """Quality rules: line-first cleaning.
 
 Each line is judged by itself: punctuation (symbol clutter, shouted marks), navigation (menus and
-breadcrumbs) and boilerplate (notices, banners, calls to action). Failing lines are removed; a document that
-loses too much of its text that way is rejected. Whole-text counts (words, symbols, repeated lines
+breadcrumbs) and boilerplate (notices, banners, calls to action). A boilerplate phrase, of any of the languages
+given, counts by its share of the line: a sentence that happens to hold one stays. Failing lines are removed; a
+document that loses too much of its text that way is rejected. Whole-text counts (words, symbols, repeated lines
 and 8-word windows) are computed beside it and reject by themselves.
 
 Scale: one pass over the input, no shuffle, memory bounded by a slice of text or one long text.
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import re
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,12 +36,64 @@ SYMBOLS = b"#*$%&|<>"
 _CLUTTER = b"#*$%&|<>{}~^\\=_"
 _BLANK = bytes(range(9, 14)) + b" "
 _SEPARATOR = re.compile(rb"(?:^|(?<=\s))(?:\||>|>>|/|-|\xc2\xbb|\xe2\x80\xba|\xe2\x80\xa2|\xc2\xb7)(?=\s|$)")
-_BOILERPLATE = re.compile(
-    rb"all rights reserved|\bcookies? (?:policy|settings|preferences)|accept (?:all )?cookies|uses? cookies"
-    rb"|terms (?:of (?:use|service)|and conditions)|privacy policy|enable javascript|javascript is disabled"
-    rb"|lorem ipsum|click here|read more|subscribe (?:now|to our)|sign (?:in|up)\b.{0,20}$|log ?in\b.{0,20}$"
-    rb"|share (?:this|on) (?:article|page|facebook|twitter)|skip to (?:main )?content|back to top"
-    rb"|powered by \w+|copyright (?:\(c\)|\xc2\xa9)|\xc2\xa9 ?\d{4}", re.I | re.M)
+#: Phrases of notices, banners and calls to action by language: lower case, words split by one space.
+PHRASES = {
+    "en": ("all rights reserved", "cookie policy", "cookie settings", "cookie preferences", "accept cookies", "accept all cookies",
+           "use cookies", "uses cookies", "terms of use", "terms of service", "terms and conditions", "privacy policy",
+           "enable javascript", "javascript is disabled", "lorem ipsum", "click here", "read more", "subscribe now", "subscribe to our",
+           "sign in", "sign up", "log in", "login", "share this article", "share this page", "share on facebook", "share on twitter",
+           "skip to content", "skip to main content", "back to top", "powered by", "copyright (c)", "copyright \u00a9", "\u00a9"),
+    "de": ("alle rechte vorbehalten", "datenschutzerkl\u00e4rung", "cookie-einstellungen", "cookies akzeptieren",
+           "alle cookies akzeptieren", "verwendet cookies", "verwenden cookies", "nutzungsbedingungen", "javascript aktivieren", "hier klicken",
+           "klicken sie hier", "mehr lesen", "weiterlesen", "jetzt abonnieren", "newsletter abonnieren", "jetzt anmelden",
+           "artikel teilen", "zum inhalt springen", "nach oben"),
+    "fr": ("tous droits r\u00e9serv\u00e9s", "politique de confidentialit\u00e9", "param\u00e8tres des cookies",
+           "accepter les cookies", "accepter tous les cookies", "utilise des cookies", "utilisons des cookies", "conditions d'utilisation",
+           "mentions l\u00e9gales", "activer javascript", "cliquez ici", "en savoir plus", "lire la suite", "abonnez-vous",
+           "partager cet article", "aller au contenu", "haut de page"),
+    "es": ("todos los derechos reservados", "pol\u00edtica de privacidad", "pol\u00edtica de cookies", "configuraci\u00f3n de cookies",
+           "aceptar cookies", "aceptar todas las cookies", "utiliza cookies", "utilizamos cookies", "t\u00e9rminos y condiciones",
+           "aviso legal", "activar javascript", "haga clic aqu\u00ed", "haz clic aqu\u00ed", "leer m\u00e1s", "suscr\u00edbete",
+           "iniciar sesi\u00f3n", "compartir este art\u00edculo", "saltar al contenido", "volver arriba"),
+}
+#: A line fails if phrases make up this share of its visible characters.
+MIN_PHRASE_SHARE = 0.20
+
+
+class Phrases:
+    """Phrases of several languages: an automaton tells whether a text has any, a pattern what they cover
+    (a sign like \u00a9 with the year after it)."""
+
+    def __init__(self, by_language: dict[str, tuple[str, ...]], min_share: float = MIN_PHRASE_SHARE):
+        phrases = sorted({p for ps in by_language.values() for p in ps}, key=lambda p: (-len(p), p))
+        self.by_language, self.min_share = by_language, min_share
+        self.any_of = ahocorasick.Automaton()
+        for p in phrases:
+            self.any_of.add_word(p, p)
+        self.any_of.make_automaton()
+        self.pattern = re.compile("|".join(
+            (r"(?<!\w)" if p[0].isalnum() else "") + re.escape(p)
+            + (r"(?!\w)" if p[-1].isalnum() else r"(?: ?\d{4}(?!\d))?") for p in phrases) or r"(?!)")
+
+    def __reduce__(self):
+        return Phrases, (self.by_language, self.min_share)
+
+    def found(self, text: bytes) -> str | None:
+        """The text in lower case with single spaces if it has a phrase (inside a word, too), else None."""
+        if not len(self.any_of):
+            return None
+        low = " ".join(text.decode("utf-8").lower().split())
+        return low if next(self.any_of.iter(low), None) else None
+
+    def fill(self, line: bytes) -> bool:
+        """Do phrases make up the share of the line?"""
+        if (low := self.found(line)) is None:
+            return False
+        covered = sum(len(m[0].replace(" ", "")) for m in self.pattern.finditer(low))
+        return covered > 0 and covered >= self.min_share * len(low.replace(" ", ""))
+
+
+BOILERPLATE = Phrases(PHRASES)
 
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[list(_BLANK)] = True
@@ -48,7 +102,7 @@ _IS_SYMBOL[list(SYMBOLS)] = True
 _TO_SPACE = bytes(32 if b in _BLANK else b for b in range(256))
 
 
-def line_fails(line: bytes, boilerplate: bool = True) -> str | None:
+def line_fails(line: bytes, phrases: Phrases | None = BOILERPLATE) -> str | None:
     """Name of the first rule that a line breaks, or None. A line without words breaks none."""
     size = len(line.translate(None, _BLANK))
     if not size:
@@ -60,16 +114,16 @@ def line_fails(line: bytes, boilerplate: bool = True) -> str | None:
         return "navigation" if marks >= 2 and clutter <= 2 * marks else "punctuation"
     if len(_SEPARATOR.findall(line)) >= 2 and 3 * len(_SEPARATOR.findall(line)) >= len(line.split()) - 1:
         return "navigation"
-    if boilerplate and _BOILERPLATE.search(line):
+    if phrases and phrases.fill(line):
         return "boilerplate"
     return None
 
 
-def clean_lines(text: bytes) -> tuple[bytes, int, int]:
+def clean_lines(text: bytes, phrases: Phrases | None = BOILERPLATE) -> tuple[bytes, int, int]:
     """(text without failing lines, visible bytes before, visible bytes lost)."""
     total = len(text.translate(None, _BLANK))
     # A text without any mark that a rule looks at has no failing line.
-    phrases = _BOILERPLATE.search(text) is not None
+    phrases = phrases if phrases and phrases.found(text) is not None else None
     if not phrases and len(text) == len(text.translate(None, _CLUTTER + b"!?/-\xbb\xba\xa2\xb7")):
         return text, total, 0
     kept, lost = [], 0
@@ -123,7 +177,7 @@ def base_counts(texts: list[bytes | None]) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", phrases: Phrases | None = BOILERPLATE) -> DataFrame:
     """One row per input row: id, the counts, visible bytes before and lost, ``base_failed``, ``kept``
     and ``clean_text`` (the text without failing lines; null stays null)."""
     common.prepare(docs.sparkSession)
@@ -134,7 +188,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches):
         for (ids,), texts in common.slices(batches, 1):
             counts = base_counts(texts)
-            cleaned = [clean_lines(t) if t is not None else (None, 0, 0) for t in texts]
+            cleaned = [clean_lines(t, phrases) if t is not None else (None, 0, 0) for t in texts]
             failed = ((counts["n_words"] < MIN_WORDS)
                       | (100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]))
             total = np.array([c[1] for c in cleaned], np.int64)
@@ -156,7 +210,7 @@ def _arrow_type(kind):
     return to_arrow_type(kind)
 
 
-def apply_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def apply_quality(docs: DataFrame, text_col: str = "text", phrases: Phrases | None = BOILERPLATE) -> DataFrame:
     """The input's rows that are kept, all columns, with their failing lines removed.
 
     ``n_chars`` (if the input has it) is the length of the text that stays.
@@ -176,7 +230,7 @@ def apply_quality(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     words = int(counts["n_words"][i])
                     if words < MIN_WORDS or 100 * int(counts["n_repeat_words"][i]) > MAX_REPEAT_PERCENT * words:
                         continue
-                    text, total, lost = clean_lines(t)
+                    text, total, lost = clean_lines(t, phrases)
                     if lost <= MAX_LOSS * total:
                         keep.append(lo + i)
                         texts.append(text.decode("utf-8"))

@@ -217,6 +217,53 @@ def test_secret_scan(spark):
     assert secret_scan.secret_scan(frame(spark, [])).count() == 0
 
 
+def test_quality_counts_and_verdict_equal_brute_force(spark):
+    """All counts, base_failed and the verdict on mixed texts, rule by rule."""
+    rng = random.Random(5)
+    words = ["river", "stone", "Größe", "niño", "a#b", "$5", "|", "<x>", "y%", "écho", "note"]
+    lines = ["", "  ", "Alle Rechte vorbehalten", "Mehr lesen", "Home | News | About", "!!! ??? !!!", "repeat this line of words twice",
+             "Read  more", "En savoir plus", "Todos los derechos reservados \u00a9 2020"]
+    rows = [(1, None), (2, ""), (3, " \n\t ")]
+    for n in range(4, 90):
+        text = [" ".join(rng.choice(words) for _ in range(rng.randrange(12))) if rng.random() < 0.6 else rng.choice(lines)
+                for _ in range(rng.randrange(1, 12))]
+        rows.append((n, "\n".join(text)))
+    visible = lambda t: len(t.encode().translate(None, b" \t\n\x0b\x0c\r"))
+    kept = 0
+    for r in quality_rules.quality_rules(frame(spark, rows)).collect():
+        text = dict(rows)[r["doc_id"]] or ""
+        parts = [x.encode() for x in text.encode().decode().split("\n")]
+        w = [x for x in text.encode().split()]
+        win = Counter(tuple(w[i:i + 8]) for i in range(len(w) - 7))
+        again = {i + k for i in range(len(w) - 7) if win[tuple(w[i:i + 8])] > 1 for k in range(8)}
+        full = [x for x in parts if x.split()]
+        want = (len(w), sum(len(x.decode()) for x in w), sum(text.count(c) for c in "#*$%&|<>"), len(full) - len(set(full)), len(again))
+        assert tuple(r[c] for c in quality_rules.COUNTS) == want, text
+        assert r["base_failed"] == (len(w) < 20 or 100 * len(again) > 30 * len(w))
+        stay = [x for x in parts if not quality_rules.line_fails(x)]
+        lost = visible(text) - sum(visible(x.decode()) for x in stay)
+        assert r["kept"] == (not r["base_failed"] and 2 * lost <= visible(text)), text
+        kept += r["kept"]
+        if lost:
+            assert r["clean_text"] == b"\n".join(stay).decode()
+    assert 5 < kept < 80
+
+
+def test_quality_phrases_count_by_share():
+    fails = lambda t, *p: quality_rules.line_fails(t.encode(), *p)
+    for line in ("Alle Rechte vorbehalten", "Mehr lesen", "EN SAVOIR PLUS", "TOUS DROITS R\u00c9SERV\u00c9S", "Read\tmore", "Log in",
+                 "Todos los derechos reservados", "Datenschutzerkl\u00e4rung", "\u00a92024 Firma", "Click here to read more"):
+        assert fails(line) == "boilerplate", line
+    prose = ("In the long winter evenings the teacher asked us to read more books than we could carry home and we sat by the "
+             "stove with them until the lamp went out each night")
+    assert fails(prose) is None and quality_rules.clean_lines(prose.encode()) == (prose.encode(), len(prose.replace(" ", "")), 0)
+    for line in ("He is the breadmore of the town", "signing in the rain", "", "   "):
+        assert fails(line) is None, line
+    own = quality_rules.Phrases({"nl": ("lees meer",)})
+    assert fails("Lees meer", own) == "boilerplate" and fails("Read more", own) is None and fails("Lees meer") is None
+    assert fails("Read more", None) is None and fails("Read more", quality_rules.Phrases({})) is None
+
+
 SYNTAX = [
     'token: str = "{}"', 'cfg["pwd"] = "{}"', "cfg[ 'pwd' ]='{}'", 'api_key = b = "{}"', 'x = "{}"\npassword = f"{{x}}"',
     'password = """{}"""', "pwd = r'{}'", "pwd: |\n  {}\nnext: 1", "- pwd: >-\n    {}", "<pwd>{}</pwd>", '<pwd kind="a">\n {} </pwd>',
