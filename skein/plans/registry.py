@@ -32,11 +32,16 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def load_sql(name: str) -> str | None:
+    """The oracle of a query registered before."""
+    return REGISTRY[name].oracle
+
+
 def load_all() -> dict[str, Query]:
     # Importing the query modules fills REGISTRY.
     from skein.plans import (  # noqa: F401
         q_analysis, q_clean, q_network, q_graph, q_upsert, q_export, q_classify,
-        q_text, q_queue, q_jobs, q_records,
+        q_text, q_queue, q_jobs, q_records, q_files,
     )
     return REGISTRY
 

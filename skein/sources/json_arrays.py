@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.session import ship_code
@@ -71,13 +71,15 @@ def _blocks(batches, columns: int) -> Iterator[tuple[tuple, Iterator[bytes]]]:
             row = next(it, None)
 
 
-def read_elements(spark: SparkSession, path: str) -> DataFrame:
+def read_elements(spark: SparkSession, path: str | list[str], folders: Column | str | None = None) -> DataFrame:
     """(file, pos, text): the elements of the top-level array of every file, numbered from 0 in their file.
 
-    Blocks are as large as ``spark.sql.files.maxPartitionBytes`` says.
+    Blocks are as large as ``spark.sql.files.maxPartitionBytes`` says. ``folders`` is a condition on the partition
+    columns in the folders' names (``run_date=...``): files of other folders are not opened.
     """
     ship_code(spark)
-    pieces = spark.read.option("lineSep", "}").text(path).select(
+    landed = spark.read.option("lineSep", "}").text(path)
+    pieces = (landed if folders is None else landed.filter(folders)).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.concat("value", F.lit("}")).alias("text"), (F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("part"))
 

@@ -19,6 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 
 from skein.session import ship_code
 from skein.sources import schemas
+from skein.sources.json_arrays import read_elements
 from skein.sources.readers import empty
 
 OBJECT = "location STRING, user_id STRING, name STRING, value STRING"
@@ -197,13 +198,13 @@ def select_paths(files: DataFrame, condition: Column | str, strict: bool = False
 
 def read_city_files(spark: SparkSession, root: str, city: str, kind: str, ddl: str, strict: bool = False) -> DataFrame:
     """A city's files of one kind (``users``, ``lists``, ``expanded``), chosen by name from the catalogue; other files are
-    not opened. Nothing fitting gives no rows, or with ``strict`` an error."""
+    not opened. Nothing fitting gives no rows, or with ``strict`` an error. Files are read by blocks, as S1 does."""
     files = catalogue(spark, root, [city])
     paths = select_paths(files, (F.size("cities") > 0) & F.col(f"is_{kind}"), strict)
     if not paths:
         return empty(spark, f"{ddl}, file_name STRING")
-    return spark.read.option("multiLine", True).schema(schemas.struct_type(ddl)).json(paths) \
-        .withColumn("file_name", F.col("_metadata.file_name"))
+    return read_elements(spark, paths).select(F.from_json("text", schemas.struct_type(ddl)).alias("r"), "file") \
+        .select("r.*", F.url_decode(F.replace(F.substring_index("file", "/", -1), F.lit("+"), F.lit("%2B"))).alias("file_name"))
 
 
 def read_csv_family(spark: SparkSession, root: str, ddl: str, look: list[str], avoid: list[str] = (), strict: bool = False) -> DataFrame:

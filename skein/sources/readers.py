@@ -11,7 +11,7 @@ import io
 import urllib.parse
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -153,10 +153,18 @@ def select_files(df: DataFrame, look: list[str], avoid: list[str] | None = None)
     return df.filter(cond)
 
 
-def read_dated(spark: SparkSession, root: str, ddl: str) -> DataFrame:
-    """One folder per run date (``run_date=YYYY-MM-DD``) -> a partition column (pruned by filters)."""
-    return spark.read.option("multiLine", True).schema(
-        T.StructType(schemas.struct_type(ddl).fields + [T.StructField("run_date", T.DateType())])).json(root)
+def read_dated(spark: SparkSession, root: str, ddl: str, dates: Column | str | None = None) -> DataFrame:
+    """One folder per run date (``run_date=YYYY-MM-DD``) -> a partition column (pruned by filters).
+
+    A task reads whole files. With ``dates``, a condition on ``run_date``, large files are read by blocks (S1): only files
+    of those dates are opened, whatever is filtered later.
+    """
+    if dates is None:
+        return spark.read.option("multiLine", True).schema(
+            T.StructType(schemas.struct_type(ddl).fields + [T.StructField("run_date", T.DateType())])).json(root)
+    day = F.regexp_extract("file", r"/run_date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
+    return read_elements(spark, root, dates).select(F.from_json("text", schemas.struct_type(ddl)).alias("r"), day.alias("run_date")) \
+        .select("r.*", "run_date")
 
 
 def read_text_objects(spark: SparkSession, prefix: str) -> DataFrame:

@@ -1,11 +1,14 @@
 """Headers of CSV files, saved classifiers and times that cannot be read."""
 
 import gzip
+import json
+import os
 
 import pytest
 
 from skein.operators import export as ex
 from skein.operators import learn as ln
+from skein.sources import objects as ob
 from skein.sources import readers as rd
 
 
@@ -57,3 +60,32 @@ def test_unread_times(spark):
         ex.export_typed(df, strict=True).collect()
     assert ex.export_typed(df.filter("user_id > '3'"), strict=True).count() == 3
     assert ex.unread_times(df.select("user_id")).count() == 0
+
+
+def test_dated_blocks_open_only_the_dates_asked(spark, tmp_path):
+    root = f"{tmp_path}/dated"
+    for day, ids in [("2025-01-01", ["1", "2"]), ("2025-01-02", ["3"]), ("2025-01-03", [])]:
+        os.makedirs(f"{root}/run_date={day}")
+        with open(f"{root}/run_date={day}/users.json", "w") as f:
+            json.dump([{"user_id": i} for i in ids], f)
+    ddl = "user_id STRING"
+    some = rd.read_dated(spark, root, ddl, "run_date >= DATE '2025-01-02'")
+    assert {(r.user_id, str(r.run_date)) for r in some.collect()} == {("3", "2025-01-02")}
+    assert "run_date" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters", 1)[1]
+    every = rd.read_dated(spark, root, ddl, "true")
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, rd.read_dated(spark, root, ddl).collect()))
+
+
+def test_city_file_of_many_blocks_gives_every_record_once(spark, tmp_path):
+    with open(f"{tmp_path}/new_york_media_users_filtered.json", "w") as f:
+        json.dump([{"user_id": str(i), "username": "[,]" * (i % 7)} for i in range(3000)], f)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = ob.read_city_files(spark, str(tmp_path), "new york", "users", "user_id STRING, username STRING", strict=True)
+        assert got.rdd.getNumPartitions() > 4
+        rows = got.collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sorted((int(r.user_id), r.username, r.file_name) for r in rows) == [
+        (i, "[,]" * (i % 7), "new_york_media_users_filtered.json") for i in range(3000)]
