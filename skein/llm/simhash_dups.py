@@ -2,17 +2,19 @@
 
 Fingerprints are joined with themselves by walking a binary trie in pairs of nodes: a pair's
 differing bits are accumulated on the way down and the pair is dropped as soon as they exceed the Hamming budget. The
-top of the walk runs on the driver over a cut of the trie (subtrees of bounded size, a few thousand
-at most); every surviving pair of subtrees is one Spark group, walked on to the leaves there. Each
-group returns the links as a spanning forest, and a distributed star contraction joins the forests
-into components.
+trie is cut into subtrees of bounded size. The top of the walk runs where the fingerprints lie: a task walks the
+subtrees it has fingerprints of against all of the cut. Every surviving pair of subtrees is one Spark group, walked
+on to the leaves there. Each group returns the links as a spanning forest, and a distributed star contraction joins the
+forests into components.
 
 Scale: copies share a fingerprint, so each distinct fingerprint enters the join once, after a
 map-side combined aggregation: no group of copies ever forms. A subtree holds at most
-``max(BLOCK, n / MAX_BLOCKS)`` fingerprints, found by counting prefixes 8 bits at a time and
-refining only the heavy ones, so dense regions are cut deeper. A fingerprint has at most 2,080
+``max(BLOCK, n / MAX_BLOCKS)`` fingerprints and never more than ``MAX_GROUP``, so the number of subtrees follows n and a
+group stays at 16 MB of fingerprints at most. They are found by counting prefixes, 8 bits and then 4 at a time, and
+refining only the heavy ones, so dense regions are cut deeper. A fingerprint is dealt to one group for each prefix
+within the budget: ``1 + d + d(d-1)/2`` at depth d with two bits, 67 at 2,048 subtrees and 154 at 100,000. A fingerprint has at most 2,080
 others within two bits, so links grow with the distinct fingerprints, not with their square. Edges
-and components stay distributed; the driver sees prefix counts and the cut only.
+and components stay distributed; the driver sees prefix counts and the cut only (16 n / ``MAX_GROUP`` counts at most).
 
 Defined results: a null, empty or blank text has fingerprint zero and is linked as any other. Equal
 fingerprints are one component. Rows with a null id get the smallest non-null id of their component
@@ -34,6 +36,8 @@ MAX_BITS = 2
 SEED = 42
 BLOCK = 1 << 13
 MAX_BLOCKS = 1 << 11
+#: Fingerprints of a subtree, at any number of them.
+MAX_GROUP = 1 << 20
 #: Node pairs walked at a time, and leaf products compared at once.
 FRONTIER = 1 << 18
 
@@ -78,17 +82,17 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
 
 # --- the cut of the trie ----------------------------------------------------------------------
 
-def trie_cut(nodes: DataFrame, block: int, max_blocks: int) -> list[tuple[int, int]]:
+def trie_cut(nodes: DataFrame, block: int, max_blocks: int, max_group: int = MAX_GROUP) -> list[tuple[int, int]]:
     """(depth, prefix) of subtrees that cover all fingerprints and hold a bounded number each."""
     counts: dict[tuple[int, int], int] = {}
     depth, heavy, limit = 0, None, block
     while depth < 64 and heavy != []:
         here = nodes if heavy is None else nodes.filter(F.shiftrightunsigned("fp", 64 - depth).isin(heavy))
-        depth += 8
+        depth += 8 if depth == 0 else 4
         prefix = F.shiftrightunsigned("fp", 64 - depth) if depth < 64 else F.col("fp")
         rows = here.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
         if depth == 8:
-            limit = max(block, sum(r["n"] for r in rows) // max_blocks)
+            limit = min(max(block, sum(r["n"] for r in rows) // max_blocks), max_group)
         heavy = []
         for r in rows:
             counts[(depth, r["p"] & ((1 << depth) - 1))] = r["n"]
@@ -96,9 +100,8 @@ def trie_cut(nodes: DataFrame, block: int, max_blocks: int) -> list[tuple[int, i
                 heavy.append(r["p"])
     sums = dict(counts)  # counts of all nodes above the counted ones
     for d, p in sorted(counts, reverse=True):
-        if d % 8 == 0 and (d == 8 or (d - 8, p >> 8) in counts):
-            for up in range(1, 8 if d > 8 else 9):
-                sums[(d - up, p >> up)] = sums.get((d - up, p >> up), 0) + counts[(d, p)]
+        for up in range(1, 4 if d > 8 else 9):
+            sums[(d - up, p >> up)] = sums.get((d - up, p >> up), 0) + counts[(d, p)]
     cut, todo = [], [(0, 0)]
     while todo:
         d, p = todo.pop()
@@ -112,28 +115,33 @@ def trie_cut(nodes: DataFrame, block: int, max_blocks: int) -> list[tuple[int, i
     return sorted(cut, key=lambda c: c[1] << (64 - c[0]))
 
 
-def cut_pairs(cut: list[tuple[int, int]], max_bits: int) -> list[tuple[int, int]]:
-    """Pairs of subtrees (by their place in the cut) that can hold fingerprints within the budget."""
-    at = {c: i for i, c in enumerate(cut)}
-    inner = {(d - up, p >> up) for d, p in cut for up in range(1, d + 1)}
-    pairs, todo = [], [((0, 0), (0, 0), 0)]
-    while todo:
-        a, b, diff = todo.pop()
-        if a in at and b in at:
-            pairs.append((at[a], at[b]))
-            continue
-        kids_a = [a] if a in at else [(a[0] + 1, 2 * a[1] + i) for i in (0, 1)]
-        kids_b = [b] if b in at else [(b[0] + 1, 2 * b[1] + i) for i in (0, 1)]
-        for i, x in enumerate(kids_a):
-            for j, y in enumerate(kids_b):
-                if a == b and i > j or not all(k in at or k in inner for k in (x, y)):
-                    continue
-                step = diff + (len(kids_a) == len(kids_b) == 2 and i != j)
-                if len(kids_a) != len(kids_b):  # the deeper node's bit meets the other's unknown one
-                    step = diff
-                if step <= max_bits:
-                    todo.append((x, y, step))
-    return pairs
+def cut_partners(lows: np.ndarray, depths: np.ndarray, mine: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``mine``, subtree): pairs of subtrees that can hold fingerprints within the budget.
+
+    ``lows`` are the smallest fingerprints of the cut's subtrees, ascending, ``depths`` the bits they fix; ``mine`` are
+    places in both. Each of ``mine`` goes down with the nodes above the cut (ranges of it), bit by bit, until it or the
+    other side is a subtree of the cut; bits that a subtree leaves open do not differ.
+    """
+    ones_before = np.zeros(len(lows) + 1, np.int64)
+    owner, diff = np.arange(len(mine)), np.zeros(len(mine), np.int64)
+    lo, hi = np.zeros(len(mine), np.int64), np.full(len(mine), len(lows), np.int64)
+    found = [(owner[:0], lo[:0])]
+    for level in range(65):
+        done = (depths[mine[owner]] <= level) | ((hi - lo == 1) & (depths[lo] <= level))
+        n = (hi - lo)[done]
+        places = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo[done], n)
+        found.append((np.repeat(owner[done], n), places))
+        owner, lo, hi, diff = (x[~done] for x in (owner, lo, hi, diff))
+        if not len(owner):
+            break
+        bit = np.uint64(63 - level)
+        np.cumsum((lows >> bit) & np.uint64(1), out=ones_before[1:])
+        mid = hi - (ones_before[hi] - ones_before[lo])
+        one = ((lows[mine[owner]] >> bit) & np.uint64(1)).astype(np.int64)
+        nxt = [np.concatenate(x) for x in ((owner, owner), (lo, mid), (mid, hi), (diff + one, diff + 1 - one))]
+        keep = (nxt[1] < nxt[2]) & (nxt[3] <= max_bits)
+        owner, lo, hi, diff = (x[keep] for x in nxt)
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 # --- the walk inside a pair of subtrees -------------------------------------------------------
@@ -148,7 +156,7 @@ def components(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
         np.minimum.at(new, v, low)
         np.minimum.at(new, label[u], low)
         np.minimum.at(new, label[v], low)
-        while (jump := new[new]).tolist() != new.tolist():
+        while not np.array_equal(jump := new[new], new):
             new = jump
         if np.array_equal(new, label):
             return label
@@ -245,23 +253,25 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, max_bl
     """(u, v), u != v: edges between distinct fingerprints that span all links of ``nodes.fp``."""
     cut = trie_cut(nodes, block, max_blocks)
     lows = np.array([p << (64 - d) for d, p in cut], np.uint64)
-    of: list[list[tuple[int, int]]] = [[] for _ in cut]
-    for k, (i, j) in enumerate(cut_pairs(cut, max_bits)):
-        of[i].append((k, 0))
-        if i != j:
-            of[j].append((k, 1))
-    pair_of = [np.array([k for k, _ in x], np.int64) for x in of]
-    side_of = [np.array([s for _, s in x], np.int32) for x in of]
+    depths = np.array([d for d, _ in cut], np.int64)
 
     def deal(batches):
         for batch in batches:
-            fp = batch.column(0).to_numpy().view(np.uint64)
-            at = np.searchsorted(lows, fp, "right") - 1
-            for node in np.unique(at):
-                mine, n = fp[at == node].tobytes(), len(pair_of[node])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(pair_of[node]), pa.array(side_of[node]), pa.array([mine] * n, pa.binary())],
-                    ["pair", "side", "fps"])
+            fp = np.sort(batch.column(0).to_numpy().view(np.uint64))
+            nodes_here, first = np.unique(np.searchsorted(lows, fp, "right") - 1, return_index=True)
+            ends = np.append(first, len(fp))
+            for lo in range(0, len(nodes_here), 1024):
+                mine = nodes_here[lo:lo + 1024]
+                owner, other = cut_partners(lows, depths, mine, max_bits)
+                order = np.argsort(owner, kind="stable")
+                at = np.searchsorted(owner[order], np.arange(len(mine) + 1))
+                for i, node in enumerate(mine):
+                    others = other[order[at[i]:at[i + 1]]]
+                    data = fp[ends[lo + i]:ends[lo + i + 1]].tobytes()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.minimum(others, node)), pa.array(np.maximum(others, node)),
+                         pa.array((others < node).astype(np.int32)), pa.array([data] * len(others), pa.binary())],
+                        ["a", "b", "side", "fps"])
 
     def join(group):
         a, b = (np.sort(np.frombuffer(b"".join(group["fps"][group["side"] == k]), np.uint64)) for k in (0, 1))
@@ -271,8 +281,8 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, max_bl
         return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
 
     # a task's fingerprints of a subtree travel as one row of packed numbers for each pair
-    dealt = nodes.select("fp").mapInArrow(deal, "pair long, side int, fps binary")
-    return dealt.groupBy("pair").applyInPandas(join, "u long, v long").distinct()
+    dealt = nodes.select("fp").mapInArrow(deal, "a long, b long, side int, fps binary")
+    return dealt.groupBy("a", "b").applyInPandas(join, "u long, v long").distinct()
 
 
 # --- components of the whole graph ------------------------------------------------------------

@@ -393,6 +393,43 @@ def test_trie_walk_finds_every_pair():
         assert found == want
 
 
+def test_cut_of_the_trie_meets_every_pair_of_subtrees():
+    rnd = np.random.default_rng(2)
+    for _ in range(40):
+        cut, todo = [], [(0, 0)]
+        while todo:
+            d, p = todo.pop()
+            if d == 8 or (d > 1 and rnd.random() < 0.3):
+                cut.append((d, p))
+            else:
+                todo += [(d + 1, 2 * p + i) for i in (0, 1) if rnd.random() < 0.9]
+        cut.sort(key=lambda c: c[1] << (64 - c[0]))
+        lows = np.array([p << (64 - d) for d, p in cut], np.uint64)
+        depths = np.array([d for d, _ in cut], np.int64)
+        mine = np.arange(0, len(cut), 2)
+        for bits in (0, 2, 3):
+            owner, other = simhash_dups.cut_partners(lows, depths, mine, bits)
+            want = set()
+            for i in mine.tolist():
+                for j, (d, p) in enumerate(cut):
+                    m = min(d, cut[i][0])
+                    if ((cut[i][1] >> (cut[i][0] - m)) ^ (p >> (d - m))).bit_count() <= bits:
+                        want.add((i, j))
+            pairs = list(zip(mine[owner].tolist(), other.tolist(), strict=True))
+            assert len(pairs) == len(want) and set(pairs) == want
+
+
+def test_subtrees_hold_a_bounded_number_at_any_input(spark):
+    rnd = np.random.default_rng(3)
+    values = np.unique(np.concatenate([rnd.integers(0, 1 << 63, 500), rnd.integers(0, 1 << 20, 1500)]).astype(np.int64))
+    nodes = spark.createDataFrame([(int(v),) for v in values], "fp long")
+    cut = simhash_dups.trie_cut(nodes, 1, 4, 50)
+    lows = np.array([p << (64 - d) for d, p in cut], np.uint64)
+    ends = np.array([(p + 1 << (64 - d)) - 1 for d, p in cut], np.uint64)
+    inside = (values.view(np.uint64)[:, None] >= lows) & (values.view(np.uint64)[:, None] <= ends)
+    assert (inside.sum(1) == 1).all() and 1 <= inside.sum(0).min() and inside.sum(0).max() <= 50
+
+
 def test_decontaminate(spark):
     long_doc = ROWS[47][1]
     items = [(1, " ".join(ROWS[41][1].split()[6:40])), (2, "alpha1 BETA2"), (3, None), (4, "?!"), (None, ROWS[0][1]),
