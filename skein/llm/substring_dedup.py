@@ -49,6 +49,8 @@ LENGTH = 100
 GRAM = 32
 BATCH_BYTES = 32 << 20
 FILTER_BITS = 25
+#: Bytes of text for which there is a bucket (entries take about as much as the text).
+BUCKET_BYTES = 1 << 26
 #: Spans of one anchor that go to one bucket; the starts of an anchor with more are spread over all.
 SPREAD = 256
 #: Levels merge when the older is at most this many times the newer.
@@ -362,7 +364,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     """(doc, crc, start, end): stretches of repeated bytes; they can touch and overlap."""
     spark = docs.sparkSession
     common.prepare(spark)
-    buckets = buckets or max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if buckets is None:
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")).cast("long"))).first()[0] or 0
+        buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     texts = _narrow(docs, id_col, text_col)
     found = common.materialise(scan_family(index_batches(texts, buckets, length, gram, batch_bytes), length))
     at = f"shiftrightunsigned(doc, {64 - filter_bits})"
