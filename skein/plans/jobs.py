@@ -13,6 +13,7 @@ from skein.operators import export as ex
 from skein.operators import graph as gr
 from skein.operators import network as nw
 from skein.operators import normalize as nm
+from skein.session import stored
 
 
 def filter_lists(lists: DataFrame) -> DataFrame:
@@ -52,9 +53,12 @@ def graph_report(edges: DataFrame, kind: str = "retweet", k: int = 3,
                  fixed_iterations: int | None = None) -> dict[str, DataFrame]:
     """Graph (G2), counts/density/average degree (G3, G4, G6), PageRank (G7), top k."""
     v, e = gr.build_graph(edges, kind)
+    e = stored(e, "graph-edges")  # read by the ranks, the counts and the degrees
     ranks = gr.pagerank(None, e, fixed_iterations=fixed_iterations)
+    top = gr.top_ranks(ranks, k)
+    named = gr.vertex_attributes(gr.edges_touching(edges, top), "first")  # of the edges at the top k alone
     return {"vertices": v, "edges": e, "counts": gr.graph_counts(gr.endpoints(e), e), "degree": gr.degree(e),
-            "pagerank": ranks, "top": gr.top_influencers(ranks, v, k)}
+            "pagerank": ranks, "top": gr.top_influencers(top, named, k)}
 
 
 def classify_slice(users: DataFrame, tweets: DataFrame, previous: DataFrame,

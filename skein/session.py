@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark import SparkConf, SparkContext
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a session this library creates itself (tests, bench, local runs).
 _LOCAL_DEFAULTS = {
@@ -88,6 +89,28 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}"
 
 
+#: Rows of a file of a stored table at most.
+FILE_ROWS = 100_000
+
+
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written once to the scratch folder as compressed Parquet and read back.
+
+    Cuts the lineage as a reliable checkpoint does, but a checkpoint holds whole uncompressed rows: several times the
+    bytes for a large table. Columns have neutral names in the files, so any column name will do. A column without a
+    type (``void``) has no Parquet form; such a frame is checkpointed. However well rows compress, ``FILE_ROWS`` bounds
+    what one task reads back: Spark counts 4 MB for opening a file, so 32 files at most fill its 128 MB.
+    """
+    spark = df.sparkSession
+    if any("void" in f.dataType.simpleString() for f in df.schema.fields):
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = scratch_dir(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    plain.write.option("compression", "zstd").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+    return spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
+
+
 _SHIPPED: set[int] = set()
 
 
