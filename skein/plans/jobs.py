@@ -365,7 +365,7 @@ def collection_loop(spark, base: str, seeds: DataFrame, posts: DataFrame, follow
 
     def on_followers(rows: DataFrame) -> dict[str, DataFrame]:
         roots = rows.select("user_id").distinct()
-        mine = followers.join(roots.withColumnRenamed("user_id", "root_id"), "root_id", "left_semi")
+        mine = stored(followers.join(roots.withColumnRenamed("user_id", "root_id"), "root_id", "left_semi"), "pages")
         edges = store.read("follows", "src STRING, dst STRING, weight BIGINT")
         out = qu.process_followers(roots, mine, people(), True, edges)
         return {"vertices": new_people(out["vertices"]), "follows": out["follows"].join(edges, ["src", "dst"], "left_anti"),
@@ -373,7 +373,9 @@ def collection_loop(spark, base: str, seeds: DataFrame, posts: DataFrame, follow
 
     def on_retweeters(rows: DataFrame) -> dict[str, DataFrame]:
         ids = store.read("edge_tweets", "src STRING, dst STRING, tweet_id STRING, ord BIGINT")
-        out = qu.process_retweeters(rows, retweeters, people(), empty(spark, "src STRING, dst STRING, weight BIGINT"), ids)
+        mine = stored(retweeters.join(rows.select("tweet_id", F.col("target_user_id").alias("root_id")),
+                                      ["tweet_id", "root_id"], "left_semi"), "pages")
+        out = qu.process_retweeters(rows, mine, people(), empty(spark, "src STRING, dst STRING, weight BIGINT"), ids)
         done = rows.select(F.col("target_user_id").alias("root_id"), "tweet_id", F.lit(now).alias("at"),
                            F.lit(store.manifest()["run"] + 1).cast("long").alias("run"))
         return {"vertices": new_people(out["vertices"]), "done": done,

@@ -19,6 +19,7 @@ from skein.functions.predicates import is_original, qualifies_as_root
 from skein.operators.dedupe import keep_first, row_order
 from skein.operators.long_lists import CHUNK, in_chunks, text_parts
 from skein.operators.upsert import upsert_vertices
+from skein.session import stored
 from skein.sources import schemas
 
 TOPIC_TWEETS, TOPIC_FOLLOWERS, TOPIC_RETWEETERS, TOPIC_CLASSIFY = (
@@ -173,10 +174,12 @@ def process_followers(roots: DataFrame, followers: DataFrame, vertices: DataFram
     followers = followers.filter(F.col("user_id").isNotNull())  # a landing of no followers is a record of the root alone
     shape = [c for c in followers.columns if c not in ("root_id", "ord", "pos")]
     fv = keep_first(followers, ["user_id"], ["root_id", *row_order(followers, "user_id")]).select(*shape)
+    if not followers.isStreaming:
+        fv = stored(fv, "followers")  # read by the vertices, the edges and the dispatch
     new_vertices = upsert_vertices(vertices, fv)
     e = followers.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"))
-    stored = e.limit(0).withColumn("weight", F.lit(1).cast("bigint")) if edges is None else edges
-    follows = upsert_follows(stored, e, new_vertices)
+    known = e.limit(0).withColumn("weight", F.lit(1).cast("bigint")) if edges is None else edges
+    follows = upsert_follows(known, e, new_vertices)
     n = followers.groupBy("root_id").agg(F.count(F.lit(1)).alias("n"))
     status = roots.select("user_id").join(n, roots["user_id"] == n["root_id"], "left").select(
         "user_id", F.when(F.coalesce("n", F.lit(0)) > 0, "completed").otherwise("failed").alias("follower_status"))
@@ -195,6 +198,8 @@ def process_retweeters(tweet_msgs: DataFrame, retweeters: DataFrame, vertices: D
     r = retweeters.filter(F.col("user_id").isNotNull()).join(tweet_msgs.select("tweet_id", F.col("target_user_id").alias("root_id")),
                         ["tweet_id", "root_id"], "left_semi")
     once = keep_first(r, ["user_id"], ["ord", "pos", "root_id", "tweet_id"])  # the same row in every attempt
+    if not retweeters.isStreaming:
+        once = stored(once, "retweeters")  # read by the vertices, the edges and the dispatch
     new_vertices = upsert_vertices(vertices, once.drop("tweet_id", "root_id", "ord", "pos"))
     batch = r.select(F.col("user_id").alias("src"), F.col("root_id").alias("dst"), "tweet_id",
                      F.col("ord").cast("bigint").alias("ord"))
