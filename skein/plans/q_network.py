@@ -10,13 +10,14 @@ from skein.operators import network as nw
 from skein.operators import enrich as en
 from skein.plans.registry import register, tables
 from skein.plans.sqlbits import NET_CTES, match_expr
+from skein.session import stored
 
 
 def net_tables(spark, sf_dir, need: tuple[str, ...] = ("retweeters", "followers")):
     """The four flat network tables derived from the fixture views.
 
     Like the pipeline's explode step, the large tables a query needs (``need``)
-    are materialised once (reliable checkpoint in the session's checkpoint folder)
+    are materialised once (compressed columns in the session's scratch folder)
     so that every consumer in the plan reads them instead of re-deriving them from
     the base tables; the small ones stay lazy projections.
     """
@@ -36,16 +37,13 @@ def net_tables(spark, sf_dir, need: tuple[str, ...] = ("retweeters", "followers"
         "following_count", "ord", "pos")
     root_city = users.select(F.col("user_id").alias("root_id"), F.col("search_location").alias("target_location"))
     followers = inter.select(F.col("target").alias("root_id"), F.col("source").alias("user_id"), "ord", "pos") \
-        .join(attrs, "user_id", "left").join(root_city, "root_id", "left") \
+        .join(root_city, "root_id", "left").join(attrs, "user_id", "left") \
         .select("root_id", "user_id", "username", "profile_location", "target_location", "followers_count",
                 "following_count", "ord", "pos")
-    if need:
-        from skein.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(spark)
-        if "retweeters" in need:
-            retweeters = retweeters.checkpoint(eager=True)
-        if "followers" in need:
-            followers = followers.checkpoint(eager=True)
+    if "retweeters" in need:
+        retweeters = stored(retweeters, "retweeters")
+    if "followers" in need:
+        followers = stored(followers, "followers")
     return roots, root_tweets, retweeters, followers
 
 
