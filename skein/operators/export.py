@@ -153,18 +153,15 @@ def export_graph_simple(edges: DataFrame, kind: str, location: str) -> tuple[Dat
         .alias("e")).select("e.*")
     v = keep_last(ends, ["~id"], ["ord", "pos", "side"]) \
         .select("~id", F.lit("user").alias("~label"), "username", "followers", F.lit(location).alias("location"))
-    first = F.min(F.struct("ord", "pos")).alias("__first")
     pair = [F.col("source").alias("~from"), F.col("target").alias("~to")]
     if kind == "retweet":
+        # the chunks know each pair's first place: no second pass over the edges, no join of two tables of pairs
         ids = joined(in_chunks(edges.select(*pair, "ord", "pos", "tweet_id"), ["~from", "~to"], ["ord", "pos"], "tweet_id"),
                      ["~from", "~to"], ",")
-        ids = ids.select(F.col("~from").alias("__f"), F.col("~to").alias("__t"), F.col("n").alias("weight"),
-                         F.col("text").alias("tweet_ids:String"))
-        grp = edges.groupBy(*pair).agg(first)
-        grp = grp.join(ids, grp["~from"].eqNullSafe(ids["__f"]) & grp["~to"].eqNullSafe(ids["__t"])) \
-            .drop("__f", "__t").withColumn("~label", F.lit("retweeted"))
+        grp = ids.select("~from", "~to", F.col("first").alias("__first"), F.col("n").alias("weight"),
+                         F.col("text").alias("tweet_ids:String"), F.lit("retweeted").alias("~label"))
     else:
-        grp = edges.groupBy(*pair).agg(first).withColumn("~label", F.lit("follows"))
+        grp = edges.groupBy(*pair).agg(F.min(F.struct("ord", "pos")).alias("__first")).withColumn("~label", F.lit("follows"))
     e = grp.withColumns({"__o": F.col("__first.ord"), "__p": F.col("__first.pos"), "location": F.lit(location)})
     columns = SIMPLE_EDGE_COLUMNS["retweet" if kind == "retweet" else "follower"]
     e = e.select("__o", "__p", *[F.col(f"`{c}`") for c in columns[1:]])

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.session import ensure_checkpoint_dir
+from skein.session import stored
 
 #: Rows of a chunk at most.
 CHUNK = 4096
@@ -19,9 +19,8 @@ CHUNK = 4096
 def numbered(df: DataFrame, order: list[str], col: str = "__no") -> DataFrame:
     """Rows numbered from 0 in a total order: sorted by ranges, numbered inside each partition, shifted by the
     sizes of those before it (one row per partition). No task sees all rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    sorted_ = df.orderBy(*order).select("*", F.spark_partition_id().alias("__pid"),
-                                        F.monotonically_increasing_id().alias("__mid")).checkpoint(eager=True)
+    sorted_ = stored(df.orderBy(*order).select("*", F.spark_partition_id().alias("__pid"),
+                                               F.monotonically_increasing_id().alias("__mid")), "numbered")
     counts = sorted_.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = counts.select("__pid", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
@@ -30,21 +29,23 @@ def numbered(df: DataFrame, order: list[str], col: str = "__no") -> DataFrame:
 
 
 def in_chunks(df: DataFrame, keys: list[str], order: list[str], value: str, size: int = CHUNK) -> DataFrame:
-    """(keys, chunk, n, values): the values of each key in ``order``, at most ``size`` in a row. Chunks of a key
-    are to be read by ``chunk``; its numbers follow each other without a gap."""
+    """(keys, chunk, n, first, values): the values of each key in ``order``, at most ``size`` in a row, and the ``order``
+    columns of the chunk's first row. Chunks of a key are to be read by ``chunk``; its numbers follow each other without a
+    gap."""
     rows = numbered(df.select(*keys, *[F.col(o).alias(f"__o{i}") for i, o in enumerate(order)], F.col(value).alias("__v")),
                     [*keys, *[f"__o{i}" for i in range(len(order))], "__v"])
     item = F.struct("__no", "__v")
+    place = F.struct(*[F.col(f"__o{i}").alias(o) for i, o in enumerate(order)])
     return rows.groupBy(*keys, F.floor(F.col("__no") / size).alias("chunk")).agg(
-        F.count(F.lit(1)).alias("n"), F.transform(F.array_sort(F.collect_list(item)), lambda s: s["__v"]).alias("values"))
+        F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.transform(F.array_sort(F.collect_list(item)), lambda s: s["__v"]).alias("values"))
 
 
 def joined(chunks: DataFrame, keys: list[str], sep: str) -> DataFrame:
-    """(keys, n, text): the chunks of each key put together, one text per key, for a target whose format has the whole list
+    """(keys, n, first, text): the chunks of each key put together, one text per key, for a target whose format has the whole list
     in one cell. That cell is the only thing here that grows with a key; ``in_chunks`` is the form without it."""
     part = F.struct("chunk", F.array_join("values", sep).alias("t"))
-    return chunks.groupBy(*keys).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(part)).alias("__parts")).select(
-        *[F.col(f"`{k}`") for k in keys], "n", F.array_join(F.transform("__parts", lambda p: p["t"]), sep).alias("text"))
+    return chunks.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.array_sort(F.collect_list(part)).alias("__parts")).select(
+        *[F.col(f"`{k}`") for k in keys], "n", "first", F.array_join(F.transform("__parts", lambda p: p["t"]), sep).alias("text"))
 
 
 def text_parts(chunks: DataFrame, keys: list[str], sep: str, before: Column, after: Column) -> DataFrame:
