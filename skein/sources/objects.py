@@ -11,13 +11,14 @@ import json
 import posixpath
 import re
 import uuid
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
-from skein.session import ship_code
+from skein.session import ship_code, stored
 from skein.sources import schemas
 from skein.sources.json_arrays import read_elements
 from skein.sources.readers import empty
@@ -25,6 +26,8 @@ from skein.sources.readers import empty
 OBJECT = "location STRING, user_id STRING, name STRING, value STRING"
 #: Bytes copied at once.
 CHUNK = 4 << 20
+#: Folders that a writing task remembers at most, so as not to create them again.
+KNOWN = 1 << 16
 
 
 def file_system(uri: str):
@@ -61,6 +64,8 @@ class _ObjectWriter(DataSourceWriter):
             folder = posixpath.dirname(path)
             if folder not in known:
                 fs.create_dir(folder, recursive=True)
+                if len(known) >= KNOWN:
+                    known.clear()
                 known.add(folder)
             draft = f"{folder}/.{uuid.uuid4().hex}"
             with fs.open_output_stream(draft) as out:
@@ -94,55 +99,71 @@ class TextObjects(DataSource):
 
 
 def write_object_files(objects: DataFrame, path: str) -> None:
-    """K7: one UTF-8 ``.txt`` per object at ``path/{location}/classification/{user}/input/{name}.txt``, written where the
-    rows lie. An object written again is replaced; rows that name the same object must agree."""
+    """K7: one UTF-8 ``.txt`` per object at ``path/{location}/classification/{user}/input/{name}.txt``. An object written again
+    is replaced; rows that name the same object must agree.
+
+    A file costs the same whatever it holds, so objects are dealt over the tasks by number: the splits of a small table, or
+    parts merged by their bytes, leave hundreds of thousands of short objects to one task."""
     spark = objects.sparkSession
     ship_code(spark)
     spark.dataSource.register(TextObjects)
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     objects.select("location", "user_id", "name", F.coalesce("value", F.lit("")).alias("value")) \
+        .repartition(tasks, "location", "user_id", "name") \
         .write.format("text_objects").mode("append").save(path)
 
 
 # --------------------------------------------------------------------------- listings
-#: Folders the driver opens at most before it deals them to tasks.
+#: Folders opened one level at a time; of more, each is listed whole, with all below it.
 FOLDERS = 256
+#: Rows of a batch at most.
+ROWS = 1 << 16
+
+
+def _entries(spark: SparkSession, folders: DataFrame, n: int, root: str, recursive: bool) -> DataFrame:
+    """(path, length) of what ``n`` folders hold, dealt over the tasks; a folder has no length. Names that begin with ``.`` or
+    ``_`` and what is below them are left out."""
+    from pyarrow import fs as pf
+
+    def run(batches):
+        fs, base = file_system(root.rstrip("/"))
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                entries = fs.get_file_info(pf.FileSelector(folder, recursive=recursive))
+                for at in range(0, len(entries), ROWS):
+                    kept = [(e.path, e.size if e.type == pf.FileType.File else None) for e in entries[at:at + ROWS]
+                            if e.type == pf.FileType.File or (e.type == pf.FileType.Directory and not recursive)]
+                    kept = [(p, n) for p, n in kept if not re.search(r"(^|/)[._]", p[len(base):].lstrip("/"))]
+                    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in kept], pa.string()),
+                                                      pa.array([n for _, n in kept], pa.int64())], ["path", "length"])
+
+    tasks = max(spark.sparkContext.defaultParallelism, n // 1024)
+    return folders.repartition(tasks).mapInArrow(run, "path STRING, length BIGINT")
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
     """(path, relative, name, length) of every file below a folder, empty ones too (names that begin with ``.`` or ``_`` are
-    not of the tree); no file is opened. The driver lists the upper folders, tasks what is below them."""
+    not of the tree); no file is opened. Tasks list the folders, level by level until there are enough to deal out, and the
+    names stay with them: a level may hold a folder per user, so the driver only counts."""
     from pyarrow import fs as pf
     ddl = "path STRING, relative STRING, name STRING, length BIGINT"
     fs, base = file_system(root.rstrip("/"))
     if fs.get_file_info(base).type == pf.FileType.NotFound:
         return empty(spark, ddl)
-    found, folders = [], [base]
-    while folders and len(folders) < FOLDERS:
-        entries = [e for f in folders for e in fs.get_file_info(pf.FileSelector(f))]
-        found += [(e.path, e.size) for e in entries if e.type == pf.FileType.File]
-        folders = [e.path for e in entries if e.type == pf.FileType.Directory]
-    scheme = re.match(r"(file:|\w+://[^/]*(?=/)|)", root)[0] if not re.match(r"(s3\w?|gs)://", root) else root.split("//")[0] + "//"
-
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for path, length in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if length is not None:
-                    rows.append((path, length))
-                else:
-                    own, _ = file_system(root)
-                    rows += [(e.path, e.size) for e in own.get_file_info(pf.FileSelector(path, recursive=True))
-                             if e.type == pf.FileType.File]
-            rows = [(scheme + p, p[len(base):].lstrip("/"), n) for p, n in rows]
-            rows = [(p, r, posixpath.basename(r), n) for p, r, n in rows if not re.search(r"(^|/)[._]", r)]
-            cols = list(zip(*rows, strict=True)) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                cols, [pa.string(), pa.string(), pa.string(), pa.int64()], strict=True)], ["path", "relative", "name", "length"])
-
     ship_code(spark)
-    top = spark.createDataFrame([*found, *[(f, None) for f in folders]], "path STRING, length BIGINT")
-    tasks = max(spark.sparkContext.defaultParallelism, len(folders) // 1024)
-    return top.repartition(tasks).mapInArrow(run, ddl)
+    scheme = re.match(r"(file:|\w+://[^/]*(?=/)|)", root)[0] if not re.match(r"(s3\w?|gs)://", root) else root.split("//")[0] + "//"
+    folders, n, found = spark.createDataFrame([(base,)], "path STRING"), 1, []
+    while 0 < n < FOLDERS:
+        level = stored(_entries(spark, folders, n, root, False), "listing")
+        found.append(level.filter(F.col("length").isNotNull()))
+        folders = level.filter(F.col("length").isNull()).select("path")
+        n = folders.count()
+    if n:
+        found.append(_entries(spark, folders, n, root, True))
+    relative = F.ltrim(F.substr("path", F.lit(len(base) + 1)), F.lit("/"))
+    return reduce(DataFrame.unionByName, found).select(
+        F.concat(F.lit(scheme), "path").alias("path"), relative.alias("relative"),
+        F.substring_index(relative, "/", -1).alias("name"), "length")
 
 
 def read_objects(files: DataFrame) -> DataFrame:
