@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from skein.sources.schemas import jsonify_complex
 
 _ROW = "__row"
+#: Types whose equal values are the same.
+_EXACT = {"string", "bigint", "int", "smallint", "tinyint", "boolean", "date", "timestamp"}
 
 
 def keep_first(df: DataFrame, keys: list[str] | Column, order: list[Column | str],
@@ -30,7 +32,14 @@ def keep_first(df: DataFrame, keys: list[str] | Column, order: list[Column | str
         group = list(keys)
     agg = df.groupBy(*group).agg(F.min_by(F.struct(*[F.col(c) for c in cols]),
                                           F.struct(*order_cols)).alias(_ROW))
-    return agg.select(f"{_ROW}.*")
+    return _rows(agg, df, group, cols)
+
+
+def _rows(agg: DataFrame, df: DataFrame, group: list[str], cols: list[str]) -> DataFrame:
+    """The kept rows. Keys are taken from the grouping itself, so that Spark knows the rows lie by them and a later step by
+    the same keys needs no shuffle (types of which equal values may differ come from the row)."""
+    exact = {f.name for f in df.schema.fields if f.dataType.simpleString() in _EXACT}
+    return agg.select(*[F.col(f"`{c}`") if c in group and c in exact else F.col(_ROW)[c].alias(c) for c in cols])
 
 
 def row_order(df: DataFrame, key: str) -> list[str]:
@@ -44,7 +53,7 @@ def keep_last(df: DataFrame, keys: list[str], order: list[Column | str]) -> Data
     cols = df.columns
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]),
                                          F.struct(*order_cols)).alias(_ROW))
-    return agg.select(f"{_ROW}.*")
+    return _rows(agg, df, list(keys), cols)
 
 
 def dedupe_by_key(df: DataFrame, order: list[Column | str],
@@ -55,6 +64,8 @@ def dedupe_by_key(df: DataFrame, order: list[Column | str],
     as in the reference).
     """
     present = [c for c in key_cols if c in df.columns]
+    if len(present) == 1 and df.schema[present[0]].dataType.simpleString() == "string":  # the key is a column: rows stay where they lie by it
+        return keep_first(df.filter(F.col(present[0]).isNotNull()), present, order)
     key = F.coalesce(*[F.col(c).cast("string") for c in present])
     keyed = df.withColumn("__key", key).filter(F.col("__key").isNotNull())
     out = keep_first(keyed, ["__key"], order)

@@ -82,7 +82,7 @@ def collect_slices(spark, posts: DataFrame, users: DataFrame, base: str, keyword
     from skein.functions.predicates import skip_types
     from skein.operators import enrich as en
     from skein.sources.readers import land_pages
-    from skein.sources.sinks import append_distinct, read_distinct
+    from skein.sources.sinks import append_distinct, read_distinct, versions
     names = spark.createDataFrame([(c,) for c in (dims.CITIES if cities is None else cities)], "city STRING")
     queries = nm.render_queries(names, "city").filter(F.col("query").isNotNull() & skip_types("account_type", skip or []))
     posts, users = (p.join(queries.select("city", "account_type"), ["city", "account_type"], "left_semi") for p in (posts, users))
@@ -92,14 +92,16 @@ def collect_slices(spark, posts: DataFrame, users: DataFrame, base: str, keyword
         allowed = an.per_group_first_n(pages, ["city", "account_type"], [F.col("page")], F.col("budget"))
         users = users.join(allowed.select("city", "account_type", "page"), ["city", "account_type", "page"], "left_semi")
     landed = land_pages([posts], "id")
-    tweets = dd.dedupe_by_key(nm.normalize_tweets_full(landed).withColumn("user_date_id", F.lit(None).cast("string")),
-                              ["created_at", "text"]).drop("user_date_id")
+    tweets = dd.dedupe_by_key(nm.normalize_tweets_full(landed), ["created_at", "text"], key_cols=("tweet_id",))
+    first = not versions(spark, f"{base}/tweets")
+    written = append_distinct(tweets, f"{base}/tweets")
+    if first:  # the version holds just these posts: dates are read from its columns, not from whole posts moved once more
+        tweets = spark.read.parquet(written)
     people = land_pages([users], "id")
     place = people.select(F.col("id").alias("user_id"), F.col("city").alias("search_location"),
                           F.col("account_type").alias("search_account_type"))
     found = nm.normalize_users_search(people).join(place, "user_id")
     dated = en.attach_date(found, tweets.withColumn("ord", F.struct("created_at", "tweet_id")), default_date, created="created_at")
-    append_distinct(tweets, f"{base}/tweets")
     append_distinct(dated, f"{base}/users")
     stored_tweets, stored_users = read_distinct(spark, f"{base}/tweets"), read_distinct(spark, f"{base}/users")
     texts = stored_tweets.select("tweet_id", "author_id", F.col("text").alias("tweet_text"), F.col("tweet_id").alias("ord"))
