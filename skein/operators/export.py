@@ -13,8 +13,10 @@ from pyspark.sql import types as T
 
 from skein.functions.predicates import location_match, with_city_targets
 from skein.functions.text import chicago_to_utc, edge_id, iso, parse_any_date, parse_post_date
-from skein.operators.long_lists import in_chunks, joined, numbered
-from skein.operators.dedupe import keep_first, keep_last
+from skein.operators.dedupe import keep_first
+from skein.operators.graph import vertex_attributes
+from skein.operators.long_lists import chunks_of, in_chunks, in_order, joined, numbered
+from skein.session import stored
 
 VERTEX_COLUMNS = ["~id", "~label", "username", "city", "profile_location", "target_location",
                   "followers_count:Int", "following_count:Int", "tweets_count:Int", "category", "treatment_arm",
@@ -123,8 +125,8 @@ def export_typed(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.select(*[c.alias(n) for n, c in cols.items()])
 
 
-def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str = "~id") -> DataFrame:
-    """Ids e1..eN in first-seen order, computed on the JVM side.
+def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str = "~id", drop: tuple[str, ...] = ()) -> DataFrame:
+    """Ids e1..eN in first-seen order, computed on the JVM side. Columns in ``drop`` are there for the order only.
 
     Rows are range-sorted and numbered inside their partition
     (``monotonically_increasing_id`` minus the partition base) in one pass that
@@ -132,7 +134,7 @@ def sequential_ids(df: DataFrame, order: list[str], prefix: str = "e", col: str
     row per partition) give each partition's offset. No task sees all rows and
     no row passes through Python.
     """
-    return numbered(df, order).withColumn(
+    return numbered(df, order, drop=drop).withColumn(
         col, F.concat(F.lit(prefix), (F.col("__no") + 1).cast("string"))).drop("__no")
 
 
@@ -141,31 +143,47 @@ SIMPLE_EDGE_COLUMNS = {"retweet": ["~id", "~from", "~to", "~label", "weight", "t
                        "follower": ["~id", "~from", "~to", "~label", "location"]}
 
 
-def export_graph_simple(edges: DataFrame, kind: str, location: str) -> tuple[DataFrame, DataFrame]:
+def per_record(edges: DataFrame, people: DataFrame) -> DataFrame:
+    """Each edge as often as lookups of both its ends by ``user_id`` would give it: an end that has several records in
+    ``people`` counts once for each. Only ids with several records are joined, so edges move only if there are many of those."""
+    again = stored(people.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
+    if again.isEmpty():
+        return edges
+    columns = edges.columns
+    for end in ("source", "target"):
+        edges = edges.join(again.select(F.col("user_id").alias(end), F.col("n").alias("__n")), end, "left") \
+            .select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("__n", F.lit(1))))).select(*columns)
+    return edges
+
+
+def export_graph_simple(edges: DataFrame, kind: str, location: str, people: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K8: vertices (~id, ~label=user, username, followers, location) with the last seen
     attributes, and edges e1..eN in first-seen order (label retweeted with weight and post ids
-    joined by ',', or follows). ``location`` is the run's city; every vertex and edge carries it."""
-    ends = edges.select(F.explode(F.array(
-        F.struct(F.col("source").alias("~id"), F.col("source_username").alias("username"),
-                 F.col("source_followers").alias("followers"), "ord", "pos", F.lit(0).alias("side")),
-        F.struct(F.col("target").alias("~id"), F.col("target_username").alias("username"),
-                 F.col("target_followers").alias("followers"), "ord", "pos", F.lit(1).alias("side"))))
-        .alias("e")).select("e.*")
-    v = keep_last(ends, ["~id"], ["ord", "pos", "side"]) \
-        .select("~id", F.lit("user").alias("~label"), "username", "followers", F.lit(location).alias("location"))
+    joined by ',', or follows). ``location`` is the run's city; every vertex and edge carries it.
+
+    Edges carry the attributes of their endpoints, or these are looked up in ``people`` (A14): then no edge moves for its
+    attributes, and the vertices of retweet edges come from the rows that are stored for the post ids."""
     pair = [F.col("source").alias("~from"), F.col("target").alias("~to")]
+    seen = edges
     if kind == "retweet":
+        each = edges if people is None else per_record(edges, people)
+        rows = in_order(each.select(*pair, "ord", "pos", "tweet_id"), ["~from", "~to"], ["ord", "pos"], "tweet_id")
         # the chunks know each pair's first place: no second pass over the edges, no join of two tables of pairs
-        ids = joined(in_chunks(edges.select(*pair, "ord", "pos", "tweet_id"), ["~from", "~to"], ["ord", "pos"], "tweet_id"),
-                     ["~from", "~to"], ",")
-        grp = ids.select("~from", "~to", F.col("first").alias("__first"), F.col("n").alias("weight"),
-                         F.col("text").alias("tweet_ids:String"), F.lit("retweeted").alias("~label"))
+        # stored, since the sort of the ids reads its input twice
+        ids = joined(stored(chunks_of(rows, ["~from", "~to"], ["ord", "pos"]), "chunks"), ["~from", "~to"], ",")
+        grp = ids.select("~from", "~to", F.col("first").alias("__first"), F.col("n").alias("weight"), F.col("text").alias("tweet_ids:String"))
+        if people is not None:
+            seen = rows.select(F.col("~from").alias("source"), F.col("~to").alias("target"), F.col("__o0").alias("ord"), F.col("__o1").alias("pos"))
     else:
-        grp = edges.groupBy(*pair).agg(F.min(F.struct("ord", "pos")).alias("__first")).withColumn("~label", F.lit("follows"))
-    e = grp.withColumns({"__o": F.col("__first.ord"), "__p": F.col("__first.pos"), "location": F.lit(location)})
+        grp = edges.groupBy(*pair).agg(F.min(F.struct("ord", "pos")).alias("__first"))
+    v = vertex_attributes(seen, "last", people).select(
+        F.col("id").alias("~id"), F.lit("user").alias("~label"), "username", "followers", F.lit(location).alias("location"))
+    e = sequential_ids(grp.select(F.col("__first.ord").alias("__o"), F.col("__first.pos").alias("__p"), *[c for c in grp.columns if c != "__first"]),
+                       ["__o", "__p", "~from", "~to"], drop=("__o", "__p"))
+    # what all edges have alike does not move with them
+    e = e.withColumns({"~label": F.lit("retweeted" if kind == "retweet" else "follows"), "location": F.lit(location)})
     columns = SIMPLE_EDGE_COLUMNS["retweet" if kind == "retweet" else "follower"]
-    e = e.select("__o", "__p", *[F.col(f"`{c}`") for c in columns[1:]])
-    return v, sequential_ids(e, ["__o", "__p", "~from", "~to"]).select(*[F.col(f"`{c}`") for c in columns])
+    return v, e.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def conform_to_header(records: DataFrame, json_col: str, header: list[str]) -> tuple[DataFrame, DataFrame]:

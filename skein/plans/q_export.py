@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from skein.operators import export as ex
-from skein.plans.q_graph import interaction_edges
 from skein.plans.q_network import net_tables
 from skein.plans.registry import register, tables
 from skein.plans.sqlbits import EDGE_CTE, NET_CTES, match_expr
@@ -91,7 +90,8 @@ ends AS (SELECT source AS id, source_username AS username, source_followers AS f
 SELECT id AS "~id", 'user' AS "~label", username, followers, 'chicago' AS location FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC, pos DESC, side DESC) AS rn FROM ends) x WHERE rn = 1""")
 def k08_simple_vertices(spark, sf_dir):
-    v, _ = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet", "chicago")
+    users, inter = tables(spark, sf_dir, "fx_users", "fx_interactions")
+    v, _ = ex.export_graph_simple(inter, "retweet", "chicago", users)
     return v
 
 
@@ -102,7 +102,8 @@ g2 AS (SELECT g.*, (SELECT min(pos) FROM fx_interactions i WHERE i.source = g.so
 SELECT 'e' || CAST(row_number() OVER (ORDER BY o, p, source, target) AS VARCHAR) AS "~id", source AS "~from",
   target AS "~to", 'retweeted' AS "~label", w AS weight, ids AS "tweet_ids:String", 'chicago' AS location FROM g2""")
 def w08_k08_simple_edges(spark, sf_dir):
-    _, e = ex.export_graph_simple(interaction_edges(spark, sf_dir), "retweet", "chicago")
+    users, inter = tables(spark, sf_dir, "fx_users", "fx_interactions")
+    _, e = ex.export_graph_simple(inter, "retweet", "chicago", users)
     return e
 
 
@@ -112,7 +113,8 @@ g2 AS (SELECT g.*, (SELECT min(pos) FROM fx_interactions i WHERE i.source = g.so
 SELECT 'e' || CAST(row_number() OVER (ORDER BY o, p, source, target) AS VARCHAR) AS "~id", source AS "~from",
   target AS "~to", 'follows' AS "~label", 'chicago' AS location FROM g2""")
 def k08_simple_follow_edges(spark, sf_dir):
-    _, e = ex.export_graph_simple(interaction_edges(spark, sf_dir), "follower", "chicago")
+    users, inter = tables(spark, sf_dir, "fx_users", "fx_interactions")
+    _, e = ex.export_graph_simple(inter, "follower", "chicago", users)
     return e
 
 
